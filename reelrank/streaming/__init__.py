@@ -1,0 +1,8 @@
+"""Streaming.
+
+The workloads this engine rebuilds are batch jobs only: they read files and
+write tables, with no watermarks, event-time windows or state. Nothing here
+is an operator of its own; every batch operator in ``reelrank.operators``
+takes plain DataFrames, so a caller that receives ratings as a stream can
+apply them per micro-batch with ``writeStream.foreachBatch``.
+"""
