@@ -80,3 +80,119 @@ FROM items i LEFT JOIN (
   SELECT movieId, AVG(rating) AS avg_rating, COUNT(rating) AS n_ratings
   FROM ratings GROUP BY movieId) s ON i.movieId = s.movieId
 """)
+
+_FLAG_COLS = ", ".join(GENRES)
+_RAW_FLAGS = ",\n       ".join(
+    ["CAST(unknown AS VARCHAR) AS unknown"] + [f"CAST({g} AS VARCHAR) AS {g}" for g in GENRES])
+
+SQL["scan_ratings"] = with_base_only("SELECT userId, movieId, rating, timestamp FROM ev")
+
+SQL["scan_items"] = with_base_only(f"""
+SELECT movieId, title, CAST(NULL AS VARCHAR) AS release_date,
+       CAST(NULL AS VARCHAR) AS video_release_date, CAST(NULL AS VARCHAR) AS imdb_url,
+       {_RAW_FLAGS}
+FROM items
+""")
+
+SQL["scan_users"] = with_base_only("SELECT * FROM all_users")
+
+SQL["clean_ratings"] = with_base_only("SELECT * FROM ratings")
+
+SQL["dedup_ratings"] = with_base_only("""
+SELECT userId, movieId, rating, timestamp, src_order, src_line FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY userId, movieId
+                               ORDER BY timestamp DESC, src_order DESC, src_line DESC) AS rn
+  FROM ev) WHERE rn = 1
+""")
+
+SQL["dedup_items"] = with_base_only(f"""
+SELECT movieId, title, CAST(NULL AS VARCHAR) AS release_date,
+       CAST(NULL AS VARCHAR) AS video_release_date, CAST(NULL AS VARCHAR) AS imdb_url,
+       {_RAW_FLAGS}
+FROM items
+""")
+
+SQL["item_flags"] = with_base_only(f"""
+SELECT movieId, title, CAST(NULL AS VARCHAR) AS release_date,
+       CAST(NULL AS VARCHAR) AS video_release_date, CAST(NULL AS VARCHAR) AS imdb_url,
+       unknown, {_FLAG_COLS}, 0 AS invalid_flags
+FROM items
+""")
+
+SQL["item_avg_rating"] = with_base_only("""
+SELECT movieId, AVG(rating) AS avg_rating, COUNT(rating) AS n_ratings
+FROM ratings GROUP BY movieId
+""")
+
+SQL["item_stats_left_join"] = with_base_only("""
+SELECT i.movieId, i.title, s.avg_rating, COALESCE(s.n_ratings, 0) AS n_ratings
+FROM items i LEFT JOIN (
+  SELECT movieId, AVG(rating) AS avg_rating, COUNT(rating) AS n_ratings
+  FROM ratings WHERE userId IN (SELECT userId FROM users) GROUP BY movieId
+) s ON i.movieId = s.movieId
+""")
+
+SQL["item_genres_long"] = with_base_only(f"""
+SELECT movieId, genre FROM (UNPIVOT (SELECT movieId, {_FLAG_COLS} FROM items)
+  ON {_FLAG_COLS} INTO NAME genre VALUE flag) WHERE flag = 1
+""")
+
+SQL["rating_facts"] = with_base_only(f"""
+SELECT r.userId, r.movieId, r.rating, r.timestamp, i.title,
+       {", ".join("i." + g for g in GENRES)}, u.age, u.gender, u.occupation
+FROM ratings r JOIN items i ON r.movieId = i.movieId JOIN users u ON r.userId = u.userId
+""")
+
+SQL["user_genre_profile"] = with_base_only("SELECT * FROM profiles")
+
+SQL["user_genre_profile_long"] = with_base_only(f"""
+SELECT r.userId, g.genre, AVG(r.rating) AS avg_rating, COUNT(r.rating) AS n_ratings
+FROM ratings r
+JOIN (SELECT movieId, genre FROM (UNPIVOT (SELECT movieId, {_FLAG_COLS} FROM items)
+      ON {_FLAG_COLS} INTO NAME genre VALUE flag) WHERE flag = 1) g ON r.movieId = g.movieId
+WHERE r.userId IN (SELECT userId FROM users)
+GROUP BY r.userId, g.genre
+""")
+
+SQL["profile_targets"] = with_base_only(
+    "SELECT userId, age, gender, occupation, "
+    + ", ".join(f"COALESCE({p}, 0.0) AS {p}" for p in PROFILE_COLUMNS)
+    + " FROM profiles")
+
+
+def _weight(p: str) -> str:
+    return f"CASE WHEN {p} IS NOT NULL AND {p} <> 0 THEN {p} END"
+
+
+def _score_sql(weights: list[str], alias_w: str = "w", alias_i: str = "i") -> str:
+    terms = " + ".join(
+        f"COALESCE(CAST({alias_w}.{w} AS DOUBLE), 0.0) * {alias_i}.{g}" for w, g in zip(weights, GENRES))
+    return f"round(CAST(1.0 AS DOUBLE) + {terms}, 6)"
+
+
+def brute_force_top_k(weights_cte: str, id_col: str, weights: list[str], k: int = 10) -> str:
+    """Every (row, item) pair scored, row_number <= k: the exhaustive reference."""
+    return f"""
+scored AS (
+  SELECT w.{id_col}, i.movieId, i.title, {_score_sql(weights)} AS score
+  FROM {weights_cte} w CROSS JOIN items i
+),
+topk AS (
+  SELECT {id_col}, CAST(ROW_NUMBER() OVER (PARTITION BY {id_col} ORDER BY score DESC, movieId ASC) AS INTEGER) AS rank,
+         movieId, title, score
+  FROM scored
+)"""
+
+
+_KNOWN_W = ("w_known AS (SELECT userId, "
+            + ", ".join(f"{_weight(p)} AS {p}" for p in PROFILE_COLUMNS) + " FROM profiles),")
+
+SQL["recommend_known"] = with_base(
+    _KNOWN_W + brute_force_top_k("w_known", "userId", PROFILE_COLUMNS).strip()
+    + "\nSELECT * FROM topk WHERE rank <= 10")
+
+SQL["answer_documents"] = with_base(
+    _KNOWN_W + brute_force_top_k("w_known", "userId", PROFILE_COLUMNS).strip() + """
+SELECT userId, to_json({'userId': userId,
+                        'recommendations': list({'movieId': movieId, 'title': title} ORDER BY rank)}) AS answer
+FROM topk WHERE rank <= 10 GROUP BY userId""")

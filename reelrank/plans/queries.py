@@ -8,7 +8,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelrank.operators import cleaning, scoring
 from reelrank.operators import items as item_ops
+from reelrank.operators import profiles as profile_ops
+from reelrank.sinks import documents
 from reelrank.plans.catalog import Catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +29,95 @@ def query(name: str):
 def q_item_table(c: Catalog) -> DataFrame:
     """Clean, aggregate, left join, project (flagship)."""
     return item_ops.item_table(c.items, c.ratings)
+
+
+# --- scans (S1-S3 over the adapter) ----------------------------------------
+@query("scan_ratings")
+def q_scan_ratings(c: Catalog) -> DataFrame:
+    return c.rating_events.select("userId", "movieId", "rating", "timestamp")
+
+
+@query("scan_items")
+def q_scan_items(c: Catalog) -> DataFrame:
+    return c.items_raw
+
+
+@query("scan_users")
+def q_scan_users(c: Catalog) -> DataFrame:
+    return c.all_users
+
+
+# --- cleaning (P3, P5, A3) --------------------------------------------------
+@query("clean_ratings")
+def q_clean_ratings(c: Catalog) -> DataFrame:
+    """R7 / P5 + A3: null ratings dropped, latest rating per (user, item)."""
+    return c.ratings
+
+
+@query("dedup_ratings")
+def q_dedup_ratings(c: Catalog) -> DataFrame:
+    """A3 alone, source tie-break columns kept."""
+    return cleaning.keep_latest(c.rating_events, cleaning.RATING_KEY, cleaning.RATING_ORDER)
+
+
+@query("dedup_items")
+def q_dedup_items(c: Catalog) -> DataFrame:
+    return cleaning.dedup_items(c.items_raw)
+
+
+@query("item_flags")
+def q_item_flags(c: Catalog) -> DataFrame:
+    """Text flags cast to int with try_cast, invalid ones counted."""
+    return cleaning.cast_flags(c.items_raw)
+
+
+# --- item statistics (A1, J1, P15) -------------------------------------------
+@query("item_avg_rating")
+def q_item_avg_rating(c: Catalog) -> DataFrame:
+    return item_ops.item_avg_rating(c.ratings)
+
+
+@query("item_stats_left_join")
+def q_item_stats_left_join(c: Catalog) -> DataFrame:
+    """J1 with the ratings of profiled users only: an item rated only by
+    cold-start users keeps a null average."""
+    rated = c.ratings.join(c.users.select("userId"), "userId", "left_semi")
+    return item_ops.item_stats(c.items, rated)
+
+
+@query("item_genres_long")
+def q_item_genres_long(c: Catalog) -> DataFrame:
+    return item_ops.item_genres_long(c.items)
+
+
+# --- profiles (J2, J3, A2, A2b, P6) ------------------------------------------
+@query("rating_facts")
+def q_rating_facts(c: Catalog) -> DataFrame:
+    return profile_ops.rating_facts(c.ratings, c.items, c.users)
+
+
+@query("user_genre_profile")
+def q_user_genre_profile(c: Catalog) -> DataFrame:
+    """A2 / R6."""
+    return c.profiles
+
+
+@query("user_genre_profile_long")
+def q_user_genre_profile_long(c: Catalog) -> DataFrame:
+    return profile_ops.user_genre_profile_long(c.ratings, c.items, c.users)
+
+
+@query("profile_targets")
+def q_profile_targets(c: Catalog) -> DataFrame:
+    return profile_ops.profile_targets(c.profiles)
+
+
+# --- ranking (R1, K4) ---------------------------------------------------------
+@query("recommend_known")
+def q_recommend_known(c: Catalog) -> DataFrame:
+    return scoring.recommend_known(c.profiles, c.items, k=10)
+
+
+@query("answer_documents")
+def q_answer_documents(c: Catalog) -> DataFrame:
+    return documents.answer_documents(scoring.recommend_known(c.profiles, c.items, k=10), "userId")
