@@ -196,3 +196,130 @@ SQL["answer_documents"] = with_base(
 SELECT userId, to_json({'userId': userId,
                         'recommendations': list({'movieId': movieId, 'title': title} ORDER BY rank)}) AS answer
 FROM topk WHERE rank <= 10 GROUP BY userId""")
+
+_REQ = f"""
+req AS (
+  SELECT c_custkey AS requestId,
+         CASE WHEN c_custkey % {HOLDOUT_MODULUS} = 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS userId_text,
+         CASE WHEN c_nationkey % 2 = 0 THEN 'm' ELSE 'f' END AS gender_text,
+         upper(substr(lower(c_mktsegment), 1, 1)) || substr(lower(c_mktsegment), 2) AS occupation_text,
+         CAST(CAST(round(c_acctbal / 100) AS INTEGER) AS VARCHAR) AS age_text
+  FROM customer
+),
+req_clean AS (
+  SELECT requestId, TRY_CAST(trim(userId_text) AS BIGINT) AS userId,
+         upper(NULLIF(trim(gender_text), '')) AS gender,
+         lower(NULLIF(trim(occupation_text), '')) AS occupation,
+         TRY_CAST(trim(age_text) AS INTEGER) AS age,
+         COALESCE(trim(userId_text), '') <> '' AS has_user,
+         COALESCE(trim(age_text), '') <> '' AS has_age
+  FROM req
+),
+req_known AS (
+  SELECT q.*, (q.userId IS NOT NULL AND q.userId IN (SELECT userId FROM profiles)) AS is_known
+  FROM req_clean q
+),
+req_class AS (
+  SELECT *, CASE
+    WHEN has_user AND userId IS NULL THEN 'userId is not a number'
+    WHEN is_known THEN NULL
+    WHEN concat_ws(', ', CASE WHEN gender IS NULL THEN 'gender' END,
+                   CASE WHEN occupation IS NULL THEN 'occupation' END,
+                   CASE WHEN NOT has_age THEN 'age' END) <> ''
+      THEN 'missing for a new user: ' || concat_ws(', ', CASE WHEN gender IS NULL THEN 'gender' END,
+                   CASE WHEN occupation IS NULL THEN 'occupation' END,
+                   CASE WHEN NOT has_age THEN 'age' END)
+    WHEN age IS NULL THEN 'age is not a number'
+  END AS reject_reason
+  FROM req_known
+)"""
+
+SQL["requests_clean"] = with_base(_REQ.strip() + """
+SELECT requestId, userId, gender, occupation, age FROM req_clean""")
+
+SQL["requests_known_new"] = with_base(_REQ.strip() + """
+SELECT requestId, userId, is_known FROM req_known""")
+
+SQL["requests_rejected"] = with_base(_REQ.strip() + """
+SELECT requestId, reject_reason FROM req_class WHERE reject_reason IS NOT NULL""")
+
+_SEARCH = f"""
+docs AS (
+  SELECT movieId, title, list_filter(regexp_split_to_array(lower(title), '[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 0) AS toks
+  FROM items
+),
+docs_nz AS (SELECT * FROM docs WHERE len(toks) > 0),
+dstats AS (SELECT COUNT(*) AS n_docs, AVG(len(toks)) AS avgdl FROM docs_nz),
+dtok AS (SELECT movieId, title, len(toks) AS dl, unnest(toks) AS token FROM docs_nz),
+dtf AS (SELECT movieId, title, dl, token, COUNT(*) AS tf FROM dtok GROUP BY movieId, title, dl, token),
+dfreq AS (SELECT token, COUNT(*) AS n_t FROM dtf GROUP BY token),
+qtok AS (
+  SELECT query, token, COUNT(*) AS qtf FROM (
+    SELECT query, unnest(list_filter(regexp_split_to_array(lower(query), '[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 0)) AS token
+    FROM (SELECT DISTINCT p_name AS query FROM part)) GROUP BY query, token
+),
+hits AS (
+  SELECT q.query, d.movieId, d.title,
+         round(SUM(q.qtf * ln(1 + (s.n_docs - f.n_t + 0.5) / (f.n_t + 0.5)) * d.tf
+                   / (d.tf + {BM25_K1} * ({1.0 - BM25_B} + {BM25_B} * d.dl / s.avgdl))), 6) AS score
+  FROM qtok q JOIN dtf d ON q.token = d.token JOIN dfreq f ON f.token = q.token CROSS JOIN dstats s
+  GROUP BY q.query, d.movieId, d.title
+),
+ranked_hits AS (
+  SELECT query, CAST(ROW_NUMBER() OVER (PARTITION BY query ORDER BY score DESC, movieId ASC) AS INTEGER) AS rank,
+         movieId, title, score
+  FROM hits
+)"""
+
+SQL["title_search"] = with_base(_SEARCH.strip() + """
+SELECT * FROM ranked_hits WHERE rank <= 10""")
+
+SQL["recommend_by_title"] = with_base(
+    _KNOWN_W + brute_force_top_k("w_known", "userId", PROFILE_COLUMNS).strip() + ",\n"
+    + _SEARCH.strip() + """,
+seed AS (SELECT query, movieId AS seed FROM ranked_hits WHERE rank = 1),
+counted AS (
+  SELECT s.query, t.movieId AS rec, COUNT(DISTINCT r.userId) AS n_users
+  FROM seed s JOIN ratings r ON r.movieId = s.seed
+  JOIN (SELECT userId, movieId FROM topk WHERE rank <= 10) t ON t.userId = r.userId
+  GROUP BY s.query, t.movieId
+)
+SELECT c.query, CAST(c.rank AS INTEGER) AS rank, c.rec AS movieId, i.title, c.n_users FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY query ORDER BY n_users DESC, rec ASC) AS rank FROM counted
+) c JOIN items i ON i.movieId = c.rec WHERE c.rank <= 10""")
+
+_BUCKET = "(((userId * 1000003 + movieId * 7919) % 100) + 100) % 100"
+
+SQL["split_hash"] = with_base_only(f"""
+SELECT *, CASE WHEN {_BUCKET} < 80 THEN 'train' ELSE 'test' END AS split FROM ratings""")
+
+SQL["kfold_split"] = with_base_only("""
+SELECT userId, movieId, rating, timestamp,
+       CAST(floor((rn - 1) * 5 / total) + 1 AS INTEGER) AS fold
+FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY timestamp, userId, movieId) AS rn,
+             COUNT(*) OVER () AS total FROM ratings)""")
+
+SQL["leave_n_out"] = with_base_only("""
+SELECT r.userId, r.movieId, r.rating, r.timestamp,
+       CASE WHEN t.userId IS NOT NULL THEN 'test' ELSE 'base' END AS part
+FROM ratings r LEFT JOIN (
+  SELECT userId, movieId FROM (
+    SELECT userId, movieId, ROW_NUMBER() OVER (ORDER BY timestamp, userId, movieId) AS g FROM (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY userId ORDER BY timestamp, movieId) AS n FROM ratings
+    ) WHERE n BETWEEN 1 AND 10
+  ) WHERE g <= 100000
+) t ON r.userId = t.userId AND r.movieId = t.movieId""")
+
+SQL["rmse_baseline"] = with_base_only(f"""
+SELECT 'rmse' AS metric, round(sqrt(AVG((m.prediction - t.rating) * (m.prediction - t.rating))), 6) AS value,
+       COUNT(*) AS n
+FROM (SELECT * FROM ratings WHERE {_BUCKET} >= 80) t
+JOIN (SELECT movieId, AVG(rating) AS prediction FROM ratings WHERE {_BUCKET} < 80 GROUP BY movieId) m
+  ON t.movieId = m.movieId""")
+
+SQL["publish_roundtrip"] = SQL["item_table"]
+
+SQL["publish_checks"] = """
+SELECT 'exists' AS check_name, TRUE AS passed, CAST(NULL AS BIGINT) AS value
+UNION ALL
+SELECT 'non_empty', COUNT(*) > 0, COUNT(*) FROM part"""

@@ -8,10 +8,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelrank.operators import cleaning, scoring
+from reelrank.operators import cleaning, evaluation, requests, scoring, search, splits
 from reelrank.operators import items as item_ops
 from reelrank.operators import profiles as profile_ops
-from reelrank.sinks import documents
+from reelrank.session import scratch_path
+from reelrank.sinks import documents, tables
 from reelrank.plans.catalog import Catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +122,79 @@ def q_recommend_known(c: Catalog) -> DataFrame:
 @query("answer_documents")
 def q_answer_documents(c: Catalog) -> DataFrame:
     return documents.answer_documents(scoring.recommend_known(c.profiles, c.items, k=10), "userId")
+
+
+# --- requests (P12, P13, J5) --------------------------------------------------
+@query("requests_clean")
+def q_requests_clean(c: Catalog) -> DataFrame:
+    """Normalised request fields."""
+    return requests.normalise_requests(c.requests).drop("_has_user", "_has_age")
+
+
+@query("requests_known_new")
+def q_requests_known_new(c: Catalog) -> DataFrame:
+    """requestId, userId, is_known."""
+    return requests.classify_requests(c.requests, c.profiles).select("requestId", "userId", "is_known")
+
+
+@query("requests_rejected")
+def q_requests_rejected(c: Catalog) -> DataFrame:
+    """Rejected requests with their reason."""
+    classified = requests.classify_requests(c.requests, c.profiles)
+    return classified.filter("reject_reason IS NOT NULL").select("requestId", "reject_reason")
+
+
+# --- search (P16, R4) ---------------------------------------------------------
+@query("title_search")
+def q_title_search(c: Catalog) -> DataFrame:
+    return search.title_search(c.items, c.title_queries, k=10)
+
+
+@query("recommend_by_title")
+def q_recommend_by_title(c: Catalog) -> DataFrame:
+    """R4 over the stored profile-based lists (R1, top 10)."""
+    stored = scoring.recommend_known(c.profiles, c.items, k=10)
+    return search.recommend_by_title(c.items, c.title_queries, c.ratings, stored, k=10)
+
+
+# --- splits and evaluation (X1-X3, A6) ---------------------------------------
+@query("split_random")
+def q_split_random(c: Catalog) -> DataFrame:
+    return splits.split_random(c.ratings, (0.8, 0.2), seed=42)
+
+
+@query("split_hash")
+def q_split_hash(c: Catalog) -> DataFrame:
+    return splits.split_hash(c.ratings, 80)
+
+
+@query("kfold_split")
+def q_kfold_split(c: Catalog) -> DataFrame:
+    return splits.kfold_split(c.ratings, k=5)
+
+
+@query("leave_n_out")
+def q_leave_n_out(c: Catalog) -> DataFrame:
+    """First ten ratings of every user to test, total capped at 100000."""
+    return splits.leave_n_out(c.ratings, start=1, stop=10, max_test=100000)
+
+
+@query("rmse_baseline")
+def q_rmse_baseline(c: Catalog) -> DataFrame:
+    """Item-mean predictor trained on the hash split."""
+    return evaluation.rmse_item_mean(splits.split_hash(c.ratings, 80))
+
+
+# --- sinks (K1, K5) -----------------------------------------------------------
+@query("publish_roundtrip")
+def q_publish_roundtrip(c: Catalog) -> DataFrame:
+    """K1 then S5: the item table written and read back."""
+    path = tables.publish(item_ops.item_table(c.items, c.ratings), scratch_path(c.spark, "items"))
+    return c.spark.read.parquet(path)
+
+
+@query("publish_checks")
+def q_publish_checks(c: Catalog) -> DataFrame:
+    """K5 on the published item table."""
+    path = tables.publish(item_ops.item_table(c.items, c.ratings), scratch_path(c.spark, "items"))
+    return tables.publish_checks(c.spark, path)
