@@ -12,12 +12,13 @@ Plan, exact and linear in users:
    (``row_number <= k``; Spark applies the limit before and after the shuffle,
    so a mask holding a large share of all items is cut map-side).
 2. The mask table (mask, smallest id) has a proven size bound (2**18 rows of
-   two ints), so it is attached to each user row as one broadcast array.
-   Inside the row, ``transform`` scores every mask and ``sort_array`` +
-   ``slice`` keep the ``k`` best by (score desc, smallest id asc): no shuffle,
-   no sort of the users x masks product.
-3. The ``k`` kept masks are exploded and joined to their kept items (at most
-   ``k * k`` rows per user); ``row_number <= k`` by (score desc, id asc).
+   an int and a long, about 3 MB at most), so it is broadcast and every user
+   row is scored against every mask in one codegen'd projection. The scored
+   rows stay in the users' partitions (partitioned by ``userId`` since the
+   profile aggregate), so ``row_number <= k`` per user needs no shuffle: each
+   task sorts only its own users' rows, spilling if needed.
+3. The ``k`` kept masks are joined to their kept items (at most ``k * k``
+   rows per user); ``row_number <= k`` by (score desc, id asc).
 
 Why it is exact: if mask A ranks before mask B, A's smallest item ranks before
 every item of B. A mask outside a user's best ``k`` has ``k`` masks before it,
@@ -54,44 +55,47 @@ def mask_items(items: DataFrame, k: int) -> DataFrame:
 
 
 def mask_table(kept: DataFrame) -> DataFrame:
-    """One row holding ``array<struct<mask, min_id>>`` of all masks (<= 2**18)."""
-    firsts = kept.filter(F.col("pos") == 1).select("mask", F.col("movieId").alias("min_id"))
-    return firsts.agg(F.collect_list(F.struct("mask", "min_id")).alias("masks"))
+    """(mask, min_id) of every mask present: at most 2**18 rows."""
+    return kept.filter(F.col("pos") == 1).select("mask", F.col("movieId").alias("min_id"))
 
 
 def top_k_by_genre_weights(weights: DataFrame, id_col: str, weight_cols: Sequence[str],
-                           items: DataFrame, k: int = 10) -> DataFrame:
+                           items: DataFrame, k: int = 10, partitioned_by_id: bool = False) -> DataFrame:
     """Top ``k`` items per row of ``weights`` (id_col + one weight per genre,
     in genre order; null counts as 0). Returns id_col, rank, movieId, title,
-    score."""
+    score.
+
+    Unless ``partitioned_by_id`` says the rows already are (as profiles fresh
+    from their aggregate), they are hash-partitioned by ``id_col`` first: a
+    shuffle of one row per id, so the per-id windows never shuffle the much
+    larger id x mask product."""
     if len(weight_cols) != len(GENRES):
         raise ValueError(f"need {len(GENRES)} weight columns, got {len(weight_cols)}")
     kept = mask_items(items, k)
-    masks = F.broadcast(mask_table(kept))
     w = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in weight_cols]
-
-    def candidate(m: Column) -> Column:
-        score = score_of_mask(w, m["mask"])
-        return F.struct((-score).alias("neg_score"), m["min_id"].alias("min_id"), m["mask"].alias("mask"))
-
-    best = (
-        weights.select(id_col, *weight_cols)
-        .crossJoin(masks)
-        .select(id_col, F.slice(F.sort_array(F.transform("masks", candidate)), 1, k).alias("best"))
-    )
-    picked = best.select(id_col, F.inline("best")).select(
-        id_col, (-F.col("neg_score")).alias("score"), "mask")
-    cand = picked.join(kept.select("mask", "movieId", "title"), "mask", "inner")
+    rows = weights.select(id_col, *weight_cols)
+    if not partitioned_by_id:
+        rows = rows.repartition(id_col)
+    # Broadcast of a table bounded by 2**18 rows, independent of data size.
+    scored = rows.crossJoin(F.broadcast(mask_table(kept))).select(
+        id_col, "mask", "min_id", score_of_mask(w, F.col("mask")).alias("score"))
+    by_mask = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("min_id").asc())
+    best = scored.withColumn("_r", F.row_number().over(by_mask)).filter(F.col("_r") <= k)
+    cand = best.select(id_col, "mask", "score").join(kept.select("mask", "movieId", "title"), "mask", "inner")
     order = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("movieId").asc())
     ranked = cand.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select(id_col, F.col("rank").cast("int").alias("rank"), "movieId", "title", "score")
 
 
 def recommend_known(profiles: DataFrame, items: DataFrame, k: int = 10,
-                    profile_cols: Sequence[str] | None = None) -> DataFrame:
+                    profile_cols: Sequence[str] | None = None,
+                    partitioned_by_id: bool = False) -> DataFrame:
     """Top ``k`` items for every profiled user by their genre averages.
 
-    A genre counts only when the user's average is present and non-zero."""
+    A genre counts only when the user's average is present and non-zero.
+    Pass ``partitioned_by_id=True`` for profiles straight from
+    :func:`~reelrank.operators.profiles.user_genre_profile` (already
+    partitioned by ``userId``) to skip the re-partitioning."""
     from reelrank.functions.genres import PROFILE_COLUMNS
 
     cols = list(profile_cols or PROFILE_COLUMNS)
@@ -99,4 +103,4 @@ def recommend_known(profiles: DataFrame, items: DataFrame, k: int = 10,
         "userId",
         *[F.when(F.col(c).isNotNull() & (F.col(c) != 0), F.col(c)).alias(c) for c in cols],
     )
-    return top_k_by_genre_weights(weights, "userId", cols, items, k)
+    return top_k_by_genre_weights(weights, "userId", cols, items, k, partitioned_by_id)

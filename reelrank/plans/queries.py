@@ -126,12 +126,12 @@ def q_profile_targets(c: Catalog) -> DataFrame:
 # --- ranking (R1, K4) ---------------------------------------------------------
 @query("recommend_known")
 def q_recommend_known(c: Catalog) -> DataFrame:
-    return scoring.recommend_known(c.profiles, c.items, k=10)
+    return scoring.recommend_known(c.profiles, c.items, k=10, partitioned_by_id=True)
 
 
 @query("answer_documents")
 def q_answer_documents(c: Catalog) -> DataFrame:
-    return documents.answer_documents(scoring.recommend_known(c.profiles, c.items, k=10), "userId")
+    return documents.answer_documents(scoring.recommend_known(c.profiles, c.items, k=10, partitioned_by_id=True), "userId")
 
 
 # --- requests (P12, P13, J5) --------------------------------------------------
@@ -163,7 +163,7 @@ def q_title_search(c: Catalog) -> DataFrame:
 @query("recommend_by_title")
 def q_recommend_by_title(c: Catalog) -> DataFrame:
     """R4 over the stored profile-based lists (R1, top 10)."""
-    stored = scoring.recommend_known(c.profiles, c.items, k=10)
+    stored = scoring.recommend_known(c.profiles, c.items, k=10, partitioned_by_id=True)
     return search.recommend_by_title(c.items, c.title_queries, c.ratings, stored, k=10)
 
 
