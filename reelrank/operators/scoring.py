@@ -13,10 +13,10 @@ Plan, exact and linear in users:
    so a mask holding a large share of all items is cut map-side).
 2. The mask table (mask, smallest id) has a proven size bound (2**18 rows of
    an int and a long, about 3 MB at most), so it is broadcast and every user
-   row is scored against every mask in one codegen'd projection. The scored
-   rows stay in the users' partitions (partitioned by ``userId`` since the
-   profile aggregate), so ``row_number <= k`` per user needs no shuffle: each
-   task sorts only its own users' rows, spilling if needed.
+   row is scored against every mask in one codegen'd projection. Users are
+   range-partitioned by id first (one small row each), so the scored rows
+   are already clustered and ``row_number <= k`` per user needs no shuffle:
+   each task sorts only its own users' rows, spilling if needed.
 3. The ``k`` kept masks are joined to their kept items (at most ``k * k``
    rows per user); ``row_number <= k`` by (score desc, id asc).
 
@@ -60,22 +60,25 @@ def mask_table(kept: DataFrame) -> DataFrame:
 
 
 def top_k_by_genre_weights(weights: DataFrame, id_col: str, weight_cols: Sequence[str],
-                           items: DataFrame, k: int = 10, partitioned_by_id: bool = False) -> DataFrame:
+                           items: DataFrame, k: int = 10, partitions: int | None = None) -> DataFrame:
     """Top ``k`` items per row of ``weights`` (id_col + one weight per genre,
     in genre order; null counts as 0). Returns id_col, rank, movieId, title,
     score.
 
-    Unless ``partitioned_by_id`` says the rows already are (as profiles fresh
-    from their aggregate), they are hash-partitioned by ``id_col`` first: a
-    shuffle of one row per id, so the per-id windows never shuffle the much
-    larger id x mask product."""
+    The rows are range-partitioned by ``id_col`` into ``partitions``
+    (default ``spark.sql.shuffle.partitions``) before the product: a shuffle
+    of one row per id that already clusters ids, so the per-id windows never
+    shuffle the much larger id x mask product. The count is explicit, and
+    range (not hash) partitioning is used, because the id rows are small: a
+    hash repartition would be merged into the upstream aggregate's exchange,
+    which adaptive execution then coalesces into a few partitions, leaving
+    the product, the real work, to a few tasks."""
     if len(weight_cols) != len(GENRES):
         raise ValueError(f"need {len(GENRES)} weight columns, got {len(weight_cols)}")
     kept = mask_items(items, k)
     w = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in weight_cols]
-    rows = weights.select(id_col, *weight_cols)
-    if not partitioned_by_id:
-        rows = rows.repartition(id_col)
+    n = partitions or int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = weights.select(id_col, *weight_cols).repartitionByRange(n, id_col)
     # Broadcast of a table bounded by 2**18 rows, independent of data size.
     scored = rows.crossJoin(F.broadcast(mask_table(kept))).select(
         id_col, "mask", "min_id", score_of_mask(w, F.col("mask")).alias("score"))
@@ -89,13 +92,10 @@ def top_k_by_genre_weights(weights: DataFrame, id_col: str, weight_cols: Sequenc
 
 def recommend_known(profiles: DataFrame, items: DataFrame, k: int = 10,
                     profile_cols: Sequence[str] | None = None,
-                    partitioned_by_id: bool = False) -> DataFrame:
+                    partitions: int | None = None) -> DataFrame:
     """Top ``k`` items for every profiled user by their genre averages.
 
-    A genre counts only when the user's average is present and non-zero.
-    Pass ``partitioned_by_id=True`` for profiles straight from
-    :func:`~reelrank.operators.profiles.user_genre_profile` (already
-    partitioned by ``userId``) to skip the re-partitioning."""
+    A genre counts only when the user's average is present and non-zero."""
     from reelrank.functions.genres import PROFILE_COLUMNS
 
     cols = list(profile_cols or PROFILE_COLUMNS)
@@ -103,4 +103,4 @@ def recommend_known(profiles: DataFrame, items: DataFrame, k: int = 10,
         "userId",
         *[F.when(F.col(c).isNotNull() & (F.col(c) != 0), F.col(c)).alias(c) for c in cols],
     )
-    return top_k_by_genre_weights(weights, "userId", cols, items, k, partitioned_by_id)
+    return top_k_by_genre_weights(weights, "userId", cols, items, k, partitions)
