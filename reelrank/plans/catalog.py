@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from reelrank.operators import cleaning, profiles
+from reelrank.sources import files
 from reelrank.sources import starschema as star
 
 
@@ -65,3 +66,35 @@ class Catalog:
     @cached_property
     def profiles(self) -> DataFrame:
         return profiles.user_genre_profile(self.ratings, self.items, self.users)
+
+
+class FileCatalog(Catalog):
+    """The same frames from delimited rating / item / user files.
+
+    Every user in the user file is a known user; there is no request table
+    and no title-query table (callers pass their own)."""
+
+    def __init__(self, spark: SparkSession, ratings_path: str, items_path: str,
+                 users_path: str | None = None, items_encoding: str = "UTF-8"):
+        self.spark = spark
+        self.root = None
+        self.tables = None
+        self._paths = (ratings_path, items_path, users_path, items_encoding)
+
+    @cached_property
+    def rating_events(self) -> DataFrame:
+        return files.read_ratings(self.spark, self._paths[0]).drop(files.CORRUPT)
+
+    @cached_property
+    def items_raw(self) -> DataFrame:
+        return files.read_items(self.spark, self._paths[1], encoding=self._paths[3]).drop(files.CORRUPT)
+
+    @cached_property
+    def all_users(self) -> DataFrame:
+        if self._paths[2] is None:
+            raise ValueError("this job needs a user file")
+        return files.read_users(self.spark, self._paths[2]).drop(files.CORRUPT)
+
+    @cached_property
+    def known_users(self) -> DataFrame:
+        return self.all_users
