@@ -236,6 +236,12 @@ def q_als_recommendations(c: Catalog) -> DataFrame:
     return collaborative.als_recommendations(collaborative.fit_als(c.ratings), 10)
 
 
+@query("als_recommendations_unseen")
+def q_als_recommendations_unseen(c: Catalog) -> DataFrame:
+    """M4 with exclude_seen: top 10 items each user has not rated."""
+    return collaborative.als_recommendations_unseen(collaborative.fit_als(c.ratings), c.ratings, 10)
+
+
 # --- cold start (M5-M8, R2, R3) -----------------------------------------------
 def _new_user_requests(c: Catalog) -> DataFrame:
     classified = requests.classify_requests(c.requests, c.profiles)

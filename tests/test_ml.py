@@ -77,3 +77,30 @@ def test_model_save_and_load_roundtrip(spark, catalog):
     a = coldstart.predict_genre_scores(model, reqs).first()
     b = coldstart.predict_genre_scores(again, reqs).first()
     assert a == b
+
+
+def test_als_unseen_matches_brute_force(spark, catalog):
+    import numpy as np
+
+    model = collaborative.fit_als(catalog.ratings, max_iter=5)
+    got = collaborative.als_recommendations_unseen(model, catalog.ratings, 5).collect()
+    uf = {r.id: np.array(r.features) for r in model.userFactors.collect()}
+    itf = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
+    seen = {}
+    for r in catalog.ratings.select("userId", "movieId").collect():
+        seen.setdefault(r.userId, set()).add(r.movieId)
+    by_user = {}
+    for r in got:
+        by_user.setdefault(r.userId, []).append((r.rank, r.movieId))
+    assert set(by_user) == set(uf)
+    ids = sorted(itf)
+    mat = np.stack([itf[i] for i in ids])
+    for u, recs in by_user.items():
+        scores = mat @ uf[u]
+        cands = [(float(np.float32(s)), i) for s, i in zip(scores, ids) if i not in seen.get(u, set())]
+        cands.sort(key=lambda x: (-x[0], x[1]))
+        want = [i for _, i in cands[:5]]
+        mine = [m for _, m in sorted(recs)]
+        assert not (set(mine) & seen.get(u, set()))
+        # float rounding can swap near-equal neighbours; the sets must agree
+        assert len(set(mine) ^ set(want)) <= 2, (u, mine, want)
