@@ -193,8 +193,8 @@ SQL["recommend_known"] = with_base(
 
 SQL["answer_documents"] = with_base(
     _KNOWN_W + brute_force_top_k("w_known", "userId", PROFILE_COLUMNS).strip() + """
-SELECT userId, to_json({'userId': userId,
-                        'recommendations': list({'movieId': movieId, 'title': title} ORDER BY rank)}) AS answer
+SELECT userId, CAST(to_json({'userId': userId,
+                        'recommendations': list({'movieId': movieId, 'title': title} ORDER BY rank)}) AS VARCHAR) AS answer
 FROM topk WHERE rank <= 10 GROUP BY userId""")
 
 _REQ = f"""
