@@ -66,3 +66,24 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def sized_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan settings sized by the input, for a cluster run.
+
+    Shuffle partitions are set so that one partition of the largest shuffle
+    (about the input size, the ratings de-duplication) is near
+    ``target_partition_bytes``, and never fewer than two waves of the cores;
+    AQE then merges small partitions and splits skewed ones at run time.
+    For 100 TB of input and 256 MB partitions this gives ~400,000 partitions.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
