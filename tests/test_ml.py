@@ -104,3 +104,28 @@ def test_als_unseen_matches_brute_force(spark, catalog):
         assert not (set(mine) & seen.get(u, set()))
         # float rounding can swap near-equal neighbours; the sets must agree
         assert len(set(mine) ^ set(want)) <= 2, (u, mine, want)
+
+
+def test_session_answers_known_new_and_rejected(spark, catalog):
+    from pyspark.sql import types as T
+
+    from reelrank.operators.sessions import recommend_session
+
+    model = coldstart.fit_genre_model(catalog.profiles, num_trees=3, max_depth=5)
+    known_id = catalog.profiles.agg(F.min("userId")).first()[0]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in
+                           ["requestId", "userId", "gender", "occupation", "age"]])
+    reqs = spark.createDataFrame([
+        ("k", str(known_id), None, None, None),
+        ("n", None, "f", "Building", "35"),
+        ("x", None, "m", None, "35"),
+    ], schema)
+    out = recommend_session(reqs, catalog.profiles, model, catalog.items, 5).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.requestId, []).append(r)
+    assert {r.path for r in by["k"]} == {"known"} and len(by["k"]) == 5
+    assert {r.path for r in by["n"]} == {"new"} and len(by["n"]) == 5
+    assert [r.reject_reason for r in by["x"]] == ["missing for a new user: occupation"]
+    ranks = sorted(r.rank for r in by["k"])
+    assert ranks == [1, 2, 3, 4, 5]
