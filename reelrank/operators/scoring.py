@@ -33,7 +33,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelrank.functions.genres import GENRES, genre_signature, mask_has
+from reelrank.functions.genres import GENRES, PROFILE_COLUMNS, genre_signature, mask_has
 
 SCORE_DIGITS = 6
 BASE_SCORE = 1.0
@@ -96,8 +96,6 @@ def recommend_known(profiles: DataFrame, items: DataFrame, k: int = 10,
     """Top ``k`` items for every profiled user by their genre averages.
 
     A genre counts only when the user's average is present and non-zero."""
-    from reelrank.functions.genres import PROFILE_COLUMNS
-
     cols = list(profile_cols or PROFILE_COLUMNS)
     weights = profiles.select(
         "userId",

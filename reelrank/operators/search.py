@@ -18,6 +18,8 @@ equi-join of query tokens with postings on the token, then a grouped sum.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,18 +93,22 @@ def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
 
 
 def recommend_by_title(items: DataFrame, queries: DataFrame, ratings: DataFrame,
-                       stored: DataFrame, k: int = 10, query_col: str = "query") -> DataFrame:
+                       stored: DataFrame | Callable[[DataFrame], DataFrame], k: int = 10,
+                       query_col: str = "query") -> DataFrame:
     """Best title match -> everyone who rated it -> their stored
     recommendation lists -> the items recommended to most of them.
 
-    ``stored`` holds (userId, movieId) of each user's stored list. Returns
-    query, rank, movieId, title, n_users (users whose list holds the item);
-    ties by movieId. Work is shared by queries with the same best hit."""
+    ``stored`` holds (userId, movieId) of each user's stored list, or is a
+    function that builds those lists for a frame of ``userId`` (then only the
+    raters of matched items are ranked, not every user). Returns query, rank,
+    movieId, title, n_users (users whose list holds the item); ties by
+    movieId. Work is shared by queries with the same best hit."""
     hits = title_search(items, queries, k=1, query_col=query_col).select(
         query_col, F.col("movieId").alias("seed"))
     seeds = hits.select("seed").distinct()
     raters = ratings.select(F.col("movieId").alias("seed"), "userId").join(seeds, "seed", "left_semi")
-    lists = stored.select("userId", F.col("movieId").alias("rec"))
+    lists_df = stored(raters.select("userId").distinct()) if callable(stored) else stored
+    lists = lists_df.select("userId", F.col("movieId").alias("rec"))
     # (user, item) is unique in both inputs, so a row count is a user count.
     counted = raters.join(lists, "userId").groupBy("seed", "rec").agg(F.count("*").alias("n_users"))
     order = Window.partitionBy("seed").orderBy(F.col("n_users").desc(), F.col("rec").asc())

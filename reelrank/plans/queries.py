@@ -162,9 +162,11 @@ def q_title_search(c: Catalog) -> DataFrame:
 
 @query("recommend_by_title")
 def q_recommend_by_title(c: Catalog) -> DataFrame:
-    """R4 over the stored profile-based lists (R1, top 10)."""
-    stored = scoring.recommend_known(c.profiles, c.items, k=10)
-    return search.recommend_by_title(c.items, c.title_queries, c.ratings, stored, k=10)
+    """R4 over profile-based lists (R1, top 10), built only for the raters of
+    the matched items."""
+    def lists_for(users: DataFrame) -> DataFrame:
+        return scoring.recommend_known(c.profiles.join(users, "userId", "left_semi"), c.items, k=10)
+    return search.recommend_by_title(c.items, c.title_queries, c.ratings, lists_for, k=10)
 
 
 # --- splits and evaluation (X1-X3, A6) ---------------------------------------
