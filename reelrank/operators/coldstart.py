@@ -37,6 +37,7 @@ RF_MIN_INSTANCES = 2
 RF_MAX_DEPTH = 30  # the deepest Spark allows (the original had no limit)
 # --- end of fixed values ----------------------------------------------------
 RF_MAX_BINS = 128
+ROWS_PER_PARTITION = 50_000
 
 
 def prediction_columns() -> list[str]:
@@ -75,15 +76,23 @@ def onehot_columns(df: DataFrame, vocab: dict[str, Sequence[str]]) -> DataFrame:
 
 
 def fit_genre_model(profiles: DataFrame, num_trees: int = RF_NUM_TREES,
-                    max_depth: int = RF_MAX_DEPTH, parallelism: int = 6) -> PipelineModel:
+                    max_depth: int = RF_MAX_DEPTH, parallelism: int = 6,
+                    rows_per_partition: int = ROWS_PER_PARTITION) -> PipelineModel:
     """M7: encoder + one forest per genre, targets are the profile averages
-    with null as 0 (P6). Rows are sorted by userId before fitting so the
-    bootstrap samples do not depend on input order."""
+    with null as 0 (P6). Rows are range-partitioned and sorted by userId
+    before fitting so the bootstrap samples do not depend on input order.
+
+    Forest training runs one Spark job per tree level, each with one task per
+    partition, so the feature frame gets a partition count sized by its rows
+    (one count), not the shuffle default: tiny partitions would make every
+    level pay hundreds of empty tasks, too few would idle the cluster."""
     train = profile_targets(profiles).select("userId", "age", *CATEGORICAL, *PROFILE_COLUMNS)
     encoder = demographic_encoder().fit(train)
+    rows = train.count()
+    parts = max(1, -(-rows // rows_per_partition))
     feats = (
         encoder.transform(train).select("userId", FEATURES, *PROFILE_COLUMNS)
-        .repartitionByRange("userId").sortWithinPartitions("userId")
+        .repartitionByRange(parts, "userId").sortWithinPartitions("userId")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
 
