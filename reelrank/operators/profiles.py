@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.functions.genres import GENRE_TO_PROFILE, GENRES, PROFILE_COLUMNS
+from reelrank.functions.genres import GENRE_TO_PROFILE, GENRES, PROFILE_COLUMNS, genre_signature, mask_has
 
 DEMOGRAPHICS = ["age", "gender", "occupation"]
 
@@ -28,12 +28,16 @@ def rating_facts(ratings: DataFrame, items: DataFrame, users: DataFrame) -> Data
 
 
 def user_genre_sums(ratings: DataFrame, items: DataFrame) -> DataFrame:
-    """Per user: 18 conditional averages in one aggregate (null if none)."""
-    flags = items.select("movieId", *GENRES)
-    rated = ratings.select("userId", "movieId", "rating").join(flags, "movieId", "inner")
+    """Per user: 18 conditional averages in one aggregate (null if none).
+
+    The item side of the join is just (movieId, 18-bit genre mask), 12 bytes
+    a row, so Spark's size-checked broadcast can take it for catalogues of
+    millions of items and the ratings are never shuffled for this join."""
+    masks = items.select("movieId", genre_signature().alias("mask"))
+    rated = ratings.select("userId", "movieId", "rating").join(masks, "movieId", "inner")
     aggs = [
-        F.avg(F.when(F.col(g) == 1, F.col("rating"))).alias(GENRE_TO_PROFILE[g])
-        for g in GENRES
+        F.avg(F.when(mask_has("mask", i) == 1, F.col("rating"))).alias(GENRE_TO_PROFILE[g])
+        for i, g in enumerate(GENRES)
     ]
     return rated.groupBy("userId").agg(*aggs)
 
