@@ -129,7 +129,14 @@ def predict_genre_scores(model: PipelineModel, requests: DataFrame, id_col: str
     scored = model.transform(requests.select(id_col, "age", *CATEGORICAL))
     unseen = (~F.col("occupation").isin(list(vocab["occupation"]))).cast("int")
     return scored.select(id_col, F.coalesce(unseen, F.lit(1)).alias("occupation_unseen"),
-                         *prediction_columns())
+                         *prediction_columns(), genre_score_map().alias("genre_scores"))
+
+
+def genre_score_map():
+    """The genre names paired with the predicted scores, as
+    ``map<string, double>`` (``map_from_arrays``), genre order kept."""
+    return F.map_from_arrays(F.array(*[F.lit(g) for g in GENRES]),
+                             F.array(*[F.col(p) for p in prediction_columns()]))
 
 
 def genre_scores_long(scores: DataFrame, id_col: str = "requestId") -> DataFrame:

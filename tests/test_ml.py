@@ -129,3 +129,14 @@ def test_session_answers_known_new_and_rejected(spark, catalog):
     assert [r.reject_reason for r in by["x"]] == ["missing for a new user: occupation"]
     ranks = sorted(r.rank for r in by["k"])
     assert ranks == [1, 2, 3, 4, 5]
+
+
+def test_genre_score_map_pairs_names_with_scores(spark, catalog):
+    model = coldstart.fit_genre_model(catalog.profiles, num_trees=2, max_depth=3)
+    reqs = spark.createDataFrame([(1, 40, "F", "household")],
+                                 "requestId long, age int, gender string, occupation string")
+    row = coldstart.predict_genre_scores(model, reqs).first()
+    assert row.genre_scores["film_noir"] == row.pred_film_noir
+    assert list(row.genre_scores) == list(coldstart.GENRES)
+    long = coldstart.genre_scores_long(coldstart.predict_genre_scores(model, reqs))
+    assert long.count() == 18
