@@ -134,7 +134,7 @@ def predict_genre_scores(model: PipelineModel, requests: DataFrame, id_col: str
 
 def genre_score_map():
     """The genre names paired with the predicted scores, as
-    ``map<string, double>`` (``map_from_arrays``), genre order kept."""
+    ``map<string, double>`` (``map_from_arrays``)."""
     return F.map_from_arrays(F.array(*[F.lit(g) for g in GENRES]),
                              F.array(*[F.col(p) for p in prediction_columns()]))
 
