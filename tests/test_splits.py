@@ -58,3 +58,17 @@ def test_random_split_is_disjoint_and_complete(spark, sf_small):
     assert out.count() == ratings.count()
     assert out.select("userId", "movieId").distinct().count() == ratings.count()
     assert out.filter(F.col("split") == "test").count() > 0
+
+
+def test_two_leave_n_out_sets_are_disjoint_with_ten_per_user(spark, sf_small):
+    from reelrank.plans.catalog import Catalog
+
+    ratings = Catalog(spark, sf_small).ratings.cache()
+    ua = splits.leave_n_out(ratings, 1, 10).filter("part = 'test'").select("userId", "movieId")
+    ub = splits.leave_n_out(ratings, 11, 20).filter("part = 'test'").select("userId", "movieId")
+    assert ua.intersect(ub).count() == 0
+    per_user = ratings.groupBy("userId").count().withColumnRenamed("count", "n")
+    got = ua.groupBy("userId").count().join(per_user, "userId")
+    assert got.filter(F.col("count") != F.least(F.col("n"), F.lit(10))).count() == 0
+    got_b = ub.groupBy("userId").count().join(per_user, "userId")
+    assert got_b.filter(F.col("count") != F.least(F.col("n") - 10, F.lit(10))).count() == 0
