@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY, None)
     if not configured:
-        # Only reached in local tests: a cluster always names a shared folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder every executor can reach")
+        # Local mode only (tests): the driver is the only machine.
         configured = tempfile.mkdtemp(prefix="reelrank-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
