@@ -203,7 +203,7 @@ req AS (
          CASE WHEN c_custkey % {HOLDOUT_MODULUS} = 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS userId_text,
          CASE WHEN c_nationkey % 2 = 0 THEN 'm' ELSE 'f' END AS gender_text,
          upper(substr(lower(c_mktsegment), 1, 1)) || substr(lower(c_mktsegment), 2) AS occupation_text,
-         CAST(CAST(round(c_acctbal / 100) AS INTEGER) AS VARCHAR) AS age_text
+         CASE WHEN c_acctbal >= 0 THEN CAST(CAST(round(c_acctbal / 100) AS INTEGER) AS VARCHAR) END AS age_text
   FROM customer
 ),
 req_clean AS (

@@ -133,6 +133,8 @@ def session_requests(t: Tables) -> DataFrame:
     Known users send their id; cold-start users send no id (their profile does
     not exist) and fill in the demographic form instead. Text is left as typed
     (lower-case gender, capitalised occupation) for the normaliser to fix.
+    Customers with a negative balance leave the age field empty, so part of
+    the cold-start requests are incomplete and must be rejected.
     """
     c = t.table("customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     holdout = is_holdout("c_custkey")
@@ -141,7 +143,8 @@ def session_requests(t: Tables) -> DataFrame:
         F.when(holdout, F.lit(None)).otherwise(F.col("c_custkey").cast("string")).alias("userId"),
         F.when(F.col("c_nationkey") % 2 == 0, "m").otherwise("f").alias("gender"),
         F.initcap("c_mktsegment").alias("occupation"),
-        F.round(F.col("c_acctbal") / 100).cast("int").cast("string").alias("age"),
+        F.when(F.col("c_acctbal") >= 0, F.round(F.col("c_acctbal") / 100).cast("int").cast("string"))
+        .alias("age"),
     )
 
 
