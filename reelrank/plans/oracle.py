@@ -3,7 +3,7 @@
 Each statement recomputes its answer from the raw test tables with plain SQL
 (window de-duplication, conditional averages, cross-join scoring), so it is an
 independent check of the Spark plans, which use different strategies
-(aggregate de-duplication, signature pruning, partition offsets).
+(aggregate de-duplication, genre-mask pruning, partition offsets).
 """
 
 from __future__ import annotations
@@ -22,8 +22,6 @@ def _flag_sql(genre: str) -> str:
 
 _FLAGS = ",\n       ".join(f"{_flag_sql(g)} AS {g}" for g in GENRES)
 _ANY = " + ".join(_flag_sql(g) for g in GENRES)
-_GENRE_LIST = ", ".join(GENRES)
-_PROFILE_LIST = ", ".join(PROFILE_COLUMNS)
 
 BASE = f"""
 ev AS (
