@@ -30,10 +30,16 @@ def item_table_job(c: Catalog, out: str, fmt: str = "parquet") -> DataFrame:
     return tables.publish_checks(c.spark, path, fmt)
 
 
-def ratings_job(c: Catalog, out: str, fmt: str = "parquet") -> DataFrame:
-    """Publish the cleaned ratings, files sorted by user and item."""
-    path = tables.publish(c.ratings.repartition("userId"), os.path.join(out, "ratings"), fmt,
-                          sort_within=["userId", "movieId"])
+def ratings_job(c: Catalog, out: str, fmt: str = "parquet", buckets: int | None = None) -> DataFrame:
+    """Publish the cleaned ratings, files sorted by user and item. With
+    ``buckets``, also register them as table ``ratings`` bucketed by user, so
+    per-user aggregations over it need no shuffle."""
+    path = os.path.join(out, "ratings")
+    if buckets:
+        tables.publish_bucketed(c.ratings, "ratings", path, "userId", buckets,
+                                sort_within=["userId", "movieId"], fmt=fmt)
+    else:
+        tables.publish(c.ratings.repartition("userId"), path, fmt, sort_within=["userId", "movieId"])
     return tables.publish_checks(c.spark, path, fmt)
 
 

@@ -47,3 +47,16 @@ def publish_checks(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
                  F.col("n").alias("value")),
     )
     return n.select(F.inline(rows))
+
+
+def publish_bucketed(df: DataFrame, name: str, path: str, bucket_col: str, buckets: int,
+                     sort_within: Sequence[str] = (), fmt: str = "parquet") -> str:
+    """K1 as a catalogue table bucketed by ``bucket_col`` (files under
+    ``path`` on shared storage). Later aggregations and joins on that column
+    read the buckets as partitions and skip their shuffle; ``buckets`` should
+    follow the data size (e.g. ``sized_settings``)."""
+    writer = df.write.mode("overwrite").format(fmt).option("path", path).bucketBy(buckets, bucket_col)
+    if sort_within:
+        writer = writer.sortBy(*sort_within)
+    writer.saveAsTable(name)
+    return name

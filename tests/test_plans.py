@@ -42,3 +42,19 @@ def test_leave_n_out_limits_each_user_map_side(spark, sf_small):
 
     p = plan(splits.leave_n_out(Catalog(spark, sf_small).ratings, 1, 10))
     assert re.search(r"WindowGroupLimit \[userId.*Partial", p)
+
+
+def test_bucketed_ratings_need_no_shuffle_per_user(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from reelrank.plans.catalog import Catalog
+    from reelrank.session import scratch_path
+    from reelrank.sinks import tables
+
+    c = Catalog(spark, sf_small)
+    tables.publish_bucketed(c.ratings, "ratings_bucketed_test", scratch_path(spark, "rb"), "userId", 4,
+                            sort_within=["userId", "movieId"])
+    agg = spark.table("ratings_bucketed_test").groupBy("userId").agg(F.avg("rating"))
+    p = plan(agg)
+    assert "Exchange" not in p
+    assert agg.count() == c.ratings.select("userId").distinct().count()
