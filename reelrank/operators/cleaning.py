@@ -69,13 +69,16 @@ def cast_flags(items: DataFrame, flags: Sequence[str] = ALL_FLAGS) -> DataFrame:
     """Flags to int with ``try_cast`` (ANSI-safe). Text that is not a
     number, or a number other than 0/1, becomes null and is counted in
     ``invalid_flags``."""
-    casted = {c: _flag_value(c) for c in flags}
-    valid = {c: F.when(casted[c].isin(0, 1), casted[c]) for c in flags}
-    bad = sum(
-        F.when(F.col(c).isNotNull() & valid[c].isNull(), 1).otherwise(0) for c in flags
-    )
     keep = [c for c in items.columns if c not in flags and not c.startswith("_")]
-    return items.select(*keep, *[valid[c].alias(c) for c in flags], bad.alias("invalid_flags"))
+    # Two small projections, so no cast expression is repeated.
+    casted = items.select(
+        *keep,
+        *[_flag_value(c).alias(c) for c in flags],
+        *[F.col(c).isNotNull().alias(f"_given_{c}") for c in flags],
+    )
+    ok = {c: F.col(c).isin(0, 1) for c in flags}
+    bad = sum(F.when(F.col(f"_given_{c}") & ~F.coalesce(ok[c], F.lit(False)), 1).otherwise(0) for c in flags)
+    return casted.select(*keep, *[F.when(ok[c], F.col(c)).alias(c) for c in flags], bad.alias("invalid_flags"))
 
 
 def clean_items(items_raw: DataFrame) -> DataFrame:

@@ -12,8 +12,9 @@ item's token count. Scores are rounded to 6 places; ties go to the lower id.
 Batch design: a whole table of queries is answered in one job. Items whose
 titles have the same token multiset score identically for every query, so the
 index is built over those multisets ("title shapes"), each keeping its ``k``
-smallest ids, and the query side is de-duplicated by text. Scoring is an
-equi-join of query tokens with postings on the token, then a grouped sum.
+smallest ids, and the query side is de-duplicated by text. Candidates come
+from an equi-join of query tokens with postings on the token, pruned exactly
+(see :func:`title_search`), then a grouped sum scores them.
 """
 
 from __future__ import annotations
@@ -32,23 +33,24 @@ def title_shapes(items: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     """(shape_items, postings).
 
     shape_items: shape, movieId, title, pos (the k smallest ids per shape).
-    postings: shape, token, tf, dl, n_items (items of that shape)."""
+    postings: shape, token, tf, dl, n_items (items of that shape), min_id."""
     toks = items.select("movieId", "title", tokens("title").alias("toks")).filter(F.size("toks") > 0)
     shaped = toks.select("movieId", "title", F.array_join(F.array_sort("toks"), " ").alias("shape"))
     w = Window.partitionBy("shape").orderBy("movieId")
     shape_items = shaped.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= k)
-    counts = shaped.groupBy("shape").agg(F.count("*").alias("n_items"))
+    counts = shaped.groupBy("shape").agg(F.count("*").alias("n_items"), F.min("movieId").alias("min_id"))
     # Tokens never contain a blank, so the shape splits back into its tokens.
     postings = (
-        counts.select("shape", "n_items", F.split("shape", " ").alias("toks"))
-        .select("shape", "n_items", F.size("toks").alias("dl"), F.explode("toks").alias("token"))
-        .groupBy("shape", "token", "dl", "n_items").agg(F.count("*").alias("tf"))
+        counts.select("shape", "n_items", "min_id", F.split("shape", " ").alias("toks"))
+        .select("shape", "n_items", "min_id", F.size("toks").alias("dl"), F.explode("toks").alias("token"))
+        .groupBy("shape", "token", "dl", "n_items", "min_id").agg(F.count("*").alias("tf"))
     )
     return shape_items.select("shape", "movieId", "title", "pos"), postings
 
 
-def term_weights(postings: DataFrame) -> DataFrame:
-    """shape, token, w: the BM25 weight of one token in one title shape."""
+def term_weights(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(weights, doc_freq): ``shape, token, min_id, w`` (the BM25 weight of
+    one token in one title shape) and ``token, n_t`` (items holding it)."""
     shapes = postings.select("shape", "dl", "n_items").dropDuplicates(["shape"])
     stats = shapes.agg(
         F.sum("n_items").alias("n_docs"),
@@ -61,34 +63,63 @@ def term_weights(postings: DataFrame) -> DataFrame:
         F.log(F.lit(1.0) + (F.col("n_docs") - F.col("n_t") + 0.5) / (F.col("n_t") + 0.5)).alias("idf"),
     )
     norm = F.lit(BM25_K1) * (F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.col("dl") / F.col("avgdl"))
-    return postings.join(idf, "token").select(
-        "shape", "token", (F.col("idf") * F.col("tf") / (F.col("tf") + norm)).alias("w"))
+    weights = postings.join(idf, "token").select(
+        "shape", "token", "min_id", (F.col("idf") * F.col("tf") / (F.col("tf") + norm)).alias("w"))
+    return weights, df_t
 
 
 def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
                  query_col: str = "query") -> DataFrame:
     """The ``k`` best items per query text: query, rank, movieId, title,
-    score. A query that matches nothing gives no rows."""
+    score. A query that matches nothing gives no rows.
+
+    Exact candidate pruning, no cap: the posting list of each query's most
+    common token is never scanned in full.
+
+    - Any shape holding two or more query tokens holds one that is not the
+      most common, so scanning the other tokens' lists finds it.
+    - A shape holding only the most common token ``t`` scores
+      ``qtf * w(t, shape)``. If ``k`` shapes with the same weight for ``t``
+      have smaller ids, each of them scores at least as much (weights are
+      positive) and wins ties on id, so it cannot be in the top ``k``. The
+      ``k`` smallest ids per (token, weight) class, shared by all queries,
+      therefore suffice.
+
+    Candidates are then scored exactly over all query tokens."""
     shape_items, postings = title_shapes(items, k)
-    weights = term_weights(postings)
+    weights, doc_freq = term_weights(postings)
+    by_class = Window.partitionBy("token", "w").orderBy("min_id")
+    heads = (
+        weights.withColumn("_h", F.row_number().over(by_class))
+        .filter(F.col("_h") <= k).select("token", "shape")
+    )
+    # Repeated query texts collapse: a token's count is its distinct positions.
     qtok = (
-        queries.select(query_col).distinct()
-        .select(query_col, F.explode(tokens(query_col)).alias("token"))
-        .groupBy(query_col, "token").agg(F.count("*").alias("qtf"))
+        queries.select(query_col, F.posexplode(tokens(query_col)).alias("_p", "token"))
+        .groupBy(query_col, "token").agg(F.countDistinct("_p").alias("qtf"))
+    )
+    commonest = Window.partitionBy(query_col).orderBy(F.col("n_t").desc(), F.col("token").asc())
+    ranked_tokens = qtok.join(doc_freq, "token").withColumn("_c", F.row_number().over(commonest))
+    rare = ranked_tokens.filter(F.col("_c") > 1).select(query_col, "token")
+    firsts = weights.select("shape", "min_id").dropDuplicates(["shape"])
+    cand = (
+        rare.join(weights.select("token", "shape"), "token")
+        .unionByName(qtok.select(query_col, "token").join(heads, "token"))
+        .select(query_col, "shape").distinct()
     )
     per_shape = (
-        qtok.join(weights, "token")
+        cand.join(qtok, query_col)
+        .join(weights.select("shape", "token", "w"), ["shape", "token"], "left")
         .groupBy(query_col, "shape")
-        .agg(F.round(F.sum(F.col("qtf") * F.col("w")), SCORE_DIGITS).alias("score"))
+        .agg(F.round(F.sum(F.col("qtf") * F.coalesce(F.col("w"), F.lit(0.0))), SCORE_DIGITS).alias("score"))
     )
-    firsts = shape_items.filter(F.col("pos") == 1).select("shape", F.col("movieId").alias("min_id"))
     best_shapes = per_shape.join(firsts, "shape").withColumn(
         "_r", F.row_number().over(
             Window.partitionBy(query_col).orderBy(F.col("score").desc(), F.col("min_id").asc()))
     ).filter(F.col("_r") <= k)
-    cand = best_shapes.join(shape_items, "shape")
+    cand_items = best_shapes.join(shape_items, "shape")
     order = Window.partitionBy(query_col).orderBy(F.col("score").desc(), F.col("movieId").asc())
-    ranked = cand.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = cand_items.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select(query_col, F.col("rank").cast("int").alias("rank"), "movieId", "title", "score")
 
 

@@ -22,7 +22,7 @@ Rules:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +52,13 @@ assert sorted(GENRE_SOURCE) == sorted(GENRES)
 class Tables:
     spark: SparkSession
     root: str
+    _read: dict = field(default_factory=dict, compare=False, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root.rstrip('/')}/{name}.parquet")
+        """The table as a DataFrame, resolved once per ``Tables``."""
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.root.rstrip('/')}/{name}.parquet")
+        return self._read[name]
 
 
 def epoch_seconds(ts: str) -> Column:
@@ -84,7 +88,7 @@ def rating_events(t: Tables) -> DataFrame:
 def _genre_flag(genre: str) -> Column:
     kind, value = GENRE_SOURCE[genre]
     if kind == "name":
-        hit = F.array_contains(F.split(F.col("p_name"), " "), value)
+        hit = F.array_contains(F.col("_words"), value)
     else:
         hit = F.col("p_type") == value
     return hit.cast("int")
@@ -92,17 +96,17 @@ def _genre_flag(genre: str) -> Column:
 
 def items_raw(t: Tables) -> DataFrame:
     """Items as the delimited item file presents them: flags as text."""
-    part = t.table("part").select("p_partkey", "p_name", "p_type")
-    flags = {g: _genre_flag(g) for g in GENRES}
-    any_flag = sum(flags.values())
-    return part.select(
+    part = t.table("part").select("p_partkey", "p_name", "p_type", F.split("p_name", " ").alias("_words"))
+    flagged = part.select("p_partkey", "p_name", *[_genre_flag(g).alias(g) for g in GENRES])
+    any_flag = F.greatest(*[F.col(g) for g in GENRES])
+    return flagged.select(
         F.col("p_partkey").alias("movieId"),
         F.col("p_name").alias("title"),
         F.lit(None).cast("string").alias("release_date"),
         F.lit(None).cast("string").alias("video_release_date"),
         F.lit(None).cast("string").alias("imdb_url"),
         F.when(any_flag == 0, "1").otherwise("0").alias(UNKNOWN),
-        *[flags[g].cast("string").alias(g) for g in GENRES],
+        *[F.col(g).cast("string").alias(g) for g in GENRES],
     )
 
 

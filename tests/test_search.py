@@ -46,3 +46,20 @@ def test_recommend_by_title_counts_raters_lists(spark):
     qs = spark.createDataFrame([("Alpha",), ("zzz",)], "query string")
     out = search.recommend_by_title(it, qs, r, stored, k=10).orderBy("rank").collect()
     assert [(x.query, x.movieId, x.n_users) for x in out] == [("Alpha", 3, 2), ("Alpha", 2, 1)]
+
+
+def test_pruned_search_equals_brute_force_on_skewed_random_titles(spark):
+    import random
+
+    rnd = random.Random(3)
+    vocab = ["the"] * 30 + ["red"] * 8 + ["blue"] * 5 + ["night"] * 3 + ["day", "sun", "moon", "war", "love"]
+    titles = {i: " ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 4))) for i in range(1, 301)}
+    it = fx.items(spark, [(i, t, set()) for i, t in titles.items()])
+    qs = ["the", "the red", "red the night", "the the", "moon", "love war the", "sun day"]
+    got = search.title_search(it, spark.createDataFrame([(q,) for q in qs], "query string"), k=7).collect()
+    by_q = {}
+    for r in got:
+        by_q.setdefault(r.query, []).append((r.rank, r.movieId, r.score))
+    for q in qs:
+        mine = [(m, s) for _, m, s in sorted(by_q.get(q, []))]
+        assert mine == bm25_python(titles, q)[:7], q
