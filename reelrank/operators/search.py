@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrank.functions.text import BM25_B, BM25_K1, tokens
+from reelrank.session import cut_lineage
 
 SCORE_DIGITS = 6
 
@@ -134,8 +135,10 @@ def recommend_by_title(items: DataFrame, queries: DataFrame, ratings: DataFrame,
     raters of matched items are ranked, not every user). Returns query, rank,
     movieId, title, n_users (users whose list holds the item); ties by
     movieId. Work is shared by queries with the same best hit."""
-    hits = title_search(items, queries, k=1, query_col=query_col).select(
-        query_col, F.col("movieId").alias("seed"))
+    # One row per query: checkpointed (shared folder) so the search runs once
+    # and the rest of the plan does not carry it along.
+    hits = cut_lineage(title_search(items, queries, k=1, query_col=query_col).select(
+        query_col, F.col("movieId").alias("seed")))
     seeds = hits.select("seed").distinct()
     raters = ratings.select(F.col("movieId").alias("seed"), "userId").join(seeds, "seed", "left_semi")
     lists_df = stored(raters.select("userId").distinct()) if callable(stored) else stored
