@@ -140,3 +140,15 @@ def test_genre_score_map_pairs_names_with_scores(spark, catalog):
     assert set(row.genre_scores) == set(coldstart.GENRES)
     long = coldstart.genre_scores_long(coldstart.predict_genre_scores(model, reqs))
     assert long.count() == 18
+
+
+def test_encoder_gives_known_levels_a_slot_and_unseen_all_zeros(spark, catalog):
+    encoder = coldstart.demographic_encoder().fit(catalog.profiles)
+    vocab = coldstart.vocabulary(encoder)
+    rows = [(1, 30, "M", lv) for lv in vocab["occupation"]] + [(2, 30, "M", "astronaut")]
+    df = spark.createDataFrame(rows, "userId long, age int, gender string, occupation string")
+    vecs = [r.occupation_vec.toArray().tolist() for r in encoder.transform(df).orderBy("userId").collect()]
+    known, unseen = vecs[:-1], vecs[-1]
+    assert all(len(v) == len(vocab["occupation"]) for v in vecs)
+    assert sorted(v.index(1.0) for v in known) == list(range(len(vocab["occupation"])))
+    assert unseen == [0.0] * len(vocab["occupation"])
