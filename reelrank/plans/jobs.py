@@ -5,10 +5,10 @@ action per output. Inputs are either delimited files (``--ratings``,
 ``--items``, ``--users``) or a folder of the TPC-H-like test tables
 (``--tables``). Outputs go below ``--out`` (Parquet unless ``--format``).
 
-    python -m reelrank.plans.jobs items    --ratings u.data --items u.item --out /shared/movies
-    python -m reelrank.plans.jobs ratings  --ratings u.data --items u.item --out /shared/ratings
-    python -m reelrank.plans.jobs profiles --ratings u.data --items u.item --users u.user --out /shared/prof
-    python -m reelrank.plans.jobs als      --ratings u.data --items u.item --out /shared/recs
+    python -m reelrank.plans.jobs items    --ratings ratings.tsv --items items.psv --out /shared/movies
+    python -m reelrank.plans.jobs ratings  --ratings ratings.tsv --items items.psv --out /shared/ratings
+    python -m reelrank.plans.jobs profiles --ratings ratings.tsv --items items.psv --users users.psv --out /shared/prof
+    python -m reelrank.plans.jobs als      --ratings ratings.tsv --items items.psv --out /shared/recs
 """
 
 from __future__ import annotations

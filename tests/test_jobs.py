@@ -12,12 +12,12 @@ def _write(path, text):
 
 def test_item_and_ratings_jobs_on_files(spark, tmp_path):
     d = str(tmp_path)
-    _write(f"{d}/u.data", "1\t10\t4\t5\n1\t10\t2\t3\n2\t10\t5\t9\n2\t11\t1\t9\n")
+    _write(f"{d}/ratings.tsv", "1\t10\t4\t5\n1\t10\t2\t3\n2\t10\t5\t9\n2\t11\t1\t9\n")
     flags_a = "|".join(["0", "1"] + ["0"] * 17)
     flags_b = "|".join(["0"] * 10 + ["1"] + ["0"] * 8)
-    _write(f"{d}/u.item", f"10|A (1990)|01-Jan-1990||u|{flags_a}\n11|B (1991)|01-Jan-1991||u|{flags_b}\n"
+    _write(f"{d}/items.psv", f"10|A (1990)|01-Jan-1990||u|{flags_a}\n11|B (1991)|01-Jan-1991||u|{flags_b}\n"
                           f"12|C (1992)|01-Jan-1992||u|{flags_b}\n")
-    c = FileCatalog(spark, f"{d}/u.data", f"{d}/u.item")
+    c = FileCatalog(spark, f"{d}/ratings.tsv", f"{d}/items.psv")
     out = scratch_path(spark, "jobs")
     checks = {r.check_name: r.value for r in jobs.item_table_job(c, out).collect()}
     assert checks["non_empty"] == 3
