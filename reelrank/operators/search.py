@@ -80,18 +80,22 @@ def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
     - Any shape holding two or more query tokens holds one that is not the
       most common, so scanning the other tokens' lists finds it.
     - A shape holding only the most common token ``t`` scores
-      ``qtf * w(t, shape)``. If ``k`` shapes with the same weight for ``t``
-      have smaller ids, each of them scores at least as much (weights are
-      positive) and wins ties on id, so it cannot be in the top ``k``. The
-      ``k`` smallest ids per (token, weight) class, shared by all queries,
-      therefore suffice.
+      ``qtf * w(t, shape)``, and ``w`` depends only on (tf, dl). If ``k``
+      shapes with the same (tf, dl) for ``t`` have smaller ids, each of them
+      scores at least as much (weights are positive) and wins ties on id, so
+      it cannot be in the top ``k``. The ``k`` smallest ids per (token, tf,
+      dl) class, shared by all queries, therefore suffice.
 
     Candidates are then scored exactly over all query tokens."""
     shape_items, postings = title_shapes(items, k)
     weights, doc_freq = term_weights(postings)
-    by_class = Window.partitionBy("token", "w").orderBy("min_id")
+    # Same (tf, dl) means the same weight for a token. The postings are still
+    # partitioned by shape here, so Spark limits every class to k rows
+    # map-side before the shuffle: a token in a third of all titles is cut
+    # in every task instead of landing in one.
+    by_class = Window.partitionBy("token", "tf", "dl").orderBy("min_id")
     heads = (
-        weights.withColumn("_h", F.row_number().over(by_class))
+        postings.withColumn("_h", F.row_number().over(by_class))
         .filter(F.col("_h") <= k).select("token", "shape")
     )
     # Repeated query texts collapse: a token's count is its distinct positions.
