@@ -58,3 +58,14 @@ def test_bucketed_ratings_need_no_shuffle_per_user(spark, sf_small):
     p = plan(agg)
     assert "Exchange" not in p
     assert agg.count() == c.ratings.select("userId").distinct().count()
+
+
+def test_hot_groups_are_limited_map_side(spark, sf_small):
+    def partial_for(p: str, key: str) -> bool:
+        return any(f"WindowGroupLimit [{key}" in l and l.rstrip().endswith("Partial") for l in p.splitlines())
+
+    search_plan = plan(queries()["title_search"](spark, sf_small))
+    assert partial_for(search_plan, "token")  # class heads per (token, tf, dl)
+    assert partial_for(search_plan, "shape")  # k smallest ids per title shape
+    ranking_plan = plan(queries()["recommend_known"](spark, sf_small))
+    assert partial_for(ranking_plan, "mask")  # k smallest ids per genre mask
