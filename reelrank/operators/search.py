@@ -106,10 +106,11 @@ def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
     commonest = Window.partitionBy(query_col).orderBy(F.col("n_t").desc(), F.col("token").asc())
     ranked_tokens = qtok.join(doc_freq, "token").withColumn("_c", F.row_number().over(commonest))
     rare = ranked_tokens.filter(F.col("_c") > 1).select(query_col, "token")
+    common = ranked_tokens.filter(F.col("_c") == 1).select(query_col, "token")
     firsts = weights.select("shape", "min_id").dropDuplicates(["shape"])
     cand = (
         rare.join(weights.select("token", "shape"), "token")
-        .unionByName(qtok.select(query_col, "token").join(heads, "token"))
+        .unionByName(common.join(heads, "token"))
         .select(query_col, "shape").distinct()
     )
     per_shape = (
