@@ -9,6 +9,11 @@ action per output. Inputs are either delimited files (``--ratings``,
     python -m reelrank.plans.jobs ratings  --ratings ratings.tsv --items items.psv --out /shared/ratings
     python -m reelrank.plans.jobs profiles --ratings ratings.tsv --items items.psv --users users.psv --out /shared/prof
     python -m reelrank.plans.jobs als      --ratings ratings.tsv --items items.psv --out /shared/recs
+    python -m reelrank.plans.jobs session  --items items.psv --requests req.csv --out /shared/prof
+    python -m reelrank.plans.jobs titles   --ratings ratings.tsv --items items.psv --titles t.txt --out /shared/prof
+
+``session`` and ``titles`` read what ``profiles`` published under the same
+``--out`` (profiles and the saved model).
 """
 
 from __future__ import annotations
@@ -19,9 +24,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.operators import coldstart, collaborative, evaluation, items, splits
+from reelrank.operators import coldstart, collaborative, evaluation, items, scoring, search, sessions, splits
 from reelrank.plans.catalog import Catalog, FileCatalog
-from reelrank.sinks import tables
+from reelrank.sinks import documents, tables
+
+REQUEST_SCHEMA = "requestId string, userId string, gender string, occupation string, age string"
 
 
 def item_table_job(c: Catalog, out: str, fmt: str = "parquet") -> DataFrame:
@@ -43,12 +50,13 @@ def ratings_job(c: Catalog, out: str, fmt: str = "parquet", buckets: int | None
     return tables.publish_checks(c.spark, path, fmt)
 
 
-def profile_job(c: Catalog, out: str, fmt: str = "parquet", num_trees: int = coldstart.RF_NUM_TREES) -> DataFrame:
+def profile_job(c: Catalog, out: str, fmt: str = "parquet", num_trees: int = coldstart.RF_NUM_TREES,
+                max_depth: int = coldstart.RF_MAX_DEPTH) -> DataFrame:
     """Publish ``user_profiles`` and ``movies``, fit and save the cold-start model."""
     profiles = tables.publish(c.profiles, os.path.join(out, "user_profiles"), fmt)
     tables.publish(items.item_table(c.items, c.ratings), os.path.join(out, "movies"), fmt)
     saved = c.spark.read.format(fmt).load(profiles)
-    model = coldstart.fit_genre_model(saved, num_trees=num_trees)
+    model = coldstart.fit_genre_model(saved, num_trees=num_trees, max_depth=max_depth)
     coldstart.save_model(model, os.path.join(out, "genre_model"))
     return tables.publish_checks(c.spark, profiles, fmt)
 
@@ -66,7 +74,38 @@ def als_job(c: Catalog, out: str, fmt: str = "parquet", k: int = 10) -> DataFram
     return score
 
 
-JOBS = {"items": item_table_job, "ratings": ratings_job, "profiles": profile_job, "als": als_job}
+def session_job(c: Catalog, out: str, fmt: str = "parquet", requests: DataFrame | None = None,
+                k: int = 10) -> DataFrame:
+    """Answer a table of session requests (known users by their published
+    profile, new users by the saved model); publish long rows and one JSON
+    answer per request. Returns the checks of the long table."""
+    reqs = requests if requests is not None else c.requests
+    profiles = c.spark.read.format(fmt).load(os.path.join(out, "user_profiles"))
+    model = coldstart.load_model(os.path.join(out, "genre_model"))
+    answers = sessions.recommend_session(reqs, profiles, model, c.items, k)
+    path = tables.publish(answers, os.path.join(out, "session_answers"), fmt)
+    ranked = c.spark.read.format(fmt).load(path).filter("path <> 'rejected'")
+    tables.publish(documents.answer_documents(ranked, "requestId"), os.path.join(out, "session_documents"), fmt)
+    return tables.publish_checks(c.spark, path, fmt)
+
+
+def titles_job(c: Catalog, out: str, fmt: str = "parquet", titles: DataFrame | None = None,
+               k: int = 10) -> DataFrame:
+    """For each title query: the items most often recommended to the raters
+    of its best match (lists from the published profiles)."""
+    queries = titles if titles is not None else c.title_queries
+    profiles = c.spark.read.format(fmt).load(os.path.join(out, "user_profiles"))
+
+    def lists_for(users: DataFrame) -> DataFrame:
+        return scoring.recommend_known(profiles.join(users, "userId", "left_semi"), c.items, k)
+
+    answers = search.recommend_by_title(c.items, queries, c.ratings, lists_for, k)
+    path = tables.publish(answers, os.path.join(out, "title_answers"), fmt)
+    return tables.publish_checks(c.spark, path, fmt)
+
+
+JOBS = {"items": item_table_job, "ratings": ratings_job, "profiles": profile_job, "als": als_job,
+        "session": session_job, "titles": titles_job}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -78,13 +117,20 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--ratings")
     ap.add_argument("--items")
     ap.add_argument("--users")
+    ap.add_argument("--requests", help="CSV with header: requestId,userId,gender,occupation,age")
+    ap.add_argument("--titles", help="text file, one title query per line")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"reelrank-{args.job}").getOrCreate()
     if args.tables:
         catalog = Catalog(spark, args.tables)
     else:
         catalog = FileCatalog(spark, args.ratings, args.items, args.users)
-    JOBS[args.job](catalog, args.out, args.format).show(truncate=False)
+    extra = {}
+    if args.job == "session" and args.requests:
+        extra["requests"] = spark.read.schema(REQUEST_SCHEMA).option("header", "true").csv(args.requests)
+    if args.job == "titles" and args.titles:
+        extra["titles"] = spark.read.text(args.titles).withColumnRenamed("value", "query")
+    JOBS[args.job](catalog, args.out, args.format, **extra).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -34,3 +34,20 @@ def test_als_job_on_test_tables(spark, sf_small):
     assert rmse.metric == "rmse" and rmse.value > 0
     nested = spark.read.parquet(os.path.join(out, "recommendations"))
     assert nested.count() > 0 and "recommendations" in nested.columns
+
+
+def test_profile_session_and_title_jobs_on_test_tables(spark, sf_small):
+    c = Catalog(spark, sf_small)
+    out = scratch_path(spark, "prof")
+    jobs.profile_job(c, out, num_trees=3, max_depth=5)
+    checks = {r.check_name: r.value for r in jobs.session_job(c, out).collect()}
+    answers = spark.read.parquet(os.path.join(out, "session_answers"))
+    assert checks["non_empty"] == answers.count() > 0
+    paths = {r.path for r in answers.select("path").distinct().collect()}
+    assert {"known", "new"} <= paths
+    docs = spark.read.parquet(os.path.join(out, "session_documents"))
+    assert docs.count() == answers.filter("path <> 'rejected'").select("requestId").distinct().count()
+    titles = spark.createDataFrame([("red bolt",), ("nothing at all",)], "query string")
+    jobs.titles_job(c, out, titles=titles)
+    got = spark.read.parquet(os.path.join(out, "title_answers"))
+    assert {r.query for r in got.collect()} == {"red bolt"}
