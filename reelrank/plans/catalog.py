@@ -98,3 +98,11 @@ class FileCatalog(Catalog):
     @cached_property
     def known_users(self) -> DataFrame:
         return self.all_users
+
+    @cached_property
+    def requests(self) -> DataFrame:
+        raise ValueError("delimited inputs have no request table: pass one (--requests)")
+
+    @cached_property
+    def title_queries(self) -> DataFrame:
+        raise ValueError("delimited inputs have no title-query table: pass one (--titles)")
