@@ -40,7 +40,7 @@ class Catalog:
 
     @cached_property
     def known_users(self) -> DataFrame:
-        return star.known_users(self.tables)
+        return star.known_users(self.tables, self.ratings)
 
     @cached_property
     def requests(self) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from reelrank.functions.genres import GENRE_TO_PROFILE, GENRES, PROFILE_COLUMNS
 from reelrank.functions.text import BM25_B, BM25_K1
-from reelrank.sources.starschema import GENRE_SOURCE, HOLDOUT_MODULUS
+from reelrank.sources.starschema import GENRE_SOURCE, MIN_PROFILE_RATINGS
 
 
 def _flag_sql(genre: str) -> str:
@@ -51,7 +51,8 @@ all_users AS (
   FROM customer
 ),
 users AS (
-  SELECT * FROM all_users WHERE userId % {HOLDOUT_MODULUS} <> 0
+  SELECT * FROM all_users
+  WHERE userId IN (SELECT userId FROM ratings GROUP BY userId HAVING COUNT(*) >= {MIN_PROFILE_RATINGS})
 ),
 profiles AS (
   SELECT r.userId, u.age, u.gender, u.occupation,
@@ -198,7 +199,7 @@ FROM topk WHERE rank <= 10 GROUP BY userId""")
 _REQ = f"""
 req AS (
   SELECT c_custkey AS requestId,
-         CASE WHEN c_custkey % {HOLDOUT_MODULUS} = 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS userId_text,
+         CAST(c_custkey AS VARCHAR) AS userId_text,
          CASE WHEN c_nationkey % 2 = 0 THEN 'm' ELSE 'f' END AS gender_text,
          upper(substr(lower(c_mktsegment), 1, 1)) || substr(lower(c_mktsegment), 2) AS occupation_text,
          CASE WHEN c_acctbal >= 0 THEN CAST(CAST(round(c_acctbal / 100) AS INTEGER) AS VARCHAR) END AS age_text

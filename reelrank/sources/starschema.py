@@ -14,10 +14,11 @@ Rules:
   ``p_type`` values (table below); ``unknown`` = 1 when no genre is set.
 - user: a customer; age = ``round(c_acctbal / 100)``, gender from the parity
   of ``c_nationkey``, occupation = lower-case ``c_mktsegment``.
-- cold start: customers in the hold-out group (``c_custkey`` divisible by
-  ``HOLDOUT_MODULUS``) have no profile; they are answered by the demographic
-  model. They are still read and answered in full: the rule decides which
-  path a user takes, it does not shrink any input.
+- cold start: a customer gets a profile once they have rated at least
+  ``MIN_PROFILE_RATINGS`` items (the floor every user of the original data
+  set meets); others are new users, answered by the demographic model. Every
+  customer is still read and answered: the rule decides which path a user
+  takes, it does not shrink any input.
 """
 
 from __future__ import annotations
@@ -40,7 +41,8 @@ NAME_WORD_GENRE = {
     "widget": "thriller",
 }
 TYPE_GENRE = {"PROMO": "war", "STANDARD": "western"}
-HOLDOUT_MODULUS = 10
+# Fewest rated items for a user to get a profile.
+MIN_PROFILE_RATINGS = 20
 # --- end of fixed values ----------------------------------------------------
 
 GENRE_SOURCE = {g: ("name", w) for w, g in NAME_WORD_GENRE.items()}
@@ -122,29 +124,28 @@ def customers_as_users(t: Tables) -> DataFrame:
     )
 
 
-def is_holdout(user_col: str = "userId") -> Column:
-    return F.col(user_col) % HOLDOUT_MODULUS == 0
-
-
-def known_users(t: Tables) -> DataFrame:
-    """Users that build a profile (everyone outside the cold-start group)."""
-    return customers_as_users(t).filter(~is_holdout())
+def known_users(t: Tables, ratings: DataFrame) -> DataFrame:
+    """Users that build a profile: customers with at least
+    ``MIN_PROFILE_RATINGS`` rated items in the cleaned ``ratings``."""
+    enough = (
+        ratings.groupBy("userId").agg(F.count("*").alias("_n"))
+        .filter(F.col("_n") >= MIN_PROFILE_RATINGS).select("userId")
+    )
+    return customers_as_users(t).join(enough, "userId", "left_semi")
 
 
 def session_requests(t: Tables) -> DataFrame:
-    """One recommendation request per customer, as text fields of a form.
-
-    Known users send their id; cold-start users send no id (their profile does
-    not exist) and fill in the demographic form instead. Text is left as typed
+    """One recommendation request per customer, as text fields of a form:
+    the user's id and the demographic fields. Whether the user is known is
+    decided by the profile lookup, as in the original. Text is left as typed
     (lower-case gender, capitalised occupation) for the normaliser to fix.
-    Customers with a negative balance leave the age field empty, so part of
-    the cold-start requests are incomplete and must be rejected.
+    Customers with a negative balance leave the age field empty, so those
+    among the new users are incomplete and must be rejected.
     """
     c = t.table("customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    holdout = is_holdout("c_custkey")
     return c.select(
         F.col("c_custkey").alias("requestId"),
-        F.when(holdout, F.lit(None)).otherwise(F.col("c_custkey").cast("string")).alias("userId"),
+        F.col("c_custkey").cast("string").alias("userId"),
         F.when(F.col("c_nationkey") % 2 == 0, "m").otherwise("f").alias("gender"),
         F.initcap("c_mktsegment").alias("occupation"),
         F.when(F.col("c_acctbal") >= 0, F.round(F.col("c_acctbal") / 100).cast("int").cast("string"))
