@@ -119,6 +119,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--users")
     ap.add_argument("--requests", help="CSV with header: requestId,userId,gender,occupation,age")
     ap.add_argument("--titles", help="text file, one title query per line")
+    ap.add_argument("--buckets", type=int, help="ratings job: bucket the table by user")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"reelrank-{args.job}").getOrCreate()
     if args.tables:
@@ -130,6 +131,8 @@ def main(argv: list[str] | None = None) -> None:
         extra["requests"] = spark.read.schema(REQUEST_SCHEMA).option("header", "true").csv(args.requests)
     if args.job == "titles" and args.titles:
         extra["titles"] = spark.read.text(args.titles).withColumnRenamed("value", "query")
+    if args.job == "ratings" and args.buckets:
+        extra["buckets"] = args.buckets
     JOBS[args.job](catalog, args.out, args.format, **extra).show(truncate=False)
 
 
