@@ -61,3 +61,24 @@ def test_zero_and_null_weights_do_not_count(spark):
     it = fx.items(spark, [(1, "a", {"drama"}), (2, "b", {"war"})])
     out = scoring.recommend_known(_profile(spark, {"avg_drama": 0.0}), it, 10).collect()
     assert [r.score for r in out] == [1.0, 1.0]
+
+
+def test_new_user_ranking_ignores_non_positive_scores(spark, sf_small):
+    from reelrank.operators.coldstart import prediction_columns, recommend_new
+
+    c = Catalog(spark, sf_small)
+    preds = prediction_columns()
+    vals = [[(i * 7 % 11) / 3.0 - 1.0 for i in range(r, r + 18)] for r in range(4)]
+    scores = spark.createDataFrame([(rid, *v) for rid, v in enumerate(vals)],
+                                   "requestId long, " + ", ".join(f"{p} double" for p in preds))
+    got = rows(recommend_new(scores, c.items, 10))
+    pos = [F.when(F.col(p) > 0, F.col(p)).otherwise(F.lit(0.0)) for p in preds]
+    total = F.lit(1.0)
+    for wi, g in zip(pos, GENRES):
+        total = total + wi * F.col(g)
+    pairs = scores.crossJoin(c.items.select("movieId", "title", *GENRES))
+    scored = pairs.select("requestId", "movieId", "title", F.round(total, 6).alias("score"))
+    order = Window.partitionBy("requestId").orderBy(F.col("score").desc(), F.col("movieId"))
+    want = (scored.withColumn("rank", F.row_number().over(order)).filter("rank <= 10")
+            .select("requestId", "rank", "movieId", "title", "score"))
+    assert got == rows(want)
