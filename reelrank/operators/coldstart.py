@@ -38,6 +38,7 @@ RF_MAX_DEPTH = 30  # the deepest Spark allows (the original had no limit)
 # --- end of fixed values ----------------------------------------------------
 RF_MAX_BINS = 128
 ROWS_PER_PARTITION = 50_000
+RF_MAX_MEMORY_MB = 256  # per fit; 6 fits run at once
 CACHE_NODE_IDS = True  # node ids cached (and checkpointed) instead of re-sending trees
 
 
@@ -102,7 +103,7 @@ def fit_genre_model(profiles: DataFrame, num_trees: int = RF_NUM_TREES,
             featuresCol=FEATURES, labelCol=PROFILE_COLUMNS[i], predictionCol=prediction_columns()[i],
             numTrees=num_trees, maxDepth=max_depth, maxBins=RF_MAX_BINS,
             minInstancesPerNode=RF_MIN_INSTANCES, featureSubsetStrategy=RF_FEATURE_SUBSET, seed=RF_SEED,
-            maxMemoryInMB=1024, cacheNodeIds=CACHE_NODE_IDS)
+            maxMemoryInMB=RF_MAX_MEMORY_MB, cacheNodeIds=CACHE_NODE_IDS)
         return rf.fit(feats)
 
     try:
