@@ -69,26 +69,10 @@ def term_weights(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return weights, df_t
 
 
-def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
-                 query_col: str = "query") -> DataFrame:
-    """The ``k`` best items per query text: query, rank, movieId, title,
-    score. A query that matches nothing gives no rows.
-
-    Exact candidate pruning, no cap: the posting list of each query's most
-    common token is never scanned in full.
-
-    - Any shape holding two or more query tokens holds one that is not the
-      most common, so scanning the other tokens' lists finds it.
-    - A shape holding only the most common token ``t`` scores
-      ``qtf * w(t, shape)``, and ``w`` depends only on (tf, dl). If ``k``
-      shapes with the same (tf, dl) for ``t`` have smaller ids, each of them
-      scores at least as much (weights are positive) and wins ties on id, so
-      it cannot be in the top ``k``. The ``k`` smallest ids per (token, tf,
-      dl) class, shared by all queries, therefore suffice.
-
-    Candidates are then scored exactly over all query tokens."""
-    shape_items, postings = title_shapes(items, k)
-    weights, doc_freq = term_weights(postings)
+def title_candidates(postings: DataFrame, weights: DataFrame, doc_freq: DataFrame,
+                     queries: DataFrame, k: int, query_col: str = "query") -> tuple[DataFrame, DataFrame]:
+    """(candidates, query tokens): the (query, shape) pairs that can reach a
+    query's top ``k`` (see :func:`title_search`), and (query, token, qtf)."""
     # Same (tf, dl) means the same weight for a token. The postings are still
     # partitioned by shape here, so Spark limits every class to k rows
     # map-side before the shuffle: a token in a third of all titles is cut
@@ -107,12 +91,36 @@ def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
     ranked_tokens = qtok.join(doc_freq, "token").withColumn("_c", F.row_number().over(commonest))
     rare = ranked_tokens.filter(F.col("_c") > 1).select(query_col, "token")
     common = ranked_tokens.filter(F.col("_c") == 1).select(query_col, "token")
-    firsts = weights.select("shape", "min_id").dropDuplicates(["shape"])
     cand = (
         rare.join(weights.select("token", "shape"), "token")
         .unionByName(common.join(heads, "token"))
         .select(query_col, "shape").distinct()
     )
+    return cand, qtok
+
+
+def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
+                 query_col: str = "query") -> DataFrame:
+    """The ``k`` best items per query text: query, rank, movieId, title,
+    score. A query that matches nothing gives no rows.
+
+    Exact candidate pruning, no cap: the posting list of each query's most
+    common token is never scanned in full.
+
+    - Any shape holding two or more query tokens holds one that is not the
+      most common, so scanning the other tokens' lists finds it.
+    - A shape holding only the most common token ``t`` scores
+      ``qtf * w(t, shape)``, and ``w`` depends only on (tf, dl). If ``k``
+      shapes with the same (tf, dl) for ``t`` have smaller ids, each of them
+      scores at least as much (weights are positive) and wins ties on id, so
+      it cannot be in the top ``k``. The ``k`` smallest ids per (token, tf,
+      dl) class, shared by all queries, therefore suffice.
+
+    Candidates are then scored exactly over all query tokens."""
+    shape_items, postings = title_shapes(items, k)
+    weights, doc_freq = term_weights(postings)
+    cand, qtok = title_candidates(postings, weights, doc_freq, queries, k, query_col)
+    firsts = weights.select("shape", "min_id").dropDuplicates(["shape"])
     per_shape = (
         cand.join(qtok, query_col)
         .join(weights.select("shape", "token", "w"), ["shape", "token"], "left")

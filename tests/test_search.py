@@ -63,3 +63,20 @@ def test_pruned_search_equals_brute_force_on_skewed_random_titles(spark):
     for q in qs:
         mine = [(m, s) for _, m, s in sorted(by_q.get(q, []))]
         assert mine == bm25_python(titles, q)[:7], q
+
+
+def test_common_word_query_reads_only_class_heads(spark):
+    import random
+
+    rnd = random.Random(5)
+    words = ["the"] * 6 + ["red", "blue", "night", "day", "sun", "moon"]
+    titles = {i: " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 3))) for i in range(1, 401)}
+    it = fx.items(spark, [(i, t, set()) for i, t in titles.items()])
+    k = 3
+    _, postings = search.title_shapes(it, k)
+    weights, doc_freq = search.term_weights(postings)
+    qs = spark.createDataFrame([("the",)], "query string")
+    cand, _ = search.title_candidates(postings, weights, doc_freq, qs, k)
+    the_postings = postings.filter("token = 'the'")
+    classes = the_postings.select("tf", "dl").distinct().count()
+    assert cand.count() <= k * classes < the_postings.count()
