@@ -44,7 +44,7 @@ def mark_known(clean: DataFrame, profiles: DataFrame) -> DataFrame:
 
     Requests without an id never take part in the join: null keys would all
     hash to one partition, so they are routed around it and unioned back."""
-    ids = profiles.select("userId").withColumn("is_known", F.lit(True))
+    ids = profiles.select("userId").distinct().withColumn("is_known", F.lit(True))
     with_id = clean.filter(F.col("userId").isNotNull())
     without_id = clean.filter(F.col("userId").isNull()).withColumn("is_known", F.lit(False))
     joined = with_id.join(ids, "userId", "left").withColumn(
