@@ -8,13 +8,13 @@ from reelrank.functions.genres import (
     UNKNOWN,
     genre_signature,
     genres_array,
-    mask_has,
+    mask_bit_sql,
     unpivot_flags,
 )
 from reelrank.functions.text import BM25_B, BM25_K1, tokens
 
 __all__ = [
     "ALL_FLAGS", "GENRE_TO_PROFILE", "GENRES", "PROFILE_COLUMNS", "UNKNOWN",
-    "genre_signature", "genres_array", "mask_has", "unpivot_flags",
+    "genre_signature", "genres_array", "mask_bit_sql", "unpivot_flags",
     "BM25_B", "BM25_K1", "tokens",
 ]

@@ -6,8 +6,6 @@ step (the original spelled two genres differently in different places).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,18 +36,15 @@ def genre_signature(prefix: str = "") -> Column:
 
     Items with equal masks score equally under any genre-weighted scorer, and
     there are at most 2**18 masks, a bound that does not grow with the data.
+    Built as one SQL expression (one call into the JVM, not one per term).
     """
-    bits = [
-        F.when(F.col(prefix + g) == 1, F.lit(1 << i)).otherwise(F.lit(0))
-        for i, g in enumerate(GENRES)
-    ]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits).cast("int")
+    bits = " | ".join(f"(CASE WHEN `{prefix}{g}` = 1 THEN {1 << i} ELSE 0 END)" for i, g in enumerate(GENRES))
+    return F.expr(f"CAST({bits} AS INT)")
 
 
-def mask_has(mask: Column | str, i: int) -> Column:
-    """1 when bit ``i`` of a genre mask is set, else 0."""
-    m = F.col(mask) if isinstance(mask, str) else mask
-    return F.shiftright(m, i).bitwiseAND(F.lit(1))
+def mask_bit_sql(mask: str, i: int) -> str:
+    """SQL text: 1 when bit ``i`` of the mask column is set, else 0."""
+    return f"(shiftright(`{mask}`, {i}) & 1)"
 
 
 def genres_array(prefix: str = "") -> Column:

@@ -150,5 +150,5 @@ def genre_scores_long(scores: DataFrame, id_col: str = "requestId") -> DataFrame
 def recommend_new(scores: DataFrame, items: DataFrame, k: int = 10, id_col: str = "requestId") -> DataFrame:
     """R2: rank items by predicted genre scores; only scores > 0 count."""
     preds = prediction_columns()
-    weights = scores.select(id_col, *[F.when(F.col(p) > 0, F.col(p)).alias(p) for p in preds])
+    weights = scores.selectExpr(f"`{id_col}`", *[f"CASE WHEN `{p}` > 0 THEN `{p}` END AS `{p}`" for p in preds])
     return top_k_by_genre_weights(weights, id_col, preds, items, k)

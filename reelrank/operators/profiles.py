@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.functions.genres import GENRE_TO_PROFILE, GENRES, PROFILE_COLUMNS, genre_signature, mask_has
+from reelrank.functions.genres import GENRE_TO_PROFILE, GENRES, PROFILE_COLUMNS, genre_signature, mask_bit_sql
 
 DEMOGRAPHICS = ["age", "gender", "occupation"]
 
@@ -36,7 +36,7 @@ def user_genre_sums(ratings: DataFrame, items: DataFrame) -> DataFrame:
     masks = items.select("movieId", genre_signature().alias("mask"))
     rated = ratings.select("userId", "movieId", "rating").join(masks, "movieId", "inner")
     aggs = [
-        F.avg(F.when(mask_has("mask", i) == 1, F.col("rating"))).alias(GENRE_TO_PROFILE[g])
+        F.expr(f"avg(CASE WHEN {mask_bit_sql('mask', i)} = 1 THEN rating END)").alias(GENRE_TO_PROFILE[g])
         for i, g in enumerate(GENRES)
     ]
     return rated.groupBy("userId").agg(*aggs)

@@ -33,18 +33,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelrank.functions.genres import GENRES, PROFILE_COLUMNS, genre_signature, mask_has
+from reelrank.functions.genres import GENRES, PROFILE_COLUMNS, genre_signature, mask_bit_sql
 
 SCORE_DIGITS = 6
 BASE_SCORE = 1.0
 
 
-def score_of_mask(weights: Sequence[Column], mask: Column) -> Column:
-    """1.0 + sum_i w_i * bit_i(mask), added left to right in genre order."""
-    total: Column = F.lit(BASE_SCORE)
-    for i, w in enumerate(weights):
-        total = total + w * mask_has(mask, i)
-    return F.round(total, SCORE_DIGITS)
+def score_sql(weight_cols: Sequence[str], mask: str) -> str:
+    """SQL text of ``round(1.0 + sum_i w_i * bit_i(mask), 6)``, terms added
+    left to right in genre order, a null weight counting as 0."""
+    terms = "".join(
+        f" + coalesce(CAST(`{w}` AS DOUBLE), 0.0D) * {mask_bit_sql(mask, i)}" for i, w in enumerate(weight_cols))
+    return f"round({BASE_SCORE}D{terms}, {SCORE_DIGITS})"
 
 
 def mask_items(items: DataFrame, k: int) -> DataFrame:
@@ -76,12 +76,11 @@ def top_k_by_genre_weights(weights: DataFrame, id_col: str, weight_cols: Sequenc
     if len(weight_cols) != len(GENRES):
         raise ValueError(f"need {len(GENRES)} weight columns, got {len(weight_cols)}")
     kept = mask_items(items, k)
-    w = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in weight_cols]
     n = partitions or int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = weights.select(id_col, *weight_cols).repartitionByRange(n, id_col)
     # Broadcast of a table bounded by 2**18 rows, independent of data size.
     scored = rows.crossJoin(F.broadcast(mask_table(kept))).select(
-        id_col, "mask", "min_id", score_of_mask(w, F.col("mask")).alias("score"))
+        id_col, "mask", "min_id", F.expr(score_sql(weight_cols, "mask")).alias("score"))
     by_mask = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("min_id").asc())
     best = scored.withColumn("_r", F.row_number().over(by_mask)).filter(F.col("_r") <= k)
     cand = best.select(id_col, "mask", "score").join(kept.select("mask", "movieId", "title"), "mask", "inner")
@@ -97,8 +96,6 @@ def recommend_known(profiles: DataFrame, items: DataFrame, k: int = 10,
 
     A genre counts only when the user's average is present and non-zero."""
     cols = list(profile_cols or PROFILE_COLUMNS)
-    weights = profiles.select(
-        "userId",
-        *[F.when(F.col(c).isNotNull() & (F.col(c) != 0), F.col(c)).alias(c) for c in cols],
-    )
+    weights = profiles.selectExpr(
+        "userId", *[f"CASE WHEN `{c}` IS NOT NULL AND `{c}` <> 0 THEN `{c}` END AS `{c}`" for c in cols])
     return top_k_by_genre_weights(weights, "userId", cols, items, k, partitions)

@@ -87,28 +87,26 @@ def rating_events(t: Tables) -> DataFrame:
     )
 
 
-def _genre_flag(genre: str) -> Column:
+def _genre_flag_sql(genre: str) -> str:
     kind, value = GENRE_SOURCE[genre]
     if kind == "name":
-        hit = F.array_contains(F.col("_words"), value)
-    else:
-        hit = F.col("p_type") == value
-    return hit.cast("int")
+        return f"CAST(array_contains(_words, '{value}') AS INT) AS `{genre}`"
+    return f"CAST(p_type = '{value}' AS INT) AS `{genre}`"
 
 
 def items_raw(t: Tables) -> DataFrame:
     """Items as the delimited item file presents them: flags as text."""
     part = t.table("part").select("p_partkey", "p_name", "p_type", F.split("p_name", " ").alias("_words"))
-    flagged = part.select("p_partkey", "p_name", *[_genre_flag(g).alias(g) for g in GENRES])
-    any_flag = F.greatest(*[F.col(g) for g in GENRES])
-    return flagged.select(
-        F.col("p_partkey").alias("movieId"),
-        F.col("p_name").alias("title"),
-        F.lit(None).cast("string").alias("release_date"),
-        F.lit(None).cast("string").alias("video_release_date"),
-        F.lit(None).cast("string").alias("imdb_url"),
-        F.when(any_flag == 0, "1").otherwise("0").alias(UNKNOWN),
-        *[F.col(g).cast("string").alias(g) for g in GENRES],
+    flagged = part.selectExpr("p_partkey", "p_name", *[_genre_flag_sql(g) for g in GENRES])
+    any_flag = f"greatest({', '.join(f'`{g}`' for g in GENRES)})"
+    return flagged.selectExpr(
+        "p_partkey AS movieId",
+        "p_name AS title",
+        "CAST(NULL AS STRING) AS release_date",
+        "CAST(NULL AS STRING) AS video_release_date",
+        "CAST(NULL AS STRING) AS imdb_url",
+        f"CASE WHEN {any_flag} = 0 THEN '1' ELSE '0' END AS `{UNKNOWN}`",
+        *[f"CAST(`{g}` AS STRING) AS `{g}`" for g in GENRES],
     )
 
 
