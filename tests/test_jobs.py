@@ -51,3 +51,10 @@ def test_profile_session_and_title_jobs_on_test_tables(spark, sf_small):
     jobs.titles_job(c, out, titles=titles)
     got = spark.read.parquet(os.path.join(out, "title_answers"))
     assert {r.query for r in got.collect()} == {"red bolt"}
+
+
+def test_command_line_entry_point(spark, sf_small, capsys):
+    out = scratch_path(spark, "cli")
+    jobs.main(["items", "--tables", sf_small, "--out", out])
+    assert "non_empty" in capsys.readouterr().out
+    assert spark.read.parquet(os.path.join(out, "movies")).count() > 0
