@@ -4,18 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelrank.llm import simhash
+from reelrank.llm import bpe, line_dedup, simhash, substring_dedup
 from reelrank.llm.common import table
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed",
+                        F.sha2("kept_text", 256).alias("kept_sha256"), "n_repeats")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs",
+                        F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op8_line_dedup": op8_line_dedup,
 }
 
-SQL: dict[str, str] = {}
+_BLANK = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
+
+SQL: dict[str, str] = {
+    "op8_line_dedup": f"""
+WITH parts AS (SELECT doc_id, text, string_split(text, chr(10)) AS p FROM documents),
+lines AS (SELECT doc_id, i, p[i] AS line, trim(p[i], {_BLANK}) AS t
+          FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM parts)),
+named AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS seq FROM lines WHERE t <> ''),
+paired AS (SELECT *, lead(t) OVER (PARTITION BY doc_id ORDER BY seq) AS nt FROM named),
+later AS (SELECT *,
+    len(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+')) >= 10
+      AND row_number() OVER (PARTITION BY t ORDER BY doc_id, seq) > 1 AS alone,
+    nt IS NOT NULL AND row_number() OVER (PARTITION BY t, nt ORDER BY doc_id, seq) > 1 AS pair
+  FROM paired),
+cut AS (SELECT doc_id, i, seq, alone OR pair
+    OR coalesce(lag(pair) OVER (PARTITION BY doc_id ORDER BY seq), false) AS gone FROM later),
+counted AS (SELECT doc_id, count(*) AS n_lines, sum(gone::int) AS n_removed, sum(start::int) AS n_runs
+  FROM (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY seq), false) AS start FROM cut)
+  GROUP BY doc_id),
+kept AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS kept
+  FROM lines l LEFT JOIN cut c ON l.doc_id = c.doc_id AND l.i = c.i
+  WHERE NOT coalesce(c.gone, false) GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_runs, 0)::BIGINT AS n_runs,
+       CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept, '')) END AS kept_sha256
+FROM documents d LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+}
