@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, line_dedup, simhash, substring_dedup
+from reelrank.llm import bpe, decontam, line_dedup, simhash, substring_dedup
 from reelrank.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"), window=20)
     return found.select("doc_id", "n_words", "n_removed",
@@ -34,6 +38,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
