@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, decontam, hilbert, line_dedup, simhash, substring_dedup
+from reelrank.llm import bpe, decontam, hilbert, line_dedup, simhash, substring_dedup, toxicity
 from reelrank.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
 
@@ -45,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_hilbert_shards": op3_hilbert_shards,
+    "op4_toxicity": op4_toxicity,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_line_dedup": op8_line_dedup,
