@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, decontam, hilbert, line_dedup, simhash, substring_dedup, toxicity
+from reelrank.llm import bpe, decontam, hilbert, line_dedup, simhash, substring_dedup, toxicity, url_filter
 from reelrank.llm.common import table
 
 
@@ -46,6 +46,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.fit(url_filter.weak_labels(pages)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_line_dedup": op8_line_dedup,
+    "op9_url_filter": op9_url_filter,
 }
 
 _BLANK = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
