@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, decontam, hilbert, line_dedup, simhash, substring_dedup, toxicity, url_filter
+from reelrank.llm import bpe, decontam, hilbert, hnsw, html_extract, line_dedup, simhash, substring_dedup, toxicity, url_filter
 from reelrank.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_hnsw_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
 
@@ -51,15 +55,22 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.fit(url_filter.weak_labels(pages)))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_hilbert_shards": op3_hilbert_shards,
     "op4_toxicity": op4_toxicity,
+    "op5_hnsw_near_dedup": op5_hnsw_near_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 _BLANK = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
