@@ -28,8 +28,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries kept in each table before it is begun anew.
-TABLE_LIMIT = 250_000
+#: States of an automaton, and entries of a memo, kept before either is begun
+#: anew: together about 0.4 GB in a Python worker.
+STATE_LIMIT, TABLE_LIMIT = 500_000, 200_000
 
 #: A space beside other white space.
 _LOOSE_SPACE = re.compile(r" \s|\s ")
@@ -123,17 +124,20 @@ class Transducer:
 
     def _step(self, state: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
         """The state after ``byte`` and the tokens emitted on the way."""
-        live = []
+        live, child, at, undecided = [], self.child, self.at, False
         for before, node, pending in state:
-            longer = self.child.get(node << 8 | byte)
+            longer = child.get(node << 8 | byte)
             if longer is not None:
                 live.append((before, longer, pending))
-            token = self.at[node]
+                undecided = undecided or not pending
+            token = at[node]
             if token >= 0 and self.fits(before, token):
-                live.append((token, self.child[byte], pending + (token,)))
+                live.append((token, child[byte], pending + (token,)))
         if len(live) == 1:
             before, node, pending = live[0]
             return ((before, node, ()),), pending
+        if undecided:  # one of them has closed no token yet
+            return tuple(live), ()
         agreed = min((h[2] for h in live), key=len)
         n = next((i for i, t in enumerate(agreed) if any(h[2][i] != t for h in live)), len(agreed))
         return tuple((b, r, p[n:]) for b, r, p in live), agreed[:n]
@@ -156,12 +160,14 @@ class Transducer:
 
     def walk(self, data: bytes) -> list[int]:
         """Tokens of one pre-token, each as soon as no other reading is left."""
-        if len(self._states) >= TABLE_LIMIT:
+        if len(self._states) >= STATE_LIMIT:
             self._begin()
         state, arrows, ids = 0, self._arrows, []
         for byte in data:
-            arrow = arrows[state].get(byte)
-            state, out = arrow if arrow is not None else self._arrow(state, byte)
+            try:
+                state, out = arrows[state][byte]
+            except KeyError:
+                state, out = self._arrow(state, byte)
             if out:
                 ids += out
         for before, node, pending in self._states[state]:
@@ -207,10 +213,14 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
+        self._pieces = _Memo(self.transducer.piece)
         self._inner = _Memo(lambda word: self._ids(" " + word))
 
     def _ids(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.transducer.piece, self.pattern.findall(text))))
+        pieces = self.pattern.findall(text)
+        if len(pieces) == 1:
+            return self._pieces[pieces[0]]
+        return tuple(chain.from_iterable(map(self._pieces.__getitem__, pieces)))
 
     def encode(self, text: str | None) -> np.ndarray:
         """A pre-token holds a space at its start only, so a text whose spaces
