@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from reelrank.session import scratch_path
 
@@ -33,15 +32,9 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread(df: DataFrame, column: str) -> DataFrame:
-    """Deal rows round-robin-like by a hash of ``column`` for CPU-heavy maps
-    whose input files are fewer than the cores."""
-    return df.repartition(partitions(df.sparkSession), F.xxhash64(column))
-
-
-def same_rows(columns: Iterable[str]):
-    """Null-safe equality of equally named columns of frames ``l`` and ``r``."""
-    cond = F.lit(True)
-    for c in columns:
-        cond = cond & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
-    return cond
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """``names`` with as many underscores in front as make all of them new."""
+    taken, prefix = {c.lower() for c in columns}, "_"
+    while any((prefix + n).lower() in taken for n in names):
+        prefix += "_"
+    return [prefix + n for n in names]

@@ -204,10 +204,10 @@ def fit(pages: DataFrame, sample: int = SAMPLE, designs: int = DESIGNS) -> Crf:
     """Train on at most ``sample`` pages with an article, chosen by a hash of
     page_id and url, each as it is and in ``designs`` other designs. Without
     any such page an ``<article>`` is content and all else is not."""
-    rows = pages.filter("html is not null and html ilike '%<article%'").select(
-        F.xxhash64("page_id", "url").alias("key")).distinct().orderBy("key").limit(sample)
-    chosen = pages.withColumn("_key", F.xxhash64("page_id", "url")).join(
-        F.broadcast(rows), F.col("_key") == F.col("key"), "left_semi").select("_key", "html")
+    keyed = pages.select(F.xxhash64("page_id", "url").alias("_key"), "html").filter(
+        F.col("html").ilike("%<article%"))
+    rows = keyed.select("_key").distinct().orderBy("_key").limit(sample)
+    chosen = keyed.join(F.broadcast(rows), "_key", "left_semi")  # bounded by the sample
 
     def sequences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

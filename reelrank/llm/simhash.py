@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import WORD_BYTES, materialise
+from reelrank.llm.common import WORD_BYTES, materialise, unused
 from reelrank.llm.components import connected_components
 
 SEED = 42
@@ -59,14 +59,14 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """docs (doc_id, text) -> (doc_id, fp long), one row per input row."""
+    """docs (doc_id, text) -> (doc_id, h = hash of the text, fp long), one row per input row."""
 
     @F.pandas_udf("long")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", udf("text").alias("fp"))
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), udf("text").alias("fp"))
 
 
 def _segments(bits: int) -> list[tuple[int, int]]:
@@ -88,7 +88,7 @@ def _keys(fp: Column, bits: int, probe: bool) -> Column:
         nshift, nwidth = segs[(i + 1) % len(segs)]
         first, nxt = _segment(fp, shift, width), _segment(fp, nshift, nwidth)
         changes = [0]
-        if probe and 2 * bits >= len(segs):  # a chain of two may differ in one place
+        if probe:  # a chain of two may differ in one place
             changes += [1 << k for k in range(nwidth)]
         for change in changes:
             key = F.shiftleft(first, 32).bitwiseOR(nxt.bitwiseXOR(F.lit(change)))
@@ -126,12 +126,12 @@ def _forest(block_a: np.ndarray, block_b: np.ndarray, bits: int) -> list[tuple[i
     for a, na in zip(np.searchsorted(nodes, block_a), block_a):
         hit = where_b[np.bitwise_count(block_b.view(np.uint64) ^ np.uint64(np.int64(na).view(np.uint64))) <= bits]
         mine = root(a)
-        # one representative per tree met: the rest are linked already
-        for other in np.unique(parent[hit]):
+        # one link into each tree met: the rest are joined by it
+        for other in hit[np.unique(parent[hit], return_index=True)[1]]:
             o = root(other)
             if o != mine:
                 parent[max(o, mine)] = min(o, mine)
-                edges.append((mine, o))
+                edges.append((min(a, other), max(a, other)))
                 mine = min(o, mine)
     return [(int(nodes[a]), int(nodes[b])) for a, b in edges]
 
@@ -140,6 +140,8 @@ def links(fps: DataFrame, bits: int = 4, hot: int = 64, block: int = 2048) -> Da
     """Distinct fingerprints (fp) -> (a, b) fingerprint pairs at ``bits`` or
     fewer differing places; for keys of more than ``hot`` fingerprints a
     spanning forest instead of all pairs. The components are exact."""
+    if bits == 0:  # distinct fingerprints differ somewhere
+        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).filter(F.lit(False))
     held = fps.select("fp", F.explode(_keys(F.col("fp"), bits, False)).alias("k")).select("fp", "k.seg", "k.key")
     sought = fps.select("fp", F.explode(_keys(F.col("fp"), bits, True)).alias("k")).select("fp", "k.seg", "k.key")
     held = materialise(held, "simhash-held")
@@ -174,6 +176,22 @@ def links(fps: DataFrame, bits: int = 4, hot: int = 64, block: int = 2048) -> Da
     return cold.union(warm)
 
 
+def _grouped(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
+    """doc_id, h (hash of the text), fp, component (a fingerprint of the
+    group), component_id, n_fingerprint_rows of every row."""
+    fp = docs.select(F.col("doc_id").cast("long"), "text")
+    fp = materialise(fingerprints(fp, shingle), "simhash-fp")
+    classes = materialise(
+        fp.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_fingerprint_rows")),
+        "simhash-classes")
+    parts = connected_components(links(classes.select("fp"), bits))
+    member = classes.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
+    member = member.withColumn("component", F.coalesce("component", "fp"))
+    lowest = member.groupBy("component").agg(F.min("low").alias("component_id"))
+    named = member.join(lowest, "component").select("fp", "component", "component_id", "n_fingerprint_rows")
+    return fp.join(named, "fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
     """SimHash groups of ``docs`` (doc_id, text): doc_id, fingerprint (16 hex
     digits), component_id (smallest doc_id reachable by links of at most
@@ -184,29 +202,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFra
     a null doc_id is returned and its row still links other rows, but it never
     names a component unless all members are null. An empty table gives no rows.
     """
-    fp = materialise(fingerprints(docs.select(F.col("doc_id").cast("long"), "text"), shingle), "simhash-fp")
-    classes = materialise(
-        fp.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_fingerprint_rows")),
-        "simhash-classes")
-    parts = connected_components(links(classes.select("fp"), bits))
-    member = classes.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
-    member = member.withColumn("component", F.coalesce("component", "fp"))
-    lowest = member.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = member.join(lowest, "component").select("fp", "component_id", "n_fingerprint_rows")
-    return fp.join(named, "fp").select(
+    return _grouped(docs, shingle, bits).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id", "n_fingerprint_rows")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its SimHash group.
-
-    Repeated rows with the group's smallest doc_id stay as one row. Rows with
-    a null doc_id cannot name a group: they stay only where a whole group has
-    no doc_id. All columns are kept, whatever they are called.
-    """
-    groups = near_duplicates(docs, shingle, bits)
-    heads = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_head")).distinct()
-    kept = docs.join(heads, docs["doc_id"].cast("long").eqNullSafe(heads["_head"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of ``docs`` for each SimHash group, all columns kept: the one with
+    the smallest doc_id (null last), then the smallest hash of its text. Of
+    rows equal in both one stays."""
+    groups = materialise(_grouped(docs, shingle, bits).select("doc_id", "h", "component"), "simhash-groups")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    id_, h = unused(docs.columns, "id", "h")
+    heads = materialise(groups.groupBy("component").agg(F.min(place).alias("p")).select(
+        F.col("p.doc_id").alias(id_), F.col("p.h").alias(h)), "simhash-heads")
+    rows = docs.withColumn(h, F.xxhash64("text"))
+    kept = rows.alias("d").join(
+        heads.alias("k"), (rows[h] == heads[h]) & rows["doc_id"].cast("long").eqNullSafe(heads[id_]), "left_semi")
+    # texts are dealt out once more only where some row is repeated
+    repeated = not groups.groupBy("doc_id", "h").count().filter("count > 1").isEmpty()
+    return (kept.dropDuplicates(["doc_id", h]) if repeated else kept).select(docs.columns)
