@@ -7,14 +7,12 @@ from reelrank.functions.genres import (
     PROFILE_COLUMNS,
     UNKNOWN,
     genre_signature,
-    genres_array,
     mask_bit_sql,
-    unpivot_flags,
 )
 from reelrank.functions.text import BM25_B, BM25_K1, tokens
 
 __all__ = [
     "ALL_FLAGS", "GENRE_TO_PROFILE", "GENRES", "PROFILE_COLUMNS", "UNKNOWN",
-    "genre_signature", "genres_array", "mask_bit_sql", "unpivot_flags",
+    "genre_signature", "mask_bit_sql",
     "BM25_B", "BM25_K1", "tokens",
 ]

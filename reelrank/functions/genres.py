@@ -45,14 +45,3 @@ def genre_signature(prefix: str = "") -> Column:
 def mask_bit_sql(mask: str, i: int) -> str:
     """SQL text: 1 when bit ``i`` of the mask column is set, else 0."""
     return f"(shiftright(`{mask}`, {i}) & 1)"
-
-
-def genres_array(prefix: str = "") -> Column:
-    """``array<string>`` of the genre names whose flag is 1, in genre order."""
-    picked = F.array(*[F.when(F.col(prefix + g) == 1, F.lit(g)) for g in GENRES])
-    return F.filter(picked, lambda x: x.isNotNull())
-
-
-def unpivot_flags(df, id_cols: list[str], flags: list[str] = GENRES):
-    """Long form (ids..., genre, flag) of the flag columns, one row per flag."""
-    return df.unpivot(id_cols, flags, "genre", "flag")

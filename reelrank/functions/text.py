@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- fixed values -----------------------------------------------------------
 # Token separator: anything that is not a letter or a digit (Unicode aware).
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 # BM25 parameters (standard published defaults).
 BM25_K1 = 1.2
 BM25_B = 0.75
-# --- end of fixed values ----------------------------------------------------
 
 
 def tokens(text: Column | str) -> Column:

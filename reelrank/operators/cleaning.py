@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.functions.genres import ALL_FLAGS
@@ -50,9 +50,14 @@ def clean_ratings(ratings: DataFrame, keep_source_columns: bool = False) -> Data
 
 
 def dedup_items(items: DataFrame, key: str = "movieId") -> DataFrame:
-    """A3 for items: one row per id; the smallest row (by all columns) wins."""
+    """A3 for items and users: one row per id. The row with the fewest invalid
+    flags wins, then one with a title, then the one with the fewest nulls, then
+    the smallest by all columns, so a damaged row never hides a sound one."""
     rest = [c for c in items.columns if c != key]
-    packed = F.struct(*[F.col(c) for c in rest])
+    damage = [F.coalesce(F.col("invalid_flags"), F.lit(0))] if "invalid_flags" in rest else []
+    damage += [F.col("title").isNull().cast("int")] if "title" in rest else []
+    nulls = F.expr(" + ".join(f"int(`{c}` IS NULL)" for c in rest) or "0")
+    packed = F.struct(*[d.alias(f"_d{i}") for i, d in enumerate([*damage, nulls])], *[F.col(c) for c in rest])
     best = items.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(packed).alias("_row"))
     return best.select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
@@ -61,10 +66,6 @@ def dedup_users(users: DataFrame, key: str = "userId") -> DataFrame:
     return dedup_items(users, key)
 
 
-def _flag_value(c: str) -> Column:
-    return F.expr(f"try_cast(trim(`{c}`) AS INT)")
-
-
 def cast_flags(items: DataFrame, flags: Sequence[str] = ALL_FLAGS) -> DataFrame:
     """Flags to int with ``try_cast`` (ANSI-safe). Text that is not a
     number, or a number other than 0/1, becomes null and is counted in

@@ -24,18 +24,19 @@ from pyspark.sql import functions as F
 from reelrank.functions.genres import GENRES, PROFILE_COLUMNS
 from reelrank.operators.profiles import profile_targets
 from reelrank.operators.scoring import top_k_by_genre_weights
+from reelrank.session import cut_lineage, ensure_checkpoint_dir
 
 CATEGORICAL = ["gender", "occupation"]
 FEATURES = "features"
 # --- fixed values -----------------------------------------------------------
-# Forest settings of the original model (100 trees, seed 42); Spark's nearest
-# equivalents for "all features per split" and "min 5 samples to split".
+# Forest settings of the original model.
 RF_NUM_TREES = 100
 RF_SEED = 42
+# --- end of fixed values ----------------------------------------------------
+# Nearest equivalents of "all features per split" and "min 5 samples to split".
 RF_FEATURE_SUBSET = "all"
 RF_MIN_INSTANCES = 2
 RF_MAX_DEPTH = 30  # the deepest Spark allows (the original had no limit)
-# --- end of fixed values ----------------------------------------------------
 RF_MAX_BINS = 128
 ROWS_PER_PARTITION = 50_000
 RF_MAX_MEMORY_MB = 256  # per fit; 6 fits run at once
@@ -79,18 +80,25 @@ def onehot_columns(df: DataFrame, vocab: dict[str, Sequence[str]]) -> DataFrame:
 
 def fit_genre_model(profiles: DataFrame, num_trees: int = RF_NUM_TREES,
                     max_depth: int = RF_MAX_DEPTH, parallelism: int = 6,
-                    rows_per_partition: int = ROWS_PER_PARTITION) -> PipelineModel:
+                    rows_per_partition: int = ROWS_PER_PARTITION, target_fill: str = "zero") -> PipelineModel:
     """M7: encoder + one forest per genre, targets are the profile averages
-    with null as 0 (P6). Rows are range-partitioned and sorted by userId
+    with null as 0 (P6), or, with ``target_fill="drop"``, only the users who
+    rated the genre (a genre nobody rated is learned as 0). Rows are range-partitioned and sorted by userId
     before fitting so the bootstrap samples do not depend on input order.
 
     Forest training runs one Spark job per tree level, each with one task per
     partition, so the feature frame gets a partition count sized by its rows
     (one count), not the shuffle default: tiny partitions would make every
     level pay hundreds of empty tasks, too few would idle the cluster."""
-    train = profile_targets(profiles).select("userId", "age", *CATEGORICAL, *PROFILE_COLUMNS)
+    if target_fill not in ("zero", "drop"):
+        raise ValueError("target_fill is 'zero' or 'drop'")
+    ensure_checkpoint_dir(profiles.sparkSession)  # node ids are checkpointed
+    filled = profiles if target_fill == "drop" else profile_targets(profiles)
+    # read several times below: written once to the shared folder
+    train = cut_lineage(filled.select("userId", "age", *CATEGORICAL, *PROFILE_COLUMNS))
     encoder = demographic_encoder().fit(train)
-    rows = train.count()
+    counts = train.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in PROFILE_COLUMNS]).first()
+    rows = counts["_rows"]
     parts = max(1, -(-rows // rows_per_partition))
     feats = (
         encoder.transform(train).select("userId", FEATURES, *PROFILE_COLUMNS)
@@ -104,7 +112,10 @@ def fit_genre_model(profiles: DataFrame, num_trees: int = RF_NUM_TREES,
             numTrees=num_trees, maxDepth=max_depth, maxBins=RF_MAX_BINS,
             minInstancesPerNode=RF_MIN_INSTANCES, featureSubsetStrategy=RF_FEATURE_SUBSET, seed=RF_SEED,
             maxMemoryInMB=RF_MAX_MEMORY_MB, cacheNodeIds=CACHE_NODE_IDS)
-        return rf.fit(feats)
+        target = PROFILE_COLUMNS[i]
+        if counts[target] == rows:
+            return rf.fit(feats)
+        return rf.fit(feats.filter(F.col(target).isNotNull()) if counts[target] else feats.na.fill(0.0, [target]))
 
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:

@@ -14,6 +14,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelrank.session import cut_lineage
+
 # --- fixed values -----------------------------------------------------------
 # Training settings of the original job.
 ALS_MAX_ITER = 10
@@ -56,7 +58,11 @@ def als_recommendations(model: ALSModel, k: int = TOP_K) -> DataFrame:
     """M4: top ``k`` items per user, long form: userId, rank, movieId,
     rating (predicted). ``recommendForAllUsers`` keeps a bounded top-k per
     block, so no user's full item list is ever materialised."""
-    nested = model.recommendForAllUsers(k)
+    return long_recommendations(model.recommendForAllUsers(k))
+
+
+def long_recommendations(nested: DataFrame) -> DataFrame:
+    """The nested lists of :func:`nested_recommendations` as rows."""
     return nested.select("userId", F.posexplode("recommendations").alias("pos", "rec")).select(
         F.col("userId").cast("long").alias("userId"),
         (F.col("pos") + 1).cast("int").alias("rank"),
@@ -81,11 +87,13 @@ def als_recommendations_unseen(model: ALSModel, seen: DataFrame, k: int = TOP_K)
     ``recommendForAllUsers`` call; the candidate list of a user grows with
     that user's own history only. Only the distinct group sizes (at most ~40
     numbers) come to the driver, to size each call."""
-    pairs = seen.select("userId", "movieId").distinct()
+    # Read once for the groups and once for the anti-join of every size.
+    pairs = cut_lineage(seen.select("userId", "movieId").distinct())
     counts = pairs.groupBy("userId").agg(F.count("*").alias("_seen"))
     grouped = counts.select(
         "userId",
         F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("_seen"), F.lit(1))))).cast("int").alias("_b"))
+    grouped = cut_lineage(grouped)
     sizes = sorted(r["_b"] for r in grouped.select("_b").distinct().collect())
     model_users = model.userFactors.select(F.col("id").alias("userId"))
     parts = []

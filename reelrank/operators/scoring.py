@@ -17,8 +17,10 @@ Plan, exact and linear in users:
    range-partitioned by id first (one small row each), so the scored rows
    are already clustered and ``row_number <= k`` per user needs no shuffle:
    each task sorts only its own users' rows, spilling if needed.
-3. The ``k`` kept masks are joined to their kept items (at most ``k * k``
-   rows per user); ``row_number <= k`` by (score desc, id asc).
+3. Each mask carries its ``k`` smallest ids as an array (at most 2**18 x k
+   longs in the broadcast), so a user's best masks are expanded in the same task
+   (at most ``k * k`` rows) and ``row_number <= k`` by (score desc, id asc) ends
+   there: no row is ever shuffled by mask. Titles are joined last, by id.
 
 Why it is exact: if mask A ranks before mask B, A's smallest item ranks before
 every item of B. A mask outside a user's best ``k`` has ``k`` masks before it,
@@ -55,8 +57,9 @@ def mask_items(items: DataFrame, k: int) -> DataFrame:
 
 
 def mask_table(kept: DataFrame) -> DataFrame:
-    """(mask, min_id) of every mask present: at most 2**18 rows."""
-    return kept.filter(F.col("pos") == 1).select("mask", F.col("movieId").alias("min_id"))
+    """(mask, ids) of every mask present, its kept ids in ascending order: at
+    most 2**18 rows of at most k ids."""
+    return kept.groupBy("mask").agg(F.array_sort(F.collect_list("movieId")).alias("ids"))
 
 
 def top_k_by_genre_weights(weights: DataFrame, id_col: str, weight_cols: Sequence[str],
@@ -80,13 +83,14 @@ def top_k_by_genre_weights(weights: DataFrame, id_col: str, weight_cols: Sequenc
     rows = weights.select(id_col, *weight_cols).repartitionByRange(n, id_col)
     # Broadcast of a table bounded by 2**18 rows, independent of data size.
     scored = rows.crossJoin(F.broadcast(mask_table(kept))).select(
-        id_col, "mask", "min_id", F.expr(score_sql(weight_cols, "mask")).alias("score"))
-    by_mask = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("min_id").asc())
+        id_col, "ids", F.expr(score_sql(weight_cols, "mask")).alias("score"))
+    by_mask = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("ids")[0].asc())
     best = scored.withColumn("_r", F.row_number().over(by_mask)).filter(F.col("_r") <= k)
-    cand = best.select(id_col, "mask", "score").join(kept.select("mask", "movieId", "title"), "mask", "inner")
+    cand = best.select(id_col, "score", F.explode("ids").alias("movieId"))
     order = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("movieId").asc())
     ranked = cand.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select(id_col, F.col("rank").cast("int").alias("rank"), "movieId", "title", "score")
+    named = ranked.join(kept.select("movieId", "title"), "movieId")
+    return named.select(id_col, F.col("rank").cast("int").alias("rank"), "movieId", "title", "score")
 
 
 def recommend_known(profiles: DataFrame, items: DataFrame, k: int = 10,

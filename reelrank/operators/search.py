@@ -118,7 +118,10 @@ def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
 
     Candidates are then scored exactly over all query tokens."""
     shape_items, postings = title_shapes(items, k)
+    # The index is read in every branch below: written once to the shared folder.
+    postings = cut_lineage(postings)
     weights, doc_freq = term_weights(postings)
+    weights = cut_lineage(weights)
     cand, qtok = title_candidates(postings, weights, doc_freq, queries, k, query_col)
     firsts = weights.select("shape", "min_id").dropDuplicates(["shape"])
     per_shape = (

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from reelrank.operators.ordering import global_row_number
 
 DEFAULT_ORDER = ("timestamp", "userId", "movieId")
-# --- fixed values -----------------------------------------------------------
-# Multipliers of the arithmetic hash bucket (small enough never to overflow).
-HASH_USER_MULT = 1000003
-HASH_ITEM_MULT = 7919
-# --- end of fixed values ----------------------------------------------------
+# Prime modulus and multipliers of the arithmetic hash bucket. Ids are reduced
+# first, so no product passes 2**40 whatever the ids.
+HASH_PRIME = 1000003
+HASH_USER_MULT = 7919
+HASH_ITEM_MULT = 104729
 
 
 def split_random(ratings: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> DataFrame:
@@ -31,8 +31,10 @@ def split_random(ratings: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> Data
 
 def hash_bucket(buckets: int = 100):
     """Stable bucket of a (user, item) pair, same under any partitioning."""
-    mix = F.col("userId") * HASH_USER_MULT + F.col("movieId") * HASH_ITEM_MULT
-    return F.pmod(mix, F.lit(buckets))
+    prime = F.lit(HASH_PRIME).cast("long")
+    mix = (F.pmod(F.col("userId").cast("long"), prime) * HASH_USER_MULT
+           + F.pmod(F.col("movieId").cast("long"), prime) * HASH_ITEM_MULT) % prime
+    return (mix * mix % prime) % buckets  # the square breaks the lattice of the linear form
 
 
 def split_hash(ratings: DataFrame, train_percent: int = 80) -> DataFrame:
@@ -48,15 +50,15 @@ def kfold_split(ratings: DataFrame, k: int = 5, order: Sequence[str] = DEFAULT_O
     is every row with another fold. Every fold is non-empty when n >= k."""
     numbered = global_row_number(ratings, order, "_rn")
     total = numbered.agg(F.count("*").alias("_total"))
-    fold = (F.floor((F.col("_rn") - 1) * k / F.col("_total")) + 1).cast("int")
+    fold = F.expr(f"CAST((_rn - 1) * {k} div _total + 1 AS INT)")
     return numbered.crossJoin(F.broadcast(total)).select(*ratings.columns, fold.alias("fold"))
 
 
 def leave_n_out(ratings: DataFrame, start: int = 1, stop: int = 10, max_test: int = 0,
                 order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
     """A user's ratings number ``start``..``stop`` (in ``order``) go to
-    'test', the rest to 'base'; ``max_test > 0`` caps the test rows in total,
-    keeping the earliest in ``order`` (the cap of the original script).
+    'test', the rest to 'base'. Off unless asked for: ``max_test > 0`` caps the
+    test rows in total, keeping the earliest in ``order``.
 
     Per-user numbering only needs each user's first ``stop`` rows, so Spark
     limits every user to ``stop`` rows before the shuffle (WindowGroupLimit);
@@ -70,3 +72,18 @@ def leave_n_out(ratings: DataFrame, start: int = 1, stop: int = 10, max_test: in
     labelled = ratings.join(keys, ["userId", "movieId"], "left")
     return labelled.select(
         *ratings.columns, F.when(F.col("_test"), "test").otherwise("base").alias("part"))
+
+
+def evaluation_sets(ratings: DataFrame, k: int = 5, n: int = 10) -> DataFrame:
+    """Every base/test pair of the evaluation scripts in one frame: ``set_name``
+    (``u1`` .. ``uk`` for the folds, ``ua`` and ``ub`` for a user's ratings 1..n
+    and n+1..2n as test), ``part`` ('base' / 'test'), and the rating."""
+    cols = ratings.columns
+    folds = kfold_split(ratings, k)
+    pairs = folds.select(*cols, "fold", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("_set")).select(
+        F.concat(F.lit("u"), F.col("_set")).alias("set_name"),
+        F.when(F.col("fold") == F.col("_set"), "test").otherwise("base").alias("part"), *cols)
+    for name, start in (("ua", 1), ("ub", n + 1)):
+        one = leave_n_out(ratings, start, start + n - 1)
+        pairs = pairs.unionByName(one.select(F.lit(name).alias("set_name"), "part", *cols))
+    return pairs

@@ -8,9 +8,10 @@ pushes filters down to the scans.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelrank.operators import cleaning, profiles
 from reelrank.sources import files
@@ -38,10 +39,6 @@ class Catalog:
     def all_users(self) -> DataFrame:
         return star.customers_as_users(self.tables)
 
-    @cached_property
-    def known_users(self) -> DataFrame:
-        return star.known_users(self.tables, self.ratings)
-
     @cached_property
     def requests(self) -> DataFrame:
         return star.session_requests(self.tables)
@@ -61,7 +58,7 @@ class Catalog:
 
     @cached_property
     def users(self) -> DataFrame:
-        return cleaning.dedup_users(self.known_users)
+        return cleaning.dedup_users(self.all_users)
 
     @cached_property
     def profiles(self) -> DataFrame:
@@ -71,8 +68,8 @@ class Catalog:
 class FileCatalog(Catalog):
     """The same frames from delimited rating / item / user files.
 
-    Every user in the user file is a known user; there is no request table
-    and no title-query table (callers pass their own)."""
+    There is no request table and no title-query table (callers pass their
+    own). Rows a reader could not parse are counted by :meth:`input_checks`."""
 
     def __init__(self, spark: SparkSession, ratings_path: str, items_path: str,
                  users_path: str | None = None, items_encoding: str = "UTF-8"):
@@ -81,6 +78,22 @@ class FileCatalog(Catalog):
         self.tables = None
         self._paths = (ratings_path, items_path, users_path, items_encoding)
 
+    def input_checks(self) -> DataFrame:
+        """check_name, passed, value: rows that could not be parsed in each
+        input, and item flags that are neither 0 nor 1. Such rows are dropped
+        or such flags nulled, so these checks inform and always pass."""
+        ratings, items_path, users, encoding = self._paths
+        inputs = {"corrupt_ratings": (files.read_ratings(self.spark, ratings), "userId"),
+                  "corrupt_items": (files.read_items(self.spark, items_path, encoding=encoding), "movieId")}
+        if users is not None:
+            inputs["corrupt_users"] = (files.read_users(self.spark, users), "userId")
+        counts = [df.agg(F.count(files.CORRUPT).alias("value"), F.count(key).alias("_parsed")).select(
+            F.lit(name).alias("check_name"), F.lit(True).alias("passed"), "value")
+            for name, (df, key) in inputs.items()]
+        flags = cleaning.cast_flags(self.items_raw).agg(F.sum("invalid_flags").cast("long").alias("value")).select(
+            F.lit("invalid_flags").alias("check_name"), F.lit(True).alias("passed"), "value")
+        return reduce(DataFrame.unionByName, [*counts, flags])
+
     @cached_property
     def rating_events(self) -> DataFrame:
         return files.read_ratings(self.spark, self._paths[0]).drop(files.CORRUPT)
@@ -95,10 +108,6 @@ class FileCatalog(Catalog):
             raise ValueError("this job needs a user file")
         return files.read_users(self.spark, self._paths[2]).drop(files.CORRUPT)
 
-    @cached_property
-    def known_users(self) -> DataFrame:
-        return self.all_users
-
     @cached_property
     def requests(self) -> DataFrame:
         raise ValueError("delimited inputs have no request table: pass one (--requests)")

@@ -10,6 +10,7 @@ action per output. Inputs are either delimited files (``--ratings``,
     python -m reelrank.plans.jobs profiles --ratings ratings.tsv --items items.psv --users users.psv --out /shared/prof
     python -m reelrank.plans.jobs als      --ratings ratings.tsv --items items.psv --out /shared/recs
     python -m reelrank.plans.jobs session  --items items.psv --requests req.csv --out /shared/prof
+    python -m reelrank.plans.jobs splits   --ratings ratings.tsv --items items.psv --out /shared/eval
     python -m reelrank.plans.jobs titles   --ratings ratings.tsv --items items.psv --titles t.txt --out /shared/prof
 
 ``session`` and ``titles`` read what ``profiles`` published under the same
@@ -20,13 +21,17 @@ from __future__ import annotations
 
 import argparse
 import os
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.operators import coldstart, collaborative, evaluation, items, scoring, search, sessions, splits
 from reelrank.plans.catalog import Catalog, FileCatalog
+from reelrank.session import cut_lineage
 from reelrank.sinks import documents, tables
+from reelrank.sinks.preview import preview
+from reelrank.sources import read_published
 
 REQUEST_SCHEMA = "requestId string, userId string, gender string, occupation string, age string"
 
@@ -46,7 +51,7 @@ def ratings_job(c: Catalog, out: str, fmt: str = "parquet", buckets: int | None
         tables.publish_bucketed(c.ratings, "ratings", path, "userId", buckets,
                                 sort_within=["userId", "movieId"], fmt=fmt)
     else:
-        tables.publish(c.ratings.repartition("userId"), path, fmt, sort_within=["userId", "movieId"])
+        tables.publish_sorted(c.ratings, path, ["userId", "movieId"], fmt=fmt)
     return tables.publish_checks(c.spark, path, fmt)
 
 
@@ -55,7 +60,7 @@ def profile_job(c: Catalog, out: str, fmt: str = "parquet", num_trees: int = col
     """Publish ``user_profiles`` and ``movies``, fit and save the cold-start model."""
     profiles = tables.publish(c.profiles, os.path.join(out, "user_profiles"), fmt)
     tables.publish(items.item_table(c.items, c.ratings), os.path.join(out, "movies"), fmt)
-    saved = c.spark.read.format(fmt).load(profiles)
+    saved = read_published(c.spark, profiles, fmt)
     model = coldstart.fit_genre_model(saved, num_trees=num_trees, max_depth=max_depth)
     coldstart.save_model(model, os.path.join(out, "genre_model"))
     return tables.publish_checks(c.spark, profiles, fmt)
@@ -64,13 +69,15 @@ def profile_job(c: Catalog, out: str, fmt: str = "parquet", num_trees: int = col
 def als_job(c: Catalog, out: str, fmt: str = "parquet", k: int = 10) -> DataFrame:
     """80/20 split, ALS fit, RMSE on the held-out part, top ``k`` for every
     user published nested (as the original) and long. Returns the RMSE row."""
-    labelled = splits.split_random(c.ratings, (0.8, 0.2), seed=collaborative.SPLIT_SEED)
+    # The draw depends on partitions: written once, so both parts come from one draw.
+    labelled = cut_lineage(splits.split_random(c.ratings, (0.8, 0.2), seed=collaborative.SPLIT_SEED))
     train = labelled.filter(F.col("split") == "train").drop("split")
     test = labelled.filter(F.col("split") == "test").drop("split")
     model = collaborative.fit_als(train)
     score = evaluation.rmse(collaborative.als_predictions(model, test))
-    tables.publish(collaborative.nested_recommendations(model, k), os.path.join(out, "recommendations"), fmt)
-    tables.publish(collaborative.als_recommendations(model, k), os.path.join(out, "recommendations_long"), fmt)
+    nested = tables.publish(collaborative.nested_recommendations(model, k), os.path.join(out, "recommendations"), fmt)
+    tables.publish(collaborative.long_recommendations(read_published(c.spark, nested, fmt)),
+                   os.path.join(out, "recommendations_long"), fmt)
     return score
 
 
@@ -80,31 +87,46 @@ def session_job(c: Catalog, out: str, fmt: str = "parquet", requests: DataFrame
     profile, new users by the saved model); publish long rows and one JSON
     answer per request. Returns the checks of the long table."""
     reqs = requests if requests is not None else c.requests
-    profiles = c.spark.read.format(fmt).load(os.path.join(out, "user_profiles"))
+    profiles = read_published(c.spark, os.path.join(out, "user_profiles"), fmt)
     model = coldstart.load_model(os.path.join(out, "genre_model"))
     answers = sessions.recommend_session(reqs, profiles, model, c.items, k)
     path = tables.publish(answers, os.path.join(out, "session_answers"), fmt)
-    ranked = c.spark.read.format(fmt).load(path).filter("path <> 'rejected'")
-    tables.publish(documents.answer_documents(ranked, "requestId"), os.path.join(out, "session_documents"), fmt)
+    ranked = read_published(c.spark, path, fmt).filter("path <> 'rejected'")
+    tables.publish(documents.answer_documents(ranked, "requestId", doc_col="userId"), os.path.join(out, "session_documents"), fmt)
     return tables.publish_checks(c.spark, path, fmt)
 
 
 def titles_job(c: Catalog, out: str, fmt: str = "parquet", titles: DataFrame | None = None,
-               k: int = 10) -> DataFrame:
+               k: int = 10, lists: str = "profile") -> DataFrame:
     """For each title query: the items most often recommended to the raters
-    of its best match (lists from the published profiles)."""
+    of its best match, as rows and as one JSON answer per query. ``lists`` says
+    whose lists: ranked from the published profiles (``profile``), or those the
+    ``als`` job published (``als``)."""
     queries = titles if titles is not None else c.title_queries
-    profiles = c.spark.read.format(fmt).load(os.path.join(out, "user_profiles"))
+    if lists == "als":
+        stored = read_published(c.spark, os.path.join(out, "recommendations_long"), fmt)
+    else:
+        profiles = read_published(c.spark, os.path.join(out, "user_profiles"), fmt)
 
-    def lists_for(users: DataFrame) -> DataFrame:
-        return scoring.recommend_known(profiles.join(users, "userId", "left_semi"), c.items, k)
+        def stored(users: DataFrame) -> DataFrame:
+            return scoring.recommend_known(profiles.join(users, "userId", "left_semi"), c.items, k)
 
-    answers = search.recommend_by_title(c.items, queries, c.ratings, lists_for, k)
+    answers = search.recommend_by_title(c.items, queries, c.ratings, stored, k)
     path = tables.publish(answers, os.path.join(out, "title_answers"), fmt)
+    tables.publish(documents.title_documents(read_published(c.spark, path, fmt)),
+                   os.path.join(out, "title_documents"), fmt)
+    return tables.publish_checks(c.spark, path, fmt)
+
+
+def splits_job(c: Catalog, out: str, fmt: str = "parquet", k: int = 5, n: int = 10) -> DataFrame:
+    """Publish base and test of every fold and of the two leave-n-out sets
+    below ``splits``, one folder per set and part, in order of user and item."""
+    path = tables.publish_sorted(splits.evaluation_sets(c.ratings, k, n), os.path.join(out, "splits"),
+                                 ["userId", "movieId"], ["set_name", "part"], fmt)
     return tables.publish_checks(c.spark, path, fmt)
 
 
-JOBS = {"items": item_table_job, "ratings": ratings_job, "profiles": profile_job, "als": als_job,
+JOBS = {"splits": splits_job, "items": item_table_job, "ratings": ratings_job, "profiles": profile_job, "als": als_job,
         "session": session_job, "titles": titles_job}
 
 
@@ -120,6 +142,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--requests", help="CSV with header: requestId,userId,gender,occupation,age")
     ap.add_argument("--titles", help="text file, one title query per line")
     ap.add_argument("--buckets", type=int, help="ratings job: bucket the table by user")
+    ap.add_argument("--lists", choices=["profile", "als"], default="profile", help="titles job: whose lists")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"reelrank-{args.job}").getOrCreate()
     if args.tables:
@@ -133,7 +156,15 @@ def main(argv: list[str] | None = None) -> None:
         extra["titles"] = spark.read.text(args.titles).withColumnRenamed("value", "query")
     if args.job == "ratings" and args.buckets:
         extra["buckets"] = args.buckets
-    JOBS[args.job](catalog, args.out, args.format, **extra).show(truncate=False)
+    if args.job == "titles":
+        extra["lists"] = args.lists
+    report = JOBS[args.job](catalog, args.out, args.format, **extra)
+    if "passed" in report.columns and isinstance(catalog, FileCatalog):
+        report = report.unionByName(catalog.input_checks())
+    report = cut_lineage(report)
+    preview(report, truncate=False)
+    if "passed" in report.columns and not report.filter("NOT passed").isEmpty():
+        sys.exit(f"{args.job}: a check failed")
 
 
 if __name__ == "__main__":

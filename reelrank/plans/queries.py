@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from reelrank.operators import (
     cleaning,
@@ -21,9 +22,10 @@ from reelrank.operators import (
 )
 from reelrank.operators import items as item_ops
 from reelrank.operators import profiles as profile_ops
-from reelrank.session import scratch_path
+from reelrank.session import cut_lineage, scratch_path
 from reelrank.sinks import documents, tables
 from reelrank.plans.catalog import Catalog
+from reelrank.sources import read_published
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,7 +75,10 @@ def q_dedup_ratings(c: Catalog) -> DataFrame:
 
 @query("dedup_items")
 def q_dedup_items(c: Catalog) -> DataFrame:
-    return cleaning.dedup_items(c.items_raw)
+    """A3 for items, over items as the rating events show them: one raw item
+    row per event, so an item repeats as often as it was rated."""
+    seen = c.rating_events.select("movieId").join(c.items_raw, "movieId")
+    return cleaning.dedup_items(seen)
 
 
 @query("item_flags")
@@ -90,10 +95,8 @@ def q_item_avg_rating(c: Catalog) -> DataFrame:
 
 @query("item_stats_left_join")
 def q_item_stats_left_join(c: Catalog) -> DataFrame:
-    """J1 with the ratings of profiled users only: an item rated only by
-    cold-start users keeps a null average."""
-    rated = c.ratings.join(c.users.select("userId"), "userId", "left_semi")
-    return item_ops.item_stats(c.items, rated)
+    """An item without a rating keeps a null average."""
+    return item_ops.item_stats(c.items, c.ratings)
 
 
 @query("item_genres_long")
@@ -169,12 +172,28 @@ def q_recommend_by_title(c: Catalog) -> DataFrame:
     return search.recommend_by_title(c.items, c.title_queries, c.ratings, lists_for, k=10)
 
 
+@query("title_documents")
+def q_title_documents(c: Catalog) -> DataFrame:
+    """K4 for R4: one document per title query over the profile-based lists."""
+    return documents.title_documents(q_recommend_by_title(c))
+
+
 # --- splits and evaluation (X1-X3, A6) ---------------------------------------
 @query("split_random")
 def q_split_random(c: Catalog) -> DataFrame:
     return splits.split_random(c.ratings, (0.8, 0.2), seed=42)
 
 
+@query("split_random_check")
+def q_split_random_check(c: Catalog) -> DataFrame:
+    """Every rating is in exactly one part (computed from one materialised split)."""
+    labelled = cut_lineage(splits.split_random(c.ratings, (0.8, 0.2), seed=42))
+    pairs = labelled.groupBy("userId", "movieId").agg(F.count("*").alias("n"))
+    missing = c.ratings.join(pairs, ["userId", "movieId"], "left_anti")
+    return pairs.agg(F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("overlap")).crossJoin(
+        F.broadcast(missing.agg(F.count("*").alias("missing"))))  # one row each
+
+
 @query("split_hash")
 def q_split_hash(c: Catalog) -> DataFrame:
     return splits.split_hash(c.ratings, 80)
@@ -187,8 +206,18 @@ def q_kfold_split(c: Catalog) -> DataFrame:
 
 @query("leave_n_out")
 def q_leave_n_out(c: Catalog) -> DataFrame:
-    """First ten ratings of every user to test, total capped at 100000."""
-    return splits.leave_n_out(c.ratings, start=1, stop=10, max_test=100000)
+    """First ten ratings of every user to test."""
+    return splits.leave_n_out(c.ratings, start=1, stop=10)
+
+
+@query("splits_roundtrip")
+def q_splits_roundtrip(c: Catalog) -> DataFrame:
+    """Every published base/test pair read back: rows, users and id sums of each."""
+    path = tables.publish_sorted(splits.evaluation_sets(c.ratings), scratch_path(c.spark, "splits"),
+                                 by=["userId", "movieId"], partition_by=["set_name", "part"])
+    return read_published(c.spark, path).groupBy("set_name", "part").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("userId").alias("n_users"),
+        F.sum("userId").alias("user_sum"), F.sum("movieId").alias("item_sum"))
 
 
 @query("rmse_baseline")
@@ -202,7 +231,7 @@ def q_rmse_baseline(c: Catalog) -> DataFrame:
 def q_publish_roundtrip(c: Catalog) -> DataFrame:
     """K1 then S5: the item table written and read back."""
     path = tables.publish(item_ops.item_table(c.items, c.ratings), scratch_path(c.spark, "items"))
-    return c.spark.read.parquet(path)
+    return read_published(c.spark, path)
 
 
 @query("publish_checks")
@@ -244,6 +273,40 @@ def q_als_recommendations_unseen(c: Catalog) -> DataFrame:
     return collaborative.als_recommendations_unseen(collaborative.fit_als(c.ratings), c.ratings, 10)
 
 
+@query("als_predicted_pairs")
+def q_als_predicted_pairs(c: Catalog) -> DataFrame:
+    """M2 without the score: the test pairs that get a prediction."""
+    return q_als_predictions(c).select("userId", "movieId", "rating")
+
+
+def _list_check(recs: DataFrame, seen: DataFrame) -> DataFrame:
+    """One row on top-10 lists: users, rows, users whose ranks are not 1..n in
+    falling score, and rows that the user has rated."""
+    recs = cut_lineage(recs)
+    before = Window.partitionBy("userId").orderBy("rank")
+    ordered = recs.withColumn("_up", F.coalesce(F.lag("rating").over(before) < F.col("rating"), F.lit(False)))
+    users = ordered.groupBy("userId").agg(
+        F.count("*").alias("n"), F.max("rank").alias("hi"), F.countDistinct("rank").alias("ranks"),
+        F.max(F.col("_up").cast("int")).alias("up"))
+    rated = recs.join(seen, ["userId", "movieId"], "left_semi").agg(F.count("*").alias("rated_rows"))
+    return users.agg(
+        F.count("*").alias("users"), F.sum("n").alias("n_rows"),
+        F.sum(F.expr("int(hi <> n OR ranks <> n OR up = 1)")).cast("long").alias("wrong_ranks"),
+    ).crossJoin(F.broadcast(rated))  # one row each
+
+
+@query("als_lists_check")
+def q_als_lists_check(c: Catalog) -> DataFrame:
+    """M4: list length and order for every user."""
+    return _list_check(q_als_recommendations(c), c.ratings).drop("rated_rows")
+
+
+@query("als_unseen_check")
+def q_als_unseen_check(c: Catalog) -> DataFrame:
+    """M4 with exclude_seen: list length and order, and no rated item."""
+    return _list_check(q_als_recommendations_unseen(c), c.ratings)
+
+
 # --- cold start (M5-M8, R2, R3) -----------------------------------------------
 def _new_user_requests(c: Catalog) -> DataFrame:
     classified = requests.classify_requests(c.requests, c.profiles)
@@ -274,3 +337,40 @@ def q_recommend_new(c: Catalog) -> DataFrame:
 def q_recommend_session(c: Catalog) -> DataFrame:
     model = coldstart.fit_genre_model(c.profiles)
     return sessions.recommend_session(c.requests, c.profiles, model, c.items, 10)
+
+
+# The checks below read what does not depend on the forests' size, so they fit
+# small ones.
+_CHECK_FOREST = {"num_trees": 5, "max_depth": 8}
+
+
+@query("coldstart_check")
+def q_coldstart_check(c: Catalog) -> DataFrame:
+    """M6-M8, R2: answered requests, scores outside the targets' range, list rows and
+    lists whose ranks are not 1..n in falling score."""
+    profiles = cut_lineage(c.profiles)
+    model = coldstart.fit_genre_model(profiles, **_CHECK_FOREST)
+    scores = cut_lineage(coldstart.predict_genre_scores(model, _new_user_requests(c)))
+    targets = profile_ops.profile_targets(profiles).select(
+        F.array(*[F.col(p).cast("double") for p in profile_ops.PROFILE_COLUMNS]).alias("t"))
+    span = targets.agg(F.min(F.array_min("t")).alias("lo"), F.max(F.array_max("t")).alias("hi"))
+    each = coldstart.genre_scores_long(scores).crossJoin(F.broadcast(span))  # one row
+    found = each.agg(
+        F.countDistinct("requestId").alias("requests"), F.count("score").alias("n_scores"),
+        F.sum(F.expr("int(score < lo - 1e-9 OR score > hi + 1e-9)")).cast("long").alias("out_of_range"))
+    lists = coldstart.recommend_new(scores, c.items, 10).select(
+        F.col("requestId").alias("userId"), "rank", "movieId", F.col("score").alias("rating"))
+    none_seen = c.ratings.select("userId", "movieId").limit(0)
+    return found.crossJoin(_list_check(lists, none_seen).select(
+        F.col("n_rows").alias("list_rows"), "wrong_ranks"))
+
+
+@query("session_check")
+def q_session_check(c: Catalog) -> DataFrame:
+    """Known and rejected rows exactly; of the new users' rows what does not
+    depend on the model (request, path, rank)."""
+    profiles = cut_lineage(c.profiles)
+    model = coldstart.fit_genre_model(profiles, **_CHECK_FOREST)
+    out = sessions.recommend_session(c.requests, profiles, model, c.items, 10)
+    kept = [F.when(F.col("path") != "new", F.col(x)).alias(x) for x in ("movieId", "title", "score")]
+    return out.select("requestId", "userId", "path", "rank", *kept, "occupation_unseen", "reject_reason")

@@ -27,7 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

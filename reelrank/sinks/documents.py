@@ -1,4 +1,5 @@
-"""K4: one answer document per user, ``{userId, recommendations:[{movieId,title}]}``."""
+"""K4: answer documents, ``{userId, recommendations:[{movieId,title}]}`` per user or
+request, ``{movie_title, recommendations:[...]}`` per title query."""
 
 from __future__ import annotations
 
@@ -6,12 +7,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def answer_documents(ranked: DataFrame, id_col: str = "userId") -> DataFrame:
+def answer_documents(ranked: DataFrame, id_col: str = "userId", doc_col: str | None = None,
+                     doc_name: str | None = None) -> DataFrame:
     """Group ranked long rows (id, rank, movieId, title, ...) into one JSON
-    text per id, recommendations in rank order. Each group holds at most k
-    rows, so ``collect_list`` is bounded by k."""
+    text per id, recommendations in rank order. The document carries
+    ``doc_col`` (default: the id; one value per id) under ``doc_name``. Each
+    group holds at most k rows, so ``collect_list`` is bounded by k."""
+    doc_col = doc_col or id_col
     grouped = ranked.groupBy(id_col).agg(
+        F.first(doc_col).alias("_subject"),
         F.array_sort(F.collect_list(F.struct("rank", "movieId", "title"))).alias("_recs"))
     recs = F.transform("_recs", lambda r: F.struct(r["movieId"].alias("movieId"), r["title"].alias("title")))
-    doc = F.struct(F.col(id_col), recs.alias("recommendations"))
-    return grouped.select(id_col, F.to_json(doc).alias("answer"))
+    doc = F.struct(F.col("_subject").alias(doc_name or doc_col), recs.alias("recommendations"))
+    return grouped.select(id_col, F.to_json(doc, {"ignoreNullFields": "false"}).alias("answer"))
+
+
+def title_documents(ranked: DataFrame, query_col: str = "query") -> DataFrame:
+    """One document per title query, ``{movie_title, recommendations}``."""
+    return answer_documents(ranked, query_col, doc_name="movie_title")

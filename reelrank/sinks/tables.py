@@ -32,6 +32,15 @@ def publish(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwri
     return path
 
 
+def publish_sorted(df: DataFrame, path: str, by: Sequence[str], partition_by: Sequence[str] = (),
+                   fmt: str = "parquet") -> str:
+    """Write with files in global order of ``by`` (inside each value of
+    ``partition_by``): range-partitioned, so the rows of a heavy user are
+    several files, then sorted within each."""
+    keys = [*partition_by, *by]
+    return publish(df.repartitionByRange(*keys), path, fmt, partition_by=partition_by, sort_within=keys)
+
+
 def publish_checks(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """K5: ``check_name, passed, value`` rows: the table exists, and it has
     rows (value = row count). The count is a distributed aggregate."""
@@ -54,7 +63,9 @@ def publish_bucketed(df: DataFrame, name: str, path: str, bucket_col: str, bucke
     """K1 as a catalogue table bucketed by ``bucket_col`` (files under
     ``path`` on shared storage). Later aggregations and joins on that column
     read the buckets as partitions and skip their shuffle; ``buckets`` should
-    follow the data size (e.g. ``sized_settings``)."""
+    follow the data size (e.g. ``sized_settings``). A bucket is one task: a
+    user with a large share of the rows makes one bucket large; use
+    :func:`publish_sorted` for such data."""
     writer = df.write.mode("overwrite").format(fmt).option("path", path).bucketBy(buckets, bucket_col)
     if sort_within:
         writer = writer.sortBy(*sort_within)

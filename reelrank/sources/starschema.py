@@ -14,11 +14,9 @@ Rules:
   ``p_type`` values (table below); ``unknown`` = 1 when no genre is set.
 - user: a customer; age = ``round(c_acctbal / 100)``, gender from the parity
   of ``c_nationkey``, occupation = lower-case ``c_mktsegment``.
-- cold start: a customer gets a profile once they have rated at least
-  ``MIN_PROFILE_RATINGS`` items (the floor every user of the original data
-  set meets); others are new users, answered by the demographic model. Every
-  customer is still read and answered: the rule decides which path a user
-  takes, it does not shrink any input.
+- requests: two per customer, one with the customer's id and one as the form
+  sends it without an id. Whoever has a rating has a profile and is known;
+  requests without an id are answered by the demographic model.
 """
 
 from __future__ import annotations
@@ -30,7 +28,6 @@ from pyspark.sql import functions as F
 
 from reelrank.functions.genres import GENRES, UNKNOWN
 
-# --- fixed values -----------------------------------------------------------
 # Word of p_name (or value of p_type) that sets each genre flag, in genre order.
 NAME_WORD_GENRE = {
     "anvil": "action", "blue": "adventure", "bolt": "animation",
@@ -41,9 +38,6 @@ NAME_WORD_GENRE = {
     "widget": "thriller",
 }
 TYPE_GENRE = {"PROMO": "war", "STANDARD": "western"}
-# Fewest rated items for a user to get a profile.
-MIN_PROFILE_RATINGS = 20
-# --- end of fixed values ----------------------------------------------------
 
 GENRE_SOURCE = {g: ("name", w) for w, g in NAME_WORD_GENRE.items()}
 GENRE_SOURCE.update({g: ("type", t) for t, g in TYPE_GENRE.items()})
@@ -122,28 +116,18 @@ def customers_as_users(t: Tables) -> DataFrame:
     )
 
 
-def known_users(t: Tables, ratings: DataFrame) -> DataFrame:
-    """Users that build a profile: customers with at least
-    ``MIN_PROFILE_RATINGS`` rated items in the cleaned ``ratings``."""
-    enough = (
-        ratings.groupBy("userId").agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") >= MIN_PROFILE_RATINGS).select("userId")
-    )
-    return customers_as_users(t).join(enough, "userId", "left_semi")
-
-
 def session_requests(t: Tables) -> DataFrame:
-    """One recommendation request per customer, as text fields of a form:
-    the user's id and the demographic fields. Whether the user is known is
-    decided by the profile lookup, as in the original. Text is left as typed
-    (lower-case gender, capitalised occupation) for the normaliser to fix.
-    Customers with a negative balance leave the age field empty, so those
-    among the new users are incomplete and must be rejected.
+    """Two recommendation requests per customer, as text fields of a form: the
+    demographic fields with the user's id (even ``requestId``) and without it
+    (odd). Whether a user is known is decided by the profile lookup. Text is
+    left as typed (lower-case gender, capitalised occupation) for the
+    normaliser to fix. Customers with a negative balance leave the age field
+    empty, so their request without an id is incomplete and must be rejected.
     """
     c = t.table("customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    return c.select(
-        F.col("c_custkey").alias("requestId"),
-        F.col("c_custkey").cast("string").alias("userId"),
+    return c.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_anonymous")).select(
+        (F.col("c_custkey") * 2 + F.col("_anonymous")).alias("requestId"),
+        F.when(F.col("_anonymous") == 0, F.col("c_custkey").cast("string")).alias("userId"),
         F.when(F.col("c_nationkey") % 2 == 0, "m").otherwise("f").alias("gender"),
         F.initcap("c_mktsegment").alias("occupation"),
         F.when(F.col("c_acctbal") >= 0, F.round(F.col("c_acctbal") / 100).cast("int").cast("string"))
