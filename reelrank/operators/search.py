@@ -87,6 +87,7 @@ def title_candidates(postings: DataFrame, weights: DataFrame, doc_freq: DataFram
         queries.select(query_col, F.posexplode(tokens(query_col)).alias("_p", "token"))
         .groupBy(query_col, "token").agg(F.countDistinct("_p").alias("qtf"))
     )
+    qtok = cut_lineage(qtok)  # read by both kinds of candidates and by the scoring
     commonest = Window.partitionBy(query_col).orderBy(F.col("n_t").desc(), F.col("token").asc())
     ranked_tokens = qtok.join(doc_freq, "token").withColumn("_c", F.row_number().over(commonest))
     rare = ranked_tokens.filter(F.col("_c") > 1).select(query_col, "token")

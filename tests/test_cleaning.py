@@ -82,3 +82,18 @@ def test_long_profile_matches_wide(spark, sf_small):
     s1 = wide.agg(F.round(F.sum("avg"), 6)).first()[0]
     s2 = long.agg(F.round(F.sum("avg_rating"), 6)).first()[0]
     assert s1 == s2
+
+
+def test_damaged_duplicate_never_wins(spark):
+    sound = [1, "A title", None, None, None, "0", "1"] + ["0"] * 17
+    damaged = [1, None, None, None, None, "0", "x"] + ["0"] * 17
+    df = spark.createDataFrame([damaged, sound, damaged], ITEMS_SCHEMA)
+    row = cleaning.clean_items(df).first()
+    assert (row.title, row.action, row.invalid_flags) == ("A title", 1, 0)
+    raw = cleaning.dedup_items(df).collect()
+    assert len(raw) == 1 and raw[0].title == "A title"
+
+
+def test_user_with_fewest_nulls_wins(spark):
+    us = fx.users(spark, [(7, None, "F", None, "z"), (7, 30, "M", "writer", "a"), (7, 30, None, "writer", "a")])
+    assert tuple(cleaning.dedup_users(us).first()) == (7, 30, "M", "writer", "a")

@@ -152,3 +152,17 @@ def test_encoder_gives_known_levels_a_slot_and_unseen_all_zeros(spark, catalog):
     assert all(len(v) == len(vocab["occupation"]) for v in vecs)
     assert sorted(v.index(1.0) for v in known) == list(range(len(vocab["occupation"])))
     assert unseen == [0.0] * len(vocab["occupation"])
+
+
+def test_target_fill_drop_learns_from_raters_of_the_genre_only(spark):
+    cols = ", ".join(f"{c} double" for c in PROFILE_COLUMNS)
+    rows = [(u, 20 + u, "M", "writer", *([4.0 if u % 2 else None] + [None] * 17)) for u in range(40)]
+    profiles = spark.createDataFrame(rows, "userId long, age int, gender string, occupation string, " + cols)
+    ask = spark.createDataFrame([(1, 30, "M", "writer")], "requestId long, age int, gender string, occupation string")
+    got = {fill: coldstart.predict_genre_scores(
+        coldstart.fit_genre_model(profiles, num_trees=3, max_depth=4, target_fill=fill), ask).first()
+        for fill in ("zero", "drop")}
+    assert got["drop"].pred_action == 4.0 and got["zero"].pred_action < 4.0
+    assert got["drop"].pred_war == 0.0  # nobody rated it
+    with pytest.raises(ValueError):
+        coldstart.fit_genre_model(profiles, target_fill="mean")

@@ -69,3 +69,23 @@ def test_hot_groups_are_limited_map_side(spark, sf_small):
     assert partial_for(search_plan, "shape")  # k smallest ids per title shape
     ranking_plan = plan(queries()["recommend_known"](spark, sf_small))
     assert partial_for(ranking_plan, "mask")  # k smallest ids per genre mask
+
+
+def scans(p: str, table: str) -> int:
+    return len(re.findall(rf"FileScan parquet [^\n]*{table}\.parquet", p))
+
+
+def test_profiles_read_the_fact_table_once(spark, sf_small):
+    for name in ("user_genre_profile", "rating_facts", "recommend_known"):
+        assert scans(plan(queries()[name](spark, sf_small)), "lineitem") == 1
+
+
+def test_ranking_never_shuffles_by_mask(spark, sf_small):
+    p = plan(queries()["recommend_known"](spark, sf_small))
+    product = p[:p.index("BroadcastNestedLoopJoin")]
+    assert "hashpartitioning(mask" not in product  # only the mask table itself is grouped by mask, below
+
+
+def test_title_search_reads_the_index_once(spark, sf_small):
+    # the written index replaces the table in every branch but the final titles
+    assert scans(plan(queries()["title_search"](spark, sf_small)), "part") <= 2

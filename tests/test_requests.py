@@ -26,3 +26,14 @@ def test_reject_reasons_and_normalisation(spark):
     assert out["e"].reject_reason == "userId is not a number"
     assert out["f"].reject_reason is None and not out["f"].is_known
     assert out["g"].reject_reason == "missing for a new user: gender, occupation"
+
+
+def test_every_customer_asks_with_and_without_an_id(spark, sf_small):
+    from reelrank.plans.catalog import Catalog
+
+    c = Catalog(spark, sf_small)
+    out = classify_requests(c.requests, c.profiles)
+    n = c.all_users.count()
+    assert out.count() == 2 * n
+    assert out.filter("userId IS NULL").count() == n
+    assert out.filter("is_known").count() == c.profiles.count() == c.ratings.select("userId").distinct().count()

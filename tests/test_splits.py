@@ -72,3 +72,27 @@ def test_two_leave_n_out_sets_are_disjoint_with_ten_per_user(spark, sf_small):
     assert got.filter(F.col("count") != F.least(F.col("n"), F.lit(10))).count() == 0
     got_b = ub.groupBy("userId").count().join(per_user, "userId")
     assert got_b.filter(F.col("count") != F.least(F.col("n") - 10, F.lit(10))).count() == 0
+
+
+def test_hash_split_of_long_and_negative_ids(spark):
+    big = 9_223_372_036_854_775_807
+    rows = [(u, m, 3, 1) for u in (big, 9_300_000_000_000, -big, 0) for m in (big, -5, 7)]
+    got = {(r.userId, r.movieId): r.split for r in splits.split_hash(fx.ratings(spark, rows)).collect()}
+    assert len(got) == 12 and set(got.values()) <= {"train", "test"}
+
+
+def test_hash_split_tells_residue_twins_apart(spark):
+    rows = [(u, m, 3, 1) for u in (1, 101, 201, 301) for m in range(400)]
+    split = splits.split_hash(fx.ratings(spark, rows)).collect()
+    tests = {u: {r.movieId for r in split if r.userId == u and r.split == "test"} for u in (1, 101, 201, 301)}
+    assert len({frozenset(t) for t in tests.values()}) == 4
+
+
+def test_evaluation_sets_cover_every_rating_once_each(spark):
+    r = fx.ratings(spark, [(u, m, 3, 10 * u + m) for u in range(7) for m in range(25)])
+    sets = splits.evaluation_sets(r, k=5, n=10)
+    counts = {(x.set_name, x.part): x["count"] for x in sets.groupBy("set_name", "part").count().collect()}
+    for name in ("u1", "u2", "u3", "u4", "u5", "ua", "ub"):
+        assert counts[name, "base"] + counts[name, "test"] == 175
+    assert sum(counts[f"u{i}", "test"] for i in range(1, 6)) == 175
+    assert counts["ua", "test"] == counts["ub", "test"] == 70
