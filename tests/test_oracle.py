@@ -4,17 +4,17 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from reelrank.plans.oracle import SQL
+from reelrank.plans.queries import QUERIES
 from tests.oracle import compare, duck
 
-SLOW = {"coldstart_genre_scores", "recommend_new", "recommend_session"}
-
 
 @pytest.fixture(scope="module")
 def con(sf_small):
     return duck(sf_small)
 
 
-@pytest.mark.parametrize("key", sorted(oracle_sql()))
+@pytest.mark.parametrize("key", sorted(SQL))
 def test_query_matches_duckdb(spark, sf_small, con, key):
     ok, msg = compare(queries()[key](spark, sf_small), oracle_sql()[key], con)
     assert ok, msg
@@ -30,6 +30,6 @@ def test_entry_runs(spark):
     assert "avg_rating" in df.columns
 
 
-@pytest.mark.parametrize("key", sorted(set(queries()) - set(oracle_sql()) - SLOW))
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(SQL)))
 def test_rows_only_queries_run(spark, sf_small, key):
     assert queries()[key](spark, sf_small).count() > 0
