@@ -26,7 +26,7 @@ LITERALS = 2
 #: Rows of benchmark windows (or candidates) sent to every executor at most: 20 to 40 bytes each.
 BROADCAST_ROWS = 1_000_000
 
-_TOKEN = r"[0-9]+(?:[.,:/][0-9]+)*|\p{Lu}[\p{L}\p{M}]*(?: \p{Lu}[\p{L}\p{M}]*)*|[\p{L}\p{M}]+|[%$€£°]"
+TOKEN = r"[0-9]+(?:[.,:/][0-9]+)*|\p{Lu}[\p{L}\p{M}]*(?: \p{Lu}[\p{L}\p{M}]*)*|[\p{L}\p{M}]+|[%$€£°]"
 UNITS = ["%", "$", "€", "£", "°", "mm", "cm", "dm", "m", "km", "mg", "g", "kg", "t", "ml", "cl", "l", "s", "sec",
          "min", "h", "hr", "hz", "w", "kw", "v", "kb", "mb", "gb", "usd", "eur", "inch", "inches", "foot", "feet",
          "yard", "yards", "mile", "miles", "ounce", "ounces", "pound", "pounds", "gram", "grams", "kilogram",
@@ -37,7 +37,7 @@ UNITS = ["%", "$", "€", "£", "°", "mm", "cm", "dm", "m", "km", "mg", "g", "k
 
 
 def raw_tokens(text: str | Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
 def _is_number(token: Column) -> Column:

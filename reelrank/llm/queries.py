@@ -75,7 +75,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _BLANK = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
 
+def _template_sql(raw: str) -> str:
+    units = ", ".join(f"'{u}'" for u in decontam.UNITS)
+    return f"""list_transform({raw}, lambda x, i: CASE
+      WHEN x IN ({units}) AND i > 1 AND {raw}[i - 1] >= '0' AND {raw}[i - 1] < ':' THEN '<u>'
+      WHEN x >= '0' AND x < ':' THEN '<n>' WHEN lower(x) <> x THEN '<a>' ELSE x END)"""
+
+
 SQL: dict[str, str] = {
+    "op1_decontamination": f"""
+WITH item AS (SELECT *, {_template_sql("r")} AS t FROM (
+    SELECT row_number() OVER () AS b, item_id, regexp_extract_all(text, '{decontam.TOKEN}') AS r
+    FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL))),
+item_window AS (SELECT b, item_id, i AS ipos, t[i:i + 4] AS w, count(*) OVER (PARTITION BY b) AS n
+  FROM (SELECT *, unnest(range(1, len(t) - 3)) AS i FROM item)
+  WHERE len(list_filter(t[i:i + 4], lambda x: NOT starts_with(x, '<'))) >= 2),
+doc AS (SELECT *, {_template_sql("r")} AS t FROM (
+    SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(text, '{decontam.TOKEN}') AS r
+    FROM (SELECT DISTINCT doc_id, text FROM documents))),
+doc_window AS (SELECT d, i AS dpos, t[i:i + 4] AS w FROM (SELECT d, t, unnest(range(1, len(t) - 3)) AS i FROM doc)),
+hit AS (SELECT DISTINCT d, b, n, dpos - ipos AS diag, ipos FROM doc_window JOIN item_window USING (w)),
+run AS (SELECT d, b, diag, list(ipos) AS places, count(*) / n AS containment FROM hit
+  GROUP BY d, b, diag, n HAVING count(*) / n >= 0.8),
+covered AS (SELECT DISTINCT d, b, diag, p + k AS i FROM (SELECT *, unnest(places) AS p FROM run), range(0, 5) v(k)),
+slot AS (SELECT DISTINCT c.d, c.b, c.diag, item.t[c.i] AS kind, regexp_replace(item.r[c.i], '^.* ', '') AS a,
+    regexp_replace(doc.r[c.i + c.diag], '^.* ', '') AS v
+  FROM covered c JOIN item USING (b) JOIN doc USING (d)
+  WHERE starts_with(item.t[c.i], '<') AND item.t[c.i] = doc.t[c.i + c.diag]),
+filled AS (SELECT d, b, diag, count(*) AS n_slots, count(DISTINCT (kind, a)) AS n_values FROM slot GROUP BY d, b, diag),
+judged AS (SELECT doc_id, item_id, containment, coalesce(n_slots, 0) AS n_slots,
+    coalesce(n_values / n_slots, 1.0) AS slot_consistency
+  FROM run LEFT JOIN filled USING (d, b, diag) JOIN item USING (b) JOIN doc USING (d)),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id
+    ORDER BY containment DESC, slot_consistency DESC, n_slots DESC) AS rn FROM judged WHERE slot_consistency >= 0.8)
+SELECT doc_id, item_id, containment, n_slots, slot_consistency FROM best WHERE rn = 1""",
+    "op2_substring_dedup": r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+word AS (SELECT doc_id, i, ws[i] AS word FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM doc)),
+start AS (SELECT doc_id, s, ws[s:s + 19] AS k FROM (SELECT *, unnest(range(1, len(ws) - 18)) AS s FROM doc)),
+copy AS (SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS rn FROM start) WHERE rn > 1),
+gone AS (SELECT DISTINCT doc_id, s + j AS i FROM copy, range(0, 20) v(j)),
+marked AS (SELECT w.doc_id, w.i, w.word, g.i IS NOT NULL AS gone FROM word w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i),
+counted AS (SELECT doc_id, count(*) AS n_words, sum(gone::int) AS n_removed,
+    string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept, sum(starts::int) AS n_repeats
+  FROM (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS starts FROM marked)
+  GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256, coalesce(n_repeats, 0)::BIGINT AS n_repeats
+FROM documents LEFT JOIN counted USING (doc_id)""",
     "op8_line_dedup": f"""
 WITH parts AS (SELECT doc_id, text, string_split(text, chr(10)) AS p FROM documents),
 lines AS (SELECT doc_id, i, p[i] AS line, trim(p[i], {_BLANK}) AS t
