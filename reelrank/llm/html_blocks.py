@@ -36,7 +36,7 @@ class Block:
 
 
 def _element_features(tag: str, attributes: str) -> tuple[str, ...]:
-    names = [f"in:{tag}"]
+    names = [] if tag in ("html", "body") else [f"in:{tag}"]  # all pages have these or imply them
     if attributes:
         for match in _NAMES.finditer(attributes):
             names += [f"name:{p}" for p in _PART.findall((match[1] or match[2] or match[3] or "").lower())]

@@ -108,10 +108,10 @@ def redesign(content: list[str], other: list[str], rng: random.Random) -> list[t
         body.append(f"<{shape}>{say(text)}</{shape}>")
         if rng.random() < 0.06:
             body.append(boilerplate(True))
-    page = "<body>" + "".join(boilerplate(False) for _ in range(rng.randint(1, 5)))
+    page = "<body>" + "".join(boilerplate(False) for _ in range(rng.randint(0, 4)))
     page += rng.choice(["", '<div class="wrapper">', '<div id="container">', "<main>"])
     page += f"<{tag}" + (f' class="{names}"' if names else "") + ">" + "".join(body) + f"</{tag}>"
-    page += "".join(boilerplate(False) for _ in range(rng.randint(1, 4)))
+    page += "".join(boilerplate(False) for _ in range(rng.randint(0, 4)))
     found, depth = [], 0
     for block in blocks(page):
         # marks tell which side a block is on; they are no part of its features
