@@ -93,10 +93,12 @@ def _bounded(df: DataFrame) -> DataFrame:
 def candidates(docs: DataFrame, windows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, h, item_id, item_h, diag, places, containment) of diagonals that
     cover enough of an item."""
-    hashes = F.transform(_template(raw_tokens("text")), lambda t: F.xxhash64(t))
-    hashed = _rows(docs).select("doc_id", "h", hashes.alias("t"))
+    tokens = _rows(docs).select("doc_id", "h", raw_tokens("text").alias("raw"))
+    hashed = tokens.select("doc_id", "h", F.transform(_template(F.col("raw")), lambda t: F.xxhash64(t)).alias("t"))
     starts = F.transform(_starts("t"), lambda i: F.xxhash64(*[F.get("t", i + k) for k in range(WINDOW)]))
-    seen = hashed.select("doc_id", "h", F.posexplode(starts).alias("dpos", "w"))
+    # The outer form: for the plain one Spark infers a filter on the array's size and, pushing it
+    # down, would make the tokens anew for each window. Its null rows join nothing.
+    seen = hashed.select("doc_id", "h", F.posexplode_outer(starts).alias("dpos", "w"))
     hits = seen.join(_bounded(windows), "w").withColumn("diag", F.col("dpos") - F.col("ipos"))
     runs = hits.groupBy("doc_id", "h", "item_id", "item_h", "n_windows", "diag").agg(
         F.collect_set("ipos").alias("places"))
