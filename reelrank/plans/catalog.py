@@ -83,13 +83,14 @@ class FileCatalog(Catalog):
         input, and item flags that are neither 0 nor 1. Such rows are dropped
         or such flags nulled, so these checks inform and always pass."""
         ratings, items_path, users, encoding = self._paths
-        inputs = {"corrupt_ratings": (files.read_ratings(self.spark, ratings), "userId"),
-                  "corrupt_items": (files.read_items(self.spark, items_path, encoding=encoding), "movieId")}
+        inputs = {"corrupt_ratings": files.read_ratings(self.spark, ratings),
+                  "corrupt_items": files.read_items(self.spark, items_path, encoding=encoding)}
         if users is not None:
-            inputs["corrupt_users"] = (files.read_users(self.spark, users), "userId")
-        counts = [df.agg(F.count(files.CORRUPT).alias("value"), F.count(key).alias("_parsed")).select(
-            F.lit(name).alias("check_name"), F.lit(True).alias("passed"), "value")
-            for name, (df, key) in inputs.items()]
+            inputs["corrupt_users"] = files.read_users(self.spark, users)
+        # A text reader parses only the columns it is asked for, so all are read along.
+        counts = [df.agg(F.count(F.when(F.col(files.CORRUPT).isNotNull(), F.xxhash64(*df.columns))).alias("value"))
+                  .select(F.lit(name).alias("check_name"), F.lit(True).alias("passed"), "value")
+                  for name, df in inputs.items()]
         flags = cleaning.cast_flags(self.items_raw).agg(F.sum("invalid_flags").cast("long").alias("value")).select(
             F.lit("invalid_flags").alias("check_name"), F.lit(True).alias("passed"), "value")
         return reduce(DataFrame.unionByName, [*counts, flags])
