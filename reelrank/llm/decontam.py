@@ -3,13 +3,17 @@
 Texts become sequences of template tokens: numbers, names (runs of words that
 hold a capital) and units after a number are replaced with typed placeholders,
 other words are lower case, punctuation goes. Windows of five template tokens
-are hashed and joined, the benchmark's windows with the documents'. Matches of
-one item in one document on one diagonal (place in the document less place in
-the item) are counted; where they cover at least 0.8 of the item's windows,
-the original values behind the placeholders are laid side by side, and the
-item is reported if its slots are filled consistently: each value of the
-item always stands opposite the same value of the document. An exact copy
-fills every slot with itself; a re-parameterised question fills them anew.
+are hashed and joined, the benchmark's windows with the documents'. Distinct
+windows of one item in a bounded stretch of one document are counted, over
+neighbouring diagonals (place in the document less place in the item), so that
+a word more or less does not split an item. Where they cover at least 0.8 of
+the item's windows, the original values behind the placeholders are laid side
+by side, each on the diagonal of its window, and the item is reported if its
+slots are filled consistently: each value of the item always stands opposite
+the same value of the document. An exact copy fills every slot with itself; a
+re-parameterised question fills them anew. Capitals decide what is a name, so
+all of this is done once more with texts and items in lower case, where names
+are plain words: that finds copies whose capitals were changed.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ WINDOW = 5
 THRESHOLD = 0.8
 #: A window tells texts apart only if it holds so many words that are no placeholder.
 LITERALS = 2
+#: Diagonals at most half an item apart (so many tokens at least) count together.
+MARGIN = 8
 #: Rows of benchmark windows (or candidates) sent to every executor at most: 20 to 40 bytes each.
 BROADCAST_ROWS = 1_000_000
 
@@ -65,15 +71,23 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
 
 
+def _readings(raw: str) -> Column:
+    """Array of the raw tokens as they stand, and those of the text in lower case."""
+    folded = F.flatten(F.transform(raw, lambda t: F.split(F.lower(t), " ")))
+    return F.array(F.col(raw), folded)
+
+
 def item_templates(benchmark: DataFrame) -> DataFrame:
-    """item_id, raw, tpl of each distinct benchmark row with a text."""
+    """item_id, fold (0: as it stands, 1: in lower case), raw, tpl, h of each
+    distinct benchmark row with a text."""
     raw = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
            .filter("item_id is not null and text is not null").withColumn("raw", raw_tokens("text")))
-    return raw.withColumn("tpl", _template(F.col("raw"))).withColumn("h", F.xxhash64("text")).drop("text")
+    read = raw.select("item_id", F.xxhash64("text").alias("h"), F.posexplode(_readings("raw")).alias("fold", "raw"))
+    return read.withColumn("tpl", _template(F.col("raw")))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item_id, item_h, ipos, w, n_windows): the informative windows of each item."""
+    """(item_id, item_h, fold, n_windows, margin, ipos, w): the informative windows of each item."""
     literal = F.transform("tpl", lambda t: F.when(t.startswith("<"), 0).otherwise(1))
     each = F.transform(_starts("tpl"), lambda i: F.struct(
         i.alias("ipos"),
@@ -81,8 +95,10 @@ def item_windows(items: DataFrame) -> DataFrame:
         sum((F.get("lit", i + k) for k in range(WINDOW)), F.lit(0)).alias("words")))
     informative = F.filter(each, lambda x: x["words"] >= LITERALS)
     found = items.withColumn("lit", literal).withColumn("ws", informative)
-    return found.select("item_id", F.col("h").alias("item_h"), F.size("ws").alias("n_windows"),
-                        F.explode("ws").alias("e")).select("item_id", "item_h", "n_windows", "e.ipos", "e.w")
+    margin = F.greatest(F.lit(MARGIN), F.floor(F.size("tpl") / 2).cast("int"))
+    keys = ["item_id", "item_h", "fold", "n_windows", "margin"]
+    return found.select("item_id", F.col("h").alias("item_h"), "fold", F.size("ws").alias("n_windows"),
+                        margin.alias("margin"), F.explode("ws").alias("e")).select(*keys, "e.ipos", "e.w")
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -91,26 +107,45 @@ def _bounded(df: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, windows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, h, item_id, item_h, diag, places, containment) of diagonals that
-    cover enough of an item."""
+    """(doc_id, h, item_id, item_h, fold, containment, straight, steps) of the places
+    that cover enough of an item. ``steps`` are the diagonals used, (-windows,
+    diag, places), the one with most windows first; ``straight`` is a place on
+    one diagonal of the text as it stands."""
     tokens = _rows(docs).select("doc_id", "h", raw_tokens("text").alias("raw"))
-    hashed = tokens.select("doc_id", "h", F.transform(_template(F.col("raw")), lambda t: F.xxhash64(t)).alias("t"))
+    read = tokens.select("doc_id", "h", F.posexplode_outer(_readings("raw")).alias("fold", "raw"))
+    hashed = read.select("doc_id", "h", "fold", F.transform(_template(F.col("raw")), lambda t: F.xxhash64(t)).alias("t"))
     starts = F.transform(_starts("t"), lambda i: F.xxhash64(*[F.get("t", i + k) for k in range(WINDOW)]))
     # The outer form: for the plain one Spark infers a filter on the array's size and, pushing it
     # down, would make the tokens anew for each window. Its null rows join nothing.
-    seen = hashed.select("doc_id", "h", F.posexplode_outer(starts).alias("dpos", "w"))
-    hits = seen.join(_bounded(windows), "w").withColumn("diag", F.col("dpos") - F.col("ipos"))
-    runs = hits.groupBy("doc_id", "h", "item_id", "item_h", "n_windows", "diag").agg(
-        F.collect_set("ipos").alias("places"))
-    return (runs.withColumn("containment", F.size("places") / F.col("n_windows"))
-            .filter(F.col("containment") >= threshold).drop("n_windows"))
+    seen = hashed.select("doc_id", "h", "fold", F.posexplode_outer(starts).alias("dpos", "w"))
+    hits = seen.join(_bounded(windows), ["w", "fold"]).withColumn("diag", F.col("dpos") - F.col("ipos"))
+    # Bands of two margins overlap by one: diagonals a margin apart meet in one of them.
+    low = F.floor(F.col("diag") / F.col("margin"))
+    bands = hits.withColumn("band", F.explode(F.array(low - 1, low))).groupBy(
+        "doc_id", "h", "item_id", "item_h", "fold", "n_windows", "band").agg(
+        F.collect_set(F.struct("diag", "ipos")).alias("hits"))
+    covering = bands.filter(F.size(F.array_distinct("hits.ipos")) / F.col("n_windows") >= threshold)
+
+    def step(diag: Column) -> Column:
+        places = F.transform(F.filter("hits", lambda x: x["diag"] == diag), lambda x: x["ipos"])
+        return F.struct((-F.size(places)).alias("neg"), diag.alias("diag"), F.array_sort(places).alias("places"))
+
+    steps = covering.withColumn("steps", F.array_sort(F.transform(F.array_distinct("hits.diag"), step)))
+    ways = F.concat(F.transform("steps", lambda s: F.array(s)),
+                    F.when(F.size("steps") > 1, F.array("steps")).otherwise(F.array().cast(f"array<{steps.schema['steps'].dataType.simpleString()}>")))
+    each = steps.select("doc_id", "h", "item_id", "item_h", "fold", "n_windows", F.explode(ways).alias("steps"))
+    places = F.array_distinct(F.flatten("steps.places"))
+    return (each.withColumn("containment", F.size(places) / F.col("n_windows"))
+            .withColumn("straight", (F.size("steps") == 1) & (F.col("fold") == 0))
+            .filter(F.col("containment") >= threshold).drop("n_windows").distinct())
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs (doc_id, text), benchmark (item_id, text) -> doc_id, item_id,
     containment, n_slots, slot_consistency: each document and item found in it.
 
-    Of several places the best counts. Texts or items that are null, empty or
+    Of several places the best counts; places on one diagonal of the text as it
+    stands come first. Texts or items that are null, empty or
     shorter than a window, and items without an informative window, match
     nothing. Rows equal in doc_id and text are one document; equal benchmark
     rows are one item. A null doc_id is reported as null. Columns other than
@@ -125,23 +160,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     mine = (texts.alias("t").join(_bounded(keys).alias("k"), (F.col("t.h") == F.col("k.h"))
                                   & F.col("t.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
             .dropDuplicates(["doc_id", "h"]).withColumn("draw", raw_tokens("text")))
-    mine = mine.select("doc_id", "h", "draw", _template(F.col("draw")).alias("dtpl"))
-    both = (found.alias("f").join(mine.alias("m"), (F.col("f.h") == F.col("m.h"))
+    mine = mine.select("doc_id", "h", F.posexplode(_readings("draw")).alias("fold", "draw"))
+    mine = mine.withColumn("dtpl", _template(F.col("draw")))
+    both = (found.alias("f").join(mine.alias("m"), (F.col("f.h") == F.col("m.h")) & (F.col("f.fold") == F.col("m.fold"))
                                   & F.col("f.doc_id").eqNullSafe(F.col("m.doc_id")))
             .select("f.*", "m.draw", "m.dtpl")
-            .join(items.withColumnRenamed("h", "item_h"), ["item_id", "item_h"]))
-    covered = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + WINDOW - 1))))
+            .join(items.withColumnRenamed("h", "item_h"), ["item_id", "item_h", "fold"]))
+
+    def add(tokens: Column, step: Column) -> Column:
+        """Tokens that a step covers and no earlier one does, each with its diagonal."""
+        mine = F.array_distinct(F.flatten(F.transform(step["places"], lambda p: F.sequence(p, p + (WINDOW - 1)))))
+        new = F.array_except(mine, F.transform(tokens, lambda t: t["i"]))
+        return F.concat(tokens, F.transform(new, lambda i: F.struct(i.alias("i"), step["diag"].alias("diag"))))
+
+    covered = F.aggregate("steps", F.array().cast("array<struct<i:int,diag:int>>"), add)
     last_word = r"^.* "  # of a run of capitals, what stands beside the passage may have joined it
     pairs = F.transform(
-        F.filter(covered, lambda i: F.get("tpl", i).startswith("<") & (F.get("tpl", i) == F.get("dtpl", i + F.col("diag")))),
-        lambda i: F.struct(F.get("tpl", i).alias("kind"), F.regexp_replace(F.get("raw", i), last_word, "").alias("a"),
-                           F.regexp_replace(F.get("draw", i + F.col("diag")), last_word, "").alias("b")))
+        F.filter(covered, lambda c: F.get("tpl", c["i"]).startswith("<")
+                 & (F.get("tpl", c["i"]) == F.get("dtpl", c["i"] + c["diag"]))),
+        lambda c: F.struct(F.get("tpl", c["i"]).alias("kind"), F.regexp_replace(F.get("raw", c["i"]), last_word, "").alias("a"),
+                           F.regexp_replace(F.get("draw", c["i"] + c["diag"]), last_word, "").alias("b")))
     judged = both.withColumn("pairs", F.array_distinct(pairs))
     values = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["a"])))
     consistency = F.when(F.size("pairs") == 0, 1.0).otherwise(F.size(values) / F.size("pairs"))
-    judged = judged.select("doc_id", "item_id", "containment", F.size("pairs").alias("n_slots"),
+    judged = judged.select("doc_id", "item_id", "straight", "containment", F.size("pairs").alias("n_slots"),
                            consistency.alias("slot_consistency")).filter(F.col("slot_consistency") >= threshold)
-    best = F.max(F.struct("containment", "slot_consistency", "n_slots")).alias("b")
+    best = F.max(F.struct("straight", "containment", "slot_consistency", "n_slots")).alias("b")
     return judged.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "b.containment", F.col("b.n_slots").cast("long").alias("n_slots"), "b.slot_consistency")
 

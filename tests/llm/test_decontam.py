@@ -97,3 +97,20 @@ def test_main_path_is_native(spark, sf_small):
     bench = spark.read.parquet(f"{sf_small}/benchmark.parquet")
     plan = decontam.contaminated(docs, bench)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_inserted_deleted_and_refilled_words(frame, sentence):
+    words = (ITEM + " Then the Bank of America paid $5 for each of the tickets that were sold on the way to the coast by the sea").split()
+    item, at = " ".join(words), len(words) // 2
+    edits = {
+        1: " ".join(words[:at] + ["really"] + words[at:]),
+        2: " ".join(words[:at] + words[at + 1:]),
+        3: item.replace("Bank of America", "Google"),
+        4: item.replace("$5", "5 dollars"),
+        5: item.lower(),
+        6: item.upper(),
+        7: " ".join(words[:at] + ["really"] + words[at:]).lower(),
+    }
+    docs = [(k, f"{sentence(k, 60)}. {text} {sentence(50 + k, 60)}") for k, text in edits.items()]
+    far = " ".join(words[:at]) + " " + sentence(80, 300) + " " + " ".join(words[at:])
+    assert found(frame, [*docs, (8, far), (9, " ".join(words[:at]))], [(1, item)]) == [(k, 1) for k in edits]
