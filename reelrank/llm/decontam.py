@@ -140,17 +140,9 @@ def candidates(docs: DataFrame, windows: DataFrame, threshold: float = THRESHOLD
             .filter(F.col("containment") >= threshold).drop("n_windows").distinct())
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs (doc_id, text), benchmark (item_id, text) -> doc_id, item_id,
-    containment, n_slots, slot_consistency: each document and item found in it.
-
-    Of several places the best counts; places on one diagonal of the text as it
-    stands come first. Texts or items that are null, empty or
-    shorter than a window, and items without an informative window, match
-    nothing. Rows equal in doc_id and text are one document; equal benchmark
-    rows are one item. A null doc_id is reported as null. Columns other than
-    those named are not read.
-    """
+def _judged(docs: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame:
+    """doc_id, h (hash of the text), item_id and the figures of every place that
+    holds an item with its slots filled consistently."""
     items = materialise(item_templates(benchmark), "items")
     windows = materialise(item_windows(items), "item-windows")
     found = materialise(candidates(docs, windows, threshold), "leaks")
@@ -183,15 +175,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     judged = both.withColumn("pairs", F.array_distinct(pairs))
     values = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["a"])))
     consistency = F.when(F.size("pairs") == 0, 1.0).otherwise(F.size(values) / F.size("pairs"))
-    judged = judged.select("doc_id", "item_id", "straight", "containment", F.size("pairs").alias("n_slots"),
-                           consistency.alias("slot_consistency")).filter(F.col("slot_consistency") >= threshold)
+    return judged.select("doc_id", "h", "item_id", "straight", "containment", F.size("pairs").alias("n_slots"),
+                         consistency.alias("slot_consistency")).filter(F.col("slot_consistency") >= threshold)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """docs (doc_id, text), benchmark (item_id, text) -> doc_id, item_id,
+    containment, n_slots, slot_consistency: each document and item found in it.
+
+    Of several places the best counts; places on one diagonal of the text as it
+    stands come first. Texts or items that are null, empty or
+    shorter than a window, and items without an informative window, match
+    nothing. Rows equal in doc_id and text are one document; equal benchmark
+    rows are one item. A null doc_id is reported as null. Columns other than
+    those named are not read.
+    """
+    judged = _judged(docs, benchmark, threshold)
     best = F.max(F.struct("straight", "containment", "slot_consistency", "n_slots")).alias("b")
     return judged.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "b.containment", F.col("b.n_slots").cast("long").alias("n_slots"), "b.slot_consistency")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item was found."""
-    dirty = materialise(contaminated(docs, benchmark, threshold).select("doc_id").distinct(), "dirty")
-    dirty = dirty.select(F.col("doc_id").alias("_dirty"))
-    return docs.join(_bounded(dirty), docs["doc_id"].cast("long").eqNullSafe(dirty["_dirty"]), "left_anti")
+    """The rows of ``docs`` in which no benchmark item was found. Rows are told
+    apart by doc_id and text, so a clean text stays beside a dirty one of its id."""
+    dirty = materialise(_judged(docs, benchmark, threshold).select("doc_id", "h").distinct(), "dirty")
+    dirty = dirty.select(F.col("doc_id").alias("_dirty"), F.col("h").alias("_dirty_h"))
+    return docs.join(_bounded(dirty), (F.xxhash64(docs["text"]) == dirty["_dirty_h"])
+                     & docs["doc_id"].cast("long").eqNullSafe(dirty["_dirty"]), "left_anti")

@@ -114,3 +114,9 @@ def test_inserted_deleted_and_refilled_words(frame, sentence):
     docs = [(k, f"{sentence(k, 60)}. {text} {sentence(50 + k, 60)}") for k, text in edits.items()]
     far = " ".join(words[:at]) + " " + sentence(80, 300) + " " + " ".join(words[at:])
     assert found(frame, [*docs, (8, far), (9, " ".join(words[:at]))], [(1, item)]) == [(k, 1) for k in edits]
+
+
+def test_clean_tells_rows_of_one_id_apart(frame):
+    docs = [(None, ITEM), (None, "nothing here"), (None, None), (1, ITEM), (1, "nothing there"), (1, ITEM)]
+    kept = decontam.clean(frame(docs), frame([(10, ITEM)], BENCH))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([docs[1], docs[2], docs[4]], key=str)
