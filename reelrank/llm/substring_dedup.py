@@ -5,14 +5,15 @@ windows the later one is a copy, and the words it covers are removed. Every
 window holds at least one whole reference block: ``block = window // 2``
 words at a position divisible by ``block``. So:
 
-1. Index and probe. Documents are dealt into batches by doc_id. Each batch
+1. Index and probe. Rows are dealt into batches by doc_id, text and place, so
+   that rows of one doc_id, equal ones too, lie in several. Each batch
    sends the hash of its rolling ``block``-word windows to the hash's bucket,
    once each, marked where one of them is a reference block or occurs twice
    in the batch. A bucket answers with one bit per hash: is it a hit, that is,
    a reference block that occurs somewhere else as well?
 2. Extend. Windows without a hit are unique. For the others the batch sends
-   the hash of the whole window, with the earliest document that has it in the
-   batch, and the bucket answers with one bit: is that the earliest copy of
+   the hash of the whole window, with the doc_id and tie-break of the earliest
+   row that has it in the batch, and the bucket answers with one bit: is that the earliest copy of
    all? Neighbouring copies join to maximal repeats.
 
 Only hashes and bits travel, as packed arrays of a batch and a bucket; a
@@ -36,6 +37,8 @@ WINDOW = 20
 BATCH_BYTES = 4 << 20
 
 _U = np.uint64
+#: Order of rows of one doc_id: the first eight bytes of the text, then its hash.
+_TIE = np.dtype([("head", "<u8"), ("h", "<i8")])
 _BASE_A, _BASE_B = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)  # odd
 
 
@@ -55,8 +58,8 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 class Batch:
     """Words of some documents as arrays, with hashes of their windows."""
 
-    def __init__(self, doc_ids: np.ndarray, texts: list[bytes], none: np.ndarray):
-        self.doc_ids, self.none = doc_ids, none
+    def __init__(self, doc_ids: np.ndarray, texts: list[bytes], none: np.ndarray, ties: np.ndarray):
+        self.doc_ids, self.none, self.ties = doc_ids, none, ties
         self.data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         space = (self.data == 0x20) | ((self.data >= 9) & (self.data <= 13))
         edge = np.flatnonzero(np.diff(np.concatenate(([True], space)).view(np.int8)))
@@ -118,12 +121,15 @@ def _spread_bits(value: np.ndarray, n_buckets: int, answers: pd.DataFrame) -> np
 
 
 def _load(pdf: pd.DataFrame) -> Batch:
-    """Documents of a batch, sorted by doc_id (null last), then text."""
+    """Documents of a batch, sorted by doc_id (null last), tie-break, then text."""
     texts = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in pdf["text"]]
-    ids = pdf["id"].to_numpy(np.int64)
-    order = sorted(range(len(texts)), key=lambda i: (bool(pdf["none"].iat[i]), ids[i], texts[i]))
+    ids, hashes = pdf["id"].to_numpy(np.int64), pdf["h"].to_numpy(np.int64)
+    ties = np.empty(len(texts), _TIE)
+    ties["head"] = [int.from_bytes(t[:8].ljust(8, b"\0"), "big") for t in texts]
+    ties["h"] = hashes
     none = pdf["none"].to_numpy(bool)
-    return Batch(np.where(none, np.iinfo(np.int64).max, ids)[order], [texts[i] for i in order], none[order])
+    order = sorted(range(len(texts)), key=lambda i: (none[i], ids[i], ties["head"][i], hashes[i], texts[i]))
+    return Batch(np.where(none, np.iinfo(np.int64).max, ids)[order], [texts[i] for i in order], none[order], ties[order])
 
 
 def _anchors(batch: Batch, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -154,8 +160,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, batch_bytes: int = B
 
     Words are runs of bytes other than space and 0x09 to 0x0D. Earlier means
     smaller doc_id (null last), then, among rows of one doc_id, the smaller
-    text, then the earlier start; rows equal in both are copies of each other
-    in some order. Null and empty texts have no words; documents shorter than a
+    first eight bytes of the text, then the smaller hash of the text, then the
+    earlier start; rows equal in both are copies of each other in some order. Null and empty texts have no words; documents shorter than a
     window lose nothing. ``n_repeats`` counts maximal removed runs. Rows are
     returned as often as given; other columns are not read.
     """
@@ -165,9 +171,11 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, batch_bytes: int = B
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = base.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 1
     n = max(1, -(-int(size) // batch_bytes))
-    rows = base.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("batch"), "doc_id",
-        F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text")
+    # the place alone tells equal rows apart; their batch does not matter for the result
+    rows = base.select("doc_id", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("place"))
+    rows = rows.select(
+        F.pmod(F.xxhash64("doc_id", "h", "place"), F.lit(n)).cast("int").alias("batch"), "doc_id",
+        F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "h", "text")
 
     def ask_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
         unique, reference, twice, _ = _anchors(_load(pdf), block)
@@ -184,25 +192,27 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, batch_bytes: int = B
         return _replies(pdf, hit[index])
 
     def ask_windows(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        columns = ["bucket", "batch", "n", "hashes", "extra"]
+        columns = ["bucket", "batch", "n", "hashes", "extra", "ties"]
         if not len(pdf):
             return pd.DataFrame([], columns=columns)
         batch = _load(pdf)
         unique, _, _, places = _anchors(batch, block)
         hit = _spread_bits(unique, n, answers)
         _, _, value, first = _candidates(batch, hit, places, window, block)
-        owner = batch.doc_ids[batch.doc[first]].astype("<i8")
+        row = batch.doc[first]
+        owner = batch.doc_ids[row].astype("<i8")
         small = len(owner) and owner.min() >= 0 and owner.max() < 1 << 32
         return pd.DataFrame(_packets(int(pdf["batch"].iat[0]), value, n,
-                                     {"h": value.astype("<u8"), "d": owner.astype("<u4") if small else owner}),
-                            columns=columns)
+                                     {"h": value.astype("<u8"), "d": owner.astype("<u4") if small else owner,
+                                      "t": batch.ties[row]}), columns=columns)
 
     def answer_windows(pdf: pd.DataFrame) -> pd.DataFrame:
         value = np.concatenate([np.frombuffer(b, "<u8") for b in pdf["hashes"]])
         owner = np.concatenate([np.frombuffer(b, "<u4" if len(b) == 4 * k else "<i8").astype(np.int64)
                                 for b, k in zip(pdf["extra"], pdf["n"])])
         sender = np.repeat(pdf["batch"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64))
-        order = np.lexsort((sender, owner, value))
+        tie = np.concatenate([np.frombuffer(b, _TIE) for b in pdf["ties"]])
+        order = np.lexsort((sender, tie["h"], tie["head"], owner, value))
         lead = np.concatenate(([True], value[order][1:] != value[order][:-1]))
         earliest = np.zeros(len(value), bool)
         earliest[order[lead]] = True
@@ -227,7 +237,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, batch_bytes: int = B
     reply = "batch int, bucket int, n int, bits binary"
     texts = rows.groupBy("batch")
     hits = (texts.applyInPandas(ask_blocks, packet).groupBy("bucket").applyInPandas(answer_blocks, reply))
-    firsts = (texts.cogroup(hits.groupBy("batch")).applyInPandas(ask_windows, packet)
+    firsts = (texts.cogroup(hits.groupBy("batch")).applyInPandas(ask_windows, packet + ", ties binary")
               .groupBy("bucket").applyInPandas(answer_windows, reply))
     answers = hits.withColumn("step", F.lit(1)).union(firsts.withColumn("step", F.lit(2)))
     return texts.cogroup(answers.groupBy("batch")).applyInPandas(

@@ -48,3 +48,20 @@ def test_empty_table_and_extra_columns(spark, frame):
 def test_window_is_checked(frame):
     with pytest.raises(ValueError):
         substring_dedup.dedup_substrings(frame([]), 1)
+
+
+def test_rows_of_one_id_lie_in_several_batches(spark, frame, sentence, monkeypatch):
+    rows = [(None, sentence(i % 40, 60)) for i in range(80)] + [(7, sentence(100, 60))] * 40
+    size, seen = 4000, spark.sparkContext.accumulator(0)
+    load = substring_dedup._load
+
+    def largest(pdf):
+        if sum(len(t) for t in pdf["text"]) > 4 * size:
+            seen.add(1)
+        return load(pdf)
+
+    monkeypatch.setattr(substring_dedup, "_load", largest)
+    got = substring_dedup.dedup_substrings(frame(rows), 20, size).collect()
+    assert seen.value == 0
+    assert sorted((r["doc_id"] is None, r["n_removed"]) for r in got) == (
+        [(False, 0)] + [(False, 60)] * 39 + [(True, 0)] * 40 + [(True, 60)] * 40)
