@@ -155,14 +155,17 @@ def links(fps: DataFrame, bits: int = 4, hot: int = 64, block: int = 2048) -> Da
 
     if heavy.isEmpty():
         return cold
-    # Both sides of a heavy key are dealt into blocks; block pairs meet by key.
-    cut = heavy.withColumn("n", F.ceil(F.col("count") / block).cast("int"))
+    # Both sides of a heavy key are dealt into blocks, each by its own count; block pairs meet by key.
+    seekers = sought.join(heavy, ["seg", "key"], "left_semi").groupBy("seg", "key").agg(F.count("*").alias("seekers"))
+    cut = materialise(heavy.join(seekers, ["seg", "key"]).select(
+        "seg", "key", F.ceil(F.col("count") / block).cast("int").alias("nh"),
+        F.ceil(F.col("seekers") / block).cast("int").alias("ns")), "simhash-cut")
     held_hot = (held.join(cut, ["seg", "key"])
-                .withColumn("hb", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int")))
+                .withColumn("hb", F.pmod(F.xxhash64("fp"), F.col("nh")).cast("int")))
     sought_hot = (sought.join(cut, ["seg", "key"])
-                  .withColumn("sb", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int")))
-    left = held_hot.withColumn("sb", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn("side", F.lit(0))
-    right = sought_hot.withColumn("hb", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn("side", F.lit(1))
+                  .withColumn("sb", F.pmod(F.xxhash64("fp"), F.col("ns")).cast("int")))
+    left = held_hot.withColumn("sb", F.explode(F.sequence(F.lit(0), F.col("ns") - 1))).withColumn("side", F.lit(0))
+    right = sought_hot.withColumn("hb", F.explode(F.sequence(F.lit(0), F.col("nh") - 1))).withColumn("side", F.lit(1))
     cols = ["seg", "key", "hb", "sb", "side", "fp"]
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -101,3 +101,30 @@ def test_components_long_chain_and_loops(spark):
     frame = spark.createDataFrame(edges, "a long, b long")
     got = {r["node"]: r["component"] for r in connected_components(frame).collect()}
     assert got == {**{i: 0 for i in range(201)}, 400: 400, 500: 400}
+
+
+def test_blocks_of_a_hot_key_are_bounded_on_both_sides(spark, frame, monkeypatch):
+    rng = random.Random(3)
+    second, nwidth = simhash._segments(4)[1]
+    # many fingerprints one place away seek the key that few hold
+    values = {rng.getrandbits(64 - second - nwidth) << (second + nwidth) | (1 << second + k if k < nwidth else 0)
+              for k in range(nwidth + 1) for _ in range(60)}
+    large = spark.sparkContext.accumulator(0)
+    forest = simhash._forest
+
+    def checked(block_a, block_b, bits):
+        if max(len(block_a), len(block_b)) > 90:
+            large.add(1)
+        return forest(block_a, block_b, bits)
+
+    monkeypatch.setattr(simhash, "_forest", checked)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    links = simhash.links(frame([(v,) for v in signed], "fp long"), 4, 20, 40)
+    parts = {r["node"]: r["component"] for r in connected_components(links).collect()}
+    assert large.value == 0
+    want = brute_components(list(range(len(signed))), [v % (1 << 64) for v in signed], 4)
+    groups = {}
+    for i, root in want.items():
+        groups.setdefault(root, []).append(parts.get(signed[i], signed[i]))
+    assert all(len(set(g)) == 1 for g in groups.values())
+    assert len({g[0] for g in groups.values()}) == len(groups)
