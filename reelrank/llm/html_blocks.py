@@ -14,13 +14,17 @@ from dataclasses import dataclass
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
                    "span strike strong sub sup time tt u var br wbr img".split())
-_RAW = "script|style|template|iframe|svg|title|textarea|select|noframes|object"
+#: These run to their end tag or, as browsers read them, to the end of the page.
+_RAW = "script|style|iframe|title|textarea|noframes"
+#: These are skipped up to their end tag; without one they are elements like others.
+_SKIPPED = "|".join(rf"<{t}\b.*?</{t}\s*>" for t in ("template", "svg", "select", "object"))
+_EMPTY_SVG = r"<svg\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
 #: Elements whose start ends an open element of the set, up to the given fence.
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
            "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 _MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b.*?(?:</\1\s*>|\Z)|{_EMPTY_SVG}|{_SKIPPED}|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>|</?[a-zA-Z][^>]*>", re.S | re.I)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")

@@ -207,7 +207,9 @@ def fit(pages: DataFrame, sample: int = SAMPLE, designs: int = DESIGNS) -> Crf:
     keyed = pages.select(F.xxhash64("page_id", "url").alias("_key"), "html").filter(
         F.col("html").ilike("%<article%"))
     rows = keyed.select("_key").distinct().orderBy("_key").limit(sample)
-    chosen = keyed.join(F.broadcast(rows), "_key", "left_semi")  # bounded by the sample
+    # one page for each key, the smallest by hash: bounded by the sample however many pages share a key
+    chosen = keyed.join(F.broadcast(rows), "_key", "left_semi").groupBy("_key").agg(
+        F.min_by("html", F.xxhash64("html")).alias("html"))
 
     def sequences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

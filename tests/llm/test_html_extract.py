@@ -111,3 +111,19 @@ def test_odd_tables(spark, model):
     assert got == [(-1, "", "", 0), (1, "u", "x y", 3), (1, "u", "x y", 3), (2, "v", "", 0)]
     empty = docs.limit(0)
     assert html_extract.extract(empty, html_extract.fit(empty)).count() == 0
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<p>a<svg class="i"/>b</p><p>c', ["ab", "c"]), ('<svg class="i"/><p>a</p><svg><text>no</text></svg><p>b', ["a", "b"]),
+    ('<svg class="i"><p>a</p>', ["a"]), ("<object data=x><p>a", ["a"]), ("<template><p>no</template><p>a", ["a"]),
+])
+def test_only_raw_text_runs_to_the_end(page, want):
+    assert texts(page) == want
+
+
+def test_one_page_for_each_sampled_key(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(html_extract, "train", lambda pages: seen.append(len(pages)))
+    pages = [(None, None, f"<article><p>text {i}</p></article>") for i in range(30)]
+    html_extract.fit(spark.createDataFrame(pages, "page_id long, url string, html string"), sample=5, designs=1)
+    assert seen == [2]
