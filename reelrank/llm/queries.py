@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, decontam, hilbert, hnsw, html_extract, line_dedup, simhash, substring_dedup, toxicity, url_filter
+from reelrank.llm import bpe, decontam, hilbert, hnsw, html_extract, line_dedup, periodic_runs, simhash, substring_dedup, toxicity, url_filter
 from reelrank.llm.common import table
 
 
@@ -60,6 +60,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.fit(pages))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_period(table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.detect(docs)).drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_html_extraction": op10_html_extraction,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 _BLANK = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
@@ -82,6 +88,12 @@ def _template_sql(raw: str) -> str:
       WHEN x >= '0' AND x < ':' THEN '<n>' WHEN lower(x) <> x THEN '<a>' ELSE x END)"""
 
 
+# crc32 of a decimal number, bit by bit.
+_CRC = """xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda c: ascii(c)::BIGINT), lambda crc, byte: list_reduce([xor(crc, byte)] || range(8),
+    lambda r, k: xor(r >> 1, 3988292384 * (r & 1)))))"""
+
+
 SQL: dict[str, str] = {
     "op1_decontamination": f"""
 WITH item AS (SELECT *, {_template_sql("r")} AS t FROM (
@@ -146,4 +158,25 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)
        coalesce(n_runs, 0)::BIGINT AS n_runs,
        CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept, '')) END AS kept_sha256
 FROM documents d LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op11_periodic_runs": rf"""
+WITH doc AS (SELECT *, len(ws) AS n, h // 10 AS g FROM (
+    SELECT row_number() OVER () AS d, doc_id, {_CRC} AS h,
+      regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents)),
+shape AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM (
+    SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM doc)),
+word AS (SELECT d, i, ws[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END] AS w
+  FROM (SELECT d, ws, a, p, unnest(range(0, n)) AS i FROM shape)),
+met AS (SELECT x.d, x.i - y.i AS q, x.i FROM word x JOIN word y ON x.d = y.d AND x.w = y.w AND y.i < x.i),
+stretch AS (SELECT d, q, min(i) - q AS s, count(*) + q AS m
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY d, q ORDER BY i) AS chain FROM met)
+  GROUP BY d, q, chain HAVING count(*) >= greatest(12 - q, q)),
+run AS (SELECT d, s, m, min(q) AS q FROM stretch GROUP BY d, s, m),
+told AS (SELECT d, count(*) AS n_runs, string_agg(concat(s, ',', m, ',', q, chr(10)), '' ORDER BY s, q) AS lines,
+    min((-m, s, q)) AS best FROM run GROUP BY d),
+gone AS (SELECT DISTINCT d, unnest(range(s + q, s + m)) AS i FROM run),
+kept AS (SELECT w.d, string_agg(w.w, ' ' ORDER BY w.i) AS kept FROM word w ANTI JOIN gone USING (d, i) GROUP BY w.d)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[2]::BIGINT AS start, -best[1]::BIGINT AS length,
+       best[3]::BIGINT AS period, (1000 * -best[1] // best[3])::BIGINT AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM doc LEFT JOIN told USING (d) LEFT JOIN kept USING (d)""",
 }

@@ -9,7 +9,7 @@ from tests.oracle import compare, duck
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 12))
     assert set(SQL) <= set(QUERIES)
 
 
@@ -28,6 +28,8 @@ CONTRACT = {
     "op7_byte_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op9_url_filter": ["page_id", "host", "path", "rule", "verdict"],
     "op10_html_extraction": ["page_id", "url", "text", "n_chars"],
+    "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+                           "collapsed_sha256"],
 }
 
 
