@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, decontam, hilbert, hnsw, html_extract, line_dedup, periodic_runs, simhash, substring_dedup, toxicity, url_filter
+from reelrank.llm import bpe, decontam, hilbert, hnsw, html_extract, line_dedup, periodic_runs, repair_shards, simhash, substring_dedup, toxicity, url_filter
 from reelrank.llm.common import table
 
 
@@ -65,6 +65,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.detect(docs)).drop("n_words")
 
 
+def op12_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_shards.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_html_extraction": op10_html_extraction,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_repair_shards": op12_repair_shards,
 }
 
 _BLANK = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"

@@ -9,7 +9,7 @@ from tests.oracle import compare, duck
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 12))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 13))
     assert set(SQL) <= set(QUERIES)
 
 
@@ -30,6 +30,7 @@ CONTRACT = {
     "op10_html_extraction": ["page_id", "url", "text", "n_chars"],
     "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
                            "collapsed_sha256"],
+    "op12_repair_shards": ["doc_id", "start", "n_tokens", "ids_crc32"],
 }
 
 
