@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, decontam, hilbert, hnsw, html_extract, line_dedup, periodic_runs, repair_shards, simhash, substring_dedup, toxicity, url_filter
+from reelrank.llm import bpe, decontam, hilbert, hnsw, html_extract, laesa_codes, line_dedup, periodic_runs, repair_shards, simhash, substring_dedup, toxicity, url_filter
 from reelrank.llm.common import table
 
 
@@ -69,6 +69,10 @@ def op12_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_shards.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_laesa_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return laesa_codes.encode(table(spark, sf_dir, "embeddings")).drop("measured_milli")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extraction": op10_html_extraction,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_repair_shards": op12_repair_shards,
+    "op13_laesa_codes": op13_laesa_codes,
 }
 
 _BLANK = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
@@ -99,6 +104,35 @@ _CRC = """xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(str
     lambda r, k: xor(r >> 1, 3988292384 * (r & 1)))))"""
 
 
+def _codes_sql(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """Every part against every entry, ``rounds`` times and once more."""
+    def assign(k: int) -> str:
+        return f"""a{k} AS (SELECT id, p, x, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT part.*, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM part JOIN b{k} USING (p)) GROUP BY id, p, x)"""
+
+    def move(k: int) -> str:
+        return f"""s{k} AS (SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, e, i, (sum(x[i]) - (((sum(x[i]) % count(*)) + count(*)) % count(*))) // count(*) AS m
+    FROM a{k - 1}, range(1, (SELECT max(len(x)) + 1 FROM part)) v(i) GROUP BY p, e, i) GROUP BY p, e),
+b{k} AS (SELECT b.p, b.e, coalesce(s.c, b.c) AS c FROM b{k - 1} b LEFT JOIN s{k} s USING (p, e))"""
+    steps = ",\n".join(f"{move(k)},\n{assign(k)}" for k in range(1, rounds + 1))
+    return f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, vec_id, label,
+    list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS (SELECT id, p, x[1 + p * (len(x) // {parts}):(p + 1) * (len(x) // {parts})] AS x
+  FROM kept, range(0, {parts}) v(p)),
+b0 AS (SELECT p, id AS e, x AS c FROM part WHERE id < {entries}),
+{assign(0)},
+{steps},
+coded AS (SELECT id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM a{rounds} GROUP BY id),
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (id), book"""
+
+
 SQL: dict[str, str] = {
     "op1_decontamination": f"""
 WITH item AS (SELECT *, {_template_sql("r")} AS t FROM (
@@ -184,4 +218,5 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[2]::BIGINT AS start,
        best[3]::BIGINT AS period, (1000 * -best[1] // best[3])::BIGINT AS exponent_milli,
        sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
 FROM doc LEFT JOIN told USING (d) LEFT JOIN kept USING (d)""",
+    "op13_laesa_codes": _codes_sql(laesa_codes.PARTS, laesa_codes.ENTRIES, laesa_codes.ROUNDS, laesa_codes.SCALE),
 }

@@ -9,7 +9,7 @@ from tests.oracle import compare, duck
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 13))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
 
 
@@ -31,6 +31,7 @@ CONTRACT = {
     "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
                            "collapsed_sha256"],
     "op12_repair_shards": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op13_laesa_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
 }
 
 
@@ -38,5 +39,5 @@ CONTRACT = {
 def test_columns_and_whole_tables(spark, sf_small, name):
     df = QUERIES[name](spark, sf_small)
     assert df.columns[:len(CONTRACT[name])] == CONTRACT[name]
-    source = "embeddings" if "hnsw" in name else "pages" if re.search("url|html", name) else "documents"
+    source = "embeddings" if re.search("hnsw|laesa", name) else "pages" if re.search("url|html", name) else "documents"
     assert df.count() == spark.read.parquet(f"{sf_small}/{source}.parquet").count()
