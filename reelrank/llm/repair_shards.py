@@ -15,18 +15,18 @@ occurrences overlap, the more frequent pair wins.
 
 File: magic, header (:data:`HEADER`), rules (left, right), expansion lengths, first
 symbol of each round's rules, doc_ids, number of ids and of symbols of each
-document, symbols. All numbers little-endian; symbols take as many bytes as the largest needs.
+document, symbols. All numbers little-endian; symbols take as many bits as the largest needs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pandas as pd
@@ -41,18 +41,19 @@ from reelrank.session import scratch_path
 END_ID = 2
 SHARD_TOKENS = 1 << 20
 #: A pair is replaced where it occurs at least so often: a rule costs three numbers.
-MIN_PAIRS = 4
+MIN_PAIRS = 8
 #: A shard is done when a round would replace fewer than one of so many symbols.
-WORTH = 200
+WORTH = 100
 #: Bytes of a text that the tokenizer gets at a time, cut at a space between
 #: other characters, where no token crosses.
 PIECE = 1 << 16
 #: Rows that are encoded together, and bytes of a worker's memo, which begins anew when full.
-ROWS, MEMO_BYTES = 64, 96 << 20
+ROWS, MEMO_BYTES = 256, 160 << 20
+#: Rows equal in doc_id and text beyond which they may lie in several ranges.
+HOT_ROWS = 10_000
 
 _MAGIC = b"RPR1"
-#: A space beside other white space, or at the end.
-_LOOSE_SPACE = re.compile(r" \s|\s | $")
+_SEPARATOR = "\t"
 HEADER = np.dtype([("part", "<u4"), ("shard", "<u4"), ("docs", "<u4"), ("rules", "<u4"), ("rounds", "<u4"),
                    ("base", "<u4"), ("symbols", "<u8"), ("tokens", "<u8"), ("width", "<u4"), ("flags", "<u4")])
 
@@ -168,13 +169,24 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = MIN_PAIRS,
 # --- file format --------------------------------------------------------------
 
 def _packed(values: np.ndarray, width: int) -> bytes:
-    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]).tobytes()
-
-
-def _unpacked(data: memoryview, width: int) -> np.ndarray:
-    wide = np.zeros((len(data) // width, 4), np.uint8)
-    wide[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
-    return wide.view("<u4")[:, 0].astype(np.int64)
+    """``width`` bits of each number, lowest first."""
+    out = []
+    for at in range(0, len(values), 1 << 18):  # a multiple of eight numbers
+        few = values[at:at + (1 << 18)].astype("<u4").view(np.uint8).reshape(-1, 4)
+        out.append(np.packbits(np.unpackbits(few, axis=1, bitorder="little")[:, :width], bitorder="little").tobytes())
+    return b"".join(out)
+
+
+def _unpacked(data: memoryview, width: int, first: int, last: int) -> np.ndarray:
+    """Numbers ``first`` to ``last`` - 1 of :func:`_packed`; no other byte is read."""
+    if first >= last:
+        return np.zeros(0, np.int64)
+    at = first * width // 8
+    bits = np.unpackbits(np.frombuffer(data[at:-(-last * width // 8)], np.uint8), bitorder="little")
+    bits = bits[first * width - 8 * at:][:(last - first) * width].reshape(-1, width)
+    wide = np.zeros((last - first, 32), np.uint8)
+    wide[:, :width] = bits
+    return np.packbits(wide, axis=1, bitorder="little").view("<u4")[:, 0].astype(np.int64)
 
 
 def pack(part: int, shard: int, doc_ids: list[int | None], docs: list[np.ndarray], least: int = MIN_PAIRS) -> bytes:
@@ -183,7 +195,7 @@ def pack(part: int, shard: int, doc_ids: list[int | None], docs: list[np.ndarray
     ids = np.concatenate(docs) if docs else np.zeros(0, np.int64)
     grammar, symbols, ends = compress(ids, np.cumsum(n_ids), least)
     top = grammar.base + len(grammar.rules)
-    width = 1 if top <= 1 << 8 else 2 if top <= 1 << 16 else 3 if top <= 1 << 24 else 4
+    width = max(top - 1, 1).bit_length()
     header = np.zeros(1, HEADER)
     header[0] = (part, shard, len(docs), len(grammar.rules), len(grammar.rounds), grammar.base,
                  len(symbols), len(ids), width, 0)
@@ -216,17 +228,15 @@ class Shard:
         self.doc_ids = [None if gone else d for d, gone in zip(read("<i8", n_docs).tolist(), none)]
         self.n_ids = read("<u8", n_docs)
         self.ends = np.cumsum(read("<u8", n_docs))
-        width = int(h["width"])
-        self._symbols = view[at:at + int(h["symbols"]) * width]
-        self._width = width
+        self.n_symbols, self._width, self._bits = int(h["symbols"]), int(h["width"]), view[at:]
 
     def symbols(self, doc: int) -> np.ndarray:
-        first = int(self.ends[doc - 1]) if doc else 0
-        return _unpacked(self._symbols[first * self._width:int(self.ends[doc]) * self._width], self._width)
+        return _unpacked(self._bits, self._width, int(self.ends[doc - 1]) if doc else 0, int(self.ends[doc]))
 
     def documents(self) -> list[np.ndarray]:
         """All documents' ids, expanded at once."""
-        return np.split(self.grammar.expand(_unpacked(self._symbols, self._width)), np.cumsum(self.n_ids)[:-1])
+        symbols = _unpacked(self._bits, self._width, 0, self.n_symbols)
+        return np.split(self.grammar.expand(symbols), np.cumsum(self.n_ids)[:-1])
 
     def document(self, doc: int) -> np.ndarray:
         """All ids of document number ``doc``, its end id included."""
@@ -263,58 +273,108 @@ def pieces_of(text: str) -> list[str]:
     return out
 
 
+class _Words(dict):
+    """Numbers of the words met, each as it stands behind a space; -1 where a
+    text cannot be cut around it. Letters with punctuation behind them are two
+    pre-tokens: the letters' number, and the punctuation's plus one in the upper
+    half. New pieces wait in ``new``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+        self.pieces = 0
+
+    def _number(self, piece: str) -> int:
+        self.new.append(piece)
+        self.pieces += 1
+        return self.pieces - 1
+
+    def __missing__(self, word: str) -> int:
+        if not word or word[0].isspace() or word[-1].isspace() or _SEPARATOR in word:
+            return -1
+        letters = word.rstrip(punctuation)
+        if len(letters) < len(word) and letters.isalpha():
+            behind = _SEPARATOR + word[len(letters):]  # no word has this key
+            if behind not in self:
+                dict.__setitem__(self, behind, self._number(behind[1:]))
+            number = self[letters] | self[behind] + 1 << 32
+        else:
+            number = self._number(" " + word)
+        self[word] = number
+        return number
+
+
 class Encoder:
-    """The tokenizers library behind a memo of pieces. A text whose spaces all
-    stand between other characters is cut before each of them, since byte-level
-    pre-tokens begin there; pieces not met before go to the library together."""
+    """The tokenizers library behind a memo of words.
+
+    Byte-level pre-tokens hold a space at their start only. A text whose spaces
+    all stand between other characters is cut before each of them and its words
+    are looked up; words not met before go to the library together, with a tab
+    between, which is a pre-token and an id of its own. Other texts, texts that hold a
+    special token and vocabularies of another kind go to the library as they are.
+    """
 
     def __init__(self, data: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_buffer(data)
+        said = json.loads(data)
+        pre = said.get("pre_tokenizer") or {}
+        self.by_words = (pre.get("type"), pre.get("use_regex", True), pre.get("add_prefix_space"), said["model"]["type"],
+                         said.get("normalizer")) == ("ByteLevel", True, False, "BPE", None)
+        self.special = [t["content"] for t in said.get("added_tokens", ())]
+        self._tab = self._library(_SEPARATOR)
+        self.by_words = self.by_words and len(self._tab) == 1
         self._begin()
 
+    def _library(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
     def _begin(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids, self.ends, self.held = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)], 0
+        self.words, self.held = _Words(), 0
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _learn(self, pieces: list[str]) -> None:
-        new = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces))))
-        self.ids.append(np.array(list(chain.from_iterable(new)), np.int64))
-        self.ends.append(self.ends[-1][-1] + np.cumsum([len(x) for x in new]))
-        self.held += sum(map(len, pieces)) + 160 * len(pieces) + 8 * len(self.ids[-1])
+    def _learn(self) -> None:
+        """The ids of new words, behind those of the others."""
+        new = self.words.new
+        if new:
+            ids = np.append(self._library(_SEPARATOR.join(new)), self._tab)
+            at = np.flatnonzero(ids == self._tab[0])
+            size = np.diff(at, prepend=-1) - 1
+            self.ids = np.concatenate([self.ids, np.delete(ids, at)])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
+            self.held += 200 * len(new) + sum(map(len, new)) + 4 * len(ids)
+            self.words.new = []
 
     def whole(self, text: str) -> np.ndarray:
         """Ids of a text, long ones in several calls."""
-        parts = [self.tokenizer.encode_batch_fast([p], add_special_tokens=False)[0].ids for p in pieces_of(text)]
-        return np.concatenate([np.array(p, np.int64) for p in parts])
+        return np.concatenate([self._library(p) for p in pieces_of(text)])
 
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text; none for null and empty ones."""
         if self.held > MEMO_BYTES:
             self._begin()
-        cut = [None if t and _LOOSE_SPACE.search(t) else t.split(" ") if t else [] for t in texts]
-        for pieces in cut:
-            if pieces:
-                pieces[1:] = [" " + p for p in pieces[1:]]
-                if not pieces[0]:
-                    del pieces[0]
-        known = self.number
-        new = {p for pieces in cut if pieces for p in pieces if p not in known}
-        if new:
-            self._learn(sorted(new))
-            # one array each: the parts are joined when they are read
-            self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
-        ids, ends = self.ids[0], self.ends[0]
-        out = []
-        for text, pieces in zip(texts, cut):
-            if pieces is None:
-                out.append(self.whole(text))
-                continue
-            at = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
-            size = ends[at + 1] - ends[at]
-            place = np.repeat(ends[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            out.append(ids[place])
-        return out
+        cut = [self._cut(text) if text else None for text in texts]
+        self._learn()
+        return [np.zeros(0, np.uint32) if not text else self.whole(text) if parts is None else self._joined(*parts)
+                for text, parts in zip(texts, cut)]
+
+    def _cut(self, text: str) -> tuple[str, np.ndarray, str] | None:
+        """The first word, the numbers of the others, and the white space at the
+        end, which is a pre-token of its own; None where words are no pre-tokens."""
+        if not self.by_words or text[0].isspace() or any(t in text for t in self.special):
+            return None
+        body = text.rstrip(" \t\r\n")
+        first, *words = body.split(" ")
+        at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        return None if first[-1].isspace() or (at < 0).any() else (first, at, text[len(body):])
+
+    def _joined(self, first: str, at: np.ndarray, tail: str) -> np.ndarray:
+        both = np.stack([at & 0xFFFFFFFF, (at >> 32) - 1], axis=1).ravel()
+        at = both[both >= 0]
+        size = self.ends[at + 1] - self.ends[at]
+        place = np.repeat(self.ends[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        parts = [self.whole(first), self.ids[place]]
+        return np.concatenate(parts + [self.whole(tail)] if tail else parts)
 
 
 _ENCODERS: dict[bytes, Encoder] = {}
@@ -328,59 +388,59 @@ def _encoder(data: bytes) -> Encoder:
     return _ENCODERS[key]
 
 
-def tokenise(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, ids (binary: little-endian, ``width``
-    bytes each, the end id last), width. Null and empty texts have the end id only."""
-    with open(path, "rb") as file:  # a vocabulary file of a few megabytes
-        data = file.read()
-    vocabulary = docs.sparkSession.sparkContext.broadcast(data)
-    width = 2 if max(Encoder(data).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-
-    @F.pandas_udf("binary")
-    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder, end = _encoder(vocabulary.value), np.array([end_id])
-        for texts in batches:
-            rows = []
-            for first in range(0, len(texts), ROWS):
-                rows += [np.concatenate([ids, end]).astype(f"<u{width}").tobytes()
-                         for ids in encoder.batch(texts[first:first + ROWS].tolist())]
-            yield pd.Series(rows, dtype=object)
+def _ordered(docs: DataFrame) -> DataFrame:
+    """doc_id (string), text: in ascending order of doc_id (null last), rows of one
+    doc_id by a hash of their text, range-partitioned and sorted.
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), udf("text").alias("ids"),
-                       F.lit(width).alias("width"))
+    More than :data:`HOT_ROWS` rows equal in both would be one range, so they
+    are numbered to be split. Their copy is written first: numbers must be the same if a
+    task runs again.
+    """
+    key = ["none", "id", "h"]
+    rows = docs.select(
+        F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+        F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text")).withColumn("copy", F.lit(0).cast("long"))
+    hot = materialise(rows.groupBy(key).count().filter(F.col("count") > HOT_ROWS).select(key), "hot-rows")
+    if not hot.isEmpty():
+        copies = materialise(rows.join(hot, key, "left_semi").drop("copy"), "hot-copies")
+        rows = rows.join(hot, key, "left_anti").unionByName(
+            copies.withColumn("copy", F.monotonically_increasing_id()))
+    order = [*key, "copy"]
+    ranged = rows.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+    # Ids of 64 bits and nulls pass as strings: pandas would make floats of them.
+    return ranged.select(F.when(~F.col("none"), F.col("id").cast("string")).alias("doc_id"), "text")
 
 
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID,
                  shard_tokens: int = SHARD_TOKENS, least: int = MIN_PAIRS) -> str:
     """Write the ids of all texts as shard files below ``folder``, in ascending
-    doc_id order (null last; rows of one doc_id by a hash of their ids).
+    doc_id order (null last; rows of one doc_id by a hash of their text). Null
+    and empty texts have the end id only.
 
     A document is never cut: one longer than ``shard_tokens`` is a shard of its
     own. Files are numbered by part and shard; Spark's commit protocol keeps one
     file of each shard however often a task ran. Empty tables give no file.
     """
-    spark = docs.sparkSession
-    ids = materialise(tokenise(docs, tokenizer, end_id).select(
-        "*", F.xxhash64("ids").alias("h"), F.monotonically_increasing_id().alias("row")), "token-ids")
-    order = [F.col("doc_id").asc_nulls_last(), F.col("h"), F.col("row")]
-    ranged = ids.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    with open(tokenizer, "rb") as file:  # a vocabulary file of a few megabytes
+        vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, number, held, docs_, names = TaskContext.get().partitionId(), 0, 0, [], []
+        encoder, end = _encoder(vocabulary.value), np.array([end_id], np.uint32)
+        part, number, held, found, names = TaskContext.get().partitionId(), 0, 0, [], []
         for pdf in batches:
-            for doc_id, data, width in zip(pdf["doc_id"], pdf["ids"], pdf["width"]):
-                docs_.append(np.frombuffer(data, f"<u{width}"))
-                names.append(None if pd.isna(doc_id) else int(doc_id))
-                held += len(docs_[-1])
-                if held >= shard_tokens:
-                    yield pd.DataFrame({"file": [pack(part, number, names, docs_, least)]})
-                    number, held, docs_, names = number + 1, 0, [], []
-        if docs_:
-            yield pd.DataFrame({"file": [pack(part, number, names, docs_, least)]})
-
-    # Ids of 64 bits and nulls pass as strings: pandas would make floats of them.
-    rows = ranged.select(F.col("doc_id").cast("string").alias("doc_id"), "ids", "width")
-    files = rows.mapInPandas(shards, "file binary")
+            for first in range(0, len(pdf), ROWS):
+                some = pdf.iloc[first:first + ROWS]
+                for doc_id, ids in zip(some["doc_id"], encoder.batch(some["text"].tolist())):
+                    found.append(np.concatenate([ids, end]))
+                    names.append(None if doc_id is None else int(doc_id))
+                    held += len(found[-1])
+                    if held >= shard_tokens:
+                        yield pd.DataFrame({"file": [pack(part, number, names, found, least)]})
+                        number, held, found, names = number + 1, 0, [], []
+        if found:
+            yield pd.DataFrame({"file": [pack(part, number, names, found, least)]})
+
+    files = _ordered(docs).mapInPandas(shards, "file binary")
     # The text writer puts out a string's bytes as they are and a line end, which
     # the format ignores: one raw file for each row, on any file system of Spark.
     files.select(F.col("file").cast("string")).write.option("maxRecordsPerFile", 1).text(folder)
