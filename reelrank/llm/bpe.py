@@ -28,9 +28,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: States of an automaton, and entries of a memo, kept before either is begun
-#: anew: together about 0.4 GB in a Python worker.
-STATE_LIMIT, TABLE_LIMIT = 500_000, 200_000
+from reelrank.llm.common import kept
+
+#: States of an automaton, and entries and characters of a memo's keys, kept before either is begun
+#: anew: together about 0.2 GB in a Python worker.
+STATE_LIMIT, TABLE_LIMIT, KEY_LIMIT = 160_000, 100_000, 4 << 20
 
 #: A space beside other white space.
 _LOOSE_SPACE = re.compile(r" \s|\s ")
@@ -47,10 +49,13 @@ class _Memo(dict):
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.held = 0
 
     def __missing__(self, key):
-        if len(self) >= TABLE_LIMIT:
+        self.held += len(key) if isinstance(key, str) else 0
+        if len(self) >= TABLE_LIMIT or self.held > KEY_LIMIT:
             self.clear()
+            self.held = 0
         value = self[key] = self.make(key)
         return value
 
@@ -245,15 +250,9 @@ class Codec:
         return "".join([stream.feed(b) for b in self.decode_bytes(ids)] + [stream.feed(b"", last=True)])
 
 
-_CODECS: dict[tuple, Codec] = {}
-
-
 def _codec(data: bytes, pattern: str) -> Codec:
-    """One codec per Python worker and vocabulary."""
-    key = (hashlib.sha256(data).digest(), pattern)
-    if key not in _CODECS:
-        _CODECS[key] = Codec(load_ranks(data), pattern)
-    return _CODECS[key]
+    """One codec per Python worker and vocabulary, see :func:`kept`."""
+    return kept(("bpe", hashlib.sha256(data).digest(), pattern), lambda: Codec(load_ranks(data), pattern))
 
 
 def _vocabulary(df: DataFrame, path: str):

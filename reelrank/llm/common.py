@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +11,8 @@ from reelrank.session import scratch_path
 
 #: White space that separates words: space and the controls 0x09 to 0x0D.
 WORD_BYTES = rb"[^\x20\x09-\x0D]+"
+#: Bytes of a row group of the tables written between stages.
+ROW_GROUP = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +27,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     it is not repeated, and a lost executor costs no earlier stage.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    # small row groups: a writer holds one of whole texts in memory
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -38,3 +42,26 @@ def unused(columns: Iterable[str], *names: str) -> list[str]:
     while any((prefix + n).lower() in taken for n in names):
         prefix += "_"
     return [prefix + n for n in names]
+
+
+_KEPT: dict[Any, Any] = {}
+
+
+def kept(key: Any, make: Callable[[], Any] = lambda: None) -> Any:
+    """What a Python worker keeps from task to task: one thing at a time.
+
+    The tables of an operator (automata, memos) are released as soon as a task
+    of another one runs in the worker, so they never add up. Operators without
+    tables call it with their name only.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most ``rows`` texts in an Arrow batch: a worker holds one batch of whole texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import materialise, partitions, unused
+from reelrank.llm.common import kept, materialise, partitions, unused
 
 MIN_LINES = 2
 MIN_WORDS = 10
@@ -127,6 +127,7 @@ def _without(text: str, gone: np.ndarray) -> str:
 
 def _cut_lines(text: str, gone: str) -> Column:
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        kept("line_dedup")
         for texts, numbers in batches:
             yield pd.Series([t if t is None or g is None else _without(t, g)
                              for t, g in zip(texts, numbers)], dtype=object)

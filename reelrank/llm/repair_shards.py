@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reelrank.llm.common import materialise, partitions
+from reelrank.llm.common import kept, materialise, partitions
 from reelrank.session import scratch_path
 
 END_ID = 2
@@ -377,15 +377,9 @@ class Encoder:
         return np.concatenate(parts + [self.whole(tail)] if tail else parts)
 
 
-_ENCODERS: dict[bytes, Encoder] = {}
-
-
 def _encoder(data: bytes) -> Encoder:
-    """One encoder per Python worker and vocabulary."""
-    key = hashlib.sha256(data).digest()
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(data)
-    return _ENCODERS[key]
+    """One encoder per Python worker and vocabulary, see :func:`kept`."""
+    return kept(("repair", hashlib.sha256(data).digest()), lambda: Encoder(data))
 
 
 def _ordered(docs: DataFrame) -> DataFrame:

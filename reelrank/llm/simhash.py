@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import WORD_BYTES, materialise, unused
+from reelrank.llm.common import kept, materialise, unused, WORD_BYTES
 from reelrank.llm.components import connected_components
 
 SEED = 42
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
 
     @F.pandas_udf("long")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kept("simhash")
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 

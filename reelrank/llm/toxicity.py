@@ -31,13 +31,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import materialise
+from reelrank.llm.common import kept, materialise
 
 #: Labelled documents of either class that the fit reads at most.
 SAMPLE_TOXIC, SAMPLE_OTHER = 3_000, 6_000
 #: Learned patterns kept at most, by significance.
 PATTERNS = 4_096
 THRESHOLD = 0.3
+#: Words whose symbols a task keeps, and their characters, before it begins anew.
+KNOWN_WORDS, KNOWN_CHARACTERS = 100_000, 4 << 20
 
 INSULTS = ("idiot idiots moron morons stupid dumb dumbass fool loser losers scum trash garbage clown clowns pathetic "
            "worthless disgusting imbecile cretin jerk bastard bitch asshole pig vermin parasite filth").split()
@@ -117,7 +119,7 @@ class Grammar:
         for words, symbol in ((TARGETS, "Y"), (NEGATIONS, "N"), (REPORTS, "R")):
             fixed |= {w: (symbol, 0.0) for w in words}
         fixed |= {w: ("T", SEED_WEIGHT) for w in THREATS} | {w: ("I", SEED_WEIGHT) for w in INSULTS}
-        self._fixed, self._known, self._chain = fixed, {}, Composition()
+        self._fixed, self._known, self._held, self._chain = fixed, {}, 0, Composition()
 
     def __reduce__(self):
         return Grammar, (self.weights, self.coefficients)
@@ -126,8 +128,10 @@ class Grammar:
         """What the lexicon writes for a word: a learned weight goes first."""
         found = self._known.get(word)
         if found is None:
-            if len(self._known) > 500_000:
+            self._held += len(word)
+            if len(self._known) >= KNOWN_WORDS or self._held > KNOWN_CHARACTERS:
                 self._known.clear()
+                self._held = 0
             weight = max((self.weights[p] for p in patterns_of(word) if p in self.weights), default=0.0)
             kind, seed = self._fixed.get(word, (".", 0.0))
             if kind == "T":
@@ -188,12 +192,16 @@ def _sample(docs: DataFrame, labels: DataFrame, toxic: int, other: int) -> DataF
     some = known.filter("toxic = 1").orderBy(order).limit(toxic).union(
         known.filter("toxic = 0").orderBy(order).limit(other))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(F.broadcast(some), "doc_id").dropDuplicates(["doc_id"])  # bounded by the sample
+    mine = texts.join(F.broadcast(some), "doc_id")  # bounded by the sample
+    # of several texts under one id the one of least hash
+    return mine.groupBy("doc_id", "toxic").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("doc_id", "t.text", "toxic")
 
 
 def _learned(sample: DataFrame, toxic: int, other: int) -> dict[str, float]:
     """Weights of the patterns that toxic documents hold beyond chance."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept("toxicity")
         for pdf in batches:
             for text, label in zip(pdf["text"], pdf["toxic"]):
                 found = {p for w in set(words_of(text)) - _STOPS for p in patterns_of(w)}
@@ -268,6 +276,7 @@ def score(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) -> Da
     """
     @F.pandas_udf("score double, n_clauses int")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        kept("toxicity")
         for texts in batches:
             rows = np.array([grammar.features(t) for t in texts], dtype=float).reshape(-1, 4)
             yield pd.DataFrame({"score": grammar.score(rows[:, :3]), "n_clauses": rows[:, 3].astype(np.int32)})
@@ -280,6 +289,7 @@ def apply(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) -> Da
     """The rows of ``docs`` that score below the threshold, all columns kept."""
     @F.pandas_udf("double")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kept("toxicity")
         for texts in batches:
             rows = np.array([grammar.features(t) for t in texts], dtype=float).reshape(-1, 4)
             yield pd.Series(grammar.score(rows[:, :3]))

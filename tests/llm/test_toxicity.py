@@ -89,3 +89,11 @@ def test_held_out_accuracy_on_the_given_tables(spark):
     assert n.get((0, 1), 0) <= 0.05 * n[0, 0]
     # a third of the toxic documents use words of other languages, too few here to be learned
     assert n.get((1, 1), 0) >= 0.5 * (n.get((1, 1), 0) + n.get((1, 0), 0))
+
+
+def test_several_texts_under_one_id(spark, frame):
+    docs = frame([(1, t) for t in ("b text", "a text", None, "c text")] + [(3, "fine")])
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
+    picked = {tuple(sorted((r["doc_id"], r["text"], r["toxic"]) for r in toxicity._sample(
+        docs.repartition(n), labels, 10, 10).collect())) for n in (1, 3, 7)}
+    assert len(picked) == 1
