@@ -1,7 +1,8 @@
 """Shards along a Hilbert curve over document metadata.
 
-Three dimensions (source, lang, size) are quantised at approximate quantiles
-to ``bits`` bits each, the cell's place on the Hilbert curve orders the rows,
+Three dimensions (source, lang, size) are quantised to ``bits`` bits each: sizes
+at approximate quantiles, names by the rank of the whole name among the distinct
+ones, weighted by how many texts have it. The cell's place on the Hilbert curve orders the rows,
 and the curve is cut into runs of equal row counts (law ``rows``). A shard
 thus covers a compact box of the metadata, so filters on any of the dimensions
 can skip files. Equal texts form a group that takes the least source and lang
@@ -19,11 +20,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import materialise
-from reelrank.operators.ordering import global_row_number
+from reelrank.llm.common import materialise, partitions, summed_ranks
 
 SHARDS = 8
 BITS = 5
+#: Rows equal in doc_id and text that one task puts out together.
+COPIES = 100_000
+#: Distinct names whose cells may be broadcast; beyond, Spark shuffles both sides.
+BROADCAST_ROWS = 1_000_000
 
 
 def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
@@ -54,17 +58,22 @@ def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _prefix_number(name: Column) -> Column:
-    """The first seven bytes of a string as a number that keeps their order."""
-    padded = F.rpad(F.hex(F.substring(F.encode(F.coalesce(name, F.lit("")), "utf-8"), 1, 7)), 14, "0")
-    return F.conv(padded, 16, 10).cast("long")
-
-
 def _cell(value: str, cuts: str) -> Column:
     """How many quantiles are smaller."""
     return F.size(F.filter(cuts, lambda c: c < F.col(value)))
 
 
+def _name_cells(groups: DataFrame, column: str, bits: int) -> DataFrame:
+    """``column`` and its cell: the distinct whole names in order, cut where the
+    groups before a name fill another of 2^bits equal shares."""
+    names = materialise(groups.groupBy(column).agg(F.count("*").alias("n")), f"{column}-names")
+    ranked = materialise(summed_ranks(names, [column]), f"{column}-ranks")
+    total = F.broadcast(ranked.agg(F.sum("n").alias("total")))  # one row
+    cells = ranked.crossJoin(total).select(column, F.expr(
+        f"(rank + n div 2) * {1 << bits} div total").alias(f"{column}_cell"))
+    return F.broadcast(cells) if ranked.count() <= BROADCAST_ROWS else cells
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """docs (doc_id, text, source, lang) -> doc_id, size, text_crc32, law,
     shard, slot, grown_shard, hilbert: every row in one of ``shards`` shards whose row
@@ -72,37 +81,42 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) ->
 
     Size is the text's UTF-8 bytes plus 1; null texts count as empty, null
     sources and langs as the empty name, a missing source or lang column as null.
-    Ties on the curve go by text, then doc_id (null first). Rows equal in all of these are
+    Ties on the curve go by the text's hash, then doc_id (null first). Rows equal in all of these are
     interchangeable. Repeated rows are rows of their own. Other columns are not read.
     """
     have = {c.lower() for c in docs.columns}
     text = F.coalesce("text", F.lit(""))
-    source, lang = (F.col(c) if c in have else F.lit(None).cast("string") for c in ("source", "lang"))
+    source, lang = (F.coalesce(F.col(c), F.lit("")) if c in have else F.lit("") for c in ("source", "lang"))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text).alias("crc"), F.xxhash64(text).alias("h"),
-        _prefix_number(source).alias("source"), _prefix_number(lang).alias("lang"))
+        F.crc32(text).alias("crc"), F.xxhash64(text).alias("h"), source.alias("source"), lang.alias("lang"))
     rows = materialise(rows, "shard-keys")
     group = ["size", "crc", "h"]
-    groups = rows.groupBy(*group).agg(F.min("source").alias("source"), F.min("lang").alias("lang"))
+    groups = materialise(rows.groupBy(*group).agg(
+        F.min("source").alias("source"), F.min("lang").alias("lang")), "shard-groups")
     steps = F.lit([i / (1 << bits) for i in range(1, 1 << bits)])
-    cuts = groups.agg(*[F.percentile_approx(c, steps, 10_000).alias(f"{c}_cuts") for c in ("source", "lang", "size")])
-    cells = groups.crossJoin(F.broadcast(cuts)).select(  # one row of cuts
-        *group, *[_cell(c, f"{c}_cuts").alias(f"{c}_cell") for c in ("source", "lang", "size")])
+    cuts = groups.agg(F.percentile_approx("size", steps, 10_000).alias("size_cuts"))
+    cells = groups.join(_name_cells(groups, "source", bits), "source").join(
+        _name_cells(groups, "lang", bits), "lang").crossJoin(F.broadcast(cuts)).select(  # one row of cuts
+        *group, "source_cell", "lang_cell", _cell("size", "size_cuts").alias("size_cell"))
 
     @F.pandas_udf("long")
     def index(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
         return pd.Series(hilbert_index(np.stack([a, b, c]), bits))
 
     placed = cells.select(*group, index("source_cell", "lang_cell", "size_cell").alias("hilbert"))
-    keyed = rows.select("doc_id", *group).join(placed, group)
-    ranked = global_row_number(keyed, ["hilbert", "h", "crc", "size", "doc_id"], "rn")
-    total = F.broadcast(rows.agg(F.count("*").alias("total")))
-    rank = F.col("rn") - 1
-    shard = F.expr(f"(rn - 1) * {shards} div total")
-    numbered = ranked.crossJoin(total).withColumn("shard", shard)
-    first = F.expr(f"(shard * total + {shards - 1}) div {shards}")  # least rank of the shard
-    return numbered.select(
-        "doc_id", "size", F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"),
-        F.col("shard").cast("int").alias("shard"), (rank - first).alias("slot"),
+    # Rows equal in doc_id and text are one key with a count, so no range holds them row by row.
+    keys = rows.groupBy("doc_id", *group).agg(F.count("*").alias("n")).join(placed, group)
+    ranked = summed_ranks(keys.withColumn("known", F.col("doc_id").isNotNull()).withColumn(
+        "id", F.coalesce("doc_id", F.lit(0))).drop("doc_id"), ["hilbert", "h", "crc", "size", "known", "id"])
+    chunks = ranked.withColumn("at", F.explode(F.expr(f"sequence(0, n - 1, {COPIES})"))).repartition(
+        partitions(docs.sparkSession), "rank", "at")
+    each = chunks.withColumn("k", F.explode(F.expr(f"sequence(at, least(at + {COPIES}, n) - 1)")))
+    total = F.broadcast(rows.agg(F.count("*").alias("total")))  # one row
+    place = each.crossJoin(total).withColumn("place", F.col("rank") + F.col("k")).withColumn(
+        "shard", F.expr(f"place * {shards} div total"))
+    first = F.expr(f"(shard * total + {shards - 1}) div {shards}")  # least place of the shard
+    return place.select(
+        F.when(F.col("known"), F.col("id")).alias("doc_id"), "size", F.col("crc").alias("text_crc32"),
+        F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), (F.col("place") - first).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"), "hilbert")

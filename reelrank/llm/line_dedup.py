@@ -23,10 +23,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import kept, materialise, partitions, unused
+from reelrank.llm.common import kept, materialise, summed_ranks, unused
 
 MIN_LINES = 2
 MIN_WORDS = 10
@@ -57,25 +57,10 @@ def line_table(rows: DataFrame) -> DataFrame:
     ).dropDuplicates([*ROW, "seq"])
 
 
-def _numbered(pairs: DataFrame, order: list[str]) -> DataFrame:
-    """Distinct keys with their ``n`` -> the keys and ``rank`` = the sum of ``n``
-    over all smaller keys. Range-partitioned; one offset row per partition."""
-    cut = pairs.repartitionByRange(partitions(pairs.sparkSession), *order).withColumn(
-        "part", F.spark_partition_id())
-    cut = materialise(cut, "rank-keys")
-    totals = cut.groupBy("part").agg(F.sum("n").alias("t"))
-    offsets = totals.select("part", F.coalesce(
-        F.sum("t").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("o"))
-    before = F.sum("n").over(Window.partitionBy("part").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, -1))
-    return (cut.withColumn("b", F.coalesce(before, F.lit(0))).join(F.broadcast(offsets), "part")
-            .select(*order, "n", (F.col("o") + F.col("b")).alias("rank")))
-
-
 def first_ranks(lines: DataFrame) -> DataFrame:
     """Suffixes ranked by their first line; lines that occur once are left out."""
     repeated = lines.groupBy("x", "y").agg(F.count("*").alias("n")).filter("n > 1")
-    return lines.join(_numbered(repeated, ["x", "y"]).drop("n"), ["x", "y"]).drop("x", "y")
+    return lines.join(summed_ranks(repeated, ["x", "y"]).drop("n"), ["x", "y"]).drop("x", "y")
 
 
 def doubled(ranks: DataFrame, step: int) -> DataFrame:
@@ -85,7 +70,7 @@ def doubled(ranks: DataFrame, step: int) -> DataFrame:
     on = ranks.select(*ROW, (F.col("seq") - step).alias("seq"), F.col("rank").alias("next"))
     pairs = ranks.withColumnRenamed("rank", "head").join(on, [*ROW, "seq"])
     counted = pairs.groupBy("head", "next").agg(F.count("*").alias("n")).filter("n > 1")
-    return (pairs.join(_numbered(counted, ["head", "next"]).drop("n"), ["head", "next"])
+    return (pairs.join(summed_ranks(counted, ["head", "next"]).drop("n"), ["head", "next"])
             .drop("head", "next"))
 
 
