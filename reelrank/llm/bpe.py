@@ -8,7 +8,7 @@ hypotheses (token before, bytes of the token being read, tokens not yet agreed
 on). Reading a byte extends the token being read or closes it. What all
 hypotheses agree on is emitted; a hypothesis lives at most as long as the
 longest token, which bounds the look-ahead. States and arrows are made when
-first met and kept in a table of bounded size.
+first met and kept in a table of bounded size; beyond it steps are made without keeping them.
 
 Decoding streams: token bytes pass through a UTF-8 state machine that holds
 back at most three bytes of an unfinished character.
@@ -30,9 +30,12 @@ from pyspark.sql import functions as F
 
 from reelrank.llm.common import kept
 
-#: States of an automaton, and entries and characters of a memo's keys, kept before either is begun
-#: anew: together about 0.2 GB in a Python worker.
-STATE_LIMIT, TABLE_LIMIT, KEY_LIMIT = 160_000, 100_000, 4 << 20
+#: States of an automaton that are kept, and entries of half a memo: together about
+#: 0.4 GB in a Python worker. :data:`SMALL` takes 0.1 GB and half as long again.
+STATES, ENTRIES = 500_000, 100_000
+SMALL = (80_000, 40_000)
+#: Characters of the keys of half a memo.
+KEY_LIMIT = 8 << 20
 
 #: A space beside other white space.
 _LOOSE_SPACE = re.compile(r" \s|\s ")
@@ -44,19 +47,22 @@ def load_ranks(data: bytes) -> dict[bytes, int]:
 
 
 class _Memo(dict):
-    """Results of a function of the key, begun anew when full."""
+    """Results of a function of the key. When full, the entries become the older
+    half, from which those asked for again come back, and the half before goes."""
 
-    def __init__(self, make):
+    def __init__(self, make, entries: int):
         super().__init__()
-        self.make = make
-        self.held = 0
+        self.make, self.entries, self.old, self.held = make, entries, {}, 0
 
     def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         self.held += len(key) if isinstance(key, str) else 0
-        if len(self) >= TABLE_LIMIT or self.held > KEY_LIMIT:
+        if len(self) >= self.entries or self.held > KEY_LIMIT:
+            self.old, self.held = dict(self), 0
             self.clear()
-            self.held = 0
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
@@ -65,8 +71,8 @@ class Transducer:
 
     START = ((-1, 0, ()),)  # token before, trie node of the token being read, tokens pending
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], states: int = STATES, entries: int = ENTRIES):
+        self.ranks, self.states = ranks, states
         self.token = {i: t for t, i in ranks.items()}
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
@@ -82,9 +88,9 @@ class Transducer:
                     self.at.append(-1)
                 node = nxt
             self.at[node] = rank
-        self._halves = _Memo(self._split)
-        self._fits = _Memo(lambda key: self._follows(key >> 32, key & 0xFFFFFFFF))
-        self._whole = _Memo(lambda t: len(self.merge(self.token[t])) == 1)
+        self._halves = _Memo(self._split, entries)
+        self._fits = _Memo(lambda key: self._follows(key >> 32, key & 0xFFFFFFFF), entries)
+        self._whole = _Memo(lambda t: len(self.merge(self.token[t])) == 1, entries)
         self._begin()
 
     def merge(self, data: bytes, until: int = 1) -> list[int]:
@@ -149,6 +155,7 @@ class Transducer:
 
     def _begin(self) -> None:
         """An automaton that knows its start state only."""
+        self._unkept = 0
         self._states = [self.START]
         self._number = {self.START: 0}
         self._arrows: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
@@ -163,19 +170,35 @@ class Transducer:
         self._arrows[state][byte] = number, out
         return number, out
 
+    def _beyond(self, state: int, byte: int, rest: Iterator[int]) -> tuple[int | tuple, list[int]]:
+        """Steps without keeping states, until a kept state or the end is
+        reached: that state (unkept: its hypotheses) and the tokens emitted."""
+        after, out = self._step(self._states[state], byte)
+        ids = list(out)
+        while (number := self._number.get(after)) is None:
+            self._unkept += 1
+            byte = next(rest, None)
+            if byte is None:
+                return after, ids
+            after, out = self._step(after, byte)
+            ids += out
+        return number, ids
+
     def walk(self, data: bytes) -> list[int]:
-        """Tokens of one pre-token, each as soon as no other reading is left."""
-        if len(self._states) >= STATE_LIMIT:
+        """Tokens of one pre-token, each as soon as no other reading is left. A
+        full automaton keeps no more states; it is begun anew when most steps fall outside."""
+        if self._unkept > 50 * self.states:
             self._begin()
-        state, arrows, ids = 0, self._arrows, []
-        for byte in data:
+        state, arrows, ids, rest = 0, self._arrows, [], iter(data)
+        for byte in rest:
             try:
                 state, out = arrows[state][byte]
             except KeyError:
-                state, out = self._arrow(state, byte)
+                full = len(arrows) >= self.states
+                state, out = self._beyond(state, byte, rest) if full else self._arrow(state, byte)
             if out:
                 ids += out
-        for before, node, pending in self._states[state]:
+        for before, node, pending in self._states[state] if isinstance(state, int) else state:
             token = self.at[node]
             if token >= 0 and self.fits(before, token):
                 return [*ids, *pending, token]
@@ -215,11 +238,11 @@ class Utf8Stream:
 class Codec:
     """Whole texts to ids and back."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, states: int = STATES, entries: int = ENTRIES):
+        self.transducer = Transducer(ranks, states, entries)
         self.pattern = regex.compile(pattern)
-        self._pieces = _Memo(self.transducer.piece)
-        self._inner = _Memo(lambda word: self._ids(" " + word))
+        self._pieces = _Memo(self.transducer.piece, entries)
+        self._inner = _Memo(lambda word: self._ids(" " + word), entries)
 
     def _ids(self, text: str) -> tuple[int, ...]:
         pieces = self.pattern.findall(text)
@@ -250,9 +273,9 @@ class Codec:
         return "".join([stream.feed(b) for b in self.decode_bytes(ids)] + [stream.feed(b"", last=True)])
 
 
-def _codec(data: bytes, pattern: str) -> Codec:
+def _codec(data: bytes, pattern: str, *sizes: int) -> Codec:
     """One codec per Python worker and vocabulary, see :func:`kept`."""
-    return kept(("bpe", hashlib.sha256(data).digest(), pattern), lambda: Codec(load_ranks(data), pattern))
+    return kept(("bpe", hashlib.sha256(data).digest(), pattern, sizes), lambda: Codec(load_ranks(data), pattern, *sizes))
 
 
 def _vocabulary(df: DataFrame, path: str):
@@ -288,16 +311,18 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", udf("ids").alias("text"))
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False,
+               states: int = STATES, entries: int = ENTRIES) -> DataFrame:
     """Encode each text, decode the ids again, and return digests of both:
     doc_id, n_tokens, ids_sha256 (little-endian unsigned 32-bit), decoded_sha256
-    (bytes); with ``with_ids`` also the ids. Null texts count as empty."""
+    (bytes); with ``with_ids`` also the ids. Null texts count as empty.
+    ``states`` and ``entries`` bound what a worker keeps, not the result."""
     vocabulary = _vocabulary(docs, path)
     kind = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     @F.pandas_udf(kind)
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = _codec(vocabulary.value, pattern)
+        codec = _codec(vocabulary.value, pattern, states, entries)
         for texts in batches:
             rows = []
             for text in texts:

@@ -56,13 +56,27 @@ def test_token_soup(codec, reference):
         assert codec.encode(text).tolist() == reference.encode_ordinary(text)
 
 
-def test_full_tables_are_begun_anew(reference, monkeypatch):
-    monkeypatch.setattr(bpe, "TABLE_LIMIT", 20)
-    monkeypatch.setattr(bpe, "STATE_LIMIT", 20)
+def test_full_tables(reference):
     with open(PATH, "rb") as file:
-        small = bpe.Codec(bpe.load_ranks(file.read()), PATTERN)
-    text = "thorough thought through though " * 3 + "anderwhedor ciónmente üngöstlich"
-    assert small.encode(text).tolist() == reference.encode_ordinary(text)
+        ranks = bpe.load_ranks(file.read())
+    rng = random.Random(4)
+    words = ["thorough", "thought", "through", "though", "anderwhedor", "ciónmente", "üngöstlich", "日本語", "x" * 50]
+    for states, entries in ((2, 3), (20, 20), (200, 5)):
+        small = bpe.Codec(ranks, PATTERN, states, entries)
+        for _ in range(60):
+            text = " ".join(rng.choice(words) + rng.choice(["", ",", "s", "ing"]) for _ in range(12))
+            assert small.encode(text).tolist() == reference.encode_ordinary(text)
+        assert len(small.transducer._states) <= states
+        assert len(small._inner) + len(small._inner.old) <= 2 * entries + 1
+
+
+def test_automaton_is_begun_anew_when_most_steps_fall_outside(reference):
+    with open(PATH, "rb") as file:
+        small = bpe.Codec(bpe.load_ranks(file.read()), PATTERN, 3, 2)
+    for k in range(200):
+        text = f"w{k}ordy thing{k} mañana{k}"
+        assert small.encode(text).tolist() == reference.encode_ordinary(text)
+    assert small.transducer._unkept <= 50 * 3 + 60
 
 
 def test_utf8_stream_holds_back_unfinished_characters():
