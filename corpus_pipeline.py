@@ -48,8 +48,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with digests of the ids and of the decoded text."""
     text_batches(spark)
-    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
-                          public_tokenizers.PATTERN, with_ids=True)
+    states, entries = bpe.SMALL  # the executor's heap has grown in four stages before
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                          with_ids=True, states=states, entries=entries)
 
 
 STAGES: list[tuple[str, Stage]] = [
