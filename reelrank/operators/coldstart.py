@@ -1,46 +1,62 @@
 """Cold start: demographic model of genre preferences (M5-M8, R2, K2).
 
 The original trained one multi-output random forest with scikit-learn on the
-driver, after collecting every profile. Here the model is a ``PipelineModel``
-fitted on the executors: indexers and a one-hot encoder fitted once (same
-encoding for training and prediction, so gender and occupation really count),
-then one random forest per genre on a persisted feature vector. The 18 fits
-are independent Spark jobs submitted from a small thread pool, so their tasks
-share the cluster instead of queueing one forest after another.
+driver, after collecting every profile. Here one multi-output forest is fitted
+on the executors (:mod:`reelrank.operators.forest`): one grouped aggregate over
+the profiles, then one task for each tree. Gender and occupation are encoded by
+the vocabularies of a fitted encoder, the same for training and prediction.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.functions.genres import GENRES, PROFILE_COLUMNS
+from reelrank.operators import forest
 from reelrank.operators.profiles import profile_targets
 from reelrank.operators.scoring import top_k_by_genre_weights
-from reelrank.session import cut_lineage, ensure_checkpoint_dir
+from reelrank.session import cut_lineage
 
 CATEGORICAL = ["gender", "occupation"]
 FEATURES = "features"
 # --- fixed values -----------------------------------------------------------
-# Forest settings of the original model.
+# Forest settings of the original model; all features are tried at every split.
 RF_NUM_TREES = 100
 RF_SEED = 42
+RF_MIN_SPLIT = 5
 # --- end of fixed values ----------------------------------------------------
-# Nearest equivalents of "all features per split" and "min 5 samples to split".
-RF_FEATURE_SUBSET = "all"
-RF_MIN_INSTANCES = 2
-RF_MAX_DEPTH = 30  # the deepest Spark allows (the original had no limit)
-RF_MAX_BINS = 128
-ROWS_PER_PARTITION = 50_000
-RF_MAX_MEMORY_MB = 256  # per fit; 6 fits run at once
-CACHE_NODE_IDS = True  # node ids cached (and checkpointed) instead of re-sending trees
+RF_MAX_DEPTH = 30  # the original had no limit
+RF_MAX_BINS = 128  # ages beyond as many distinct ones are binned at quantiles
+#: Cells of the compiled forest that may be broadcast; beyond, Spark chooses the join.
+BROADCAST_CELLS = 1_000_000
+CELL = ["age_bin", "gender_level", "occupation_level"]
+
+
+@dataclass
+class GenreModel:
+    """The fitted model: vocabularies, borders between age bins, the trees'
+    nodes, and the forest compiled to one prediction for each cell."""
+
+    vocab: dict[str, list[str]]
+    cuts: list[float]
+    nodes: DataFrame
+    cells: DataFrame
+
+    def cell_columns(self) -> dict:
+        """Age bin and levels of a frame with age, gender and occupation."""
+        return {CELL[0]: forest.bin_of(F.col("age"), self.cuts),
+                **{name: forest.level_of(F.col(c), self.vocab[c]) for name, c in zip(CELL[1:], CATEGORICAL)}}
+
+    def sizes(self) -> list[int]:
+        """Values of each cell column, the unseen level included."""
+        return [len(self.cuts) + 1] + [len(self.vocab[c]) + 1 for c in CATEGORICAL]
 
 
 def prediction_columns() -> list[str]:
@@ -63,8 +79,10 @@ def demographic_encoder() -> Pipeline:
     return Pipeline(stages=[idx, ohe, vec])
 
 
-def vocabulary(encoder: PipelineModel) -> dict[str, list[str]]:
+def vocabulary(encoder: PipelineModel | GenreModel) -> dict[str, list[str]]:
     """Levels seen in training, per categorical column."""
+    if isinstance(encoder, GenreModel):
+        return encoder.vocab
     indexer = next(s for s in encoder.stages if isinstance(s, StringIndexerModel))
     return dict(zip(CATEGORICAL, indexer.labelsArray))
 
@@ -78,71 +96,56 @@ def onehot_columns(df: DataFrame, vocab: dict[str, Sequence[str]]) -> DataFrame:
     return df.select("userId", "age", *cols, F.coalesce(unseen, F.lit(1)).alias("occupation_unseen"))
 
 
-def fit_genre_model(profiles: DataFrame, num_trees: int = RF_NUM_TREES,
-                    max_depth: int = RF_MAX_DEPTH, parallelism: int = 6,
-                    rows_per_partition: int = ROWS_PER_PARTITION, target_fill: str = "zero") -> PipelineModel:
-    """M7: encoder + one forest per genre, targets are the profile averages
-    with null as 0 (P6), or, with ``target_fill="drop"``, only the users who
-    rated the genre (a genre nobody rated is learned as 0). Rows are range-partitioned and sorted by userId
-    before fitting so the bootstrap samples do not depend on input order.
-
-    Forest training runs one Spark job per tree level, each with one task per
-    partition, so the feature frame gets a partition count sized by its rows
-    (one count), not the shuffle default: tiny partitions would make every
-    level pay hundreds of empty tasks, too few would idle the cluster."""
+def fit_genre_model(profiles: DataFrame, num_trees: int = RF_NUM_TREES, max_depth: int = RF_MAX_DEPTH,
+                    target_fill: str = "zero", min_split: int = RF_MIN_SPLIT, max_bins: int = RF_MAX_BINS,
+                    seed: int = RF_SEED) -> GenreModel:
+    """M7: one forest for all genres. Targets are the profile averages with null
+    as 0 (P6), or, with ``target_fill="drop"``, a genre learns only from the users
+    who rated it (one that nobody rated is learned as 0). A node needs
+    ``min_split`` users to be split. A null age counts as the lowest."""
     if target_fill not in ("zero", "drop"):
         raise ValueError("target_fill is 'zero' or 'drop'")
-    ensure_checkpoint_dir(profiles.sparkSession)  # node ids are checkpointed
     filled = profiles if target_fill == "drop" else profile_targets(profiles)
     # read several times below: written once to the shared folder
-    train = cut_lineage(filled.select("userId", "age", *CATEGORICAL, *PROFILE_COLUMNS))
-    encoder = demographic_encoder().fit(train)
-    counts = train.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in PROFILE_COLUMNS]).first()
-    rows = counts["_rows"]
-    parts = max(1, -(-rows // rows_per_partition))
-    feats = (
-        encoder.transform(train).select("userId", FEATURES, *PROFILE_COLUMNS)
-        .repartitionByRange(parts, "userId").sortWithinPartitions("userId")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-
-    def fit_one(i: int):
-        rf = RandomForestRegressor(
-            featuresCol=FEATURES, labelCol=PROFILE_COLUMNS[i], predictionCol=prediction_columns()[i],
-            numTrees=num_trees, maxDepth=max_depth, maxBins=RF_MAX_BINS,
-            minInstancesPerNode=RF_MIN_INSTANCES, featureSubsetStrategy=RF_FEATURE_SUBSET, seed=RF_SEED,
-            maxMemoryInMB=RF_MAX_MEMORY_MB, cacheNodeIds=CACHE_NODE_IDS)
-        target = PROFILE_COLUMNS[i]
-        if counts[target] == rows:
-            return rf.fit(feats)
-        return rf.fit(feats.filter(F.col(target).isNotNull()) if counts[target] else feats.na.fill(0.0, [target]))
-
-    try:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            forests = list(pool.map(fit_one, range(len(GENRES))))
-    finally:
-        feats.unpersist()
-    return PipelineModel(stages=list(encoder.stages) + forests)
-
-
-def save_model(model: PipelineModel, path: str) -> str:
-    """K2: persist the whole model (encoder + forests) to shared storage."""
-    model.write().overwrite().save(path)
+    train = cut_lineage(filled.select("userId", "age", *CATEGORICAL, *[F.col(c).cast("double").alias(c) for c in PROFILE_COLUMNS]))
+    indexer = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}_idx" for c in CATEGORICAL],
+                            stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
+    model = GenreModel(dict(zip(CATEGORICAL, map(list, indexer.labelsArray))), forest.borders(train, "age", max_bins),
+                       train, train)
+    rows = train.select("userId", *[c.alias(n) for n, c in model.cell_columns().items()], *PROFILE_COLUMNS)
+    model.nodes = forest.fit(rows, "userId", CELL, [n - 1 for n in model.sizes()[1:]], PROFILE_COLUMNS,
+                             num_trees, max_depth, min_split, seed)
+    model.cells = cut_lineage(forest.compiled(model.nodes, CELL, model.sizes(), prediction_columns()))
+    return model
+
+
+def save_model(model: GenreModel, path: str) -> str:
+    """K2: persist vocabularies, borders, trees and the compiled forest to shared storage."""
+    spark = model.nodes.sparkSession
+    head = spark.createDataFrame([(model.vocab["gender"], model.vocab["occupation"], model.cuts)],
+                                 "gender array<string>, occupation array<string>, cuts array<double>")
+    for name, df in (("nodes", model.nodes), ("cells", model.cells), ("head", head)):  # the head last: it tells a whole model
+        df.write.mode("overwrite").parquet(os.path.join(path, name))
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> GenreModel:
+    spark = SparkSession.getActiveSession()
+    head = spark.read.parquet(os.path.join(path, "head")).first()
+    nodes, cells = (spark.read.parquet(os.path.join(path, name)) for name in ("nodes", "cells"))
+    return GenreModel({"gender": list(head["gender"]), "occupation": list(head["occupation"])}, list(head["cuts"]), nodes, cells)
 
 
-def predict_genre_scores(model: PipelineModel, requests: DataFrame, id_col: str = "requestId") -> DataFrame:
+def predict_genre_scores(model: GenreModel, requests: DataFrame, id_col: str = "requestId") -> DataFrame:
     """M8: the 18 predicted genre scores per request (wide), plus
-    ``occupation_unseen``. ``requests`` needs age, gender, occupation."""
-    vocab = vocabulary(model)
-    scored = model.transform(requests.select(id_col, "age", *CATEGORICAL))
-    unseen = (~F.col("occupation").isin(list(vocab["occupation"]))).cast("int")
-    return scored.select(id_col, F.coalesce(unseen, F.lit(1)).alias("occupation_unseen"),
-                         *prediction_columns(), genre_score_map().alias("genre_scores"))
+    ``occupation_unseen``. ``requests`` needs age, gender, occupation. A request
+    is joined to its cell of the compiled forest; unseen levels have cells too."""
+    asked = requests.select(id_col, "age", *CATEGORICAL).withColumns(model.cell_columns())
+    sizes = model.sizes()
+    cells = F.broadcast(model.cells) if sizes[0] * sizes[1] * sizes[2] <= BROADCAST_CELLS else model.cells
+    unseen = (F.col(CELL[2]) == len(model.vocab["occupation"])).cast("int")
+    return asked.join(cells, CELL, "left").select(
+        id_col, unseen.alias("occupation_unseen"), *prediction_columns(), genre_score_map().alias("genre_scores"))
 
 
 def genre_score_map():

@@ -141,6 +141,28 @@ def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
     return ranked.select(query_col, F.col("rank").cast("int").alias("rank"), "movieId", "title", "score")
 
 
+def title_seeds(items: DataFrame, queries: DataFrame, query_col: str = "query") -> DataFrame:
+    """(query, seed): the best match of each query text that has one."""
+    # One row per query: checkpointed (shared folder) so the search runs once
+    # and the rest of the plan does not carry it along.
+    return cut_lineage(title_search(items, queries, k=1, query_col=query_col).select(
+        query_col, F.col("movieId").alias("seed")))
+
+
+def seed_recommendations(seeds: DataFrame, items: DataFrame, ratings: DataFrame,
+                         stored: DataFrame | Callable[[DataFrame], DataFrame], k: int = 10) -> DataFrame:
+    """(seed, rank, movieId, title, n_users) of each distinct ``seed``: see :func:`recommend_by_title`."""
+    raters = ratings.select(F.col("movieId").alias("seed"), "userId").join(seeds.select("seed").distinct(), "seed", "left_semi")
+    lists_df = stored(raters.select("userId").distinct()) if callable(stored) else stored
+    lists = lists_df.select("userId", F.col("movieId").alias("rec"))
+    # (user, item) is unique in both inputs, so a row count is a user count.
+    counted = raters.join(lists, "userId").groupBy("seed", "rec").agg(F.count("*").alias("n_users"))
+    order = Window.partitionBy("seed").orderBy(F.col("n_users").desc(), F.col("rec").asc())
+    top = counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return top.join(items.select(F.col("movieId").alias("rec"), "title"), "rec").select(
+        "seed", F.col("rank").cast("int").alias("rank"), F.col("rec").alias("movieId"), "title", "n_users")
+
+
 def recommend_by_title(items: DataFrame, queries: DataFrame, ratings: DataFrame,
                        stored: DataFrame | Callable[[DataFrame], DataFrame], k: int = 10,
                        query_col: str = "query") -> DataFrame:
@@ -151,19 +173,28 @@ def recommend_by_title(items: DataFrame, queries: DataFrame, ratings: DataFrame,
     function that builds those lists for a frame of ``userId`` (then only the
     raters of matched items are ranked, not every user). Returns query, rank,
     movieId, title, n_users (users whose list holds the item); ties by
-    movieId. Work is shared by queries with the same best hit."""
-    # One row per query: checkpointed (shared folder) so the search runs once
-    # and the rest of the plan does not carry it along.
-    hits = cut_lineage(title_search(items, queries, k=1, query_col=query_col).select(
-        query_col, F.col("movieId").alias("seed")))
-    seeds = hits.select("seed").distinct()
-    raters = ratings.select(F.col("movieId").alias("seed"), "userId").join(seeds, "seed", "left_semi")
-    lists_df = stored(raters.select("userId").distinct()) if callable(stored) else stored
-    lists = lists_df.select("userId", F.col("movieId").alias("rec"))
-    # (user, item) is unique in both inputs, so a row count is a user count.
-    counted = raters.join(lists, "userId").groupBy("seed", "rec").agg(F.count("*").alias("n_users"))
-    order = Window.partitionBy("seed").orderBy(F.col("n_users").desc(), F.col("rec").asc())
-    top = counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    named = top.join(items.select(F.col("movieId").alias("rec"), "title"), "rec")
-    return hits.join(named, "seed").select(
-        query_col, F.col("rank").cast("int").alias("rank"), F.col("rec").alias("movieId"), "title", "n_users")
+    movieId. Work is shared by queries with the same best hit. Queries without
+    an answer have no rows; :func:`title_answers` gives their reason."""
+    seeds = title_seeds(items, queries, query_col)
+    return seeds.join(seed_recommendations(seeds, items, ratings, stored, k), "seed").select(
+        query_col, "rank", "movieId", "title", "n_users")
+
+
+def title_answers(items: DataFrame, queries: DataFrame, ratings: DataFrame,
+                  stored: DataFrame | Callable[[DataFrame], DataFrame], k: int = 10,
+                  query_col: str = "query") -> DataFrame:
+    """R4 with an answer to every distinct query text: query, reason, rank,
+    movieId, title, n_users. ``reason`` is null on ranked rows; a query without
+    them has one row with 'no such title' (nothing matches, also for null and empty
+    texts), 'no ratings' (nobody rated the best match) or 'no recommendations'
+    (its raters have no lists)."""
+    seeds = title_seeds(items, queries, query_col)
+    ranked = cut_lineage(seed_recommendations(seeds, items, ratings, stored, k))
+    rated = ratings.select(F.col("movieId").alias("seed")).join(seeds.select("seed").distinct(), "seed", "left_semi").distinct()
+    told = seeds.join(rated.withColumn("_rated", F.lit(True)), "seed", "left").withColumnRenamed(query_col, "_q")
+    asked = queries.select(query_col).distinct()
+    # a null text equals no seed's text: it keeps its row with a reason
+    every = asked.join(told, F.col(query_col) == F.col("_q"), "left").drop("_q").join(ranked, "seed", "left")
+    reason = F.when(F.col("rank").isNotNull(), F.lit(None)).when(F.col("seed").isNull(), "no such title").when(
+        F.col("_rated").isNull(), "no ratings").otherwise("no recommendations")
+    return every.select(query_col, reason.cast("string").alias("reason"), "rank", "movieId", "title", "n_users")

@@ -3,11 +3,10 @@ by the demographic model, invalid requests with their reason."""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.operators.coldstart import predict_genre_scores, recommend_new
+from reelrank.operators.coldstart import GenreModel, predict_genre_scores, recommend_new
 from reelrank.operators.requests import classify_requests
 from reelrank.operators.scoring import recommend_known
 from reelrank.session import cut_lineage
@@ -16,7 +15,7 @@ OUTPUT = ["requestId", "userId", "path", "rank", "movieId", "title", "score", "o
           "reject_reason"]
 
 
-def recommend_session(requests: DataFrame, profiles: DataFrame, model: PipelineModel,
+def recommend_session(requests: DataFrame, profiles: DataFrame, model: GenreModel,
                       items: DataFrame, k: int = 10) -> DataFrame:
     """requestId, userId, path ('known' / 'new' / 'rejected'), rank, movieId,
     title, score, occupation_unseen (1 where the model never saw a new user's

@@ -99,7 +99,8 @@ def session_job(c: Catalog, out: str, fmt: str = "parquet", requests: DataFrame
 def titles_job(c: Catalog, out: str, fmt: str = "parquet", titles: DataFrame | None = None,
                k: int = 10, lists: str = "profile") -> DataFrame:
     """For each title query: the items most often recommended to the raters
-    of its best match, as rows and as one JSON answer per query. ``lists`` says
+    of its best match, as rows; and one JSON answer for every query, with a reason
+    where there is nothing to recommend. ``lists`` says
     whose lists: ranked from the published profiles (``profile``), or those the
     ``als`` job published (``als``)."""
     queries = titles if titles is not None else c.title_queries
@@ -111,10 +112,9 @@ def titles_job(c: Catalog, out: str, fmt: str = "parquet", titles: DataFrame | N
         def stored(users: DataFrame) -> DataFrame:
             return scoring.recommend_known(profiles.join(users, "userId", "left_semi"), c.items, k)
 
-    answers = search.recommend_by_title(c.items, queries, c.ratings, stored, k)
-    path = tables.publish(answers, os.path.join(out, "title_answers"), fmt)
-    tables.publish(documents.title_documents(read_published(c.spark, path, fmt)),
-                   os.path.join(out, "title_documents"), fmt)
+    answers = cut_lineage(search.title_answers(c.items, queries, c.ratings, stored, k))
+    path = tables.publish(answers.filter("reason IS NULL").drop("reason"), os.path.join(out, "title_answers"), fmt)
+    tables.publish(documents.title_answer_documents(answers), os.path.join(out, "title_documents"), fmt)
     return tables.publish_checks(c.spark, path, fmt)
 
 

@@ -384,3 +384,15 @@ SELECT requestId, userId, 'rejected', NULL, NULL, NULL, NULL, NULL, reject_reaso
 UNION ALL
 SELECT requestId, userId, 'new', CAST(r AS INTEGER), NULL, NULL, NULL, 0, NULL
 FROM (SELECT * {_VALID_NEW}), range(1, 11) v(r) WHERE r <= (SELECT COUNT(*) FROM items)""")
+
+_ASKED = "(SELECT p_name AS query FROM part UNION SELECT n_name FROM nation)"
+
+SQL["title_answers"] = SQL["recommend_by_title"].replace("(SELECT DISTINCT p_name AS query FROM part)", _ASKED).replace(
+    "SELECT c.query, CAST(c.rank AS INTEGER) AS rank, c.rec AS movieId, i.title, c.n_users FROM (",
+    """, told AS (SELECT c.query, list({'movieId': c.rec, 'title': i.title} ORDER BY c.rank) AS recs FROM (""",
+) + f""" GROUP BY c.query)
+SELECT query, reason, CAST(CASE WHEN reason IS NULL THEN to_json({{'movie_title': query, 'recommendations': recs}})
+  ELSE to_json({{'movie_title': query, 'reason': reason}}) END AS VARCHAR) AS answer FROM (
+  SELECT q.query, t.recs, CASE WHEN t.recs IS NOT NULL THEN NULL WHEN s.seed IS NULL THEN 'no such title'
+    WHEN s.seed NOT IN (SELECT movieId FROM ratings) THEN 'no ratings' ELSE 'no recommendations' END AS reason
+  FROM {_ASKED} q LEFT JOIN seed s USING (query) LEFT JOIN told t USING (query))"""

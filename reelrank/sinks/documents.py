@@ -25,3 +25,18 @@ def answer_documents(ranked: DataFrame, id_col: str = "userId", doc_col: str | N
 def title_documents(ranked: DataFrame, query_col: str = "query") -> DataFrame:
     """One document per title query, ``{movie_title, recommendations}``."""
     return answer_documents(ranked, query_col, doc_name="movie_title")
+
+
+def title_answer_documents(answers: DataFrame, query_col: str = "query") -> DataFrame:
+    """One document for every title query (rows of ``search.title_answers``):
+    ``{movie_title, recommendations}``, or ``{movie_title, reason}`` where there
+    is nothing to recommend. A group holds at most k rows."""
+    grouped = answers.groupBy(query_col).agg(
+        F.max("reason").alias("reason"),
+        F.array_sort(F.collect_list(F.struct("rank", "movieId", "title"))).alias("_recs"))
+    recs = F.transform("_recs", lambda r: F.struct(r["movieId"].alias("movieId"), r["title"].alias("title")))
+    subject = F.col(query_col).alias("movie_title")
+    keep = {"ignoreNullFields": "false"}
+    return grouped.select(query_col, "reason", F.when(
+        F.col("reason").isNull(), F.to_json(F.struct(subject, recs.alias("recommendations")), keep)).otherwise(
+        F.to_json(F.struct(subject, F.col("reason")), keep)).alias("answer"))

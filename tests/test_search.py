@@ -80,3 +80,22 @@ def test_common_word_query_reads_only_class_heads(spark):
     the_postings = postings.filter("token = 'the'")
     classes = the_postings.select("tf", "dl").distinct().count()
     assert cand.count() <= k * classes < the_postings.count()
+
+
+def test_every_title_query_gets_an_answer_or_a_reason(spark):
+    import json
+
+    from reelrank.sinks.documents import title_answer_documents
+
+    it = fx.items(spark, [(1, "red sun", set()), (2, "blue moon", set()), (3, "lost film", set()), (4, "night", set())])
+    r = fx.ratings(spark, [(7, 1, 4, 0), (8, 2, 3, 0), (7, 4, 2, 0)])
+    lists = spark.createDataFrame([(7, 4), (7, 2)], "userId long, movieId long")
+    asked = spark.createDataFrame([("red",), ("red",), ("lost",), ("moon",), ("nothing",), ("",), (None,)], "query string")
+    rows = search.title_answers(it, asked, r, lists, 5)
+    got = {x.query: (x.reason, json.loads(x.answer)) for x in title_answer_documents(rows).collect()}
+    assert {q: reason for q, (reason, _) in got.items()} == {
+        "red": None, "lost": "no ratings", "moon": "no recommendations", "nothing": "no such title",
+        "": "no such title", None: "no such title"}
+    assert [x["movieId"] for x in got["red"][1]["recommendations"]] == [2, 4]
+    assert got["lost"][1] == {"movie_title": "lost", "reason": "no ratings"}
+    assert got[None][1] == {"movie_title": None, "reason": "no such title"}
