@@ -26,6 +26,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from string import punctuation
 
 import numpy as np
@@ -43,7 +44,7 @@ SHARD_TOKENS = 1 << 20
 #: A pair is replaced where it occurs at least so often: a rule costs three numbers.
 MIN_PAIRS = 8
 #: A shard is done when a round would replace fewer than one of so many symbols.
-WORTH = 100
+WORTH = 50
 #: Bytes of a text that the tokenizer gets at a time, cut at a space between
 #: other characters, where no token crosses.
 PIECE = 1 << 16
@@ -273,6 +274,17 @@ def pieces_of(text: str) -> list[str]:
     return out
 
 
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies:
+    printable ones for themselves, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class _Words(dict):
     """Numbers of the words met, each as it stands behind a space; -1 where a
     text cannot be cut around it. Letters with punctuation behind them are two
@@ -289,15 +301,22 @@ class _Words(dict):
         self.pieces += 1
         return self.pieces - 1
 
+    def bare(self, piece: str) -> int:
+        """The number of a piece without a space before it; -1 where it holds the separator."""
+        if _SEPARATOR in piece:
+            return -1
+        key = _SEPARATOR + piece  # no word has this key
+        number = self.get(key)
+        if number is None:
+            number = self[key] = self._number(piece)
+        return number
+
     def __missing__(self, word: str) -> int:
         if not word or word[0].isspace() or word[-1].isspace() or _SEPARATOR in word:
             return -1
         letters = word.rstrip(punctuation)
         if len(letters) < len(word) and letters.isalpha():
-            behind = _SEPARATOR + word[len(letters):]  # no word has this key
-            if behind not in self:
-                dict.__setitem__(self, behind, self._number(behind[1:]))
-            number = self[letters] | self[behind] + 1 << 32
+            number = self[letters] | self.bare(word[len(letters):]) + 1 << 32
         else:
             number = self._number(" " + word)
         self[word] = number
@@ -309,7 +328,7 @@ class Encoder:
 
     Byte-level pre-tokens hold a space at their start only. A text whose spaces
     all stand between other characters is cut before each of them and its words
-    are looked up; words not met before go to the library together, with a tab
+    are looked up; words not met before go to the library: letters to its BPE model, others together with a tab
     between, which is a pre-token and an id of its own. Other texts, texts that hold a
     special token and vocabularies of another kind go to the library as they are.
     """
@@ -334,16 +353,30 @@ class Encoder:
         self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _learn(self) -> None:
-        """The ids of new words, behind those of the others."""
+        """The ids of new pieces, behind those of the others. Letters behind a
+        space are one pre-token and go to the library's BPE model by themselves."""
         new = self.words.new
-        if new:
-            ids = np.append(self._library(_SEPARATOR.join(new)), self._tab)
-            at = np.flatnonzero(ids == self._tab[0])
-            size = np.diff(at, prepend=-1) - 1
-            self.ids = np.concatenate([self.ids, np.delete(ids, at)])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
-            self.held += 200 * len(new) + sum(map(len, new)) + 4 * len(ids)
-            self.words.new = []
+        if not new:
+            return
+        spelt = [self._spelt(p) if p[0] == " " and p[1:].isalpha() else None for p in new]
+        mixed = [p for p, s in zip(new, spelt) if s is None]
+        ids = np.append(self._library(_SEPARATOR.join(mixed)), self._tab) if mixed else np.zeros(0, np.uint32)
+        at = np.flatnonzero(ids == self._tab[0]).tolist()
+        flat = ids.tolist()
+        others = iter([flat[i:j] for i, j in zip([0] + [k + 1 for k in at], at)])
+        merge = self.tokenizer.model.tokenize
+        found = [next(others) if s is None else [t.id for t in merge(s)] for s in spelt]
+        self.ids = np.concatenate([self.ids, np.array(list(chain.from_iterable(found)), np.uint32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in found])])
+        self.held += 200 * len(new) + sum(map(len, new)) + 4 * sum(map(len, found))
+        self.words.new = []
+
+    @staticmethod
+    def _spelt(piece: str) -> str:
+        """The piece as the vocabulary spells it, a character for each byte."""
+        if piece.isascii():
+            return _BYTE_LETTERS[32] + piece[1:]
+        return piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
 
     def whole(self, text: str) -> np.ndarray:
         """Ids of a text, long ones in several calls."""
@@ -358,23 +391,24 @@ class Encoder:
         return [np.zeros(0, np.uint32) if not text else self.whole(text) if parts is None else self._joined(*parts)
                 for text, parts in zip(texts, cut)]
 
-    def _cut(self, text: str) -> tuple[str, np.ndarray, str] | None:
-        """The first word, the numbers of the others, and the white space at the
+    def _cut(self, text: str) -> tuple[np.ndarray, str] | None:
+        """The numbers of the words, and the white space at the
         end, which is a pre-token of its own; None where words are no pre-tokens."""
         if not self.by_words or text[0].isspace() or any(t in text for t in self.special):
             return None
         body = text.rstrip(" \t\r\n")
         first, *words = body.split(" ")
-        at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        return None if first[-1].isspace() or (at < 0).any() else (first, at, text[len(body):])
+        at = np.empty(len(words) + 1, np.int64)
+        at[0] = -1 if first[-1].isspace() else self.words.bare(first)
+        at[1:] = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        return None if at.min() < 0 else (at, text[len(body):])
 
-    def _joined(self, first: str, at: np.ndarray, tail: str) -> np.ndarray:
+    def _joined(self, at: np.ndarray, tail: str) -> np.ndarray:
         both = np.stack([at & 0xFFFFFFFF, (at >> 32) - 1], axis=1).ravel()
         at = both[both >= 0]
         size = self.ends[at + 1] - self.ends[at]
         place = np.repeat(self.ends[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        parts = [self.whole(first), self.ids[place]]
-        return np.concatenate(parts + [self.whole(tail)] if tail else parts)
+        return np.concatenate([self.ids[place], self.whole(tail)]) if tail else self.ids[place]
 
 
 def _encoder(data: bytes) -> Encoder:
