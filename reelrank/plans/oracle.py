@@ -396,3 +396,7 @@ SELECT query, reason, CAST(CASE WHEN reason IS NULL THEN to_json({{'movie_title'
   SELECT q.query, t.recs, CASE WHEN t.recs IS NOT NULL THEN NULL WHEN s.seed IS NULL THEN 'no such title'
     WHEN s.seed NOT IN (SELECT movieId FROM ratings) THEN 'no ratings' ELSE 'no recommendations' END AS reason
   FROM {_ASKED} q LEFT JOIN seed s USING (query) LEFT JOIN told t USING (query))"""
+
+SQL["snapshot_roundtrip"] = SQL["item_table"]
+
+SQL["bulk_roundtrip"] = SQL["answer_documents"]

@@ -24,8 +24,10 @@ from reelrank.operators import items as item_ops
 from reelrank.operators import profiles as profile_ops
 from reelrank.session import cut_lineage, scratch_path
 from reelrank.sinks import documents, tables
+from reelrank.sinks.snapshots import publish_snapshot
 from reelrank.plans.catalog import Catalog
 from reelrank.sources import read_published
+from reelrank.sources.published import read_bulk, read_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -245,6 +247,24 @@ def q_publish_roundtrip(c: Catalog) -> DataFrame:
     return read_published(c.spark, path)
 
 
+@query("snapshot_roundtrip")
+def q_snapshot_roundtrip(c: Catalog) -> DataFrame:
+    """The items replaced by the item table in a second version, read back."""
+    path = scratch_path(c.spark, "snapshots")
+    publish_snapshot(c.items, path)
+    publish_snapshot(item_ops.item_table(c.items, c.ratings), path)
+    return read_snapshot(c.spark, path)
+
+
+@query("bulk_roundtrip")
+def q_bulk_roundtrip(c: Catalog) -> DataFrame:
+    """K1, K4: answers as bulk files of documents with ids, read back."""
+    path = scratch_path(c.spark, "bulk")
+    answers = documents.answer_documents(scoring.recommend_known(c.profiles, c.items, k=10), "userId")
+    documents.publish_bulk(answers, path, "answers", "userId", "answer")
+    return read_bulk(c.spark, path).select(F.col("_id").cast("long").alias("userId"), F.col("doc").alias("answer"))
+
+
 @query("publish_checks")
 def q_publish_checks(c: Catalog) -> DataFrame:
     """K5 on the published item table."""

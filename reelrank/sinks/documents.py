@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelrank.sinks.snapshots import publish_snapshot
+
 
 def answer_documents(ranked: DataFrame, id_col: str = "userId", doc_col: str | None = None,
                      doc_name: str | None = None) -> DataFrame:
@@ -40,3 +42,18 @@ def title_answer_documents(answers: DataFrame, query_col: str = "query") -> Data
     return grouped.select(query_col, "reason", F.when(
         F.col("reason").isNull(), F.to_json(F.struct(subject, recs.alias("recommendations")), keep)).otherwise(
         F.to_json(F.struct(subject, F.col("reason")), keep)).alias("answer"))
+
+
+def bulk_lines(docs: DataFrame, index: str, id_col: str, doc_col: str) -> DataFrame:
+    """The two lines that a document store's bulk interface takes for each row:
+    an ``index`` action with the row's id, and the document (JSON text of ``doc_col``). Rows
+    without an id or a document are left out: the store would make up an id."""
+    action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"), F.col(id_col).cast("string").alias("_id")).alias("index")))
+    known = docs.filter(F.col(id_col).isNotNull() & F.col(doc_col).isNotNull())
+    return known.select(F.concat_ws("\n", action, doc_col).alias("value"))
+
+
+def publish_bulk(docs: DataFrame, path: str, index: str, id_col: str, doc_col: str, keep: int = 2) -> str:
+    """Bulk files of documents with ids, replaced as a whole: a failing
+    partition leaves the version before. Writing the same rows again gives the same ids."""
+    return publish_snapshot(bulk_lines(docs, index, id_col, doc_col), path, "text", keep)
