@@ -239,7 +239,7 @@ def extract(pages: DataFrame, model: Crf) -> DataFrame:
         for rows in batches:
             out = []
             for page in rows:
-                found = blocks(page)
+                found = blocks(page, model.weights)  # features without a weight add nothing
                 kept = [b.text for b, y in zip(found, model.labels([b.features for b in found])) if y]
                 text = " ".join(kept)
                 out.append((text, len(text), len(found), len(kept)))

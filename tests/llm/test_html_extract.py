@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -127,3 +128,39 @@ def test_one_page_for_each_sampled_key(spark, monkeypatch):
     pages = [(None, None, f"<article><p>text {i}</p></article>") for i in range(30)]
     html_extract.fit(spark.createDataFrame(pages, "page_id long, url string, html string"), sample=5, designs=1)
     assert seen == [2]
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<a href=\"x <p>a", ["a"]), ("<a href=\"x <p>a > b", ["a > b"]), ("a <b", ["a <b"]), ("<p>a<scriptx>b", ["ab"]),
+    ("<p>a<script", ["a"]), ("<svg/><p>a", ["a"]), ("<svg>x</svg><svg>y", ["y"]), ("<p title='<b>'>a<br/>b", ["a b"]),
+    ("&#" + "0" * 5000 + "65;", ["A"]), ("&#" + "9" * 5000 + ";x", ["�x"]), ("&#0065", ["A"]), ("<!x", ["<!x"]),
+    ("<b><p>a</b>b</p>c", ["a", "b", "c"]), ("<p><i>a<div>b</div>c", ["a", "b", "c"]),
+])
+def test_markup_that_does_not_end(page, want):
+    assert texts(page) == want
+
+
+@pytest.mark.parametrize("unit", [
+    "<svg>x", "<div>x ", '<a href="x ', "<a ", "<b>x<hr>", "<a<a", "<", "<!", '"<a ">', "<template>", "</p ", "<script",
+    "'\"<a '\">", "<p><b>x", "<li><ul>x", '<x y="<', "</b>", "&#0", "<td>x", "<svg ", "<select><option>",
+])
+def test_hostile_pages_take_linear_time(unit):
+    """A page of 1 MB of each kind, whole and with tags that end at its end."""
+    for end in ("", '">', "'>"):
+        begin = time.process_time()
+        blocks(unit * (1_000_000 // len(unit)) + end, frozenset(["in:div"]))
+        assert time.process_time() - begin < 10
+
+
+def test_many_features_of_ancestors_are_kept_once():
+    names = ["".join(chr(97 + int(d)) for d in str(i)) for i in range(20_000)]
+    page = "".join(f'<div class="{n}">x' for n in names)
+    found = blocks(page, frozenset(["name:b", "in:div"]))
+    assert len(found) == 20_000 and found[-1].ancestors == ("in:div", "name:b")
+
+
+def test_features_do_not_depend_on_the_known_ones():
+    page = '<main id=story><nav class="menu x">a</nav><p class="x">b</p><footer>c</footer></main>'
+    for whole, few in zip(blocks(page), blocks(page, frozenset(["name:x", "in:main"]))):
+        assert few.ancestors == tuple(f for f in whole.ancestors if f in ("name:x", "in:main"))
+        assert few.text == whole.text and set(few.features) <= set(whole.features)
