@@ -11,9 +11,13 @@ Plan, exact and linear in users:
    masks, whatever the data size). Per mask keep the ``k`` smallest ids
    (``row_number <= k``; Spark applies the limit before and after the shuffle,
    so a mask holding a large share of all items is cut map-side).
-2. The mask table (mask, smallest id) has a proven size bound (2**18 rows of
-   an int and a long, about 3 MB at most), so it is broadcast and every user
-   row is scored against every mask in one codegen'd projection. Users are
+   Of these the k-skyband is marked (:func:`skyband`): an item is out for every
+   user with weights of zero or more if ``k`` items of smaller id have all of its
+   genres. Adding a term of zero or more never lowers a rounded sum, so those ``k``
+   items score as high and win the tie.
+2. The mask table has a proven size bound (2**18 rows of at most k ids),
+   so it is broadcast and every user row is scored against the masks of the skyband
+   (users with a negative or infinite weight: all masks) in one codegen'd projection. Users are
    range-partitioned by id first (one small row each), so the scored rows
    are already clustered and ``row_number <= k`` per user needs no shuffle:
    each task sorts only its own users' rows, spilling if needed.
@@ -32,6 +36,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +68,47 @@ def mask_table(kept: DataFrame) -> DataFrame:
     return kept.groupBy("mask").agg(F.array_sort(F.collect_list("movieId")).alias("ids"))
 
 
+def superset_limits(masks: np.ndarray, ranks: np.ndarray, bits: int) -> np.ndarray:
+    """For each mask, the k-th smallest rank among its own and its supersets'
+    (``ranks``: a row of k for each mask, missing ones as the type's greatest).
+
+    The k smallest of all supersets are gathered bit by bit over the lattice of
+    masks: after bit i, a place holds those of the masks that add any of the
+    first i bits. Time and memory depend on ``bits`` and k alone.
+    """
+    k = ranks.shape[1]
+    table = np.full((1 << bits, k), np.iinfo(ranks.dtype).max, ranks.dtype)
+    table[masks] = ranks
+    for i in range(bits):
+        without, having = np.moveaxis(table.reshape(-1, 2, 1 << i, k), 1, 0)
+        both = np.concatenate([without, having], axis=-1)
+        without[:] = np.partition(both, k - 1, axis=-1)[..., :k]
+    return table[masks].max(axis=1)
+
+
+def skyband(masks: DataFrame, k: int, bits: int = len(GENRES)) -> DataFrame:
+    """(mask, ids) -> mask, ids, keep: the first ``keep`` ids of a mask lie in the
+    k-skyband, i.e. fewer than ``k`` ids of the mask and its supersets are smaller.
+
+    The table is bounded by 2**bits rows of k ids whatever the data, so one task
+    sees all of it."""
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        sizes = pdf["ids"].map(len).to_numpy()
+        values, ranks = np.unique(np.concatenate(pdf["ids"].to_list()), return_inverse=True)
+        rows = np.full((len(pdf), k), np.iinfo(np.int32).max, np.int32)
+        rows[np.arange(k) < sizes[:, None]] = ranks
+        inside = (rows <= superset_limits(pdf["mask"].to_numpy(), rows, bits)[:, None]) & (rows < len(values))
+        return pdf.assign(keep=inside.sum(axis=1).astype(np.int32))
+
+    return masks.select("mask", "ids").groupBy().applyInPandas(mark, "mask int, ids array<long>, keep int")
+
+
+def monotone_sql(weight_cols: Sequence[str]) -> str:
+    """SQL text: no weight is negative, infinite or not a number (null counts as 0)."""
+    return " AND ".join(f"coalesce(CAST(`{w}` AS DOUBLE), 0.0D) >= 0 AND "
+                        f"coalesce(CAST(`{w}` AS DOUBLE), 0.0D) < double('infinity')" for w in weight_cols)
+
+
 def top_k_by_genre_weights(weights: DataFrame, id_col: str, weight_cols: Sequence[str],
                            items: DataFrame, k: int = 10, partitions: int | None = None) -> DataFrame:
     """Top ``k`` items per row of ``weights`` (id_col + one weight per genre,
@@ -81,9 +128,12 @@ def top_k_by_genre_weights(weights: DataFrame, id_col: str, weight_cols: Sequenc
     kept = mask_items(items, k)
     n = partitions or int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = weights.select(id_col, *weight_cols).repartitionByRange(n, id_col)
+    rows = rows.withColumn("_monotone", F.expr(monotone_sql(weight_cols)))
     # Broadcast of a table bounded by 2**18 rows, independent of data size.
-    scored = rows.crossJoin(F.broadcast(mask_table(kept))).select(
-        id_col, "ids", F.expr(score_sql(weight_cols, "mask")).alias("score"))
+    masks = F.broadcast(skyband(mask_table(kept), k))
+    scored = rows.join(masks, (F.col("keep") > 0) | ~F.col("_monotone")).select(
+        id_col, F.expr("CASE WHEN _monotone THEN slice(ids, 1, keep) ELSE ids END AS ids"),
+        F.expr(score_sql(weight_cols, "mask")).alias("score"))
     by_mask = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("ids")[0].asc())
     best = scored.withColumn("_r", F.row_number().over(by_mask)).filter(F.col("_r") <= k)
     cand = best.select(id_col, "score", F.explode("ids").alias("movieId"))

@@ -1,5 +1,9 @@
 """The mask-pruned plan equals the exhaustive users x items ranking."""
 
+import random
+
+import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -82,3 +86,50 @@ def test_new_user_ranking_ignores_non_positive_scores(spark, sf_small):
     want = (scored.withColumn("rank", F.row_number().over(order)).filter("rank <= 10")
             .select("requestId", "rank", "movieId", "title", "score"))
     assert got == rows(want)
+
+
+def test_superset_limits_equal_a_plain_search():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        bits, k = int(rng.integers(1, 7)), int(rng.integers(1, 5))
+        masks = rng.permutation(1 << bits)[:rng.integers(1, (1 << bits) + 1)]
+        top = np.iinfo(np.int32).max
+        ranks = np.full((len(masks), k), top, np.int32)
+        held = [sorted(rng.choice(100, rng.integers(1, k + 1), replace=False)) for _ in masks]
+        for row, ids in zip(ranks, held):
+            row[:len(ids)] = ids
+        want = []
+        for m in masks:
+            above = sorted(x for n, ids in zip(masks, held) if n & m == m for x in ids) + [top] * k
+            want.append(above[k - 1])
+        assert scoring.superset_limits(masks, ranks, bits).tolist() == want
+
+
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_skyband_drops_no_item_of_any_list(spark, k):
+    """Random items of many genres; weights of zero or more, negative and infinite ones."""
+    rng = random.Random(k)
+    it = fx.items(spark, [(i, f"t{i}", {g for g in GENRES if rng.random() < rng.choice([0.1, 0.5])})
+                          for i in rng.sample(range(1000), 300)])
+    kinds = [lambda: rng.choice([None, 0.0, 1.0, 2.5, rng.random() * 5]), lambda: rng.uniform(-3, 3),
+             lambda: rng.choice([None, 1e-9, 1e300, 0.1]), lambda: 0.0]
+    users = [{"userId": u, **{c: kinds[u % 4]() for c in PROFILE_COLUMNS}} for u in range(24)]
+    profiles = spark.createDataFrame(users, "userId long, " + ", ".join(f"{c} double" for c in PROFILE_COLUMNS))
+    assert rows(scoring.recommend_known(profiles, it, k)) == rows(brute_force(profiles, it, k))
+
+
+def test_infinite_weights_use_all_masks(spark):
+    it = fx.items(spark, [(1, "a", {"war"}), (2, "b", {"drama"}), (3, "c", {"war", "drama"})])
+    out = scoring.recommend_known(_profile(spark, {"avg_war": float("inf")}), it, 1).collect()
+    assert [r.movieId for r in out] == [2]  # infinity times no genre is no number, which ranks first
+
+
+def test_skyband_leaves_out_what_many_larger_masks_precede(spark):
+    """Items of up to four genres behind twelve that have all four."""
+    few = GENRES[:4]
+    rng = random.Random(8)
+    it = fx.items(spark, [(i, "all", set(few)) for i in range(12)]
+                  + [(i, "some", {g for g in few if rng.random() < 0.5}) for i in range(12, 200)])
+    kept = scoring.mask_table(scoring.mask_items(it, 10))
+    marked = {r["mask"]: r["keep"] for r in scoring.skyband(kept, 10).collect()}
+    assert len(marked) > 10 and marked.pop(15) == 10 and set(marked.values()) == {0}
