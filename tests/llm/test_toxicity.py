@@ -1,7 +1,9 @@
-"""The grammar's clauses, and held-out accuracy on the given labels."""
+"""The grammar's clauses, the composed machine against a plain version, and held-out accuracy on the given labels."""
 
+import random
 import zlib
 
+import numpy as np
 import pytest
 
 from reelrank.llm import toxicity
@@ -20,6 +22,80 @@ def test_modifiers_change_a_clause():
     assert total("a perfectly pleasant afternoon") == 0
 
 
+def test_threats_need_somebody_who_means_them_and_a_target():
+    assert total("I will kill you") > 2 > total("we kill the process and start it again")
+    assert total("I will not kill you") < 1 and total("she said I will kill you") < 1
+    assert total("I beat the eggs while the oven warms up and then call you") < 0.5
+
+
+def plain_total(symbols):
+    """Score of a clause by looking back and ahead instead of through states."""
+    def within(i, kinds, n):
+        return any(symbols[j][0] in kinds for j in range(max(0, i - n), i))
+
+    factors, score, threats = toxicity.FACTORS, 0.0, {}
+    for i, (s, weight) in enumerate(symbols):
+        if s not in "IT":
+            continue
+        part = weight * (factors["-"] if within(i, "N", 3) else 1) * (factors["'"] if within(i, "R", i) else 1)
+        if s == "I":
+            part *= (factors["="] if within(i, "C", 3) else 1) * (factors["+"] if within(i, "UY", 4) else 1)
+        else:
+            part *= toxicity.TRACE
+            if within(i, "F", 4):
+                part *= factors["!"]
+                threats[i] = part
+        score += part
+    for i, part in threats.items():
+        behind = [s for s, _ in symbols[i + 1:i + 4]]
+        before_next = behind[:behind.index("T")] if "T" in behind else behind
+        score += toxicity.COMPLETED * part if "U" in before_next else 0
+    return score
+
+
+def test_the_composition_equals_a_plain_version():
+    chance, machine = random.Random(4), toxicity.Composition()
+    for _ in range(4000):
+        symbols = [(chance.choice("ITUYFCNR....."), chance.random()) for _ in range(chance.randrange(0, 14))]
+        assert machine.total(symbols) == pytest.approx(plain_total(symbols))
+
+
+PROSE = [
+    "The committee discussed the distance between the two districts and the cost of travel by train.",
+    "On our day out we discovered a traditional transport museum, a worthy pathway and a cloakroom full of trams.",
+    "Der Ausschuss besprach die Entfernung zwischen den Bezirken und die Kosten der Reise, sachlich und ohne Streit.",
+    "Le comité a discuté de la distance entre les districts; nous vous écrirons demain, ne soyez pas inquiets.",
+    "El comité habló de la distancia entre los distritos y del precio del viaje; no es un trabajo difícil.",
+    "I will beat the eggs, then you hang the coats and we crush the garlic.",
+]
+
+
+def test_ordinary_prose_passes_and_the_factors_decide(spark):
+    root = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{root}/{t}.parquet") for t in ("documents", "labels"))
+    grammar = toxicity.fit(docs, labels)
+
+    def toxic(text):
+        return bool(grammar.score(np.array([grammar.features(text)[:3]]))[0] >= toxicity.THRESHOLD)
+
+    assert not any(toxic(t) for t in PROSE)
+    assert toxic("The man is an idiot.") and not toxic("The man is not an idiot.")
+    assert toxic("I will kill you.") and not toxic("He wrote that I will kill you.")
+    grammar._chain = toxicity.Composition(dict.fromkeys(toxicity.FACTORS, 1.0))
+    assert toxic("The man is not an idiot.")  # without the factors the same clause is rejected
+    # most frequent words of toxic documents are whole words; their beginnings are no patterns
+    assert not {"dis^", "diso^", "trav^", "wort^", "worth^", "path^", "clow^"} & set(grammar.weights)
+
+
+def test_a_beginning_needs_evidence_of_its_own():
+    def row(pattern, p, n):
+        return pattern, p, n, 50.0, 5.0
+
+    kept = toxicity._own_evidence([row("=scum", 90, 0), row("vequa^", 40, 0), row("vequ^", 41, 1), row("lost^", 80, 2),
+                                   row("lostra^", 40, 1)], 300, 3000)
+    assert set(kept) == {"=scum", "vequa^", "lostra^", "lost^"}
+
+
 def test_only_matched_clauses_are_scored():
     found, words = Grammar().clauses("A fine day. What an IDIOT!\nAll is well; total scum here")
     assert [c for c, _ in found] == ["what an idiot", "total scum here"] and words > 10
