@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.session import cut_lineage
+from reelrank.operators.inner_products import top_products
 
 # --- fixed values -----------------------------------------------------------
 # Training settings of the original job.
@@ -54,11 +54,16 @@ def als_predictions(model: ALSModel, test: DataFrame) -> DataFrame:
         "userId", "movieId", "rating", "prediction")
 
 
-def als_recommendations(model: ALSModel, k: int = TOP_K) -> DataFrame:
+def als_recommendations(model: ALSModel, k: int = TOP_K, exclude: DataFrame | None = None) -> DataFrame:
     """M4: top ``k`` items per user, long form: userId, rank, movieId,
-    rating (predicted). ``recommendForAllUsers`` keeps a bounded top-k per
-    block, so no user's full item list is ever materialised."""
-    return long_recommendations(model.recommendForAllUsers(k))
+    rating (predicted), without the (userId, movieId) pairs of ``exclude``.
+
+    Exact; bounds end a user's scan of the items (see
+    :mod:`reelrank.operators.inner_products`). Ties go to the lower id."""
+    lists = top_products(model.userFactors, model.itemFactors, k, exclude)
+    return lists.select("userId", F.posexplode(F.arrays_zip("ids", "scores")).alias("pos", "rec")).select(
+        "userId", (F.col("pos") + 1).cast("int").alias("rank"),
+        F.col("rec.ids").alias("movieId"), F.col("rec.scores").alias("rating"))
 
 
 def long_recommendations(nested: DataFrame) -> DataFrame:
@@ -77,40 +82,6 @@ def nested_recommendations(model: ALSModel, k: int = TOP_K) -> DataFrame:
 
 
 def als_recommendations_unseen(model: ALSModel, seen: DataFrame, k: int = TOP_K) -> DataFrame:
-    """M4 with ``exclude_seen``: the top ``k`` items a user has *not* rated.
-
-    Exact, with no cap: users are grouped by their seen count rounded up to a
-    power of two ``b``; each group asks ALS for its top ``k + b``, which holds
-    at least ``k`` unseen items (at most ``b`` can be seen), then seen pairs
-    are removed by ``left_anti`` and the first ``k`` kept. Every user is in
-    exactly one group, so the dot products computed equal one
-    ``recommendForAllUsers`` call; the candidate list of a user grows with
-    that user's own history only. Only the distinct group sizes (at most ~40
-    numbers) come to the driver, to size each call."""
-    # Read once for the groups and once for the anti-join of every size.
-    pairs = cut_lineage(seen.select("userId", "movieId").distinct())
-    counts = pairs.groupBy("userId").agg(F.count("*").alias("_seen"))
-    grouped = counts.select(
-        "userId",
-        F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("_seen"), F.lit(1))))).cast("int").alias("_b"))
-    grouped = cut_lineage(grouped)
-    sizes = sorted(r["_b"] for r in grouped.select("_b").distinct().collect())
-    model_users = model.userFactors.select(F.col("id").alias("userId"))
-    parts = []
-    for b in sizes:
-        users = grouped.filter(F.col("_b") == b).select("userId").join(model_users, "userId", "left_semi")
-        recs = model.recommendForUserSubset(users, k + b)
-        parts.append(recs.select("userId", F.explode("recommendations").alias("rec")))
-    if not parts:
-        return seen.sparkSession.createDataFrame(
-            [], "userId long, rank int, movieId long, rating float")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    flat = cand.select(F.col("userId").cast("long").alias("userId"),
-                       F.col("rec.movieId").cast("long").alias("movieId"),
-                       F.col("rec.rating").alias("rating"))
-    unseen = flat.join(pairs, ["userId", "movieId"], "left_anti")
-    order = Window.partitionBy("userId").orderBy(F.col("rating").desc(), F.col("movieId").asc())
-    ranked = unseen.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("userId", F.col("rank").cast("int").alias("rank"), "movieId", "rating")
+    """M4 with ``exclude_seen``: the top ``k`` items a user has *not* rated,
+    for every user of the model."""
+    return als_recommendations(model, k, seen.select("userId", "movieId"))
