@@ -28,6 +28,10 @@ from reelrank.functions.text import BM25_B, BM25_K1, tokens
 from reelrank.session import cut_lineage
 
 SCORE_DIGITS = 6
+#: Postings that a query reads at most before its first bound is known; the later steps read what the bound leaves.
+OPEN_POSTINGS = 200
+#: Room for rounded scores.
+_SLACK = 1e-5
 
 
 def title_shapes(items: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
@@ -50,8 +54,8 @@ def title_shapes(items: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
 
 
 def term_weights(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(weights, doc_freq): ``shape, token, min_id, w`` (the BM25 weight of
-    one token in one title shape) and ``token, n_t`` (items holding it)."""
+    """(weights, doc_freq): ``shape, token, tf, dl, min_id, w`` (the BM25 weight
+    of one token in one title shape) and ``token, n_t`` (items holding it)."""
     shapes = postings.select("shape", "dl", "n_items").dropDuplicates(["shape"])
     stats = shapes.agg(
         F.sum("n_items").alias("n_docs"),
@@ -65,7 +69,7 @@ def term_weights(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     norm = F.lit(BM25_K1) * (F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.col("dl") / F.col("avgdl"))
     weights = postings.join(idf, "token").select(
-        "shape", "token", "min_id", (F.col("idf") * F.col("tf") / (F.col("tf") + norm)).alias("w"))
+        "shape", "token", "tf", "dl", "min_id", (F.col("idf") * F.col("tf") / (F.col("tf") + norm)).alias("w"))
     return weights, df_t
 
 
@@ -87,17 +91,62 @@ def title_candidates(postings: DataFrame, weights: DataFrame, doc_freq: DataFram
         queries.select(query_col, F.posexplode(tokens(query_col)).alias("_p", "token"))
         .groupBy(query_col, "token").agg(F.countDistinct("_p").alias("qtf"))
     )
-    qtok = cut_lineage(qtok)  # read by both kinds of candidates and by the scoring
-    commonest = Window.partitionBy(query_col).orderBy(F.col("n_t").desc(), F.col("token").asc())
-    ranked_tokens = qtok.join(doc_freq, "token").withColumn("_c", F.row_number().over(commonest))
-    rare = ranked_tokens.filter(F.col("_c") > 1).select(query_col, "token")
-    common = ranked_tokens.filter(F.col("_c") == 1).select(query_col, "token")
-    cand = (
-        rare.join(weights.select("token", "shape"), "token")
-        .unionByName(common.join(heads, "token"))
-        .select(query_col, "shape").distinct()
+    qtok = cut_lineage(qtok)  # read by all kinds of candidates and by the scoring
+    blocks = cut_lineage(_query_blocks(qtok, weights, doc_freq, query_col))
+    lists = weights.select("token", "dl", "shape", "w")
+
+    opened = blocks.filter((F.col("_tokens") > 1) & (F.col("_c") == F.col("_tokens"))).withColumn(
+        "_read", F.sum("n").over(Window.partitionBy(query_col).orderBy(F.desc("_total"), "dl"))
+    ).filter(F.col("_read") <= OPEN_POSTINGS)
+    first = (
+        qtok.join(heads, "token").select(query_col, "shape")
+        .unionByName(opened.join(lists, ["token", "dl"]).select(query_col, "shape")).distinct()
+    )
+    first = cut_lineage(shape_scores(first, qtok, weights, query_col))
+    best = Window.partitionBy(query_col).orderBy(F.desc("score"))
+    floors = first.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") == k).select(
+        query_col, (F.col("score") - _SLACK).alias("_floor"))
+
+    bounded = blocks.join(floors, query_col, "left").withColumn("_floor", F.coalesce("_floor", F.lit(0.0)))
+    left_out = (F.col("_c") == 1) | (F.col("_sum") < F.col("_floor"))
+    rest = F.sum(F.when(left_out, F.col("top")).otherwise(0.0)).over(Window.partitionBy(query_col, "dl"))
+    read = bounded.withColumn("_rest", rest).filter(~left_out & (F.col("_total") >= F.col("_floor")))
+    hits = (
+        read.join(lists, ["token", "dl"])
+        .groupBy(query_col, "shape")
+        .agg(F.sum(F.col("qtf") * F.col("w")).alias("_part"), F.first("_rest").alias("_rest"),
+             F.first("_floor").alias("_floor"))
+        .filter(F.col("_part") + F.col("_rest") >= F.col("_floor")).select(query_col, "shape")
+    )
+    strong = first.join(floors, query_col, "left").filter(
+        F.col("score") >= F.coalesce("_floor", F.lit(0.0))).select(query_col, "shape")
+    return hits.unionByName(strong).distinct(), qtok
+
+
+def _query_blocks(qtok: DataFrame, weights: DataFrame, doc_freq: DataFrame, query_col: str) -> DataFrame:
+    """A row for each query, token and title length ``dl``: ``n`` postings, ``top``
+    (the most the token adds to a title of that length), its place ``_c`` among the
+    query's ``_tokens`` tokens there, commonest first, ``_sum`` of the tops up to
+    that place and ``_total`` of all."""
+    greatest = weights.groupBy("token", "dl").agg(F.max("w").alias("m"), F.count("*").alias("n"))
+    rows = qtok.join(doc_freq, "token").join(greatest, "token").select(
+        query_col, "token", "qtf", "n_t", "dl", "n", (F.col("qtf") * F.col("m")).alias("top"))
+    length = Window.partitionBy(query_col, "dl")
+    commonest = length.orderBy(F.col("n_t").desc(), F.col("token").asc())
+    return rows.select(
+        "*", F.row_number().over(commonest).alias("_c"),
+        F.sum("top").over(commonest.rowsBetween(Window.unboundedPreceding, 0)).alias("_sum"),
+        F.sum("top").over(length).alias("_total"), F.count("*").over(length).alias("_tokens"))
+
+
+def shape_scores(cand: DataFrame, qtok: DataFrame, weights: DataFrame, query_col: str = "query") -> DataFrame:
+    """(query, shape) -> the same with the exact rounded ``score``."""
+    return (
+        cand.join(qtok, query_col)
+        .join(weights.select("shape", "token", "w"), ["shape", "token"], "left")
+        .groupBy(query_col, "shape")
+        .agg(F.round(F.sum(F.col("qtf") * F.coalesce(F.col("w"), F.lit(0.0))), SCORE_DIGITS).alias("score"))
     )
-    return cand, qtok
 
 
 def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
@@ -105,19 +154,25 @@ def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
     """The ``k`` best items per query text: query, rank, movieId, title,
     score. A query that matches nothing gives no rows.
 
-    Exact candidate pruning, no cap: the posting list of each query's most
-    common token is never scanned in full.
+    Exact candidate pruning, no cap. Postings lie in blocks of one token and one
+    title length with the block's greatest weight, which is its bound.
 
-    - Any shape holding two or more query tokens holds one that is not the
-      most common, so scanning the other tokens' lists finds it.
-    - A shape holding only the most common token ``t`` scores
-      ``qtf * w(t, shape)``, and ``w`` depends only on (tf, dl). If ``k``
-      shapes with the same (tf, dl) for ``t`` have smaller ids, each of them
-      scores at least as much (weights are positive) and wins ties on id, so
-      it cannot be in the top ``k``. The ``k`` smallest ids per (token, tf,
+    - A shape holding one query token ``t`` only scores ``qtf * w(t, shape)``,
+      and ``w`` depends only on (tf, dl). If ``k`` shapes with the same (tf, dl)
+      for ``t`` have smaller ids, each of them scores at least as much (weights
+      are positive) and wins ties on id. The ``k`` smallest ids per (token, tf,
       dl) class, shared by all queries, therefore suffice.
-
-    Candidates are then scored exactly over all query tokens."""
+    - Those heads and some blocks of the query's rarest tokens (at most
+      ``OPEN_POSTINGS``) are scored first. Their ``k``-th score is the
+      query's floor: what scores less is out.
+    - Lengths whose bounds add up to less than the floor are not read. Of
+      the others the commonest tokens whose bounds together stay below the
+      floor are not read either (always at least the commonest): a shape
+      holding none but these cannot reach the floor, or holds one token only.
+    - A shape met in the lists read goes on if its sum there and the bounds of
+      the tokens not read reach the floor.
+
+    What is left is scored exactly over all query tokens."""
     shape_items, postings = title_shapes(items, k)
     # The index is read in every branch below: written once to the shared folder.
     postings = cut_lineage(postings)
@@ -125,12 +180,7 @@ def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
     weights = cut_lineage(weights)
     cand, qtok = title_candidates(postings, weights, doc_freq, queries, k, query_col)
     firsts = weights.select("shape", "min_id").dropDuplicates(["shape"])
-    per_shape = (
-        cand.join(qtok, query_col)
-        .join(weights.select("shape", "token", "w"), ["shape", "token"], "left")
-        .groupBy(query_col, "shape")
-        .agg(F.round(F.sum(F.col("qtf") * F.coalesce(F.col("w"), F.lit(0.0))), SCORE_DIGITS).alias("score"))
-    )
+    per_shape = shape_scores(cand, qtok, weights, query_col)
     best_shapes = per_shape.join(firsts, "shape").withColumn(
         "_r", F.row_number().over(
             Window.partitionBy(query_col).orderBy(F.col("score").desc(), F.col("min_id").asc()))

@@ -82,6 +82,30 @@ def test_common_word_query_reads_only_class_heads(spark):
     assert cand.count() <= k * classes < the_postings.count()
 
 
+def test_blocks_below_the_floor_are_not_read(spark):
+    import random
+
+    rnd = random.Random(8)
+    common, k = ["alpha", "beta", "gamma", "delta"], 5
+    titles = {}
+    for i in range(1, 4001):  # each common word lies in a third of the titles
+        words = [w for w in common if rnd.random() < 1 / 3] + [f"w{rnd.randrange(3000)}" for _ in range(rnd.randint(1, 12))]
+        titles[i] = " ".join(words)
+    it = fx.items(spark, [(i, t, set()) for i, t in titles.items()])
+    q = "alpha beta gamma delta"
+    qs = spark.createDataFrame([(q,), ("delta w7",), ("alpha alpha beta",)], "query string")
+    got = {}
+    for r in search.title_search(it, qs, k=k).collect():
+        got.setdefault(r.query, []).append((r.rank, r.movieId, r.score))
+    for text in (q, "delta w7", "alpha alpha beta"):
+        assert [(m, s) for _, m, s in sorted(got[text])] == bm25_python(titles, text)[:k], text
+    _, postings = search.title_shapes(it, k)
+    weights, doc_freq = search.term_weights(postings)
+    cand, _ = search.title_candidates(postings, weights, doc_freq, qs, k)
+    lists = postings.filter(postings.token.isin(common)).count()
+    assert cand.filter(cand["query"] == q).count() < lists / 10
+
+
 def test_every_title_query_gets_an_answer_or_a_reason(spark):
     import json
 
