@@ -28,8 +28,9 @@ from reelrank.functions.text import BM25_B, BM25_K1, tokens
 from reelrank.session import cut_lineage
 
 SCORE_DIGITS = 6
-#: Postings that a query reads at most before its first bound is known; the later steps read what the bound leaves.
-OPEN_POSTINGS = 200
+#: Postings of rare tokens that a query reads before its floor is known: so many, or this share of them if that
+#: is more. What they leave is read as far as the floor lets it.
+OPEN_POSTINGS, OPEN_SHARE = 200, 1 / 8
 #: Room for rounded scores.
 _SLACK = 1e-5
 
@@ -95,9 +96,11 @@ def title_candidates(postings: DataFrame, weights: DataFrame, doc_freq: DataFram
     blocks = cut_lineage(_query_blocks(qtok, weights, doc_freq, query_col))
     lists = weights.select("token", "dl", "shape", "w")
 
+    by_query = Window.partitionBy(query_col)
     opened = blocks.filter((F.col("_tokens") > 1) & (F.col("_c") == F.col("_tokens"))).withColumn(
-        "_read", F.sum("n").over(Window.partitionBy(query_col).orderBy(F.desc("_total"), "dl"))
-    ).filter(F.col("_read") <= OPEN_POSTINGS)
+        "_read", F.sum("n").over(by_query.orderBy(F.desc("_total"), "dl"))
+    ).withColumn("_most", F.greatest(F.lit(OPEN_POSTINGS), F.sum("n").over(by_query) * OPEN_SHARE)
+                 ).filter("_read <= _most")
     first = (
         qtok.join(heads, "token").select(query_col, "shape")
         .unionByName(opened.join(lists, ["token", "dl"]).select(query_col, "shape")).distinct()
@@ -127,16 +130,19 @@ def _query_blocks(qtok: DataFrame, weights: DataFrame, doc_freq: DataFrame, quer
     """A row for each query, token and title length ``dl``: ``n`` postings, ``top``
     (the most the token adds to a title of that length), its place ``_c`` among the
     query's ``_tokens`` tokens there, commonest first, ``_sum`` of the tops up to
-    that place and ``_total`` of all."""
+    that place and ``_total`` of the ``dl`` greatest (a title of ``dl`` words holds no more)."""
     greatest = weights.groupBy("token", "dl").agg(F.max("w").alias("m"), F.count("*").alias("n"))
     rows = qtok.join(doc_freq, "token").join(greatest, "token").select(
         query_col, "token", "qtf", "n_t", "dl", "n", (F.col("qtf") * F.col("m")).alias("top"))
     length = Window.partitionBy(query_col, "dl")
     commonest = length.orderBy(F.col("n_t").desc(), F.col("token").asc())
+    greatest_first = length.orderBy(F.col("top").desc(), F.col("token").asc())
+    rows = rows.withColumn("_g", F.row_number().over(greatest_first))
     return rows.select(
         "*", F.row_number().over(commonest).alias("_c"),
         F.sum("top").over(commonest.rowsBetween(Window.unboundedPreceding, 0)).alias("_sum"),
-        F.sum("top").over(length).alias("_total"), F.count("*").over(length).alias("_tokens"))
+        F.sum(F.when(F.col("_g") <= F.col("dl"), F.col("top"))).over(length).alias("_total"),
+        F.count("*").over(length).alias("_tokens")).drop("_g")
 
 
 def shape_scores(cand: DataFrame, qtok: DataFrame, weights: DataFrame, query_col: str = "query") -> DataFrame:
@@ -162,7 +168,7 @@ def title_search(items: DataFrame, queries: DataFrame, k: int = 10,
       for ``t`` have smaller ids, each of them scores at least as much (weights
       are positive) and wins ties on id. The ``k`` smallest ids per (token, tf,
       dl) class, shared by all queries, therefore suffice.
-    - Those heads and some blocks of the query's rarest tokens (at most
+    - Those heads and some blocks of the query's rarest tokens (see
       ``OPEN_POSTINGS``) are scored first. Their ``k``-th score is the
       query's floor: what scores less is out.
     - Lengths whose bounds add up to less than the floor are not read. Of

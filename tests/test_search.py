@@ -103,7 +103,8 @@ def test_blocks_below_the_floor_are_not_read(spark):
     weights, doc_freq = search.term_weights(postings)
     cand, _ = search.title_candidates(postings, weights, doc_freq, qs, k)
     lists = postings.filter(postings.token.isin(common)).count()
-    assert cand.filter(cand["query"] == q).count() < lists / 10
+    # the plan without floors goes on with every shape of three of the four lists
+    assert cand.filter(cand["query"] == q).count() < lists / 5
 
 
 def test_every_title_query_gets_an_answer_or_a_reason(spark):
