@@ -105,7 +105,7 @@ def title_candidates(postings: DataFrame, weights: DataFrame, doc_freq: DataFram
         qtok.join(heads, "token").select(query_col, "shape")
         .unionByName(opened.join(lists, ["token", "dl"]).select(query_col, "shape")).distinct()
     )
-    first = cut_lineage(shape_scores(first, qtok, weights, query_col))
+    first = shape_scores(first, qtok, weights, query_col)
     best = Window.partitionBy(query_col).orderBy(F.desc("score"))
     floors = first.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") == k).select(
         query_col, (F.col("score") - _SLACK).alias("_floor"))
