@@ -305,7 +305,7 @@ class _Words(dict):
         """The number of a piece without a space before it; -1 where it holds the separator."""
         if _SEPARATOR in piece:
             return -1
-        key = _SEPARATOR + piece  # no word has this key
+        key = " " + piece  # words hold no space, so none has this key
         number = self.get(key)
         if number is None:
             number = self[key] = self._number(piece)

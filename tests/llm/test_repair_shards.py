@@ -136,3 +136,9 @@ def test_query_against_the_library(spark, sf_small, library):
     rows = [tuple(r) for r in table(spark, sf_small, "documents").select("doc_id", "text").collect()]
     got = QUERIES["op12_repair_shards"](spark, sf_small).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
     assert sorted(map(tuple, got)) == sorted(plain_rows(library, rows))
+
+
+def test_a_first_word_is_not_taken_for_a_word_behind_a_tab(library):
+    encoder = rs.Encoder(open(PATH, "rb").read())
+    for text in ("1 \t1", "x", "1 a \t1 b", "a \tx"):
+        assert encoder.batch([text])[0].tolist() + [2] == library(text)
