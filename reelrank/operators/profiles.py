@@ -54,21 +54,28 @@ def user_genre_profile(ratings: DataFrame, items: DataFrame, users: DataFrame) -
 
 
 def user_genre_profile_long(ratings: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
-    """userId, genre, avg_rating, n_ratings for each genre a user rated."""
-    long_flags = (
-        items.select("movieId", *GENRES)
-        .unpivot(["movieId"], GENRES, "genre", "flag")
-        .filter(F.col("flag") == 1)
-        .select("movieId", "genre")
-    )
-    known = users.select("userId")
-    per = (
+    """userId, genre, avg_rating, n_ratings for each genre a user rated.
+
+    A rating meets one mask, not a row for each genre, and a user's ratings lie
+    together before they are added up: a task's table of sums holds its own
+    users only, not (user, genre) pairs of nearly all users in every task."""
+    masks = items.select("movieId", genre_signature().alias("mask")).filter("mask <> 0")
+    rated = (
         ratings.select("userId", "movieId", "rating")
-        .join(long_flags, "movieId", "inner")
-        .groupBy("userId", "genre")
-        .agg(F.avg("rating").alias("avg_rating"), F.count("rating").alias("n_ratings"))
+        .join(masks, "movieId", "inner")
+        .select("userId", "rating", "mask")
+        .repartition("userId")
     )
-    return per.join(known, "userId", "left_semi")
+    given = [f"CASE WHEN {mask_bit_sql('mask', i)} = 1 THEN rating END" for i in range(len(GENRES))]
+    per = rated.groupBy("userId").agg(
+        F.bit_or("mask").alias("mask"),
+        *[F.expr(f"sum(CAST({g} AS DOUBLE))").alias(f"sum_{i}") for i, g in enumerate(given)],
+        *[F.expr(f"count({g})").alias(f"n_{i}") for i, g in enumerate(given)])
+    each = ", ".join(
+        f"struct('{g}' AS genre, {mask_bit_sql('mask', i)} = 1 AS rated, try_divide(sum_{i}, n_{i}) AS avg_rating, "
+        f"n_{i} AS n_ratings)" for i, g in enumerate(GENRES))
+    known = per.join(users.select("userId"), "userId", "left_semi")
+    return known.select("userId", F.expr(f"inline(array({each}))")).filter("rated").drop("rated")
 
 
 def profile_targets(profiles: DataFrame) -> DataFrame:

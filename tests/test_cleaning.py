@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from reelrank.operators import cleaning, items as item_ops, profiles
@@ -97,3 +99,14 @@ def test_damaged_duplicate_never_wins(spark):
 def test_user_with_fewest_nulls_wins(spark):
     us = fx.users(spark, [(7, None, "F", None, "z"), (7, 30, "M", "writer", "a"), (7, 30, None, "writer", "a")])
     assert tuple(cleaning.dedup_users(us).first()) == (7, 30, "M", "writer", "a")
+
+
+def test_long_profile_adds_up_by_user_only(spark):
+    it = fx.items(spark, [(1, "x", {"drama", "war"}), (2, "y", {"war"}), (3, "z", set())])
+    us = fx.users(spark, [(7, 30, "M", "writer", "z"), (8, 30, "M", "writer", "z"), (9, 30, "F", "writer", "z")])
+    r = fx.ratings(spark, [(7, 1, 4, 1), (7, 2, 1, 1), (7, 3, 5, 1), (8, 2, None, 1), (9, 3, 2, 1), (10, 1, 5, 1), (7, 99, 5, 1)])
+    long = profiles.user_genre_profile_long(r, it, us)
+    got = sorted(tuple(x) for x in long.collect())
+    assert got == [(7, "drama", 4.0, 1), (7, "war", 2.5, 2), (8, "war", None, 0)]
+    # no table of (user, genre) pairs in a task
+    assert not re.search(r"Aggregate \[userId#\d+L?, genre", long._jdf.queryExecution().optimizedPlan().toString())
