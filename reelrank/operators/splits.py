@@ -20,6 +20,8 @@ DEFAULT_ORDER = ("timestamp", "userId", "movieId")
 HASH_PRIME = 1000003
 HASH_USER_MULT = 7919
 HASH_ITEM_MULT = 104729
+#: Ratings of one range of :func:`evaluation_sets`: a task sorts so many for every set.
+RANGE_ROWS = 400_000
 
 
 def split_random(ratings: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> DataFrame:
@@ -54,6 +56,12 @@ def kfold_split(ratings: DataFrame, k: int = 5, order: Sequence[str] = DEFAULT_O
     return numbered.crossJoin(F.broadcast(total)).select(*ratings.columns, fold.alias("fold"))
 
 
+def _first_rows(ratings: DataFrame, stop: int, order: Sequence[str]) -> DataFrame:
+    """Each user's first ``stop`` rows in ``order``, numbered from 1 by ``_n``."""
+    by_user = Window.partitionBy("userId").orderBy(*[c for c in order if c != "userId"])
+    return ratings.withColumn("_n", F.row_number().over(by_user)).filter(F.col("_n") <= stop)
+
+
 def leave_n_out(ratings: DataFrame, start: int = 1, stop: int = 10, max_test: int = 0,
                 order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
     """A user's ratings number ``start``..``stop`` (in ``order``) go to
@@ -63,9 +71,7 @@ def leave_n_out(ratings: DataFrame, start: int = 1, stop: int = 10, max_test: in
     Per-user numbering only needs each user's first ``stop`` rows, so Spark
     limits every user to ``stop`` rows before the shuffle (WindowGroupLimit);
     a user holding a large share of the data costs no more than any other."""
-    by_user = Window.partitionBy("userId").orderBy(*[c for c in order if c != "userId"])
-    firsts = ratings.withColumn("_n", F.row_number().over(by_user)).filter(F.col("_n") <= stop)
-    test = firsts.filter(F.col("_n") >= start).drop("_n")
+    test = _first_rows(ratings, stop, order).filter(F.col("_n") >= start).drop("_n")
     if max_test > 0:
         test = global_row_number(test, order, "_g").filter(F.col("_g") <= max_test).drop("_g")
     keys = test.select("userId", "movieId").withColumn("_test", F.lit(True))
@@ -77,13 +83,20 @@ def leave_n_out(ratings: DataFrame, start: int = 1, stop: int = 10, max_test: in
 def evaluation_sets(ratings: DataFrame, k: int = 5, n: int = 10) -> DataFrame:
     """Every base/test pair of the evaluation scripts in one frame: ``set_name``
     (``u1`` .. ``uk`` for the folds, ``ua`` and ``ub`` for a user's ratings 1..n
-    and n+1..2n as test), ``part`` ('base' / 'test'), and the rating."""
+    and n+1..2n as test), ``part`` ('base' / 'test'), and the rating.
+
+    Every rating is labelled once for all sets (its fold and its number among its
+    user's first ``2n``); the labelled rows are laid into ranges of (userId,
+    movieId) and only then repeated for each set, so no shuffle carries the
+    repeats. Expects one rating for each (userId, movieId)."""
     cols = ratings.columns
     folds = kfold_split(ratings, k)
-    pairs = folds.select(*cols, "fold", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("_set")).select(
-        F.concat(F.lit("u"), F.col("_set")).alias("set_name"),
-        F.when(F.col("fold") == F.col("_set"), "test").otherwise("base").alias("part"), *cols)
-    for name, start in (("ua", 1), ("ub", n + 1)):
-        one = leave_n_out(ratings, start, start + n - 1)
-        pairs = pairs.unionByName(one.select(F.lit(name).alias("set_name"), "part", *cols))
-    return pairs
+    numbers = _first_rows(folds, 2 * n, DEFAULT_ORDER).select("userId", "movieId", "_n")
+    ranges = max(ratings.sparkSession.sparkContext.defaultParallelism, -(-folds.count() // RANGE_ROWS))
+    labelled = folds.join(numbers, ["userId", "movieId"], "left").repartitionByRange(ranges, "userId", "movieId")
+    tests = {f"u{i}": F.col("fold") == i for i in range(1, k + 1)}
+    tests |= {name: F.coalesce(F.col("_n").between(start, start + n - 1), F.lit(False))
+              for name, start in (("ua", 1), ("ub", n + 1))}
+    sets = F.array(*[F.struct(F.lit(name).alias("set_name"), F.when(test, "test").otherwise("base").alias("part"))
+                     for name, test in tests.items()])
+    return labelled.select(F.inline(sets), *cols)

@@ -227,7 +227,7 @@ def q_leave_n_out(c: Catalog) -> DataFrame:
 def q_splits_roundtrip(c: Catalog) -> DataFrame:
     """Every published base/test pair read back: rows, users and id sums of each."""
     path = tables.publish_sorted(splits.evaluation_sets(c.ratings), scratch_path(c.spark, "splits"),
-                                 by=["userId", "movieId"], partition_by=["set_name", "part"])
+                                 by=["userId", "movieId"], partition_by=["set_name", "part"], ranged=True)
     return read_published(c.spark, path).groupBy("set_name", "part").agg(
         F.count("*").alias("n_rows"), F.countDistinct("userId").alias("n_users"),
         F.sum("userId").alias("user_sum"), F.sum("movieId").alias("item_sum"))

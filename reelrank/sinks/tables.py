@@ -33,12 +33,13 @@ def publish(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwri
 
 
 def publish_sorted(df: DataFrame, path: str, by: Sequence[str], partition_by: Sequence[str] = (),
-                   fmt: str = "parquet") -> str:
+                   fmt: str = "parquet", ranged: bool = False) -> str:
     """Write with files in global order of ``by`` (inside each value of
     ``partition_by``): range-partitioned, so the rows of a heavy user are
-    several files, then sorted within each."""
+    several files, then sorted within each. ``ranged``: the rows already lie in
+    ranges of ``by`` and are not shuffled again."""
     keys = [*partition_by, *by]
-    return publish(df.repartitionByRange(*keys), path, fmt, partition_by=partition_by, sort_within=keys)
+    return publish(df if ranged else df.repartitionByRange(*keys), path, fmt, partition_by=partition_by, sort_within=keys)
 
 
 def publish_checks(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -96,3 +96,26 @@ def test_evaluation_sets_cover_every_rating_once_each(spark):
         assert counts[name, "base"] + counts[name, "test"] == 175
     assert sum(counts[f"u{i}", "test"] for i in range(1, 6)) == 175
     assert counts["ua", "test"] == counts["ub", "test"] == 70
+
+
+def test_evaluation_sets_repeat_ratings_behind_the_last_shuffle(spark, tmp_path):
+    from reelrank.sinks import tables
+
+    r = fx.ratings(spark, [(u, m, 3, 10 * u + m) for u in range(7) for m in range(25)])
+    sets = splits.evaluation_sets(r, k=5, n=10)
+    plan = sets._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.index("Generate") < plan.index("RepartitionByExpression")
+    path = tables.publish_sorted(sets, str(tmp_path / "sets"), ["userId", "movieId"], ["set_name", "part"], ranged=True)
+    read = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    spans = read.groupBy("set_name", "part", "file").agg(
+        F.min(F.struct("userId", "movieId")).alias("a"), F.max(F.struct("userId", "movieId")).alias("b")).collect()
+    for name, part in {(s.set_name, s.part) for s in spans}:
+        mine = sorted((tuple(s.a), tuple(s.b)) for s in spans if (s.set_name, s.part) == (name, part))
+        assert all(x[1] < y[0] for x, y in zip(mine, mine[1:]))
+    rows = read.collect()
+    want = {(x.userId, x.movieId): x.fold for x in splits.kfold_split(r, 5).collect()}
+    assert all((x.part == "test") == (want[x.userId, x.movieId] == int(x.set_name[1:]))
+               for x in rows if x.set_name[1:].isdigit())
+    for name, start in (("ua", 1), ("ub", 11)):
+        one = {(x.userId, x.movieId, x.part) for x in splits.leave_n_out(r, start, start + 9).collect()}
+        assert {(x.userId, x.movieId, x.part) for x in rows if x.set_name == name} == one
