@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelrank.functions.genres import GENRES, PROFILE_COLUMNS
@@ -36,6 +36,8 @@ RF_MAX_DEPTH = 30  # the original had no limit
 RF_MAX_BINS = 128  # ages beyond as many distinct ones are binned at quantiles
 #: Cells of the compiled forest that may be broadcast; beyond, Spark chooses the join.
 BROADCAST_CELLS = 1_000_000
+#: Distinct rows of predicted scores whose lists may be broadcast.
+BROADCAST_LISTS = 20_000
 CELL = ["age_bin", "gender_level", "occupation_level"]
 
 
@@ -162,7 +164,25 @@ def genre_scores_long(scores: DataFrame, id_col: str = "requestId") -> DataFrame
 
 
 def recommend_new(scores: DataFrame, items: DataFrame, k: int = 10, id_col: str = "requestId") -> DataFrame:
-    """R2: rank items by predicted genre scores; only scores > 0 count."""
+    """R2: rank items by predicted genre scores; only scores > 0 count.
+
+    The model predicts one row of scores for each cell, so many requests have
+    equal scores: every distinct row is ranked once and its list goes to all its
+    requests. Beyond :data:`BROADCAST_LISTS` distinct rows each request is ranked by itself."""
     preds = prediction_columns()
-    weights = scores.selectExpr(f"`{id_col}`", *[f"CASE WHEN `{p}` > 0 THEN `{p}` END AS `{p}`" for p in preds])
-    return top_k_by_genre_weights(weights, id_col, preds, items, k)
+    weights = scores.selectExpr(
+        f"`{id_col}`", *[f"CASE WHEN `{p}` > 0 THEN CAST(`{p}` AS DOUBLE) ELSE 0.0D END AS `{p}`" for p in preds])
+    # numbered, so written once: a number must be the same wherever it is read
+    distinct = cut_lineage(weights.select(*preds).distinct().withColumn("_list", F.monotonically_increasing_id()))
+    if distinct.count() > BROADCAST_LISTS:
+        return top_k_by_genre_weights(weights, id_col, preds, items, k)
+    ranked = top_k_by_genre_weights(distinct, "_list", preds, items, k)
+    lists = ranked.groupBy("_list").agg(F.collect_list(F.struct("score", "movieId", "title")).alias("_items"))
+    n = int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Both bounded: BROADCAST_LISTS rows of 18 scores, and as many lists of k items.
+    answered = weights.repartitionByRange(n, id_col).join(F.broadcast(distinct), preds).select(id_col, "_list")
+    answered = answered.join(F.broadcast(lists), "_list").select(id_col, F.inline("_items"))
+    # an id that comes twice has one list, the best of both
+    order = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("movieId").asc())
+    return answered.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+        id_col, "rank", "movieId", "title", "score")

@@ -17,7 +17,9 @@ Plan, exact and linear in users:
    items score as high and win the tie.
 2. The mask table has a proven size bound (2**18 rows of at most k ids),
    so it is broadcast and every user row is scored against the masks of the skyband
-   (users with a negative or infinite weight: all masks) in one codegen'd projection. Users are
+   (users with a negative or infinite weight: all masks): a matrix product leaves the few
+   masks that can be among the best ``k`` (:func:`mask_candidates`), which are scored
+   and rounded in one codegen'd projection. Users are
    range-partitioned by id first (one small row each), so the scored rows
    are already clustered and ``row_number <= k`` per user needs no shuffle:
    each task sorts only its own users' rows, spilling if needed.
@@ -42,7 +44,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrank.functions.genres import GENRES, PROFILE_COLUMNS, genre_signature, mask_bit_sql
+from reelrank.session import cut_lineage
 
+#: Scores of one matrix product: rows times masks.
+_SCORE_CELLS = 1 << 20
 SCORE_DIGITS = 6
 BASE_SCORE = 1.0
 
@@ -109,6 +114,35 @@ def monotone_sql(weight_cols: Sequence[str]) -> str:
                         f"coalesce(CAST(`{w}` AS DOUBLE), 0.0D) < double('infinity')" for w in weight_cols)
 
 
+def mask_candidates(masks: np.ndarray, keep: np.ndarray, k: int, bits: int = len(GENRES)):
+    """UDF: (monotone, weights...) -> the masks that can be among a row's best ``k``.
+
+    Scores are compared before they are rounded. Rounding moves a score by at most
+    half a unit of the last digit and keeps the order, so a mask more than a unit below the
+    k-th best of the skyband ranks behind ``k`` masks. Rows whose weights are
+    not monotone get every mask."""
+    inside = masks[keep > 0]
+    flags = ((inside[None, :] >> np.arange(bits)[:, None]) & 1).astype(float)
+    unit = 10.0 ** -SCORE_DIGITS
+
+    def found(monotone: pd.Series, *weights: pd.Series) -> pd.Series:
+        able, given, out = monotone.to_numpy(bool), np.stack([w.to_numpy(float) for w in weights], axis=1), []
+        step = max(1, _SCORE_CELLS // max(1, len(inside)))
+        for at in range(0, len(given), step):
+            part = able[at:at + step]
+            scores = np.where(part[:, None], given[at:at + step], 0.0) @ flags
+            if len(inside) > k:
+                kth = np.partition(scores, len(inside) - k, axis=1)[:, len(inside) - k]
+                least = np.where(np.isfinite(kth), kth - 2 * unit - 1e-12 * np.abs(kth), kth)
+                near = scores >= least[:, None]
+            else:
+                near = np.ones(scores.shape, bool)
+            out += [inside[row] if ok else masks for row, ok in zip(near, part)]
+        return pd.Series(out)
+
+    return F.pandas_udf(found, "array<int>")
+
+
 def top_k_by_genre_weights(weights: DataFrame, id_col: str, weight_cols: Sequence[str],
                            items: DataFrame, k: int = 10, partitions: int | None = None) -> DataFrame:
     """Top ``k`` items per row of ``weights`` (id_col + one weight per genre,
@@ -129,9 +163,13 @@ def top_k_by_genre_weights(weights: DataFrame, id_col: str, weight_cols: Sequenc
     n = partitions or int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = weights.select(id_col, *weight_cols).repartitionByRange(n, id_col)
     rows = rows.withColumn("_monotone", F.expr(monotone_sql(weight_cols)))
-    # Broadcast of a table bounded by 2**18 rows, independent of data size.
-    masks = F.broadcast(skyband(mask_table(kept), k))
-    scored = rows.join(masks, (F.col("keep") > 0) | ~F.col("_monotone")).select(
+    # A table bounded by 2**18 rows, independent of data size: broadcast, its numbers also to the UDF.
+    masks = cut_lineage(skyband(mask_table(kept), k))
+    known = masks.select("mask", "keep").toPandas()
+    near = mask_candidates(known["mask"].to_numpy(np.int32), known["keep"].to_numpy(np.int32), k)
+    plain = [F.expr(f"coalesce(CAST(`{w}` AS DOUBLE), 0.0D)") for w in weight_cols]
+    near_rows = rows.withColumn("mask", F.explode(near("_monotone", *plain)))
+    scored = near_rows.join(F.broadcast(masks), "mask").select(
         id_col, F.expr("CASE WHEN _monotone THEN slice(ids, 1, keep) ELSE ids END AS ids"),
         F.expr(score_sql(weight_cols, "mask")).alias("score"))
     by_mask = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("ids")[0].asc())

@@ -339,8 +339,8 @@ def q_als_unseen_check(c: Catalog) -> DataFrame:
 
 
 # --- cold start (M5-M8, R2, R3) -----------------------------------------------
-def _new_user_requests(c: Catalog) -> DataFrame:
-    classified = requests.classify_requests(c.requests, c.profiles)
+def _new_user_requests(c: Catalog, profiles: DataFrame) -> DataFrame:
+    classified = requests.classify_requests(c.requests, profiles)
     return classified.filter("reject_reason IS NULL AND NOT is_known")
 
 
@@ -353,21 +353,24 @@ def q_demographic_onehot(c: Catalog) -> DataFrame:
 
 @query("coldstart_genre_scores")
 def q_coldstart_genre_scores(c: Catalog) -> DataFrame:
-    model = coldstart.fit_genre_model(c.profiles)
-    return coldstart.predict_genre_scores(model, _new_user_requests(c))
+    profiles = cut_lineage(c.profiles)  # read for the model and for the lookup
+    model = coldstart.fit_genre_model(profiles)
+    return coldstart.predict_genre_scores(model, _new_user_requests(c, profiles))
 
 
 @query("recommend_new")
 def q_recommend_new(c: Catalog) -> DataFrame:
-    model = coldstart.fit_genre_model(c.profiles)
-    scores = coldstart.predict_genre_scores(model, _new_user_requests(c))
+    profiles = cut_lineage(c.profiles)
+    model = coldstart.fit_genre_model(profiles)
+    scores = cut_lineage(coldstart.predict_genre_scores(model, _new_user_requests(c, profiles)))
     return coldstart.recommend_new(scores, c.items, 10)
 
 
 @query("recommend_session")
 def q_recommend_session(c: Catalog) -> DataFrame:
-    model = coldstart.fit_genre_model(c.profiles)
-    return sessions.recommend_session(c.requests, c.profiles, model, c.items, 10)
+    profiles = cut_lineage(c.profiles)
+    model = coldstart.fit_genre_model(profiles)
+    return sessions.recommend_session(c.requests, profiles, model, c.items, 10)
 
 
 @query("coldstart_check")
@@ -376,7 +379,7 @@ def q_coldstart_check(c: Catalog) -> DataFrame:
     lists whose ranks are not 1..n in falling score."""
     profiles = cut_lineage(c.profiles)
     model = coldstart.fit_genre_model(profiles)
-    scores = cut_lineage(coldstart.predict_genre_scores(model, _new_user_requests(c)))
+    scores = cut_lineage(coldstart.predict_genre_scores(model, _new_user_requests(c, profiles)))
     targets = profile_ops.profile_targets(profiles).select(
         F.array(*[F.col(p).cast("double") for p in profile_ops.PROFILE_COLUMNS]).alias("t"))
     span = targets.agg(F.min(F.array_min("t")).alias("lo"), F.max(F.array_max("t")).alias("hi"))
