@@ -150,16 +150,18 @@ def top_products(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | N
         seen = cut_lineage(seen.select(F.col("userId").cast("long").alias("userId"), F.col("movieId").cast("long").alias("movieId"))
                            .distinct().join(places, "movieId").select("userId", "pos"))
     finished = None
+    # An explicit count: a user's row is small and its scan long, so tasks must not be merged by bytes.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for lo, hi, tail in zip(borders, borders[1:], tails):
         rows = numbered.filter((F.col("pos") > lo) & (F.col("pos") <= hi)).orderBy("pos").select("id", "features").collect()
         chunk = spark.sparkContext.broadcast(Chunk(
             np.array([r["id"] for r in rows], np.int64), np.array([r["features"] for r in rows], float), tail))
         if seen is None:
-            asked = state.repartition("userId").withColumn("skip", F.array().cast("array<int>"))
+            asked = state.repartition(n, "userId").withColumn("skip", F.array().cast("array<int>"))
         else:
-            here = seen.filter((F.col("pos") > lo) & (F.col("pos") <= hi)).groupBy("userId").agg(
+            here = seen.filter((F.col("pos") > lo) & (F.col("pos") <= hi)).repartition(n, "userId").groupBy("userId").agg(
                 F.collect_list((F.col("pos") - lo - 1).cast("int")).alias("skip"))
-            asked = state.join(here, "userId", "left").withColumn("skip", F.coalesce("skip", F.array().cast("array<int>")))
+            asked = state.repartition(n, "userId").join(here, "userId", "left").withColumn("skip", F.coalesce("skip", F.array().cast("array<int>")))
 
         def scan(batches: Iterator[pd.DataFrame], chunk=chunk) -> Iterator[pd.DataFrame]:
             for batch in batches:

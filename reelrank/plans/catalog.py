@@ -1,7 +1,7 @@
 """The engine's base frames derived from one source, built lazily.
 
 A :class:`Catalog` ties the operators to a data source: cleaned ratings,
-cleaned items, users, profiles. Every attribute is a lazy DataFrame; nothing
+cleaned items, users, profiles. Every attribute but ``ratings_kept`` is a lazy DataFrame; nothing
 runs until an action, so Catalyst sees each query as one plan and prunes and
 pushes filters down to the scans.
 """
@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.operators import cleaning, profiles
-from reelrank.sources import files
+from reelrank.session import scratch_path
+from reelrank.sinks import tables
+from reelrank.sources import files, read_published
 from reelrank.sources import starschema as star
 
 
@@ -52,6 +54,12 @@ class Catalog:
     def ratings(self) -> DataFrame:
         return cleaning.clean_ratings(self.rating_events)
 
+    @cached_property
+    def ratings_kept(self) -> DataFrame:
+        """The cleaned ratings, written once to the shared folder: for what
+        reads them several times. Not lazy: the first use writes them."""
+        return read_published(self.spark, tables.publish(self.ratings, scratch_path(self.spark, "ratings")))
+
     @cached_property
     def items(self) -> DataFrame:
         return cleaning.clean_items(self.items_raw)

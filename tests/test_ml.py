@@ -166,3 +166,19 @@ def test_target_fill_drop_learns_from_raters_of_the_genre_only(spark):
     assert got["drop"].pred_war == 0.0  # nobody rated it
     with pytest.raises(ValueError):
         coldstart.fit_genre_model(profiles, target_fill="mean")
+
+
+def test_kept_ratings_are_the_ratings_and_read_no_source(catalog):
+    kept = catalog.ratings_kept
+    assert not any("lineitem" in f for f in kept.inputFiles())
+    assert kept.columns == catalog.ratings.columns
+    assert kept.exceptAll(catalog.ratings).count() == 0 and catalog.ratings.exceptAll(kept).count() == 0
+
+
+def test_scan_tasks_are_not_merged_by_bytes(spark):
+    from reelrank.operators.inner_products import top_products
+
+    users = spark.createDataFrame([(u, [1.0, float(u % 5)]) for u in range(200)], "id long, features array<float>")
+    items = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(50)], "id long, features array<float>")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert top_products(users, items, 3).rdd.getNumPartitions() == n
