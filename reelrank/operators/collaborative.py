@@ -24,21 +24,28 @@ ALS_NONNEGATIVE = True
 ALS_COLD_START = "drop"
 SPLIT_SEED = 42
 TOP_K = 10
+#: Spark's default number of blocks of users and of items. That of users decides
+#: the random start.
+BLOCKS = 10
+#: Every iteration sends a user's factors to each block of items that the user
+#: rated, so fewer blocks of items shuffle less, on fewer cores. Their number changes
+#: results by rounding only: the first step makes all item factors from the users' start.
+FEW_ITEM_BLOCKS = 3
 # --- end of fixed values ----------------------------------------------------
 
 
 def fit_als(train: DataFrame, rank: int = 10, max_iter: int = ALS_MAX_ITER,
             reg_param: float = ALS_REG_PARAM, seed: int = SPLIT_SEED,
-            blocks: int | None = None) -> ALSModel:
+            blocks: int = BLOCKS, item_blocks: int | None = None) -> ALSModel:
     """M1: fit ALS on (userId, movieId, rating). Ids must fit in 32 bits
-    (ALS refuses larger ones with a clear error)."""
+    (ALS refuses larger ones with a clear error). Other numbers of user
+    ``blocks`` start from other random factors; ``item_blocks``: as many if not given."""
     als = ALS(
         userCol="userId", itemCol="movieId", ratingCol="rating",
         rank=rank, maxIter=max_iter, regParam=reg_param,
         nonnegative=ALS_NONNEGATIVE, coldStartStrategy=ALS_COLD_START, seed=seed,
+        numUserBlocks=blocks, numItemBlocks=item_blocks or blocks,
     )
-    if blocks:
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
     data = train.select("userId", "movieId", F.col("rating").cast("float").alias("rating"))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -282,14 +282,15 @@ def _als_split(c: Catalog):
 
 @query("als_predictions")
 def q_als_predictions(c: Catalog) -> DataFrame:
+    """M2: scores of the test pairs."""
     train, test = _als_split(c)
-    return collaborative.als_predictions(collaborative.fit_als(train), test)
+    model = collaborative.fit_als(train, item_blocks=collaborative.FEW_ITEM_BLOCKS)
+    return collaborative.als_predictions(model, test)
 
 
 @query("als_rmse")
 def q_als_rmse(c: Catalog) -> DataFrame:
-    train, test = _als_split(c)
-    return evaluation.rmse(collaborative.als_predictions(collaborative.fit_als(train), test))
+    return evaluation.rmse(q_als_predictions(c))
 
 
 @query("als_recommendations")

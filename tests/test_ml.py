@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from reelrank.functions.genres import PROFILE_COLUMNS
 from reelrank.operators import coldstart, collaborative, evaluation, splits
+from reelrank.plans import queries
 from reelrank.plans.catalog import Catalog
 from reelrank.session import scratch_path
 from tests import fixtures as fx
@@ -30,6 +31,27 @@ def test_als_top_k_invariants(spark, catalog):
     assert worse.count() == 0
 
 
+def test_fewer_item_blocks_change_rounding_only(catalog):
+    """A user's factors go to three blocks of items instead of ten; the users' start stays."""
+    many = collaborative.fit_als(catalog.ratings, max_iter=3)
+    few = collaborative.fit_als(catalog.ratings, max_iter=3, item_blocks=collaborative.FEW_ITEM_BLOCKS)
+    blocks = [f.rdd.getNumPartitions() for f in (few.userFactors, few.itemFactors)]
+    assert blocks == [collaborative.BLOCKS, collaborative.FEW_ITEM_BLOCKS]
+    pairs = [collaborative.als_predictions(m, catalog.ratings) for m in (many, few)]
+    both = pairs[0].join(pairs[1].withColumnRenamed("prediction", "other"), ["userId", "movieId", "rating"], "full")
+    assert both.filter("coalesce(abs(prediction - other) > 1e-3, true)").count() == 0
+
+
+def test_prediction_queries_fit_with_few_item_blocks(catalog, monkeypatch):
+    asked = []
+    fit = collaborative.fit_als
+    monkeypatch.setattr(collaborative, "fit_als",
+                        lambda *args, **named: asked.append(named.get("item_blocks")) or fit(*args, max_iter=1, **named))
+    for ask in (queries.q_als_predictions, queries.q_als_predicted_pairs, queries.q_als_rmse):
+        ask(catalog)
+    assert asked == [collaborative.FEW_ITEM_BLOCKS] * 3
+
+
 def test_als_beats_item_mean_on_planted_low_rank(spark):
     rnd = random.Random(7)
     users = {u: [rnd.random() for _ in range(3)] for u in range(200)}
