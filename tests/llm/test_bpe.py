@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -56,6 +57,15 @@ def test_token_soup(codec, reference):
         assert codec.encode(text).tolist() == reference.encode_ordinary(text)
 
 
+def test_a_token_is_taken_apart_once_with_the_smallest_memos(codec):
+    small = bpe.Transducer(codec.transducer.ranks, states=2, entries=2)
+    merge, asked = small.merge, Counter()
+    small.merge = lambda data, until=1: asked.update([(data, until)]) or merge(data, until)
+    for word in (" transducers", " determinised", " hypotheses") * 2:
+        assert tuple(small.walk(word.encode())) == tuple(codec.transducer.walk(word.encode()))
+    assert asked and max(asked.values()) == 1
+
+
 def test_full_tables(reference):
     with open(PATH, "rb") as file:
         ranks = bpe.load_ranks(file.read())
