@@ -3,12 +3,14 @@
 The merge list is compiled into one relation: token u may follow token t when
 merging the bytes of both alone gives back exactly (t, u). A sequence of tokens
 is the BPE result if and only if all its neighbours are in that relation, so
-encoding is a walk of a transducer over bytes: a state is the set of live
-hypotheses (token before, bytes of the token being read, tokens not yet agreed
-on). Reading a byte extends the token being read or closes it. What all
-hypotheses agree on is emitted; a hypothesis lives at most as long as the
-longest token, which bounds the look-ahead. States and arrows are made when
-first met and kept in a table of bounded size; beyond it steps are made without keeping them.
+encoding is a walk of a transducer over bytes that may be reading several tokens
+at a time, begun at different places. It is determinised as it is met: a state
+is the set of trie nodes of the tokens that may be being read, which are the
+suffixes of the longest, so there are no more states than nodes, however many
+words are read. States and arrows are made when first met and kept in a table of
+bounded size; beyond it steps are made without keeping them. The BPE result
+of what is before a place is unique, so of the tokens that may end there exactly
+one follows the token before it; these, read from the end, are the result.
 
 Decoding streams: token bytes pass through a UTF-8 state machine that holds
 back at most three bytes of an unfinished character.
@@ -18,9 +20,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
-from collections.abc import Iterable, Iterator
-from itertools import chain
+import struct
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,16 +31,13 @@ from pyspark.sql import functions as F
 
 from reelrank.llm.common import kept
 
-#: States of an automaton that are kept, and entries of half a memo: together about
-#: 0.4 GB in a Python worker. :data:`SMALL` takes about 0.07 GB beside the vocabulary's 0.02.
-STATES, ENTRIES = 500_000, 100_000
+#: States of an automaton that are kept, and entries of half a memo: together at most about
+#: 0.3 GB in a Python worker. :data:`SMALL` takes about 0.05 GB with the vocabulary.
+STATES, ENTRIES = 500_000, 300_000
 SMALL = (50_000, 40_000)
 #: Characters of the keys of half a memo.
 KEY_LIMIT = 8 << 20
 
-#: A space beside other white space.
-_LOOSE_SPACE = re.compile(r" \s|\s ")
-
 
 def load_ranks(data: bytes) -> dict[bytes, int]:
     """Ranks from the lines (base64 token, rank) of a vocabulary file."""
@@ -58,7 +56,7 @@ class _Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        self.held += len(key) if isinstance(key, str) else 0
+        self.held += len(key)
         if len(self) >= self.entries or self.held > KEY_LIMIT:
             self.old, self.held = dict(self), 0
             self.clear()
@@ -66,11 +64,22 @@ class _Memo(dict):
         return value
 
 
+class _Before(dict):
+    """Whether a token may follow each of the tokens asked for."""
+
+    __slots__ = ("ask", "token")
+
+    def __init__(self, ask: Callable[[int, int], bool], token: int):
+        self.ask, self.token = ask, token
+
+    def __missing__(self, before: int) -> bool:
+        answer = self[before] = self.ask(before, self.token)
+        return answer
+
+
 class Transducer:
     """Encodes one pre-token (bytes) at a time."""
 
-    START = ((-1, 0, ()),)  # token before, trie node of the token being read, tokens pending
-
     def __init__(self, ranks: dict[bytes, int], states: int = STATES, entries: int = ENTRIES):
         self.ranks, self.states = ranks, states
         self.token = {i: t for t, i in ranks.items()}
@@ -92,7 +101,8 @@ class Transducer:
         # merge makes it (None for a byte), and whether its bytes merge to it.
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._whole: dict[int, bool] = {}
-        self._fits = _Memo(self._follows, entries)
+        self._fits: dict[int, _Before] = {}
+        self._asked, self.entries = 0, entries
         self._begin()
 
     def merge(self, data: bytes, until: int = 1) -> list[int]:
@@ -116,15 +126,22 @@ class Transducer:
         whole = self._whole[token] = len(self.merge(self.token[token])) == 1
         return whole
 
-    def _follows(self, pair: int) -> bool:
-        """Whether no merge ever crosses the border of two tokens (the left one
-        in the upper 32 bits of ``pair``).
+    def _may_follow(self, left: int, right: int) -> bool:
+        """:meth:`_follows`, whose answers are kept; when they are full, all go."""
+        self._asked += 1
+        if self._asked > 2 * self.entries:
+            self._asked = 1
+            for known in self._fits.values():
+                known.clear()
+        return self._follows(left, right)
+
+    def _follows(self, left: int, right: int) -> bool:
+        """Whether no merge ever crosses the border of two tokens.
 
         Undoes the merges along the border, latest first. A crossing merge
         happens if it ranks before the merge that took away its left part, or
         not after the one that took away its right part (leftmost goes first).
         """
-        left, right = pair >> 32, pair & 0xFFFFFFFF
         left_ends = right_ends = 1 << 60
         token, ranks, halves = self.token, self.ranks, self._halves
         while True:
@@ -142,89 +159,79 @@ class Transducer:
             else:
                 right_ends, right = right, r_parts[0]
 
-    def fits(self, before: int, token: int) -> bool:
-        """Whether ``token`` may follow ``before`` (-1: may begin)."""
-        whole = self._whole.get(token)
-        if whole is None:
-            whole = self._is_whole(token)
-        return whole and (before < 0 or self._fits[before << 32 | token])
-
-    def _step(self, state: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
-        """The state after ``byte`` and the tokens emitted on the way."""
-        live, child, at, undecided = [], self.child, self.at, False
-        for before, node, pending in state:
-            longer = child.get(node << 8 | byte)
-            if longer is not None:
-                live.append((before, longer, pending))
-                undecided = undecided or not pending
+    def _step(self, live: tuple[int, ...], byte: int) -> tuple[int, ...]:
+        """The live nodes after ``byte``, the longest first."""
+        child = self.child
+        longer = [child[node << 8 | byte] for node in live if node << 8 | byte in child]
+        return (*longer, child[byte])
+
+    def _state(self, live: tuple[int, ...]) -> tuple:
+        """A state: its arrows so far; the tokens that may end here but for the
+        shortest, with their sizes and what they follow; the shortest; and the
+        live nodes. The nodes are the suffixes of the first one, which thereby
+        names the state."""
+        ends, at, whole = [], self.at, self._whole
+        for node in live:
             token = at[node]
-            if token >= 0 and self.fits(before, token):
-                live.append((token, child[byte], pending + (token,)))
-        if len(live) == 1:
-            before, node, pending = live[0]
-            return ((before, node, ()),), pending
-        if undecided:  # one of them has closed no token yet
-            return tuple(live), ()
-        agreed = min((h[2] for h in live), key=len)
-        n = next((i for i, t in enumerate(agreed) if any(h[2][i] != t for h in live)), len(agreed))
-        return tuple((b, r, p[n:]) for b, r, p in live), agreed[:n]
+            if token >= 0 and (whole[token] if token in whole else self._is_whole(token)):
+                known = self._fits.get(token)
+                if known is None:
+                    known = self._fits[token] = _Before(self._may_follow, token)
+                ends.append((token, len(self.token[token]), known))
+        return {}, tuple(ends[:-1]), ends[-1][0] if ends else -1, live
 
     def _begin(self) -> None:
         """An automaton that knows its start state only."""
         self._unkept = 0
-        self._states = [self.START]
-        self._number = {self.START: 0}
-        self._arrows: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        self._states = [self._state(())]
+        self._number: dict[int, int] = {}
 
-    def _arrow(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        after, out = self._step(self._states[state], byte)
-        number = self._number.get(after)
+    def _arrow(self, arrows: dict[int, tuple], live: tuple[int, ...], byte: int) -> tuple:
+        """The state after ``byte``; a full automaton does not keep a new one."""
+        live = self._step(live, byte)
+        number = self._number.get(live[0])
         if number is None:
-            number = self._number[after] = len(self._states)
+            after = self._state(live)
+            if len(self._states) >= self.states:
+                self._unkept += 1
+                return after
+            number = self._number[live[0]] = len(self._states)
             self._states.append(after)
-            self._arrows.append({})
-        self._arrows[state][byte] = number, out
-        return number, out
-
-    def _beyond(self, state: int, byte: int, rest: Iterator[int]) -> tuple[int | tuple, list[int]]:
-        """Steps without keeping states, until a kept state or the end is
-        reached: that state (unkept: its hypotheses) and the tokens emitted."""
-        after, out = self._step(self._states[state], byte)
-        ids = list(out)
-        while (number := self._number.get(after)) is None:
-            self._unkept += 1
-            byte = next(rest, None)
-            if byte is None:
-                return after, ids
-            after, out = self._step(after, byte)
-            ids += out
-        return number, ids
+        after = arrows[byte] = self._states[number]
+        return after
 
     def walk(self, data: bytes) -> list[int]:
-        """Tokens of one pre-token, each as soon as no other reading is left. A
-        full automaton keeps no more states; it is begun anew when most steps fall outside."""
+        """Tokens of one pre-token. Of the tokens that may end at a byte exactly
+        one follows the last token of what is before it: the shortest if none
+        of the others does. A full automaton is begun anew when most steps fall outside."""
         if self._unkept > 50 * self.states:
             self._begin()
-        state, arrows, ids, rest = 0, self._arrows, [], iter(data)
-        for byte in rest:
+        arrows, _, _, live = self._states[0]
+        last = [-1]
+        for at, byte in enumerate(data, 1):
             try:
-                state, out = arrows[state][byte]
+                arrows, longer, token, live = arrows[byte]
             except KeyError:
-                full = len(arrows) >= self.states
-                state, out = self._beyond(state, byte, rest) if full else self._arrow(state, byte)
-            if out:
-                ids += out
-        for before, node, pending in self._states[state] if isinstance(state, int) else state:
-            token = self.at[node]
-            if token >= 0 and self.fits(before, token):
-                return [*ids, *pending, token]
-        raise AssertionError("no reading is left")
-
-    def piece(self, text: str) -> tuple[int, ...]:
-        """Ids of one pre-token; one that is itself a token is never cut."""
+                arrows, longer, token, live = self._arrow(arrows, live, byte)
+            for closed, size, follows in longer:
+                if size == at or follows[last[at - size]]:
+                    token = closed
+                    break
+            last.append(token)
+        ids, at, spelt = [], len(data), self.token
+        while at:
+            token = last[at]
+            ids.append(token)
+            at -= len(spelt[token])
+        ids.reverse()
+        return ids
+
+    def piece(self, text: str) -> bytes:
+        """Ids of one pre-token, packed; one that is itself a token is never cut."""
         data = text.encode("utf-8", "surrogatepass")
         whole = self.ranks.get(data)
-        return (whole,) if whole is not None else tuple(self.walk(data))
+        ids = (whole,) if whole is not None else self.walk(data)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Utf8Stream:
@@ -258,25 +265,29 @@ class Codec:
         self.transducer = Transducer(ranks, states, entries)
         self.pattern = regex.compile(pattern)
         self._pieces = _Memo(self.transducer.piece, entries)
-        self._inner = _Memo(lambda word: self._ids(" " + word), entries)
+        self._inner = _Memo(self._word, entries)
 
-    def _ids(self, text: str) -> tuple[int, ...]:
+    def _ids(self, text: str) -> bytes:
         pieces = self.pattern.findall(text)
         if len(pieces) == 1:
             return self._pieces[pieces[0]]
-        return tuple(chain.from_iterable(map(self._pieces.__getitem__, pieces)))
+        return b"".join(map(self._pieces.__getitem__, pieces))
+
+    def _word(self, word: str) -> bytes | None:
+        """Ids of a word with the space before it, packed; None where white space is beside that."""
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+        word = " " + word
+        return self._pieces[word] if word[1:].isalpha() else self._ids(word)
 
     def encode(self, text: str | None) -> np.ndarray:
         """A pre-token holds a space at its start only, so a text whose spaces
         all stand beside no other white space is cut before each of them, and
         ids of words met before are looked up."""
-        if not text:
-            return np.array([], dtype="<u4")
-        if _LOOSE_SPACE.search(text):
-            return np.array(self._ids(text), dtype="<u4")
-        first, *words = text.split(" ")
-        words = map(self._inner.__getitem__, words)
-        return np.array(list(chain(self._ids(first), chain.from_iterable(words))), dtype="<u4")
+        first, *words = (text or "").split(" ")
+        words = [*map(self._inner.__getitem__, words)]
+        loose = first[-1:].isspace() or None in words
+        return np.frombuffer(self._ids(text) if loose else self._ids(first) + b"".join(words), "<u4")
 
     def decode_bytes(self, ids: Iterable[int], chunk: int = 4096) -> Iterator[bytes]:
         token = self.transducer.token

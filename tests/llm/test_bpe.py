@@ -116,3 +116,27 @@ def test_frames(spark, reference):
     back = [r["text"] for r in bpe.decode(encoded, PATH, PATTERN).collect()]
     assert sorted(back) == sorted(t or "" for _, t in rows)
     assert bpe.round_trip(docs.limit(0), PATH, PATTERN).count() == 0
+
+
+def test_states_and_answers_do_not_grow_with_the_words_met(codec):
+    rng = random.Random(6)
+    small = bpe.Transducer(codec.transducer.ranks, entries=500)
+    sizes = []
+    for _ in range(4):
+        for _ in range(2000):
+            word = "".join(rng.choice(["er", "ing", "th", "on", "en", "tion"]) for _ in range(8))
+            assert len(b"".join(small.token[i] for i in small.walk(word.encode()))) == len(word)
+        sizes.append(len(small._states))
+    assert sizes[-1] < 1.1 * sizes[0]
+    assert sum(map(len, small._fits.values())) <= 2 * 500
+
+
+def test_letters_of_python_are_letters_of_the_pattern(codec):
+    letters = "".join(c for c in map(chr, range(0x110000)) if c.isalpha())
+    assert codec.pattern.findall(" " + letters) == [" " + letters]
+
+
+@pytest.mark.parametrize("text", ["a\n b", "a \nb", "\x1c a", "a\x1f b c", "\u00a0 a", "a b ", " 's a", "x 's 't 'llo", "a\nb c\x85d e"])
+def test_spaces_beside_other_white_space(codec, reference, text):
+    for _ in range(2):
+        assert codec.encode(text).tolist() == reference.encode_ordinary(text)
