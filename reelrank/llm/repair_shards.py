@@ -23,14 +23,16 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 from string import punctuation
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,13 +50,14 @@ WORTH = 50
 #: Bytes of a text that the tokenizer gets at a time, cut at a space between
 #: other characters, where no token crosses.
 PIECE = 1 << 16
-#: Rows that are encoded together, and bytes of a worker's memo, which begins anew when full.
-ROWS, MEMO_BYTES = 256, 160 << 20
+#: Rows and characters that are encoded together, and bytes of a worker's memo: of its two halves the older goes when the other is full.
+ROWS, CHARS, MEMO_BYTES = 1024, 4 << 20, 160 << 20
 #: Rows equal in doc_id and text beyond which they may lie in several ranges.
 HOT_ROWS = 10_000
 
 _MAGIC = b"RPR1"
-_SEPARATOR = "\t"
+#: Buckets of pairs, and the odd number that deals them out.
+_BUCKETS, _ODD = 1 << 22, np.int64(0x1E3779B97F4A7C15)
 HEADER = np.dtype([("part", "<u4"), ("shard", "<u4"), ("docs", "<u4"), ("rules", "<u4"), ("rounds", "<u4"),
                    ("base", "<u4"), ("symbols", "<u8"), ("tokens", "<u8"), ("width", "<u4"), ("flags", "<u4")])
 
@@ -93,7 +96,12 @@ class Grammar:
 def _frequent(seq: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the pairs that begin at ``at``: places and pair numbers of those that
     occur at least ``least`` times, and the counts by number."""
-    number, _ = pd.factorize(seq[at] << 32 | seq[at + 1])
+    pair = seq[at] << 32 | seq[at + 1]
+    if len(at) > _BUCKETS >> 4:  # first go those that are rare even with others in their bucket
+        bucket = (pair * _ODD >> 40) & _BUCKETS - 1
+        keep = (np.bincount(bucket, minlength=_BUCKETS) >= least)[bucket]
+        at, pair = at[keep], pair[keep]
+    number, _ = pd.factorize(pair)
     seen = np.bincount(number, minlength=1)
     keep = seen[number] >= least
     return at[keep], number[keep], seen
@@ -286,50 +294,58 @@ _BYTE_LETTERS = _byte_letters()
 
 
 class _Words(dict):
-    """Numbers of the words met, each as it stands behind a space; -1 where a
-    text cannot be cut around it. Letters with punctuation behind them are two
-    pre-tokens: the letters' number, and the punctuation's plus one in the upper
-    half. New pieces wait in ``new``."""
+    """Packed ids of the words met, each as it stands behind a space, or with its
+    line end in front; None where a text cannot be cut around it. Letters with
+    punctuation behind them are two pre-tokens; behind a line end a word begins as a text does."""
 
-    def __init__(self) -> None:
+    def __init__(self, letters: Callable[[str], bytes], library: Callable[[str], np.ndarray],
+                 old: dict[str, bytes | None]) -> None:
         super().__init__()
-        self.new: list[str] = []
-        self.pieces = 0
-
-    def _number(self, piece: str) -> int:
-        self.new.append(piece)
-        self.pieces += 1
-        return self.pieces - 1
-
-    def bare(self, piece: str) -> int:
-        """The number of a piece without a space before it; -1 where it holds the separator."""
-        if _SEPARATOR in piece:
-            return -1
+        self.letters, self.library, self.old, self.held = letters, library, old, 0
+
+    def _keep(self, key: str, ids: bytes | None) -> bytes | None:
+        self[key] = ids
+        self.held += 130 + len(key) + len(ids or b"")
+        return ids
+
+    def bare(self, piece: str) -> bytes:
+        """The ids of a piece without a space before it."""
         key = " " + piece  # words hold no space, so none has this key
-        number = self.get(key)
-        if number is None:
-            number = self[key] = self._number(piece)
-        return number
-
-    def __missing__(self, word: str) -> int:
-        if not word or word[0].isspace() or word[-1].isspace() or _SEPARATOR in word:
-            return -1
-        letters = word.rstrip(punctuation)
-        if len(letters) < len(word) and letters.isalpha():
-            number = self[letters] | self.bare(word[len(letters):]) + 1 << 32
+        ids = self.get(key)
+        if ids is None:
+            ids = self._keep(key, self.old.get(key) or self.letters(piece) if piece.isalpha() else self.library(piece).tobytes())
+        return ids
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self.old.get(word)
+        if ids is not None:
+            return self._keep(word, ids)
+        if word.isalpha():
+            return self._keep(word, self.letters(" " + word))
+        if word[:1] == "\n":
+            before, body = "", word[1:]
+        else:
+            before, body = " ", word
+        if not body or body[0].isspace() or body[-1].isspace():
+            return self._keep(word, None)
+        letters = body.rstrip(punctuation)
+        if not letters.isalpha():
+            ids = self.library(before + body).tobytes()
         else:
-            number = self._number(" " + word)
-        self[word] = number
-        return number
+            ids = self[letters] if before else self.letters(letters)
+            if len(letters) < len(body):
+                ids += self.bare(body[len(letters):])
+        return self._keep(word, ids if before else self.bare("\n") + ids)
 
 
 class Encoder:
     """The tokenizers library behind a memo of words.
 
-    Byte-level pre-tokens hold a space at their start only. A text whose spaces
-    all stand between other characters is cut before each of them and its words
-    are looked up; words not met before go to the library: letters to its BPE model, others together with a tab
-    between, which is a pre-token and an id of its own. Other texts, texts that hold a
+    Byte-level pre-tokens hold a space at their start only, and a line end between
+    other characters is one. A text whose spaces all stand between other characters
+    is cut before each of them, and before each line end, and its words
+    are looked up, each once for all texts at hand; words not met before go to the library:
+    letters to its BPE model, others as they are. Other texts, texts that hold a
     special token and vocabularies of another kind go to the library as they are.
     """
 
@@ -341,41 +357,23 @@ class Encoder:
         self.by_words = (pre.get("type"), pre.get("use_regex", True), pre.get("add_prefix_space"), said["model"]["type"],
                          said.get("normalizer")) == ("ByteLevel", True, False, "BPE", None)
         self.special = [t["content"] for t in said.get("added_tokens", ())]
-        self._tab = self._library(_SEPARATOR)
-        self.by_words = self.by_words and len(self._tab) == 1
-        self._begin()
+        self._merge = self.tokenizer.model.tokenize
+        self.words = _Words(self._letters, self._library, {})
 
     def _library(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-
-    def _begin(self) -> None:
-        self.words, self.held = _Words(), 0
-        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def _learn(self) -> None:
-        """The ids of new pieces, behind those of the others. Letters behind a
-        space are one pre-token and go to the library's BPE model by themselves."""
-        new = self.words.new
-        if not new:
-            return
-        spelt = [self._spelt(p) if p[0] == " " and p[1:].isalpha() else None for p in new]
-        mixed = [p for p, s in zip(new, spelt) if s is None]
-        ids = np.append(self._library(_SEPARATOR.join(mixed)), self._tab) if mixed else np.zeros(0, np.uint32)
-        at = np.flatnonzero(ids == self._tab[0]).tolist()
-        flat = ids.tolist()
-        others = iter([flat[i:j] for i, j in zip([0] + [k + 1 for k in at], at)])
-        merge = self.tokenizer.model.tokenize
-        found = [next(others) if s is None else [t.id for t in merge(s)] for s in spelt]
-        self.ids = np.concatenate([self.ids, np.array(list(chain.from_iterable(found)), np.uint32)])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in found])])
-        self.held += 200 * len(new) + sum(map(len, new)) + 4 * sum(map(len, found))
-        self.words.new = []
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _letters(self, piece: str) -> bytes:
+        """Ids of letters, with a space before them or none: one pre-token,
+        which goes to the library's BPE model by itself."""
+        ids = [t.id for t in self._merge(self._spelt(piece))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     @staticmethod
     def _spelt(piece: str) -> str:
         """The piece as the vocabulary spells it, a character for each byte."""
         if piece.isascii():
-            return _BYTE_LETTERS[32] + piece[1:]
+            return _BYTE_LETTERS[32] + piece[1:] if piece[0] == " " else piece
         return piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
 
     def whole(self, text: str) -> np.ndarray:
@@ -383,32 +381,60 @@ class Encoder:
         return np.concatenate([self._library(p) for p in pieces_of(text)])
 
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text; none for null and empty ones."""
-        if self.held > MEMO_BYTES:
-            self._begin()
+        """Ids of each text; none for null and empty ones. Texts of about :data:`CHARS` go together."""
+        out, some, chars = [], [], 0
+        for text in texts:
+            some.append(text)
+            chars += len(text or "")
+            if chars >= CHARS:
+                out += self._together(some)
+                some, chars = [], 0
+        return out + self._together(some)
+
+    def _together(self, texts: list[str | None]) -> list[np.ndarray]:
+        if self.words.held > MEMO_BYTES // 2:
+            self.words.old = {}
+            self.words = _Words(self._letters, self._library, self.words)
         cut = [self._cut(text) if text else None for text in texts]
-        self._learn()
-        return [np.zeros(0, np.uint32) if not text else self.whole(text) if parts is None else self._joined(*parts)
-                for text, parts in zip(texts, cut)]
-
-    def _cut(self, text: str) -> tuple[np.ndarray, str] | None:
-        """The numbers of the words, and the white space at the
-        end, which is a pre-token of its own; None where words are no pre-tokens."""
-        if not self.by_words or text[0].isspace() or any(t in text for t in self.special):
+        parts = [c for c in cut if c is not None]
+        joined = iter(self._joined([first for first, _, _ in parts], [rest for _, rest, _ in parts]))
+        out = []
+        for text, c in zip(texts, cut):
+            ids = None if c is None else next(joined)
+            if not text:
+                out.append(np.zeros(0, np.uint32))
+            elif ids is None:
+                out.append(self.whole(text))
+            else:
+                out.append(np.concatenate([ids, self.whole(c[2])]) if c[2] else ids)
+        return out
+
+    def _cut(self, text: str) -> tuple[bytes, str | None, str] | None:
+        """The first word's ids, what is behind its space (None: nothing), and the
+        white space at the end, which is a pre-token of its own; None where words are no pre-tokens."""
+        if not self.by_words or text[0].isspace() or " \n" in text or any(t in text for t in self.special):
             return None
         body = text.rstrip(" \t\r\n")
-        first, *words = body.split(" ")
-        at = np.empty(len(words) + 1, np.int64)
-        at[0] = -1 if first[-1].isspace() else self.words.bare(first)
-        at[1:] = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        return None if at.min() < 0 else (at, text[len(body):])
-
-    def _joined(self, at: np.ndarray, tail: str) -> np.ndarray:
-        both = np.stack([at & 0xFFFFFFFF, (at >> 32) - 1], axis=1).ravel()
-        at = both[both >= 0]
-        size = self.ends[at + 1] - self.ends[at]
-        place = np.repeat(self.ends[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return np.concatenate([self.ids[place], self.whole(tail)]) if tail else self.ids[place]
+        first, space, rest = body.replace("\n", " \n").partition(" ")
+        return None if first[-1].isspace() else (self.words.bare(first), rest if space else None, text[len(body):])
+
+    def _joined(self, firsts: list[bytes], rests: list[str | None]) -> list[np.ndarray | None]:
+        """The ids of each text from its first word's ids and its other words; None
+        where white space is beside a space."""
+        if not firsts:
+            return []
+        words = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        sizes = pc.list_value_length(words).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = words.flatten().dictionary_encode()
+        met = [*map(self.words.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False))]
+        at = np.insert(coded.indices.to_numpy(), np.cumsum(sizes) - sizes, len(met) + np.arange(len(firsts)))
+        found = pa.array(met + firsts, pa.large_binary()).take(pa.array(at))
+        ends, loose = np.cumsum(sizes + 1), found.is_null().to_numpy(zero_copy_only=False)
+        good = ~np.logical_or.reduceat(loose, ends - sizes - 1)
+        _, after, ids = found.buffers()
+        after = np.frombuffer(after, np.int64, len(found) + 1)[ends] // 4
+        parts = np.split(np.frombuffer(ids, "<u4", after[-1]), after[:-1])
+        return [part if g else None for part, g in zip(parts, good.tolist())]
 
 
 def _encoder(data: bytes) -> Encoder:

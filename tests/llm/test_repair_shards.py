@@ -142,3 +142,39 @@ def test_a_first_word_is_not_taken_for_a_word_behind_a_tab(library):
     encoder = rs.Encoder(open(PATH, "rb").read())
     for text in ("1 \t1", "x", "1 a \t1 b", "a \tx"):
         assert encoder.batch([text])[0].tolist() + [2] == library(text)
+
+
+def test_new_words_with_line_ends_and_punctuation_do_not_go_through_the_whole_library(library):
+    encoder = rs.Encoder(open(PATH, "rb").read())
+    seen = []
+    inner = encoder.words.library
+    encoder.words.library = lambda piece: seen.append(piece) or inner(piece)
+    text = "Abcé" + "".join(f" w{'abcdefgh'[k % 8] * (k + 1)}.\nN{'xyzé'[k % 4] * (k + 1)}," for k in range(40))
+    assert encoder.batch([text])[0].tolist() + [2] == library(text)
+    assert sorted(seen) == ["\n", ",", "."]
+
+
+def test_the_older_half_of_the_memo_is_asked_before_the_library(monkeypatch, library):
+    monkeypatch.setattr(rs, "MEMO_BYTES", 1000)
+    encoder = rs.Encoder(open(PATH, "rb").read())
+    texts = ["one two three four five six", "one seven eight 9, one.\nTwo", "two one 9, nine"]
+    for text in texts * 2:
+        assert encoder.batch([text])[0].tolist() + [2] == library(text)
+    assert len(encoder.words.old) > 0
+
+
+@pytest.mark.parametrize("text", ["a \nb", "a\n b", "a\n\nb c", "a\n", "a b\nc\n\n", "\na b", "a\r\nb c", "a b\n's c", "a\tb c\nd\te",
+                                  "a b\n\u00a0c", "x\ny z", "x \n y", "a b\n,,c d\n..", "a  b"])
+def test_line_ends(library, text):
+    encoder = rs.Encoder(open(PATH, "rb").read())
+    for _ in range(2):
+        assert [i.tolist() + [2] for i in encoder.batch([text, None, "plain words", text])] == [
+            library(t) for t in (text, "", "plain words", text)]
+
+
+def test_rare_pairs_leave_the_grammar_as_it_is(monkeypatch):
+    rng = np.random.default_rng(3)
+    docs = [rng.zipf(1.2, 400).clip(max=50_000) for _ in range(40)]
+    whole = rs.pack(0, 0, list(range(40)), docs, 4)
+    monkeypatch.setattr(rs, "_BUCKETS", 1 << 10)
+    assert rs.pack(0, 0, list(range(40)), docs, 4) == whole
