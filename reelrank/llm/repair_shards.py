@@ -21,16 +21,17 @@ document, symbols. All numbers little-endian; symbols take as many bits as the l
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from operator import attrgetter
 from string import punctuation
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -52,12 +53,14 @@ WORTH = 50
 PIECE = 1 << 16
 #: Rows and characters that are encoded together, and bytes of a worker's memo: of its two halves the older goes when the other is full.
 ROWS, CHARS, MEMO_BYTES = 1024, 4 << 20, 160 << 20
+#: Characters of a piece beyond which its ids are not remembered.
+LONGEST = 4096
 #: Rows equal in doc_id and text beyond which they may lie in several ranges.
 HOT_ROWS = 10_000
 
 _MAGIC = b"RPR1"
 #: Buckets of pairs, and the odd number that deals them out.
-_BUCKETS, _ODD = 1 << 22, np.int64(0x1E3779B97F4A7C15)
+_BUCKETS, _ODD = 1 << 20, np.int64(0x1E3779B97F4A7C15)
 HEADER = np.dtype([("part", "<u4"), ("shard", "<u4"), ("docs", "<u4"), ("rules", "<u4"), ("rounds", "<u4"),
                    ("base", "<u4"), ("symbols", "<u8"), ("tokens", "<u8"), ("width", "<u4"), ("flags", "<u4")])
 
@@ -92,33 +95,55 @@ class Grammar:
             symbols = wide
         return symbols
 
+    def expand_many(self, symbols: np.ndarray) -> np.ndarray:
+        """As :meth:`expand`, but each rule is expanded once and its ids are
+        copied, unless there are fewer symbols than ids to keep for that."""
+        if max(self.base, self.lengths.sum()) > len(symbols):
+            return self.expand(symbols)
+        ids = np.concatenate([np.arange(self.base), self.expand(np.arange(self.base, self.base + len(self.rules)))])
+        sizes = np.concatenate([np.ones(self.base, np.int64), self.lengths])
+        wide = sizes[symbols]
+        shift = (np.cumsum(sizes) - sizes)[symbols] - (np.cumsum(wide) - wide)
+        return ids[np.repeat(shift, wide) + np.arange(wide.sum())]
+
+
+def _pairs(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The pairs that begin at ``at``, each as one number."""
+    if len(at) < len(seq) >> 3:
+        return seq[at].astype(np.int64) << 32 | seq[at + 1]
+    pair = seq[:-1].astype(np.int64)
+    pair <<= 32
+    pair |= seq[1:]
+    return pair[at]
+
 
 def _frequent(seq: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the pairs that begin at ``at``: places and pair numbers of those that
     occur at least ``least`` times, and the counts by number."""
-    pair = seq[at] << 32 | seq[at + 1]
+    pair = _pairs(seq, at)
     if len(at) > _BUCKETS >> 4:  # first go those that are rare even with others in their bucket
         bucket = (pair * _ODD >> 40) & _BUCKETS - 1
         keep = (np.bincount(bucket, minlength=_BUCKETS) >= least)[bucket]
         at, pair = at[keep], pair[keep]
-    number, _ = pd.factorize(pair)
+    number = pa.array(pair).dictionary_encode().indices.to_numpy()  # in order of appearance
     seen = np.bincount(number, minlength=1)
-    keep = seen[number] >= least
+    keep = (seen >= least)[number]
     return at[keep], number[keep], seen
 
 
 def _chosen(at: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Occurrences to replace: of overlapping ones the one of least ``order``;
     in a stretch of equal ones every second, from the left."""
-    touch = np.zeros(len(at) + 1, bool)
-    touch[1:-1] = at[1:] == at[:-1] + 1
-    before = np.where(touch[:-1], np.concatenate([[np.iinfo(np.int64).max], order[:-1]]), np.iinfo(np.int64).max)
-    after = np.where(touch[1:], np.concatenate([order[1:], [np.iinfo(np.int64).max]]), np.iinfo(np.int64).max)
-    win = (order <= before) & (order <= after)
-    # a stretch of equal winners side by side
-    first = win & ~(touch[:-1] & np.concatenate([[False], win[:-1]]))
-    start = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
-    return win & ((np.arange(len(at)) - start) % 2 == 0)
+    touch = np.diff(at) == 1
+    win = np.ones(len(at), bool)
+    win[1:] &= ~touch | (order[1:] <= order[:-1])
+    win[:-1] &= ~touch | (order[:-1] <= order[1:])
+    # equal winners side by side: those behind the first of their stretch
+    behind = np.flatnonzero(touch & win[:-1] & win[1:]) + 1
+    number = np.arange(len(behind))
+    start = np.maximum.accumulate(np.where(np.diff(behind, prepend=-1) == 1, 0, number))
+    win[behind[(number - start) % 2 == 0]] = False
+    return win
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, least: int = MIN_PAIRS,
@@ -130,7 +155,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = MIN_PAIRS,
     round a round counts the pairs that hold one of the round before.
     """
     base = int(ids.max()) + 1 if len(ids) else 0
-    seq = ids.astype(np.int64)
+    seq = ids.astype(np.int32 if base + len(ids) < 1 << 31 else np.int64)
     last = np.zeros(len(seq), bool)
     last[ends[ends > 0] - 1] = True
     rules, lengths, rounds, total = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)], [], 0
@@ -140,7 +165,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = MIN_PAIRS,
     while len(at):
         at, number, seen = _frequent(seq, at, least)
         # most frequent first; pairs are numbered in order of appearance
-        rank = np.empty(len(seen), np.int64)
+        rank = np.empty(len(seen), np.int32)
         rank[np.argsort(-seen, kind="stable")] = np.arange(len(seen))
         take = _chosen(at, rank[number])
         used = np.bincount(number[take], minlength=len(seen))
@@ -156,7 +181,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = MIN_PAIRS,
         rules.append(pairs)
         lengths.append(size[pairs].sum(axis=1))
         size = np.concatenate([size, lengths[-1]])
-        symbol = np.zeros(len(seen), np.int64)
+        symbol = np.zeros(len(seen), seq.dtype)
         symbol[new] = base + total + np.arange(len(new))
         seq[at] = symbol[number]
         last[at] = last[at + 1]
@@ -179,6 +204,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = MIN_PAIRS,
 
 def _packed(values: np.ndarray, width: int) -> bytes:
     """``width`` bits of each number, lowest first."""
+    if width in (8, 16, 32):
+        return values.astype(f"<u{width // 8}").tobytes()
     out = []
     for at in range(0, len(values), 1 << 18):  # a multiple of eight numbers
         few = values[at:at + (1 << 18)].astype("<u4").view(np.uint8).reshape(-1, 4)
@@ -191,11 +218,13 @@ def _unpacked(data: memoryview, width: int, first: int, last: int) -> np.ndarray
     if first >= last:
         return np.zeros(0, np.int64)
     at = first * width // 8
-    bits = np.unpackbits(np.frombuffer(data[at:-(-last * width // 8)], np.uint8), bitorder="little")
-    bits = bits[first * width - 8 * at:][:(last - first) * width].reshape(-1, width)
-    wide = np.zeros((last - first, 32), np.uint8)
-    wide[:, :width] = bits
-    return np.packbits(wide, axis=1, bitorder="little").view("<u4")[:, 0].astype(np.int64)
+    data = np.frombuffer(data[at:-(-last * width // 8)], np.uint8)
+    if width in (8, 16, 32):
+        return data.view(f"<u{width // 8}").astype(np.int64)
+    # each number from the eight bytes that begin with its first one
+    eight = np.ndarray(len(data), "<u8", np.append(data, np.zeros(7, np.uint8)), strides=(1,))
+    bit = np.arange(last - first) * width + (first * width - 8 * at)
+    return (eight[bit >> 3] >> (bit & 7).astype(np.uint64)).astype(np.int64) & (1 << width) - 1
 
 
 def pack(part: int, shard: int, doc_ids: list[int | None], docs: list[np.ndarray], least: int = MIN_PAIRS) -> bytes:
@@ -245,7 +274,7 @@ class Shard:
     def documents(self) -> list[np.ndarray]:
         """All documents' ids, expanded at once."""
         symbols = _unpacked(self._bits, self._width, 0, self.n_symbols)
-        return np.split(self.grammar.expand(symbols), np.cumsum(self.n_ids)[:-1])
+        return np.split(self.grammar.expand_many(symbols), np.cumsum(self.n_ids)[:-1])
 
     def document(self, doc: int) -> np.ndarray:
         """All ids of document number ``doc``, its end id included."""
@@ -291,61 +320,103 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
+_SPELT = np.array([ord(_BYTE_LETTERS[b]) for b in range(256)], "<u2")
+
+
+def _kinds() -> bytes:
+    """Bits of each byte of UTF-8, see :func:`_cuts`."""
+    kinds = bytearray(256)
+    for b in range(256):
+        letter = b < 128 and chr(b).isalpha()
+        kinds[b] = (_LETTER * letter | _BARE * (b < 128 and not letter) | _WHITE * (b == 32 or 9 <= b <= 13)
+                    | _SOLID * (33 <= b <= 126 or b >= 0xC3 and not 0xE1 <= b <= 0xE3)
+                    | _SHORT * (b == 0xC2) | _WIDE * (0xE1 <= b <= 0xE3)
+                    | _LETTERS * (b in (0xC3, 0xD0, 0xD1)) | _TAIL * (0x80 <= b <= 0xBF))
+    return bytes(kinds)
+
+
+#: A letter; another character of one byte; white space; begins a character that is no white space;
+#: begins one of two or three bytes that may be white space; begins a letter
+#: (unless the byte behind it is 0x97 or 0xB7, signs of Latin-1); a byte behind the first.
+_LETTER, _BARE, _WHITE, _SOLID, _SHORT, _WIDE, _LETTERS, _TAIL = (1 << k for k in range(8))
+_KINDS, _BLOCK = _kinds(), 1 << 18
+
+
+def _cuts(text: np.ndarray) -> np.ndarray:
+    """Marks bytes of UTF-8 before which a byte-level pre-token begins whatever
+    is around: what is no letter behind a letter, white space behind another character, and
+    another character behind a line end that is white space by itself.
+
+    White space and letters beyond ASCII count only where the first byte tells; the others give fewer cuts.
+    """
+    if len(text) > _BLOCK:  # a block fits the processor's cache; four bytes before a place decide about it
+        return np.concatenate([_cuts(text[:_BLOCK]), *(
+            _cuts(text[at - 4:at - 4 + _BLOCK])[4:] for at in range(_BLOCK, len(text), _BLOCK - 4))])
+    kinds = np.frombuffer(text.tobytes().translate(_KINDS), np.uint8)
+    one, two = np.zeros_like(kinds), np.zeros_like(kinds)  # the kinds of the bytes before
+    one[1:], two[2:] = kinds[:-1], kinds[:-2]
+    tail = (kinds & _TAIL) > 0
+    letter = (kinds & _LETTER > 0) | tail & (one & _LETTERS > 0) & (text != 0x97) & (text != 0xB7)
+    solid = tail & (one & _SHORT == 0) & (two & _WIDE == 0) | ~tail & (kinds & _SOLID > 0) & (text < 128)
+    cuts = np.zeros(len(text), bool)
+    cuts[1:] = letter[:-1] & (kinds[1:] & _BARE > 0) | solid[:-1] & (kinds[1:] & _WHITE > 0)
+    cuts[2:] |= solid[:-2] & (text[1:-1] == 10) & (kinds[2:] & _SOLID > 0)
+    return cuts
 
 
 class _Words(dict):
-    """Packed ids of the words met, each as it stands behind a space, or with its
-    line end in front; None where a text cannot be cut around it. Letters with
-    punctuation behind them are two pre-tokens; behind a line end a word begins as a text does."""
+    """Packed ids of the pieces met; each begins and ends where pre-tokens do.
+    Letters with punctuation behind them are two pre-tokens."""
 
-    def __init__(self, letters: Callable[[str], bytes], library: Callable[[str], np.ndarray],
-                 old: dict[str, bytes | None]) -> None:
+    def __init__(self, letters: Callable[[list[str]], list[bytes]], library: Callable[[str], np.ndarray],
+                 old: dict[str, bytes]) -> None:
         super().__init__()
         self.letters, self.library, self.old, self.held = letters, library, old, 0
 
-    def _keep(self, key: str, ids: bytes | None) -> bytes | None:
-        self[key] = ids
-        self.held += 130 + len(key) + len(ids or b"")
+    def look_up(self, pieces: np.ndarray) -> list[bytes]:
+        """The ids of each piece; letters not met before are spelt all at once."""
+        found = [*map(self.get, pieces)]
+        new = [k for k, ids in enumerate(found) if ids is None]
+        words = [k for k in new if pieces[k] not in self.old and _is_word(pieces[k])]
+        for k, ids in zip(words, self.letters([pieces[k] for k in words])):
+            found[k] = self._keep(pieces[k], ids)
+        for k in new:
+            if found[k] is None:
+                found[k] = self[pieces[k]]
+        return found
+
+    def _keep(self, piece: str, ids: bytes) -> bytes:
+        if len(piece) <= LONGEST:
+            self[piece] = ids
+            self.held += 130 + len(piece) + len(ids)
         return ids
 
-    def bare(self, piece: str) -> bytes:
-        """The ids of a piece without a space before it."""
-        key = " " + piece  # words hold no space, so none has this key
-        ids = self.get(key)
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
         if ids is None:
-            ids = self._keep(key, self.old.get(key) or self.letters(piece) if piece.isalpha() else self.library(piece).tobytes())
-        return ids
+            word = piece.rstrip(punctuation)
+            if not _is_word(word):
+                ids = self.library(piece).tobytes()
+            elif len(word) == len(piece):
+                ids = self.letters([piece])[0]
+            else:
+                ids = self[word] + self[piece[len(word):]]
+        return self._keep(piece, ids)
 
-    def __missing__(self, word: str) -> bytes | None:
-        ids = self.old.get(word)
-        if ids is not None:
-            return self._keep(word, ids)
-        if word.isalpha():
-            return self._keep(word, self.letters(" " + word))
-        if word[:1] == "\n":
-            before, body = "", word[1:]
-        else:
-            before, body = " ", word
-        if not body or body[0].isspace() or body[-1].isspace():
-            return self._keep(word, None)
-        letters = body.rstrip(punctuation)
-        if not letters.isalpha():
-            ids = self.library(before + body).tobytes()
-        else:
-            ids = self[letters] if before else self.letters(letters)
-            if len(letters) < len(body):
-                ids += self.bare(body[len(letters):])
-        return self._keep(word, ids if before else self.bare("\n") + ids)
+
+def _is_word(piece: str) -> bool:
+    """Letters, with a space before them or none: one pre-token."""
+    return (piece[1:] if piece[:1] == " " else piece).isalpha()
 
 
 class Encoder:
     """The tokenizers library behind a memo of words.
 
-    Byte-level pre-tokens hold a space at their start only, and a line end between
-    other characters is one. A text whose spaces all stand between other characters
-    is cut before each of them, and before each line end, and its words
-    are looked up, each once for all texts at hand; words not met before go to the library:
-    letters to its BPE model, others as they are. Other texts, texts that hold a
+    Texts are cut where byte-level pre-tokens begin whatever is around (:func:`_cuts`),
+    mostly before a word's space and its punctuation. The pieces are looked up, each once
+    for all texts at hand; those not met before go to the library: letters
+    to its BPE model, others as they are. Texts that hold a
     special token and vocabularies of another kind go to the library as they are.
     """
 
@@ -361,80 +432,66 @@ class Encoder:
         self.words = _Words(self._letters, self._library, {})
 
     def _library(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _letters(self, piece: str) -> bytes:
-        """Ids of letters, with a space before them or none: one pre-token,
-        which goes to the library's BPE model by itself."""
-        ids = [t.id for t in self._merge(self._spelt(piece))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    @staticmethod
-    def _spelt(piece: str) -> str:
-        """The piece as the vocabulary spells it, a character for each byte."""
-        if piece.isascii():
-            return _BYTE_LETTERS[32] + piece[1:] if piece[0] == " " else piece
-        return piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(
+            pieces_of(text), add_special_tokens=False)])
+
+    def _letters(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of letters, with a space before them or none: each is one pre-token,
+        which goes to the library's BPE model by itself, spelt as the vocabulary does, a character for each byte."""
+        joined = np.frombuffer("\n".join(pieces).encode(), np.uint8)
+        out, merge, number = [], self._merge, attrgetter("id")
+        for spelt in _SPELT[joined].tobytes().decode("utf-16-le").split(_BYTE_LETTERS[10]) if pieces else ():
+            ids = [*map(number, merge(spelt))]
+            out.append((_PACK[len(ids)] if len(ids) < len(_PACK) else struct.Struct(f"<{len(ids)}I").pack)(*ids))
+        return out
 
     def whole(self, text: str) -> np.ndarray:
         """Ids of a text, long ones in several calls."""
         return np.concatenate([self._library(p) for p in pieces_of(text)])
 
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text; none for null and empty ones. Texts of about :data:`CHARS` go together."""
-        out, some, chars = [], [], 0
-        for text in texts:
-            some.append(text)
-            chars += len(text or "")
-            if chars >= CHARS:
-                out += self._together(some)
-                some, chars = [], 0
-        return out + self._together(some)
-
-    def _together(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text; none for null and empty ones."""
+        return self.column(pa.array(texts, pa.large_string()))
+
+    def column(self, texts: pa.Array, end: int | None = None) -> list[np.ndarray]:
+        """Ids of each text, and ``end`` behind them. Texts of about :data:`CHARS` bytes go together."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        last = np.array([] if end is None else [end], "<u4")
+        plain = pa.repeat(self.by_words, len(texts))
+        for token in self.special:
+            plain = pc.and_not(plain, pc.match_substring(texts, token))
+        few = iter(self._words_of(texts if pc.all(plain, min_count=0).as_py() else texts.filter(plain), last.tobytes()))
+        return [next(few) if words else np.concatenate([self.whole(texts[k].as_py()), last])
+                for k, words in enumerate(plain.to_pylist())]
+
+    def _words_of(self, texts: pa.Array, end: bytes) -> Iterator[np.ndarray]:
+        """Ids of each text by its pieces, and ``end``."""
+        if not len(texts):
+            return
+        _, places, data = texts.buffers()
+        places = np.frombuffer(places, np.int64)[texts.offset:][:len(texts) + 1]
+        group = (places[:-1] - places[0]) // CHARS
+        for first, behind in itertools.pairwise([0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]):
+            at = places[first:behind + 1]
+            yield from self._together(np.frombuffer(data or b"", np.uint8)[at[0]:at[-1]], at - at[0], end)
+
+    def _together(self, text: np.ndarray, places: np.ndarray, end: bytes) -> list[np.ndarray]:
+        """Ids of texts that lie one behind the other in ``text``, from and to ``places``."""
         if self.words.held > MEMO_BYTES // 2:
             self.words.old = {}
             self.words = _Words(self._letters, self._library, self.words)
-        cut = [self._cut(text) if text else None for text in texts]
-        parts = [c for c in cut if c is not None]
-        joined = iter(self._joined([first for first, _, _ in parts], [rest for _, rest, _ in parts]))
-        out = []
-        for text, c in zip(texts, cut):
-            ids = None if c is None else next(joined)
-            if not text:
-                out.append(np.zeros(0, np.uint32))
-            elif ids is None:
-                out.append(self.whole(text))
-            else:
-                out.append(np.concatenate([ids, self.whole(c[2])]) if c[2] else ids)
-        return out
-
-    def _cut(self, text: str) -> tuple[bytes, str | None, str] | None:
-        """The first word's ids, what is behind its space (None: nothing), and the
-        white space at the end, which is a pre-token of its own; None where words are no pre-tokens."""
-        if not self.by_words or text[0].isspace() or " \n" in text or any(t in text for t in self.special):
-            return None
-        body = text.rstrip(" \t\r\n")
-        first, space, rest = body.replace("\n", " \n").partition(" ")
-        return None if first[-1].isspace() else (self.words.bare(first), rest if space else None, text[len(body):])
-
-    def _joined(self, firsts: list[bytes], rests: list[str | None]) -> list[np.ndarray | None]:
-        """The ids of each text from its first word's ids and its other words; None
-        where white space is beside a space."""
-        if not firsts:
-            return []
-        words = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
-        sizes = pc.list_value_length(words).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = words.flatten().dictionary_encode()
-        met = [*map(self.words.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False))]
-        at = np.insert(coded.indices.to_numpy(), np.cumsum(sizes) - sizes, len(met) + np.arange(len(firsts)))
-        found = pa.array(met + firsts, pa.large_binary()).take(pa.array(at))
-        ends, loose = np.cumsum(sizes + 1), found.is_null().to_numpy(zero_copy_only=False)
-        good = ~np.logical_or.reduceat(loose, ends - sizes - 1)
+        cuts = _cuts(text)
+        cuts[places[:-1][np.diff(places) > 0]] = True
+        begins = np.append(np.flatnonzero(cuts), len(text))
+        coded = pa.LargeStringArray.from_buffers(
+            len(begins) - 1, pa.py_buffer(begins), pa.py_buffer(text)).dictionary_encode()
+        met = self.words.look_up(coded.dictionary.to_numpy(zero_copy_only=False))
+        ends = np.searchsorted(begins, places[1:])  # pieces of this text and all before
+        at = np.insert(coded.indices.to_numpy(), ends, len(met))
+        found = pa.array([*met, end], pa.large_binary()).take(pa.array(at))
         _, after, ids = found.buffers()
-        after = np.frombuffer(after, np.int64, len(found) + 1)[ends] // 4
-        parts = np.split(np.frombuffer(ids, "<u4", after[-1]), after[:-1])
-        return [part if g else None for part, g in zip(parts, good.tolist())]
+        after = np.frombuffer(after, np.int64)[ends + np.arange(1, len(ends) + 1)] // 4
+        return np.split(np.frombuffer(ids or b"", "<u4", after[-1]), after[:-1])
 
 
 def _encoder(data: bytes) -> Encoder:
@@ -443,7 +500,7 @@ def _encoder(data: bytes) -> Encoder:
 
 
 def _ordered(docs: DataFrame) -> DataFrame:
-    """doc_id (string), text: in ascending order of doc_id (null last), rows of one
+    """doc_id, text: in ascending order of doc_id (null last), rows of one
     doc_id by a hash of their text, range-partitioned and sorted.
 
     More than :data:`HOT_ROWS` rows equal in both would be one range, so they
@@ -454,15 +511,17 @@ def _ordered(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
         F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text")).withColumn("copy", F.lit(0).cast("long"))
-    hot = materialise(rows.groupBy(key).count().filter(F.col("count") > HOT_ROWS).select(key), "hot-rows")
-    if not hot.isEmpty():
+    # doc_ids alone first: no text is read for them
+    ids = materialise(rows.groupBy("none", "id").count().filter(F.col("count") > HOT_ROWS).select("none", "id"), "hot-ids")
+    if not ids.isEmpty():
+        hot = materialise(rows.join(ids, ["none", "id"], "left_semi").groupBy(key).count().filter(
+            F.col("count") > HOT_ROWS).select(key), "hot-rows")
         copies = materialise(rows.join(hot, key, "left_semi").drop("copy"), "hot-copies")
         rows = rows.join(hot, key, "left_anti").unionByName(
             copies.withColumn("copy", F.monotonically_increasing_id()))
     order = [*key, "copy"]
     ranged = rows.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
-    # Ids of 64 bits and nulls pass as strings: pandas would make floats of them.
-    return ranged.select(F.when(~F.col("none"), F.col("id").cast("string")).alias("doc_id"), "text")
+    return ranged.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "text")
 
 
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID,
@@ -478,49 +537,52 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
     with open(tokenizer, "rb") as file:  # a vocabulary file of a few megabytes
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
 
-    def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = _encoder(vocabulary.value), np.array([end_id], np.uint32)
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(vocabulary.value)
         part, number, held, found, names = TaskContext.get().partitionId(), 0, 0, [], []
-        for pdf in batches:
-            for first in range(0, len(pdf), ROWS):
-                some = pdf.iloc[first:first + ROWS]
-                for doc_id, ids in zip(some["doc_id"], encoder.batch(some["text"].tolist())):
-                    found.append(np.concatenate([ids, end]))
-                    names.append(None if doc_id is None else int(doc_id))
-                    held += len(found[-1])
+        for batch in batches:
+            for first in range(0, len(batch), ROWS):
+                some = batch.slice(first, ROWS)
+                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.column(some.column(1), end_id)):
+                    found.append(ids)
+                    names.append(doc_id)
+                    held += len(ids)
                     if held >= shard_tokens:
-                        yield pd.DataFrame({"file": [pack(part, number, names, found, least)]})
+                        yield pa.record_batch({"file": [pack(part, number, names, found, least)]})
                         number, held, found, names = number + 1, 0, [], []
         if found:
-            yield pd.DataFrame({"file": [pack(part, number, names, found, least)]})
+            yield pa.record_batch({"file": [pack(part, number, names, found, least)]})
 
-    files = _ordered(docs).mapInPandas(shards, "file binary")
+    files = _ordered(docs).mapInArrow(shards, "file binary")
     # The text writer puts out a string's bytes as they are and a line end, which
     # the format ignores: one raw file for each row, on any file system of Spark.
     files.select(F.col("file").cast("string")).write.option("maxRecordsPerFile", 1).text(folder)
     return folder
 
 
-def read_shards(spark: SparkSession, folder: str) -> DataFrame:
+def read_shards(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """Every document of the shard files: part, shard, doc (number in its
     shard), doc_id, before (ids of the shard's earlier documents), n_tokens, ids
-    (binary), n_symbols."""
-    schema = ("part int, shard int, doc int, doc_id string, before long, n_tokens long, ids binary, n_symbols long")
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for data in pdf["content"]:
-                shard = Shard(data)
-                before, symbols = np.cumsum(shard.n_ids) - shard.n_ids, np.diff(shard.ends, prepend=0)
-                yield pd.DataFrame({
-                    "part": int(shard.header["part"]), "shard": int(shard.header["shard"]),
-                    "doc": np.arange(len(shard.doc_ids)),
-                    "doc_id": [None if d is None else str(d) for d in shard.doc_ids],
-                    "before": before, "n_tokens": shard.n_ids,
-                    "ids": [d.astype("<u4").tobytes() for d in shard.documents()], "n_symbols": symbols})
+    (binary; ids_crc32, their checksum, without ``with_ids``), n_symbols."""
+    name, kind = ("ids", "binary") if with_ids else ("ids_crc32", "long")
+    schema = f"part int, shard int, doc int, doc_id long, before long, n_tokens long, {name} {kind}, n_symbols long"
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0):
+                shard = Shard(data.as_buffer())
+                n, docs = len(shard.doc_ids), shard.documents()
+                yield pa.record_batch({
+                    "part": pa.repeat(pa.scalar(int(shard.header["part"]), pa.int32()), n),
+                    "shard": pa.repeat(pa.scalar(int(shard.header["shard"]), pa.int32()), n),
+                    "doc": np.arange(n, dtype=np.int32), "doc_id": pa.array(shard.doc_ids, pa.int64()),
+                    "before": np.cumsum(shard.n_ids) - shard.n_ids, "n_tokens": shard.n_ids,
+                    name: pa.array([d.astype("<u4").tobytes() for d in docs], pa.binary()) if with_ids
+                    else pa.array(map(crc32, docs), pa.int64()),
+                    "n_symbols": np.diff(shard.ends, prepend=0)})
 
     files = spark.read.format("binaryFile").load(folder).filter("length > 0").select("content")
-    return files.mapInPandas(read, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return files.mapInArrow(read, schema)
 
 
 def token_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -530,7 +592,7 @@ def token_table(spark: SparkSession, folder: str) -> DataFrame:
     Only one number for each shard decides where it starts, one for each part
     where the part does; ids are not moved.
     """
-    docs = materialise(read_shards(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "read-tokens")
+    docs = materialise(read_shards(spark, folder, with_ids=False), "read-tokens")
     shards = docs.groupBy("part", "shard").agg(F.sum("n_tokens").alias("n"))
     parts = shards.groupBy("part").agg(F.sum("n").alias("n"))
     # one row for each part: a running total in one task by design

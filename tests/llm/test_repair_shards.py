@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -178,3 +179,70 @@ def test_rare_pairs_leave_the_grammar_as_it_is(monkeypatch):
     whole = rs.pack(0, 0, list(range(40)), docs, 4)
     monkeypatch.setattr(rs, "_BUCKETS", 1 << 10)
     assert rs.pack(0, 0, list(range(40)), docs, 4) == whole
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=" abst1'.,!é×漢ЗªĠ_\n\t\r\x1c\x0b. \u0085 　́😀", max_size=80))
+def test_cuts_are_where_pre_tokens_begin(text):
+    pre = test_pieces_give_the_ids_of_the_whole.encoder.tokenizer.pre_tokenizer
+    begins = {len(text[:a].encode()) for _, (a, _) in pre.pre_tokenize_str(text)}
+    cuts = np.flatnonzero(rs._cuts(np.frombuffer(text.encode(), np.uint8)))
+    assert set(cuts.tolist()) <= begins
+
+
+def test_cuts_in_blocks(monkeypatch):
+    text = np.frombuffer("Où est,\n\u3000la\u3000 3e «rue» d'or\r\n\n — 漢字, ici?\nOui.".encode() * 9, np.uint8)
+    whole = rs._cuts(text)
+    for block in (5, 7, 64):
+        monkeypatch.setattr(rs, "_BLOCK", block)
+        assert (rs._cuts(text) == whole).all()
+
+
+def test_a_word_is_kept_once_whatever_stands_behind_it(library):
+    encoder = rs.Encoder(open(PATH, "rb").read())
+    text = "one two, one. two! (one) one\nTwo,\none two"
+    assert encoder.batch([text])[0].tolist() + [2] == library(text)
+    assert {p for p in encoder.words if p.strip(" ").isalpha()} == {"one", " two", " one", "Two"}
+
+
+def test_long_pieces_are_not_kept(library):
+    encoder = rs.Encoder(open(PATH, "rb").read())
+    text = "x" * 6000 + " " + "é7" * 5000 + " end"
+    for _ in range(2):
+        assert encoder.batch([text])[0].tolist() + [2] == library(text)
+    assert max(map(len, encoder.words)) <= rs.LONGEST
+
+
+def test_slices_of_columns_and_texts_beyond_one_group(monkeypatch, library, sentence):
+    monkeypatch.setattr(rs, "CHARS", 200)
+    encoder = rs.Encoder(open(PATH, "rb").read())
+    texts = ["skipped", None, "", sentence(1, 90), "a <|endoftext|> b", sentence(2, 9), "é,", "", sentence(3, 30), "last"]
+    for kind in (pa.string(), pa.large_string()):
+        found = encoder.column(pa.array(texts, kind).slice(1, 8), 2)
+        assert [i.tolist() for i in found] == [library(t) for t in texts[1:9]]
+
+
+@pytest.mark.parametrize("width", [1, 5, 8, 13, 16, 17, 31, 32])
+def test_numbers_of_any_width(width):
+    values = np.random.default_rng(width).integers(0, 1 << width, 1000)
+    data = memoryview(rs._packed(values, width))
+    for a, b in ((0, 1000), (0, 1), (3, 3), (7, 990), (999, 1000)):
+        assert rs._unpacked(data, width, a, b).tolist() == values[a:b].tolist()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=200))
+def test_rules_expanded_once_give_the_same_ids(ids):
+    grammar, symbols, _ = rs.compress(np.array(ids, np.int64), np.array([len(ids)]), 2, 1000)
+    assert grammar.expand_many(symbols).tolist() == grammar.expand(symbols).tolist() == ids
+
+
+def test_checksums_come_without_the_ids(spark, frame, library, sentence):
+    rows = [(i, sentence(i, 40)) for i in range(30)] + [(None, "x")]
+    folder = rs.write_shards(frame(rows), PATH, scratch_path(spark, "shard-test"), shard_tokens=300)
+    want = {(d, len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for d, i in ((d, library(t)) for d, t in rows)}
+    plain = rs.read_shards(spark, folder).collect()
+    short = rs.read_shards(spark, folder, with_ids=False)
+    assert "ids" not in short.columns
+    assert {(r["doc_id"], r["n_tokens"], zlib.crc32(bytes(r["ids"]))) for r in plain} == want
+    assert {(r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in short.collect()} == want
