@@ -60,7 +60,7 @@ HOT_ROWS = 10_000
 
 _MAGIC = b"RPR1"
 #: Buckets of pairs, and the odd number that deals them out.
-_BUCKETS, _ODD = 1 << 20, np.int64(0x1E3779B97F4A7C15)
+_BUCKETS, _ODD = 1 << 18, np.int64(0x1E3779B97F4A7C15)
 HEADER = np.dtype([("part", "<u4"), ("shard", "<u4"), ("docs", "<u4"), ("rules", "<u4"), ("rounds", "<u4"),
                    ("base", "<u4"), ("symbols", "<u8"), ("tokens", "<u8"), ("width", "<u4"), ("flags", "<u4")])
 
@@ -123,11 +123,11 @@ def _frequent(seq: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray,
     pair = _pairs(seq, at)
     if len(at) > _BUCKETS >> 4:  # first go those that are rare even with others in their bucket
         bucket = (pair * _ODD >> 40) & _BUCKETS - 1
-        keep = (np.bincount(bucket, minlength=_BUCKETS) >= least)[bucket]
-        at, pair = at[keep], pair[keep]
+        keep = np.flatnonzero((np.bincount(bucket, minlength=_BUCKETS) >= least)[bucket])
+        at, pair = at[keep], pair[keep]  # by places: masks without order cost a processor more
     number = pa.array(pair).dictionary_encode().indices.to_numpy()  # in order of appearance
     seen = np.bincount(number, minlength=1)
-    keep = (seen >= least)[number]
+    keep = np.flatnonzero((seen >= least)[number])
     return at[keep], number[keep], seen
 
 
@@ -168,10 +168,11 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = MIN_PAIRS,
         rank = np.empty(len(seen), np.int32)
         rank[np.argsort(-seen, kind="stable")] = np.arange(len(seen))
         take = _chosen(at, rank[number])
-        used = np.bincount(number[take], minlength=len(seen))
-        take &= used[number] >= least  # not a pair that lost too many places to others
+        used = np.bincount(number[np.flatnonzero(take)], minlength=len(seen))
+        take &= (used >= least)[number]  # not a pair that lost too many places to others
         if take.sum() * worth < len(seq):
             break
+        take = np.flatnonzero(take)
         at, number = at[take], number[take]
         new = np.flatnonzero(used >= least)
         first = np.zeros(len(seen), np.int64)
@@ -187,6 +188,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = MIN_PAIRS,
         last[at] = last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
+        keep = np.flatnonzero(keep)
         seq, last = seq[keep], last[keep]
         at -= np.arange(len(at))  # one symbol fewer for each replaced pair before
         total += len(new)
@@ -374,23 +376,22 @@ class _Words(dict):
         super().__init__()
         self.letters, self.library, self.old, self.held = letters, library, old, 0
 
-    def look_up(self, pieces: np.ndarray) -> list[bytes]:
+    def look_up(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece; letters not met before are spelt all at once."""
         found = [*map(self.get, pieces)]
         new = [k for k, ids in enumerate(found) if ids is None]
-        words = [k for k in new if pieces[k] not in self.old and _is_word(pieces[k])]
-        for k, ids in zip(words, self.letters([pieces[k] for k in words])):
-            found[k] = self._keep(pieces[k], ids)
+        words = [p for k in new if (p := pieces[k]) not in self.old and _is_word(p)]
+        coded = dict(zip(words, self.letters(words)))
         for k in new:
+            found[k] = coded.get(pieces[k])
             if found[k] is None:
                 found[k] = self[pieces[k]]
+        self._keep({p: ids for p, ids in coded.items() if len(p) <= LONGEST})
         return found
 
-    def _keep(self, piece: str, ids: bytes) -> bytes:
-        if len(piece) <= LONGEST:
-            self[piece] = ids
-            self.held += 130 + len(piece) + len(ids)
-        return ids
+    def _keep(self, coded: dict[str, bytes]) -> None:
+        self.update(coded)
+        self.held += 130 * len(coded) + sum(map(len, coded)) + sum(map(len, coded.values()))
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
@@ -402,7 +403,9 @@ class _Words(dict):
                 ids = self.letters([piece])[0]
             else:
                 ids = self[word] + self[piece[len(word):]]
-        return self._keep(piece, ids)
+        if len(piece) <= LONGEST:
+            self._keep({piece: ids})
+        return ids
 
 
 def _is_word(piece: str) -> bool:
@@ -485,7 +488,7 @@ class Encoder:
         begins = np.append(np.flatnonzero(cuts), len(text))
         coded = pa.LargeStringArray.from_buffers(
             len(begins) - 1, pa.py_buffer(begins), pa.py_buffer(text)).dictionary_encode()
-        met = self.words.look_up(coded.dictionary.to_numpy(zero_copy_only=False))
+        met = self.words.look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         ends = np.searchsorted(begins, places[1:])  # pieces of this text and all before
         at = np.insert(coded.indices.to_numpy(), ends, len(met))
         found = pa.array([*met, end], pa.large_binary()).take(pa.array(at))
