@@ -149,7 +149,8 @@ def links(fps: DataFrame, bits: int = 4, hot: int = 64, block: int = 2048) -> Da
     heavy = materialise(held.groupBy("seg", "key").count().filter(F.col("count") > hot), "simhash-heavy")
     few = held.join(heavy, ["seg", "key"], "left_anti")
     x, y = F.col("x.fp"), F.col("y.fp")
-    cold = (sought.alias("x").join(few.alias("y"), ["seg", "key"])
+    # Never a broadcast: Spark sizes sought as fps, without the keys that explode makes of each.
+    cold = (sought.alias("x").join(few.alias("y").hint("merge"), ["seg", "key"])
             .filter((x != y) & _chain_ok(x, y, F.col("seg"), bits)
                     & (F.bit_count(x.bitwiseXOR(y)) <= bits))
             .select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")))

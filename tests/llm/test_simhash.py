@@ -8,6 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from reelrank.llm import simhash
+from reelrank.llm.common import materialise
 from reelrank.llm.components import connected_components
 
 
@@ -81,6 +82,14 @@ def test_links_are_complete(spark, bits, hot, block):
     assert groups(got) == groups(want)
 
 
+def test_probes_are_never_broadcast(spark, frame):
+    """From a table of known size Spark takes the exploded probes for as small as the fingerprints."""
+    fps = materialise(frame([(i * 0x9E3779B97F4A7C15 % (1 << 63),) for i in range(500)], "fp long"), "test-fps")
+    plan = simhash.links(fps)._jdf.queryExecution().sparkPlan().toString()
+    assert not re.search(r"BroadcastHashJoin .*Inner", plan), plan
+    assert "SortMergeJoin" in plan
+
+
 def test_keep_one_repeats_nulls_and_clashing_columns(spark, sentence):
     same = sentence(1, 50)
     rows = [(3, same, "a", 1), (2, same, "b", 2), (2, same, "b", 2), (None, same, "c", 3), (7, sentence(2, 50), "d", 4),
