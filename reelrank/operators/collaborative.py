@@ -27,6 +27,13 @@ TOP_K = 10
 #: Spark's default number of blocks of users and of items. That of users decides
 #: the random start.
 BLOCKS = 10
+#: More ratings than so many for each block get more blocks. A task builds a block in one
+#: piece: about 36 bytes of heap for each of its ratings at the worst moment, more beyond 2^24.
+RATINGS_A_BLOCK = 15_000_000
+#: Blocks and factors stay on disk: in the heap they would stand beside those being built.
+STORED = "DISK_ONLY"
+#: The shuffle files of earlier iterations go after every so many.
+CHECKPOINT_EVERY = 2
 #: Every iteration sends a user's factors to each block of items that the user
 #: rated, so fewer blocks of items shuffle less, on fewer cores. Their number changes
 #: results by rounding only: the first step makes all item factors from the users' start.
@@ -36,19 +43,23 @@ FEW_ITEM_BLOCKS = 3
 
 def fit_als(train: DataFrame, rank: int = 10, max_iter: int = ALS_MAX_ITER,
             reg_param: float = ALS_REG_PARAM, seed: int = SPLIT_SEED,
-            blocks: int = BLOCKS, item_blocks: int | None = None) -> ALSModel:
+            blocks: int | None = None, item_blocks: int | None = None) -> ALSModel:
     """M1: fit ALS on (userId, movieId, rating). Ids must fit in 32 bits
     (ALS refuses larger ones with a clear error). Other numbers of user
-    ``blocks`` start from other random factors; ``item_blocks``: as many if not given."""
-    als = ALS(
-        userCol="userId", itemCol="movieId", ratingCol="rating",
-        rank=rank, maxIter=max_iter, regParam=reg_param,
-        nonnegative=ALS_NONNEGATIVE, coldStartStrategy=ALS_COLD_START, seed=seed,
-        numUserBlocks=blocks, numItemBlocks=item_blocks or blocks,
-    )
+    ``blocks`` start from other random factors; not given, they follow the
+    number of ratings; ``item_blocks``: as many if not given."""
     data = train.select("userId", "movieId", F.col("rating").cast("float").alias("rating"))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = data.persist(StorageLevel.DISK_ONLY)
     try:
+        if blocks is None:
+            blocks = max(BLOCKS, -(-data.count() // RATINGS_A_BLOCK))
+        als = ALS(
+            userCol="userId", itemCol="movieId", ratingCol="rating",
+            rank=rank, maxIter=max_iter, regParam=reg_param,
+            nonnegative=ALS_NONNEGATIVE, coldStartStrategy=ALS_COLD_START, seed=seed,
+            numUserBlocks=blocks, numItemBlocks=item_blocks or blocks,
+            intermediateStorageLevel=STORED, finalStorageLevel=STORED, checkpointInterval=CHECKPOINT_EVERY,
+        )
         return als.fit(data)
     finally:
         data.unpersist()

@@ -284,7 +284,7 @@ def _als_split(c: Catalog):
 def q_als_predictions(c: Catalog) -> DataFrame:
     """M2: scores of the test pairs."""
     train, test = _als_split(c)
-    model = collaborative.fit_als(train, item_blocks=collaborative.FEW_ITEM_BLOCKS)
+    model = collaborative.fit_als(train, blocks=collaborative.BLOCKS, item_blocks=collaborative.FEW_ITEM_BLOCKS)
     return collaborative.als_predictions(model, test)
 
 

@@ -42,6 +42,24 @@ def test_fewer_item_blocks_change_rounding_only(catalog):
     assert both.filter("coalesce(abs(prediction - other) > 1e-3, true)").count() == 0
 
 
+def test_blocks_follow_the_number_of_ratings(catalog, monkeypatch):
+    """A task builds a block in one piece, so its size must not grow with the input."""
+    n = catalog.ratings.count()
+    assert collaborative.fit_als(catalog.ratings, max_iter=1).userFactors.rdd.getNumPartitions() == collaborative.BLOCKS
+    monkeypatch.setattr(collaborative, "RATINGS_A_BLOCK", n // 12)
+    model = collaborative.fit_als(catalog.ratings, max_iter=1)
+    blocks = [f.rdd.getNumPartitions() for f in (model.userFactors, model.itemFactors)]
+    assert blocks == [-(-n // (n // 12))] * 2 and blocks[0] > collaborative.BLOCKS
+
+
+def test_fit_leaves_no_block_in_the_heap(spark, catalog):
+    held = lambda: dict(spark.sparkContext._jsc.getPersistentRDDs())
+    before = held()
+    model = collaborative.fit_als(catalog.ratings, max_iter=1)
+    after = [rdd for i, rdd in held().items() if i not in before]
+    assert model.rank and after and not any(rdd.getStorageLevel().useMemory() for rdd in after)
+
+
 def test_prediction_queries_fit_with_few_item_blocks(catalog, monkeypatch):
     asked = []
     fit = collaborative.fit_als
